@@ -1,0 +1,153 @@
+"""Deterministic physics/weather formulas of the telemetry generators, as Column expressions.
+
+The generators add random noise around these curves; only the deterministic part is kept
+(expected values), so results are reproducible and testable against SQL.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, functions as F
+
+from heliolake.functions import _col
+
+# ---- fixed values (must equal the source system's constants) -------------------------------
+SOLAR_NOON_HOUR = 12.0
+SOLAR_SIGMA_HOURS = 4.0
+NIGHT_BEFORE_HOUR = 5.0          # intensity is 0 when hour < 5
+NIGHT_AFTER_HOUR = 19.0          # ... or hour > 19
+SUNRISE_RAMP_END_HOUR = 6.0      # 5 <= hour < 6: ramp up by (hour - 5)
+SUNSET_RAMP_START_HOUR = 18.0    # 18 <= hour <= 19: ramp down by (19 - hour)
+BASE_TEMP_C = 25.0
+TEMP_GAIN_PER_INTENSITY = 15.0
+AFTERNOON_WARMING = 0.5          # 0.5 * (hour - 12) / 6
+POWER_TEMP_COEFF = 0.004
+VOLTAGE_TEMP_COEFF = 0.002
+SECONDS_PER_YEAR = 365 * 24 * 3600
+PANEL_BASE_POWER_W = 250.0
+PANEL_BASE_VOLTAGE_V = 24.0
+# Monthly base temperatures (°C), January .. December
+MONTHLY_BASE_TEMPS = [5, 5, 8, 12, 16, 19, 22, 21, 18, 14, 9, 6]
+# Weather conditions, in order (worst/best trend moves along this list)
+WEATHER_CONDITIONS = ["clear", "partly_cloudy", "cloudy", "overcast", "light_rain",
+                      "moderate_rain", "heavy_rain", "thunderstorm", "fog", "mist"]
+UV_INDEX_MAX = 11.0
+# ---------------------------------------------------------------------------------------------
+
+
+def _d(x: float) -> Column:
+    return F.lit(float(x))
+
+
+def solar_intensity(hour) -> Column:
+    """Gaussian day curve around solar noon, 0 at night, linear ramps at dawn/dusk."""
+    h = _col(hour)
+    gauss = F.exp(_d(-0.5) * F.pow(F.abs(h - _d(SOLAR_NOON_HOUR)) / _d(SOLAR_SIGMA_HOURS), _d(2.0)))
+    return (F.when(h.isNull(), F.lit(None).cast("double"))
+            .when((h < _d(NIGHT_BEFORE_HOUR)) | (h > _d(NIGHT_AFTER_HOUR)), _d(0.0))
+            .when(h < _d(SUNRISE_RAMP_END_HOUR), gauss * (h - _d(NIGHT_BEFORE_HOUR)))
+            .when(h >= _d(SUNSET_RAMP_START_HOUR), gauss * (_d(NIGHT_AFTER_HOUR) - h))
+            .otherwise(gauss))
+
+
+def panel_temperature(intensity, hour) -> Column:
+    """25 + 15*i + 0.5*(h-12)/6."""
+    return (_d(BASE_TEMP_C) + _col(intensity) * _d(TEMP_GAIN_PER_INTENSITY)
+            + _d(AFTERNOON_WARMING) * (_col(hour) - _d(SOLAR_NOON_HOUR)) / _d(6.0))
+
+
+def degradation(age_seconds, rate) -> Column:
+    """1 - age_s * annual_rate / seconds_per_year."""
+    r = rate if isinstance(rate, Column) else _d(rate)
+    return _d(1.0) - _col(age_seconds).cast("double") * r / _d(SECONDS_PER_YEAR)
+
+
+def expected_power(base_power, intensity, degr, temperature) -> Column:
+    """base * i * degradation * (1 - 0.004 * (T - 25))."""
+    bp = base_power if isinstance(base_power, Column) else _d(base_power)
+    return bp * _col(intensity) * _col(degr) * (_d(1.0) - _d(POWER_TEMP_COEFF) * (_col(temperature) - _d(BASE_TEMP_C)))
+
+
+def expected_irradiance(base_irradiance, intensity, efficiency) -> Column:
+    """base_irradiance * i * efficiency."""
+    bi = base_irradiance if isinstance(base_irradiance, Column) else _d(base_irradiance)
+    ef = efficiency if isinstance(efficiency, Column) else _d(efficiency)
+    return bi * _col(intensity) * ef
+
+
+def expected_voltage(base_voltage, temperature) -> Column:
+    """base_v * (1 - 0.002 * (T - 25))."""
+    bv = base_voltage if isinstance(base_voltage, Column) else _d(base_voltage)
+    return bv * (_d(1.0) - _d(VOLTAGE_TEMP_COEFF) * (_col(temperature) - _d(BASE_TEMP_C)))
+
+
+def safe_divide(num, den) -> Column:
+    """num/den when den > 0, else 0.0; NULL stays NULL (ANSI mode raises on /0)."""
+    n, d = _col(num), _col(den)
+    return (F.when(n.isNull() | d.isNull(), F.lit(None).cast("double"))
+            .when(d > _d(0.0), n.cast("double") / d.cast("double"))
+            .otherwise(_d(0.0)))
+
+
+def clamp(x, lo=None, hi=None) -> Column:
+    """F16: max(lo, min(hi, x)); NULL in -> NULL out (greatest/least would skip the NULL)."""
+    x = _col(x)
+    out = x
+    if hi is not None:
+        out = F.least(F.lit(hi), out)
+    if lo is not None:
+        out = F.greatest(F.lit(lo), out)
+    return F.when(x.isNull(), F.lit(None)).otherwise(out)
+
+
+def round1(x) -> Column:
+    """round to one decimal (HALF_UP on the decimal value, as SQL engines do)."""
+    return F.round(_col(x), 1)
+
+
+def trunc_int(x) -> Column:
+    """truncate toward zero to INT; out-of-range -> NULL instead of an ANSI error."""
+    return _col(x).try_cast("int")
+
+
+def round_int(x) -> Column:
+    """Assignment of a fractional number to an INTEGER column: round half away from zero."""
+    return F.round(_col(x)).try_cast("int")
+
+
+def inverter_status(power) -> Column:
+    """'OK' when the (unrounded) power is > 0, else 'STANDBY'."""
+    p = _col(power)
+    return F.when(p.isNull(), F.lit(None).cast("string")).when(p > 0, F.lit("OK")).otherwise(F.lit("STANDBY"))
+
+
+def diurnal_factor(hour) -> Column:
+    """0.5 * sin((h - 6) * pi / 12) + 0.5 — peaks at 15:00, lowest at 03:00/06:00 ramp."""
+    return F.sin((_col(hour) - _d(6.0)) * _d(math.pi) / _d(12.0)) * _d(0.5) + _d(0.5)
+
+
+def month_base_temperature(ts) -> Column:
+    """base temperature of the month of ``ts`` from the 12-entry table."""
+    arr = F.array(*[_d(v) for v in MONTHLY_BASE_TEMPS])
+    return F.element_at(arr, F.month(_col(ts)))
+
+
+def condition_index(cond) -> Column:
+    """0-based position of a condition in WEATHER_CONDITIONS; NULL when unknown."""
+    pos = F.array_position(F.array(*[F.lit(c) for c in WEATHER_CONDITIONS]), _col(cond))
+    return F.when(pos > 0, (pos - 1).cast("int"))
+
+
+def shift_condition(cond, change) -> Column:
+    """move along the ordered condition list by int(change*2), clamped to both ends."""
+    idx = condition_index(cond)
+    step = (_col(change) * _d(2.0)).try_cast("int")          # int() truncates toward zero
+    new_idx = F.least(F.greatest(idx + step, F.lit(0)), F.lit(len(WEATHER_CONDITIONS) - 1))
+    arr = F.array(*[F.lit(c) for c in WEATHER_CONDITIONS])
+    return F.when(idx.isNull() | step.isNull(), F.lit(None).cast("string")).otherwise(F.element_at(arr, new_idx + 1))
+
+
+def uv_index(time_of_day_factor, noise=1.0) -> Column:
+    """Clamp(0, 11) of factor*10*noise (F16 with the weather bounds)."""
+    return clamp(_col(time_of_day_factor) * _d(10.0) * _d(noise), 0.0, UV_INDEX_MAX)
