@@ -119,7 +119,8 @@ def decode(df: DataFrame, fields: Sequence[Field], value_col: str = "value",
             val = F.when(_falsy(typed, f.dtype), F.lit(f.default)).otherwise(typed)
         else:
             raise ValueError(f"unknown lookup {f.lookup!r}")
-        out_cols.append(val.cast(_spark_type(f.dtype)).alias(f.name))
+        # no object payload -> no fields (the row is rejected as a whole)
+        out_cols.append(F.when(m.isNotNull(), val).cast(_spark_type(f.dtype)).alias(f.name))
         problems.append(F.when(m.isNotNull() & bad, F.lit(f"bad_{f.name}")))
         if f.required:
             problems.append(F.when(m.isNotNull() & ~bad & val.isNull(), F.lit(f"missing_{f.name}")))

@@ -6,7 +6,7 @@ Each layout is a list of :class:`~heliolake.operators.codec.Field` plus envelope
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from heliolake.functions.timefn import event_time, ns_to_timestamp, ms_to_timestamp, iso_utc
 from heliolake.operators.codec import Field, REJECT, decode
@@ -48,11 +48,15 @@ def relational_fields() -> list[Field]:
     return out
 
 
-def shape_relational(topic: DataFrame) -> DataFrame:
+def _has_payload() -> Column:
+    return F.col(REJECT).isNull() | ~F.col(REJECT).isin("not_a_json_object", "null_value")
+
+
+def shape_relational(topic: DataFrame, keep=()) -> DataFrame:
     """18-column upsert layout; ``timestamp`` is the event instant (epoch 0 when absent)."""
-    d = decode(topic, relational_fields())
-    return d.select(*[c for c in NAMES_18 if c != "timestamp"],
-                    event_time(F.col("timestamp"), on_missing="epoch").alias("timestamp"), REJECT)
+    d = decode(topic, relational_fields(), keep=keep)
+    ts = F.when(_has_payload(), event_time(F.col("timestamp"), on_missing="epoch"))
+    return d.select(*keep, *[c for c in NAMES_18 if c != "timestamp"], ts.alias("timestamp"), REJECT)
 
 
 def _columnar_default(name: str, dtype: str):
@@ -82,13 +86,13 @@ def broker_columns() -> list:
             F.col("offset").cast("bigint").alias("kafka_offset")]
 
 
-def shape_columnar(topic: DataFrame) -> DataFrame:
+def shape_columnar(topic: DataFrame, keep=()) -> DataFrame:
     """23-column append layout: the 18 + broker metadata; event time falls back to broker time."""
     src = topic.withColumn("_broker_ms", F.unix_millis(F.col("timestamp")))
     d = decode(src.select(*src.columns, *broker_columns()), columnar_fields(),
-               keep=["_broker_ms", *BROKER_COLUMNS])
-    ts = event_time(F.col("timestamp"), F.col("_broker_ms"), on_missing="broker")
-    return d.select(*[c for c in NAMES_18 if c != "timestamp"], F.date_trunc("millisecond", ts).alias("timestamp"),
+               keep=[*keep, "_broker_ms", *BROKER_COLUMNS])
+    ts = F.when(_has_payload(), event_time(F.col("timestamp"), F.col("_broker_ms"), on_missing="broker"))
+    return d.select(*keep, *[c for c in NAMES_18 if c != "timestamp"], F.date_trunc("millisecond", ts).alias("timestamp"),
                     *BROKER_COLUMNS, REJECT)
 
 
@@ -97,10 +101,12 @@ def sheet_fields() -> list[Field]:
     return [Field(name, "string", lookup="default", default="") for name in NAMES_18]
 
 
-def shape_sheet(topic: DataFrame) -> DataFrame:
+def shape_sheet(topic: DataFrame, keep=()) -> DataFrame:
     """20-column spreadsheet layout: the 18 as text + broker ms + ``stream_id`` ('' when absent)."""
-    d = decode(topic.withColumn("_broker_ms", F.unix_millis(F.col("timestamp"))), sheet_fields(), keep=["_broker_ms"])
-    return d.select(*NAMES_18, F.col("_broker_ms").alias("kafka_timestamp"), F.lit("").alias("stream_id"), REJECT)
+    d = decode(topic.withColumn("_broker_ms", F.unix_millis(F.col("timestamp"))), sheet_fields(),
+               keep=[*keep, "_broker_ms"])
+    return d.select(*keep, *NAMES_18, F.col("_broker_ms").alias("kafka_timestamp"), F.lit("").alias("stream_id"),
+                    REJECT)
 
 
 def timeseries_fields() -> list[Field]:
@@ -114,17 +120,17 @@ def timeseries_fields() -> list[Field]:
     return out
 
 
-def shape_timeseries(topic: DataFrame, now_fallback: bool = False) -> DataFrame:
+def shape_timeseries(topic: DataFrame, now_fallback: bool = False, keep=()) -> DataFrame:
     """Symbols + float/int columns + designated time (ns event time; processing time only
     when ``now_fallback`` — otherwise a row without a usable time is rejected)."""
-    d = decode(topic, timeseries_fields())
+    d = decode(topic, timeseries_fields(), keep=keep)
     ns = F.col("timestamp")
     usable = ns.isNotNull() & (ns != 0)
     t = F.when(usable, ns_to_timestamp(ns))
     if now_fallback:
         t = t.otherwise(F.current_timestamp())
     reason = F.coalesce(F.col(REJECT), F.when(t.isNull(), F.lit("missing_timestamp")))
-    return d.select(*SYMBOL_COLUMNS, *ROW_COLUMNS, t.alias("time"), reason.alias(REJECT))
+    return d.select(*keep, *SYMBOL_COLUMNS, *ROW_COLUMNS, t.alias("time"), reason.alias(REJECT))
 
 
 def iso_time_column(t) -> object:
