@@ -1,0 +1,49 @@
+"""``expected_signals``: expected-value columns of a readings table (the generator's physics
+without its random noise), computed beside the measured columns."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from heliolake.functions import signals as S
+from heliolake.functions.timefn import hour_of_day, ns_to_timestamp
+from heliolake.operators.latest import key_age_seconds
+
+
+def expected_signals(readings: DataFrame, *, ns_col: str = "timestamp", panel_col: str = "panel_id",
+                     time_col: str | None = None, base_power=S.PANEL_BASE_POWER_W, efficiency=1.0,
+                     base_irradiance=800.0, base_voltage=S.PANEL_BASE_VOLTAGE_V,
+                     degradation_rate=0.0125, prefix: str = "expected_") -> DataFrame:
+    """Add ``hour, intensity, {prefix}temperature/power/irradiance/voltage/current/status``.
+
+    ``base_irradiance``/``efficiency``/``base_power`` may be literals or columns (e.g. from a
+    location dimension joined before). Panel age (for degradation) is seconds since the
+    panel's first reading (``key_age_seconds``), using ``time_col`` or the ns epoch.
+    """
+    df = readings
+    if time_col is None:
+        df = df.withColumn("_t", ns_to_timestamp(F.col(ns_col)))
+        tcol = "_t"
+    else:
+        tcol = time_col
+    df = key_age_seconds(df, panel_col, tcol, out="_age_s")
+    h = hour_of_day(F.col(ns_col))
+    i = S.solar_intensity(h)
+    temp = S.panel_temperature(i, h)
+    bp = _num(base_power) * _num(efficiency)
+    power = S.clamp(S.expected_power(bp, i, S.degradation(F.col("_age_s"), _num(degradation_rate)), temp), 0.0)
+    irr = S.clamp(S.expected_irradiance(_num(base_irradiance) * _num(efficiency), i, _num(efficiency)), 0.0)
+    volt = S.clamp(S.expected_voltage(_num(base_voltage), temp), 0.0)
+    out = (df.withColumn("hour", h).withColumn("intensity", i)
+           .withColumn(f"{prefix}temperature", temp)
+           .withColumn(f"{prefix}power", power)
+           .withColumn(f"{prefix}irradiance", irr)
+           .withColumn(f"{prefix}voltage", volt))
+    out = out.withColumn(f"{prefix}current", S.clamp(S.safe_divide(F.col(f"{prefix}power"), F.col(f"{prefix}voltage")), 0.0))
+    out = out.withColumn(f"{prefix}status", S.inverter_status(F.col(f"{prefix}power")))
+    drop = ["_age_s"] + (["_t"] if time_col is None else [])
+    return out.drop(*drop)
+
+
+def _num(v) -> Column:
+    return v if isinstance(v, Column) else F.lit(float(v))
