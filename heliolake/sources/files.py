@@ -175,7 +175,7 @@ def read_json(spark: SparkSession, root: str, *, extension: str | None = "json")
 
     out = None
     if whole_paths:
-        w = (spark.read.option("wholetext", "true").text(whole_paths)
+        w = (spark.read.text(whole_paths, wholetext=True)
              .select(F.col("value"), F.col("_metadata.file_path").alias("_path")))
         w = w.join(lines.select("_path", SOURCE_FILE).dropDuplicates(["_path"]), "_path")
         v = F.try_parse_json(F.col("value"))
