@@ -48,11 +48,15 @@ def append_table(df: DataFrame, path: str, *, time_col: str | None = None, sort_
 class KeyedTable:
     """Merge-on-read keyed table (K3 upsert, T12 idempotent replay)."""
 
-    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], partition_by: str | None = None):
+    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], partition_by: str | None = None,
+                 batch_wins: bool = True):
+        """``batch_wins``: a later batch beats an earlier one (arrival order, as with offsets
+        per partition); False orders only by ``order`` (e.g. when batches are not ordered)."""
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.order = list(order)
         self.partition_by = partition_by
+        self.batch_wins = batch_wins
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Write one batch: last writer wins inside it, then it lands in its own folder."""
@@ -68,15 +72,23 @@ class KeyedTable:
     def read(self) -> DataFrame:
         spark = _active_session()
         log = spark.read.parquet(self.path)
-        return latest_per_key(log, self.keys, [BATCH_COL, *self.order]).drop(BATCH_COL)
+        order = [BATCH_COL, *self.order] if self.batch_wins else [*self.order, BATCH_COL]
+        return latest_per_key(log, self.keys, order).drop(BATCH_COL)
 
     def compact_to(self, path: str, batch_id: int) -> "KeyedTable":
         """Write the merged state once (as ``batch_id``) to a fresh folder and return it."""
-        t = KeyedTable(path, self.keys, self.order, self.partition_by)
+        t = KeyedTable(path, self.keys, self.order, self.partition_by, self.batch_wins)
         t.upsert(self.read(), batch_id)
         return t
 
 
+def append_batch(batch: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+    """K4 inside foreachBatch: append one micro-batch into its own ``_batch`` folder; a replay
+    of the same batch id overwrites exactly that folder (idempotent append)."""
+    (batch.withColumn(BATCH_COL, F.lit(int(batch_id))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL, *partition_by).parquet(path))
+
+
 def _active_session():
     from pyspark.sql import SparkSession
     return SparkSession.getActiveSession()
