@@ -123,7 +123,7 @@ def inverter_status(power) -> Column:
 
 
 def diurnal_factor(hour) -> Column:
-    """0.5 * sin((h - 6) * pi / 12) + 0.5 — peaks at 15:00, lowest at 03:00/06:00 ramp."""
+    """0.5 * sin((h - 6) * pi / 12) + 0.5 — 1.0 at 12:00, 0.0 at 00:00 (UTC hour)."""
     return F.sin((_col(hour) - _d(6.0)) * _d(math.pi) / _d(12.0)) * _d(0.5) + _d(0.5)
 
 
