@@ -132,3 +132,16 @@ def sheet_rows_sink(path: str, header: bool = True):
 
 def to_json_text(record: dict) -> str:
     return json.dumps(record)
+
+
+class JsonLinesFileSender:
+    """Debug/test transport: append each record as a JSON array line to a file (P4 tap for
+    local runs; on a cluster every executor writes to its own local file)."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __call__(self, records: list) -> None:
+        with open(self.path, "a", encoding="utf-8") as f:
+            for r in records:
+                f.write(json.dumps(list(r)) + "\n")
