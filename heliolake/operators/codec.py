@@ -22,6 +22,7 @@ from pyspark.sql.types import BinaryType, MapType, StringType, StructType
 
 REJECT = "_reject"
 PAYLOAD = "_payload"
+_BARRIER = "_parse_task"
 
 
 class _NoDefault:
@@ -99,7 +100,11 @@ def decode(df: DataFrame, fields: Sequence[Field], value_col: str = "value",
     ``keep`` lists input columns (e.g. envelope metadata) carried through unchanged.
     """
     vtype = df.schema[value_col].dataType
-    staged = df.withColumn(PAYLOAD, payload_map(F.col(value_col), vtype))
+    # The parse is the expensive step. A filter on the decoded columns (e.g. ``_reject IS NULL``)
+    # would otherwise be pushed below this projection with the parse inlined once per reference;
+    # the (cheap, non-deterministic) partition id column stops that push-down here, so each
+    # message is parsed exactly once.
+    staged = df.withColumn(PAYLOAD, payload_map(F.col(value_col), vtype)).withColumn(_BARRIER, F.spark_partition_id())
     m = F.col(PAYLOAD)
     out_cols = [F.col(c) for c in keep]
     problems = [F.when(F.col(value_col).isNull(), F.lit("null_value")),
@@ -124,6 +129,7 @@ def decode(df: DataFrame, fields: Sequence[Field], value_col: str = "value",
         problems.append(F.when(m.isNotNull() & bad, F.lit(f"bad_{f.name}")))
         if f.required:
             problems.append(F.when(m.isNotNull() & ~bad & val.isNull(), F.lit(f"missing_{f.name}")))
+    problems.append(F.when(F.col(_BARRIER) < 0, F.lit("unreachable")))   # keeps the barrier column alive
     reason = F.coalesce(*problems)
     return staged.select(*out_cols, reason.alias(REJECT))
 
