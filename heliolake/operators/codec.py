@@ -23,6 +23,7 @@ from pyspark.sql.types import BinaryType, MapType, StringType, StructType
 REJECT = "_reject"
 PAYLOAD = "_payload"
 _BARRIER = "_parse_task"
+_KEYS = "_payload_keys"
 
 
 class _NoDefault:
@@ -104,13 +105,15 @@ def decode(df: DataFrame, fields: Sequence[Field], value_col: str = "value",
     # would otherwise be pushed below this projection with the parse inlined once per reference;
     # the (cheap, non-deterministic) partition id column stops that push-down here, so each
     # message is parsed exactly once.
-    staged = df.withColumn(PAYLOAD, payload_map(F.col(value_col), vtype)).withColumn(_BARRIER, F.spark_partition_id())
+    staged = (df.withColumn(PAYLOAD, payload_map(F.col(value_col), vtype))
+              .withColumn(_BARRIER, F.spark_partition_id()))
+    staged = staged.withColumn(_KEYS, F.map_keys(F.col(PAYLOAD)))
     m = F.col(PAYLOAD)
     out_cols = [F.col(c) for c in keep]
     problems = [F.when(F.col(value_col).isNull(), F.lit("null_value")),
                 F.when(m.isNull(), F.lit("not_a_json_object"))]
     for f in fields:
-        present = F.map_contains_key(m, F.lit(f.json_key))
+        present = F.array_contains(F.col(_KEYS), F.lit(f.json_key))
         raw = F.try_element_at(m, F.lit(f.json_key))
         typed = _typed(raw, f.dtype)
         bad = raw.isNotNull() & typed.isNull()

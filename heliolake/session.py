@@ -18,6 +18,10 @@ ENGINE_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # wide decode projections can generate a processNext() above the JVM's 8000-byte JIT limit;
+    # past that size fall back to split (per-expression) codegen instead of running
+    # uncompiled bytecode
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -111,9 +111,8 @@ def _first_lines(lines: DataFrame, nonblank: bool = False) -> DataFrame:
     return src.groupBy("_path").agg(F.min_by("value", "_id").alias("_first"), F.min("_id").alias("_first_id"))
 
 
-def _csv_split(line: Column, n: int) -> Column:
-    return F.from_csv(line, ", ".join(f"c{i} string" for i in range(n)),
-                      {"nullValue": "\u0000", "emptyValue": "", "mode": "PERMISSIVE"})
+def _unquote(c: Column) -> Column:
+    return F.regexp_replace(strip(c), '^"|"$', "")
 
 
 def read_csv(spark: SparkSession, root: str, columns: Mapping[str, tuple[str, object]], *,
@@ -123,35 +122,46 @@ def read_csv(spark: SparkSession, root: str, columns: Mapping[str, tuple[str, ob
     Columns are matched by *header name per file* (files may differ); an absent column gives
     its default, extra columns are ignored. An empty or non-numeric value in a typed column,
     or a short row, rejects that row only (``_reject`` holds the reason).
+
+    The body is read by Spark's CSV reader (splittable; it drops each file's header line
+    itself) with positional string columns; each file's header — found from its first split —
+    maps names to positions. Only the widest header's size reaches the driver.
     """
-    lines = read_lines(spark, root, extension)
     names = list(columns)
+    lines = read_lines(spark, root, extension)
     if lines is None:
         schema = ", ".join(f"{n} {columns[n][0]}" for n in names)
         return spark.createDataFrame([], f"{schema}, {SOURCE_FILE} string, _reject string")
-    # header per file, as an array of names
-    heads = _first_lines(lines).select("_path", "_first_id",
-                                       F.split(strip(F.col("_first")), ",").alias("_hdr"))
-    width = max(len(names) * 2, 32)
-    body = (lines.withColumn("_id", F.when(F.col("_block") == 0, F.monotonically_increasing_id()))
-            .join(heads, "_path")
-            .filter(F.col("_id").isNull() | (F.col("_id") != F.col("_first_id")))
-            .filter(F.col("value") != ""))
-    parsed = body.withColumn("_f", _csv_split(F.regexp_replace("value", "\r$", ""), width))
+    hdr = F.transform(F.split(strip(F.col("_first")), ","), _unquote)
+    heads = _first_lines(lines).select("_path", hdr.alias("_hdr"))
+    heads = heads.select("_path", *[F.array_position("_hdr", F.lit(n)).cast("int").alias(f"_pos{i}")
+                                   for i, n in enumerate(names)], F.size("_hdr").alias("_width"))
+    width = (heads.agg(F.max("_width")).first()[0] or 0) + 1
+    reader = (spark.read.schema(", ".join(f"c{i} string" for i in range(width)))
+              .option("header", "true").option("enforceSchema", "true").option("mode", "PERMISSIVE")
+              .option("nullValue", "\u0000").option("emptyValue", "").option("recursiveFileLookup", "true"))
+    if extension and extension != "none":
+        reader = reader.option("pathGlobFilter", _glob("", extension).lstrip("/"))
+    body = reader.csv(root.rstrip("/")).select(
+        F.array(*[F.col(f"c{i}") for i in range(width)]).alias("_fa"),
+        _relative_name(root).alias(SOURCE_FILE), F.col("_metadata.file_path").alias("_path"),
+        F.spark_partition_id().alias("_parse_task"))          # keeps the parse below later filters
+    rows = body.join(heads, "_path")
     out_cols, problems = [], []
-    for name in names:
+    for i, name in enumerate(names):
         dtype, default = columns[name]
-        pos = F.array_position(F.transform("_hdr", lambda h: F.trim(h)), F.lit(name))
-        raw = F.when(pos > 0, F.element_at(F.array(*[F.col(f"_f.c{i}") for i in range(width)]), pos.cast("int")))
+        pos = F.col(f"_pos{i}")
+        raw = F.when(pos > 0, F.element_at(F.col("_fa"), pos))
         if dtype == "string":
-            val = F.when(pos > 0, F.coalesce(raw, F.lit(None).cast("string"))).otherwise(F.lit(default))
+            val = F.when(pos > 0, raw).otherwise(F.lit(default))
             problems.append(F.when((pos > 0) & raw.isNull(), F.lit(f"short_row_{name}")))
         else:
             typed = raw.try_cast(dtype)
             val = F.when(pos > 0, typed).otherwise(F.lit(default).cast(dtype))
             problems.append(F.when((pos > 0) & typed.isNull(), F.lit(f"bad_{name}")))
         out_cols.append(val.cast(dtype).alias(name))
-    return parsed.select(*out_cols, F.col(SOURCE_FILE), F.coalesce(*problems).alias("_reject"))
+    problems.append(F.when(F.col("_parse_task") < 0, F.lit("unreachable")))
+    return rows.select(*out_cols, F.col(SOURCE_FILE), F.coalesce(*problems).alias("_reject"))
 
 
 def read_json(spark: SparkSession, root: str, *, extension: str | None = "json") -> DataFrame:
@@ -178,9 +188,8 @@ def read_json(spark: SparkSession, root: str, *, extension: str | None = "json")
         w = (spark.read.text(whole_paths, wholetext=True)
              .select(F.col("value"), F.col("_metadata.file_path").alias("_path")))
         w = w.join(lines.select("_path", SOURCE_FILE).dropDuplicates(["_path"]), "_path")
-        v = F.try_parse_json(F.col("value"))
-        kind = F.schema_of_variant(v)
-        w = w.withColumn("_v", v).withColumn("_kind", kind)
+        w = w.withColumn("_v", F.try_parse_json(F.col("value"))).withColumn("_parse_task", F.spark_partition_id())
+        w = w.withColumn("_kind", F.when(F.col("_parse_task") >= 0, F.schema_of_variant("_v")))
         arrays = (w.filter(F.col("_kind").startswith("ARRAY"))
                   .select(SOURCE_FILE, F.explode(F.col("_v").cast("array<variant>")).alias("_e")))
         arrays = arrays.select(F.to_json("_e").alias("value"), SOURCE_FILE,
@@ -195,10 +204,12 @@ def read_json(spark: SparkSession, root: str, *, extension: str | None = "json")
     line_files = cls.filter(F.col("_mode") == "lines").select("_path")
     if fallback_paths is not None:
         line_files = line_files.unionByName(fallback_paths)
-    lv = nb.join(line_files, "_path", "left_semi").withColumn("_v", F.try_parse_json(strip(F.col("value"))))
+    lv = (nb.join(line_files, "_path", "left_semi").withColumn("_v", F.try_parse_json(strip(F.col("value"))))
+          .withColumn("_parse_task", F.spark_partition_id()))      # parse once, below later filters
     lrows = lv.select(F.when(F.col("_v").isNotNull(), F.to_json("_v")).alias("value"), SOURCE_FILE,
                       F.when(F.col("_v").isNull(), F.lit("invalid_json_line"))
-                      .when(~F.schema_of_variant("_v").startswith("OBJECT"), F.lit("not_an_object")).alias("_reject"))
+                      .when(~F.schema_of_variant("_v").startswith("OBJECT"), F.lit("not_an_object"))
+                      .when(F.col("_parse_task") < 0, F.lit("unreachable")).alias("_reject"))
     return lrows if out is None else out.unionByName(lrows)
 
 
