@@ -255,3 +255,32 @@ def line_protocol_q(spark: SparkSession, root: str) -> DataFrame:
     d = good_rows(decode(t, timeseries_fields(), keep=["offset"])).filter(
         F.col("timestamp").isNotNull() & (F.col("timestamp") != 0))
     return d.select("offset", line_protocol(d, "solar", SYMBOL_COLUMNS, ROW_COLUMNS, "timestamp").alias("line"))
+
+
+@register("union_producers", "U1 U3 E2", oracle="""
+SELECT upper(event_type) AS location_id, count(*) AS n, count(power_output) AS n_power,
+       count(temperature) AS n_temperature
+FROM (SELECT event_type,
+             CASE WHEN event_type IN ('click', 'view') THEN value END AS power_output,
+             CASE WHEN event_type NOT IN ('click', 'view') THEN CAST(json_extract(props, '$.k') AS DOUBLE) END
+               AS temperature
+      FROM events)
+GROUP BY 1
+""")
+def union_producers(spark: SparkSession, root: str) -> DataFrame:
+    """Two producers write one topic with different payload fields; the consumer unions the
+    decoded streams by name, widening the schema (absent columns are NULL)."""
+    from heliolake.plans.readings import reading_columns
+    from heliolake.sources.topic import as_topic
+    r = reading_columns(table(spark, root, "events"))
+    a = r.filter(F.col("location_name").isin("click", "view"))
+    b = r.filter(~F.col("location_name").isin("click", "view"))
+    ta = as_topic(a, key=F.col("location_id"), topic="solar-data", offset=F.col("event_id"), timestamp=F.col("ts"),
+                  value=F.to_json(F.struct("location_id", "power_output")))
+    tb = as_topic(b, key=F.col("location_id"), topic="solar-data", offset=F.col("event_id"), timestamp=F.col("ts"),
+                  value=F.to_json(F.struct("location_id", F.col("_k").cast("double").alias("temperature"))))
+    da = good_rows(decode(ta, [Field("location_id"), Field("power_output", "double")]))
+    db = good_rows(decode(tb, [Field("location_id"), Field("temperature", "double")]))
+    u = da.unionByName(db, allowMissingColumns=True)
+    return u.groupBy("location_id").agg(F.count(F.lit(1)).alias("n"), F.count("power_output").alias("n_power"),
+                                        F.count("temperature").alias("n_temperature"))

@@ -102,3 +102,32 @@ def stream_fanout(spark: SparkSession, root: str) -> DataFrame:
     b = spark.read.parquet(line_path).agg(F.lit("lines").alias("sink"), F.count(F.lit(1)).alias("n"),
                                           F.round(F.sum("power_output"), 4).alias("total"))
     return a.unionByName(b)
+
+
+@register("topic_to_topic", "T10 P1 P2 P3 K1", oracle="""
+SELECT event_id AS offset, upper(event_type) AS key_text,
+       round(value * 2.0, 6) AS doubled
+FROM events WHERE value > 1.0
+""")
+def topic_to_topic(spark: SparkSession, root: str) -> DataFrame:
+    """Stateless stream transform between topics: filter (P2), map with the message metadata
+    (P1/P3) and produce to an output topic; the output topic is read back."""
+    from heliolake.operators.codec import Field, decode
+    src = produce_topic(spark, root)
+    out_path = unique_dir(spark, "topic_out")
+
+    def fn(env: DataFrame) -> DataFrame:
+        d = decode(env, [Field("power_output", "double")], keep=["key", "partition", "offset", "timestamp"])
+        d = d.filter(F.col("power_output") > 1.0)
+        body = F.to_json(F.struct(F.col("key").cast("string").alias("key_text"),
+                                  (F.col("power_output") * 2.0).alias("doubled")))
+        return d.select("key", body.alias("value"), F.lit("doubled").alias("topic"), "partition", "offset",
+                        "timestamp", F.lit(0).alias("timestampType"))
+
+    stream = read_topic(spark, TOPIC, path=src, stream=True, max_per_trigger=FILES_PER_TRIGGER)
+    q = jobs.transform_topic(stream, fn, out_path=out_path, topic="doubled", checkpoint=unique_dir(spark, "ckpt"),
+                             available_now=True)
+    q.awaitTermination()
+    back = read_topic(spark, "doubled", path=out_path, stream=False)
+    parsed = back.select("offset", F.from_json("value", "key_text string, doubled double").alias("v"))
+    return parsed.select("offset", "v.key_text", F.round("v.doubled", 6).alias("doubled"))

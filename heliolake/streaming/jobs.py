@@ -99,3 +99,33 @@ def windowed(stream: DataFrame, every: str, fn: str, *, time_col: str, value_col
         raise ValueError("fn must be 'last' or 'mean'")
     g = src.groupBy(F.window(F.col(time_col), every).alias("_w"), *series).agg(agg.alias("_value"))
     return g.select(*series, F.col("_w.end").alias("_time"), "_value")
+
+
+def tap(df: DataFrame, name: str, *counters) -> DataFrame:
+    """Pass rows through unchanged while counting them (and any extra aggregate
+    expressions) as named metrics — read from ``query.lastProgress['observedMetrics']`` in a
+    stream or ``Observation.get`` in batch. No second pass, no collect of rows."""
+    exprs = [F.count(F.lit(1)).alias("rows"), *counters]
+    return df.observe(name, *exprs)
+
+
+def transform_topic(stream: DataFrame, fn: Callable[[DataFrame], DataFrame], *, out_path: str | None = None,
+                    bootstrap: str | None = None, topic: str | None = None, checkpoint: str,
+                    available_now: bool = False, processing_time: str | None = None):
+    """Stateless topic -> topic transform (``fn`` maps envelope rows to envelope rows with
+    ``key``/``value``); Kafka when ``bootstrap`` is given, else a file-backed topic."""
+    out = fn(stream)
+    if bootstrap:
+        w = (out.select("key", "value").writeStream.format("kafka")
+             .option("kafka.bootstrap.servers", bootstrap).option("topic", topic))
+    else:
+        from heliolake.sources.topic import ENVELOPE_SCHEMA
+        cols = [c.split()[0] for c in ENVELOPE_SCHEMA.split(", ")]
+        out = out if "topic" in out.columns else out.withColumn("topic", F.lit(topic))
+        w = out.select(*cols).writeStream.format("parquet").option("path", out_path)
+    w = w.option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()

@@ -102,3 +102,22 @@ def test_fail_policy_and_bounded_run(spark, scratch):
     jobs.bounded_run(read_topic(spark, TOPIC, path=path, stream=True), lambda b, i: got.append(b.count()),
                      os.path.join(scratch, "ck5"), count=10, timeout_s=60)
     assert sum(got) == 10
+
+
+def test_tap_counts_without_collect(spark):
+    from pyspark.sql import Observation
+    obs = Observation("tap")
+    df = spark.range(100).observe(obs, F.count(F.lit(1)).alias("rows"), F.sum("id").alias("total"))
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"rows": 100, "total": 4950}
+    tapped = jobs.tap(spark.range(5), "t")
+    assert tapped.count() == 5
+
+
+def test_apply_defaults_keeps_cluster_settings(spark):
+    from heliolake.session import apply_defaults
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    apply_defaults(spark)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
