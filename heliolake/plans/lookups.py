@@ -15,8 +15,8 @@ SERVED_REGION = "EUROPE"
 
 def _served_locations(spark: SparkSession, root: str) -> DataFrame:
     """Location dimension: the nations of the served region (upper-case ids)."""
-    n = table(spark, root, "nation")
-    r = table(spark, root, "region").filter(F.col("r_name") == SERVED_REGION)
+    n = table(spark, root, "nation", spread=False)          # dimensions: small, no spreading
+    r = table(spark, root, "region", spread=False).filter(F.col("r_name") == SERVED_REGION)
     return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left_semi").select(
         F.upper("n_name").alias("location_id"), "n_nationkey", "n_regionkey")
 
