@@ -18,15 +18,16 @@ from heliolake.sinks.table import KeyedTable, append_batch
 from heliolake.sources.topic import read_topic, write_topic
 from heliolake.streaming import jobs
 
-FILES_PER_TRIGGER = 2
-TOPIC_FILES = 8
+# a micro-batch gets one task per file: 8 files per trigger keep 8 task slots busy
+FILES_PER_TRIGGER = 8
+TOPIC_FILES = 16
 
 
 def produce_topic(spark: SparkSession, root: str, edge: bool = False) -> str:
     """Write the readings topic as a file-backed topic; returns its folder."""
     path = unique_dir(spark, "topic")
     t = readings_topic(spark, root, edge=edge)
-    write_topic(t.repartition(TOPIC_FILES, "partition"), path=path)
+    write_topic(t.repartitionByRange(TOPIC_FILES, "offset"), path=path)
     return path
 
 

@@ -53,12 +53,14 @@ def has_kafka(spark: SparkSession) -> bool:
 
 def read_topic(spark: SparkSession, topic: str, *, bootstrap: str | None = None, path: str | None = None,
                stream: bool = True, starting: str = "earliest", max_per_trigger: int | None = None,
-               include_headers: bool = False) -> DataFrame:
+               include_headers: bool = False, min_partitions: int | None = None) -> DataFrame:
     """Scan a topic from its earliest offset.
 
     With ``bootstrap`` it is Spark's Kafka source (``startingOffsets`` = S2; consumer position
     per query lives in that query's checkpoint = S3). With ``path`` it is a file-backed topic.
     ``max_per_trigger`` caps a micro-batch (T1: ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
+    ``min_partitions`` splits large Kafka partitions over more tasks (a hot partition does not
+    become one task).
     """
     if bootstrap:
         r = spark.readStream if stream else spark.read
@@ -67,6 +69,8 @@ def read_topic(spark: SparkSession, topic: str, *, bootstrap: str | None = None,
              .option("includeHeaders", str(include_headers).lower()))
         if stream and max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", int(max_per_trigger))
+        if min_partitions:
+            r = r.option("minPartitions", int(min_partitions))
         return r.load()
     if not path:
         raise ValueError("give either bootstrap (Kafka) or path (file-backed topic)")
