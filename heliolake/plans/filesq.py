@@ -65,3 +65,28 @@ def file_counts(spark: SparkSession, root: str) -> DataFrame:
 
 
 __all__ = ["SOURCE_FILE"]
+
+
+@register("json_files_source", "S5 S8a S8b S8c S11 S14", oracle="""
+SELECT event_id, event_type, value FROM events
+""")
+def json_files_source(spark: SparkSession, root: str) -> DataFrame:
+    """events -> a folder of JSON files of three kinds (compact arrays, pretty-printed arrays,
+    JSON lines), one file per chunk of at most 64 offsets -> read back through the per-file
+    classification (whole-file array parse or line mode)."""
+    path = unique_dir(spark, "json_files")
+    ev = table(spark, root, "events").select("event_id", "event_type", "value")
+    chunk = F.floor(F.col("event_id") / F.lit(64)).cast("bigint")
+    rec = F.to_json(F.struct("event_id", "event_type", "value"))
+    grouped = (ev.withColumn("chunk", chunk)
+               .groupBy("chunk").agg(F.collect_list(F.struct("event_id", "event_type", "value")).alias("rows"),
+                                     F.collect_list(rec).alias("lines")))
+    text = (F.when(F.pmod(F.col("chunk"), F.lit(3)) == 0, F.to_json("rows"))
+            .when(F.pmod(F.col("chunk"), F.lit(3)) == 1, F.to_json("rows", {"pretty": "true"}))
+            .otherwise(F.concat_ws("\n", "lines")))
+    (grouped.select("chunk", text.alias("value")).repartition("chunk")
+     .write.partitionBy("chunk").text(path))
+    back = read_json(spark, path, extension="txt")
+    schema = "event_id bigint, event_type string, value double"
+    parsed = back.filter(F.col("_reject").isNull()).select(F.from_json("value", schema).alias("r"))
+    return parsed.select("r.*")

@@ -21,7 +21,10 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     """Round-robin repartition only when the scan yields fewer splits than the cluster has
     task slots (e.g. one unsplittable file: one row group = one task). Large inputs already
     have thousands of splits, so nothing changes for them and no shuffle is added."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        spark = df.sparkSession
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave the plan alone
+        return df
     return df.repartition(want) if have < want else df
