@@ -67,6 +67,10 @@ def file_counts(spark: SparkSession, root: str) -> DataFrame:
 __all__ = ["SOURCE_FILE"]
 
 
+# rows per JSON file: bounds each collected array (one chunk = one task-sized group)
+CHUNK_OFFSETS = 1024
+
+
 @register("json_files_source", "S5 S8a S8b S8c S11 S14", oracle="""
 SELECT event_id, event_type, value FROM events
 """)
@@ -76,7 +80,7 @@ def json_files_source(spark: SparkSession, root: str) -> DataFrame:
     classification (whole-file array parse or line mode)."""
     path = unique_dir(spark, "json_files")
     ev = table(spark, root, "events").select("event_id", "event_type", "value")
-    chunk = F.floor(F.col("event_id") / F.lit(64)).cast("bigint")
+    chunk = F.floor(F.col("event_id") / F.lit(CHUNK_OFFSETS)).cast("bigint")
     rec = F.to_json(F.struct("event_id", "event_type", "value"))
     grouped = (ev.withColumn("chunk", chunk)
                .groupBy("chunk").agg(F.collect_list(F.struct("event_id", "event_type", "value")).alias("rows"),

@@ -17,7 +17,10 @@ from heliolake.functions.timefn import timestamp_to_ns
 
 
 def _esc(s: Column, chars: str) -> Column:
-    return F.regexp_replace(s, f"([{chars}])", r"\\$1")
+    """Backslash-escape each of ``chars`` (literal replaces, backslash first; no regex)."""
+    for ch in sorted(chars, key=lambda c: c != "\\"):
+        s = F.replace(s, F.lit(ch), F.lit("\\" + ch))
+    return s
 
 
 def _field_value(c: Column, dtype) -> Column:
@@ -27,7 +30,7 @@ def _field_value(c: Column, dtype) -> Column:
         return c.cast("string")
     if isinstance(dtype, BooleanType):
         return F.when(c, F.lit("true")).otherwise(F.lit("false"))
-    return F.concat(F.lit('"'), _esc(c.cast("string"), r'"\\\\'), F.lit('"'))
+    return F.concat(F.lit('"'), _esc(c.cast("string"), '"\\'), F.lit('"'))
 
 
 def line_protocol(df: DataFrame, measurement, tags: Sequence[str], fields: Sequence[str],
