@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heliolake.functions.text import STRIP_PATTERN
-from heliolake.operators.lookup import lookup, rejects
+from heliolake.operators.lookup import checked_broadcast, lookup, rejects
 from heliolake.plans.registry import register
 from heliolake.sources.files import text_lines
 from heliolake.tables import table
@@ -17,7 +17,7 @@ def _served_locations(spark: SparkSession, root: str) -> DataFrame:
     """Location dimension: the nations of the served region (upper-case ids)."""
     n = table(spark, root, "nation", spread=False)          # dimensions: small, no spreading
     r = table(spark, root, "region", spread=False).filter(F.col("r_name") == SERVED_REGION)
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left_semi").select(
+    return n.join(checked_broadcast(r), n.n_regionkey == r.r_regionkey, "left_semi").select(
         F.upper("n_name").alias("location_id"), "n_nationkey", "n_regionkey")
 
 
