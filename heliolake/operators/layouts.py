@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from heliolake.functions.timefn import event_time, ns_to_timestamp, ms_to_timestamp, iso_utc
+from heliolake.functions.timefn import event_time, ns_to_timestamp, ms_to_timestamp
 from heliolake.operators.codec import Field, REJECT, decode
 
 # ---- fixed values: the canonical reading (18 fields, producer order) -----------------------
@@ -132,6 +132,3 @@ def shape_timeseries(topic: DataFrame, now_fallback: bool = False, keep=()) -> D
     reason = F.coalesce(F.col(REJECT), F.when(t.isNull(), F.lit("missing_timestamp")))
     return d.select(*keep, *SYMBOL_COLUMNS, *ROW_COLUMNS, t.alias("time"), reason.alias(REJECT))
 
-
-def iso_time_column(t) -> object:
-    return iso_utc(t)

@@ -19,7 +19,6 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from heliolake.functions import _col
 
 FUNCTIONS = ("last", "mean")
 

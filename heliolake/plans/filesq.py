@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heliolake.plans.registry import register
 from heliolake.session import unique_dir
-from heliolake.sources.files import SOURCE_FILE, read_csv, read_json, read_text
+from heliolake.sources.files import read_csv, read_json, read_text
 from heliolake.tables import table
 
 
@@ -64,8 +64,6 @@ def file_counts(spark: SparkSession, root: str) -> DataFrame:
     return back.agg(F.count(F.lit(1)).alias("rows_read"))
 
 
-__all__ = ["SOURCE_FILE"]
-
 
 # rows per JSON file: bounds each collected array (one chunk = one task-sized group)
 CHUNK_OFFSETS = 1024

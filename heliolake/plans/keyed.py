@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heliolake.functions.timefn import to_ntz
 from heliolake.operators.latest import key_age_seconds, latest_per_key
 from heliolake.plans.registry import register
 from heliolake.tables import table

@@ -130,9 +130,6 @@ def sheet_rows_sink(path: str, header: bool = True):
     return run
 
 
-def to_json_text(record: dict) -> str:
-    return json.dumps(record)
-
 
 class JsonLinesFileSender:
     """Debug/test transport: append each record as a JSON array line to a file (P4 tap for

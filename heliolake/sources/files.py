@@ -14,7 +14,7 @@ from __future__ import annotations
 from typing import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructField, StructType, StringType
+from pyspark.sql.types import StructType
 
 from heliolake.functions.text import strip
 
@@ -231,3 +231,21 @@ def folder_stats(spark: SparkSession, root: str, extension: str | None = None) -
         reader = reader.option("pathGlobFilter", _glob("", extension).lstrip("/"))
     df = reader.load(root.rstrip("/")).select("length")
     return df.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
+def csv_preview(spark: SparkSession, root: str, n: int = 100, extension: str = "csv") -> tuple[list[str], DataFrame, DataFrame]:
+    """``(header, first n rows of the first CSV file by name, folder stats)``.
+
+    Only the first file is opened for rows; the limit is the feature (a preview). The header
+    comes from that file's first line; counts and sizes come from file metadata only.
+    """
+    stats = folder_stats(spark, root, extension)
+    lines = read_lines(spark, root, extension)
+    if lines is None:
+        return [], spark.createDataFrame([], "value string"), stats
+    first_path = lines.agg(F.min("_path")).first()[0]
+    header = _first_lines(lines.filter(F.col("_path") == first_path)).select("_first").first()[0]
+    cols = [c.strip().strip('"') for c in header.split(",")]
+    rows = (spark.read.option("header", "true").schema(", ".join(f"`{c}` string" for c in cols))
+            .csv(first_path).limit(n))
+    return cols, rows, stats

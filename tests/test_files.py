@@ -74,3 +74,10 @@ def test_folder_stats_and_preview(spark, bucket):
     assert s.files == 6
     df = spark.range(1000)
     assert [r.id for r in FS.preview(df, 3, ["id"]).collect()] == [0, 1, 2]
+
+
+def test_csv_preview(spark, bucket):
+    cols, rows, stats = FS.csv_preview(spark, bucket, n=2)
+    assert cols[:2] == ["timestamp", "hotend_temperature"]          # first file by name: a.csv
+    assert [r.timestamp for r in rows.collect()] == ["t0", "t1"]
+    assert stats.first().files == 2                                  # a.csv and sub/B.CSV
