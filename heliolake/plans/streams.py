@@ -16,6 +16,7 @@ from heliolake.session import unique_dir
 from heliolake.sinks.lines import line_protocol
 from heliolake.sinks.table import KeyedTable, append_batch
 from heliolake.sources.topic import read_topic, write_topic
+from heliolake.tables import table
 from heliolake.streaming import jobs
 
 # a micro-batch gets one task per file: 8 files per trigger keep 8 task slots busy
@@ -31,23 +32,44 @@ def produce_topic(spark: SparkSession, root: str, edge: bool = False) -> str:
     return path
 
 
+ARRIVALS = 2
+
+
+def run_as_arrivals(spark: SparkSession, root: str, build, sink, *, edge: bool = False,
+                    output_mode: str = "append", arrivals: int = ARRIVALS) -> None:
+    """Feed the readings topic to a streaming query the way a live producer does: the topic is
+    appended in ``arrivals`` offset slices, and after each append the same query (same
+    checkpoint) processes what is new. Micro-batches therefore follow arrival order, which a
+    bounded watermark and arrival-order upserts rely on. Only two offsets reach the driver."""
+    topic_path, ckpt = unique_dir(spark, "topic"), unique_dir(spark, "ckpt")
+    t = readings_topic(spark, root, edge=edge)
+    lo, hi = table(spark, root, "events", spread=False).agg(F.min("event_id"), F.max("event_id")).first()
+    span = hi - lo + 1
+    for i in range(arrivals):
+        a, b = lo + span * i // arrivals, lo + span * (i + 1) // arrivals
+        part = t.filter((F.col("offset") >= F.lit(a)) & (F.col("offset") < F.lit(b)))
+        write_topic(part.repartitionByRange(TOPIC_FILES // arrivals, "offset"), path=topic_path)
+        stream = read_topic(spark, TOPIC, path=topic_path, stream=True, max_per_trigger=FILES_PER_TRIGGER)
+        jobs.run_to_end(build(stream), sink, ckpt, output_mode=output_mode)
+
+
 @register("stream_window_mean", "S1 S2 S3 T1 T2 T11 A2 K3", oracle=f"""
 SELECT location_id, _time, _value FROM ({_MEAN_SQL}) WHERE _field = 'power_output'
 """)
 def stream_window_mean(spark: SparkSession, root: str) -> DataFrame:
-    """Hourly mean power per location as a continuous query: watermark + window in update
-    mode, each update upserted into a keyed table (the final state equals the batch result)."""
-    topic_path = produce_topic(spark, root)
-    stream = read_topic(spark, TOPIC, path=topic_path, stream=True, max_per_trigger=FILES_PER_TRIGGER)
-    d = good_rows(decode(stream.withColumn("_broker_ms", F.unix_millis("timestamp")), SERIES_FIELDS,
-                         keep=["offset", "_broker_ms"]))
-    d = d.withColumn("_time", event_time(F.col("timestamp"), F.col("_broker_ms"), "broker"))
-    # lateness covers the whole input span: file order is not event-time order here
-    agg = jobs.windowed(d, "1 hour", "mean", time_col="_time", value_col="power_output",
-                        series=["location_id"], lateness="31 days")
-    table = KeyedTable(unique_dir(spark, "stream_window_mean"), keys=["location_id", "_time"], order=[])
-    jobs.run_to_end(agg, lambda b, i: table.upsert(b, i), unique_dir(spark, "ckpt"), output_mode="update")
-    out = table.read()
+    """Hourly mean power per location as a continuous query: watermark (1 hour lateness, so
+    state stays bounded) + window in update mode; each update is upserted into a keyed table,
+    whose final state equals the batch result."""
+    def build(stream: DataFrame) -> DataFrame:
+        d = good_rows(decode(stream.withColumn("_broker_ms", F.unix_millis("timestamp")), SERIES_FIELDS,
+                             keep=["offset", "_broker_ms"]))
+        d = d.withColumn("_time", event_time(F.col("timestamp"), F.col("_broker_ms"), "broker"))
+        return jobs.windowed(d, "1 hour", "mean", time_col="_time", value_col="power_output",
+                             series=["location_id"], lateness="1 hour")
+
+    table_ = KeyedTable(unique_dir(spark, "stream_window_mean"), keys=["location_id", "_time"], order=[])
+    run_as_arrivals(spark, root, build, lambda b, i: table_.upsert(b, i), output_mode="update")
+    out = table_.read()
     return out.select("location_id", to_ntz("_time").alias("_time"), F.round("_value", 6).alias("_value"))
 
 
@@ -61,16 +83,14 @@ QUALIFY row_number() OVER (PARTITION BY panel_id, timestamp ORDER BY event_id DE
 """)
 def stream_upsert(spark: SparkSession, root: str) -> DataFrame:
     """Relational upsert sink as a stream: decode -> reject side table -> keyed upsert on
-    (panel_id, timestamp), last offset wins; messages without a time share epoch 0."""
-    topic_path = produce_topic(spark, root, edge=True)
-    stream = read_topic(spark, TOPIC, path=topic_path, stream=True, max_per_trigger=FILES_PER_TRIGGER)
-    rows = shape_relational(stream, keep=["partition", "offset"])
-    table = KeyedTable(unique_dir(spark, "stream_upsert"), keys=["panel_id", "timestamp"],
-                       order=["partition", "offset"], batch_wins=False)
+    (panel_id, timestamp); last writer wins in arrival order (later batch, then higher
+    offset); messages without a time share epoch 0."""
+    table_ = KeyedTable(unique_dir(spark, "stream_upsert"), keys=["panel_id", "timestamp"],
+                        order=["partition", "offset"], batch_wins=True)
     rejects_path = unique_dir(spark, "stream_upsert_rejects")
-    sink = jobs.split_rejects(lambda b, i: table.upsert(b, i), lambda b, i: append_batch(b, rejects_path, i))
-    jobs.run_to_end(rows, sink, unique_dir(spark, "ckpt"))
-    out = table.read()
+    sink = jobs.split_rejects(lambda b, i: table_.upsert(b, i), lambda b, i: append_batch(b, rejects_path, i))
+    run_as_arrivals(spark, root, lambda s: shape_relational(s, keep=["partition", "offset"]), sink, edge=True)
+    out = table_.read()
     return out.select("panel_id", to_ntz("timestamp").alias("timestamp"), "power_output", "temperature",
                       "inverter_status")
 
