@@ -164,3 +164,29 @@ def status_and_thresholds(spark: SparkSession, root: str) -> DataFrame:
         map_values(F.col("l.status_value"), STATUS_TEXT).alias("status_text"),
         threshold_colour(F.col("l.status_value"), STATUS_STEPS).alias("status_colour"),
         threshold_colour(F.col("l.power_output"), LEVEL_STEPS).alias("level_colour"))
+
+
+@register("stored_series_last", "A1 A7 P10 P12 O1 O2 K4", oracle=f"""
+SELECT upper(event_type) AS location_id, {_bucket()} AS _time, value AS _value
+FROM events WHERE {_RANGE_SQL} AND value IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY event_type, {_bucket()} ORDER BY ts DESC, event_id DESC) = 1
+""")
+def stored_series_last(spark: SparkSession, root: str) -> DataFrame:
+    """Dashboard over a *stored* series table: readings are written once in long form
+    (_measurement, location_id, _field, _value, _time, offset), partitioned by day and sorted by
+    (field, location, time); the dashboard query then filters field and range on the table, so
+    day partitions and parquet row groups outside them are skipped."""
+    from heliolake.operators.windows import to_series
+    from heliolake.session import unique_dir
+    from heliolake.sinks.table import append_table
+    s = series(spark, root)
+    long = to_series(s, "_time", "solar",
+                     ["power_output", "temperature"], tags=["location_id", "offset"])
+    path = unique_dir(spark, "series")
+    append_table(long, path, time_col="_time", sort_by=["_field", "location_id", "_time"])
+    stored = spark.read.parquet(path)
+    day_lo, day_hi = RANGE_START[:10], RANGE_STOP[:10]
+    q = stored.filter((F.col("event_date") >= F.lit(day_lo).cast("date")) & (F.col("event_date") <= F.lit(day_hi).cast("date"))
+                      & (F.col("_measurement") == "solar") & (F.col("_field") == "power_output"))
+    return aggregate_window(q, EVERY, "last", series=["location_id"], order_col="offset",
+                            start=RANGE_START, stop=RANGE_STOP)
