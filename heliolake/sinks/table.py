@@ -24,21 +24,23 @@ BATCH_COL = "_batch"
 
 
 def append_table(df: DataFrame, path: str, *, time_col: str | None = None, sort_by: Sequence[str] = (),
-                 date_col: str = "event_date", mode: str = "append", num_partitions: int | None = None) -> None:
+                 date_col: str = "event_date", mode: str = "append") -> None:
     """K4 + O1/O2: append rows, partitioned by day of ``time_col`` and sorted by ``sort_by``.
 
-    Range-partitioning on (day, sort key) balances a hot day over many tasks and leaves each
-    output file sorted (min/max statistics make time and key filters skip files).
+    ``rebalance`` by day lets AQE size the write tasks from the measured shuffle: a hot day is
+    split over several tasks and small days are merged, without a sampling pass over the input
+    (range partitioning would compute the whole upstream twice). Files are sorted by
+    (day, sort key), so parquet min/max statistics let time and key filters skip row groups.
     """
     out = df
     parts: list[str] = []
     if time_col:
         out = out.withColumn(date_col, F.to_date(F.col(time_col)))
         parts = [date_col]
+    out = out.hint("rebalance", *parts) if parts else out.hint("rebalance")
     keys = [*parts, *sort_by]
     if keys:
-        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        out = out.sortWithinPartitions(*keys)
     w = out.write.mode(mode)
     if parts:
         w = w.partitionBy(*parts)
