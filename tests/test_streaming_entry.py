@@ -121,3 +121,36 @@ def test_apply_defaults_keeps_cluster_settings(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_watermark_drops_late_rows_append_mode(spark, scratch):
+    """Append mode emits a window once the watermark passes its end; a row older than the
+    watermark arriving later is dropped (bounded state)."""
+    src = os.path.join(scratch, "late_src")
+    schema = "t timestamp, s string, v double"
+
+    def arrive(rows, name):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(os.path.join(src, name))
+
+    import datetime as dt
+    T = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    arrive([(T(0, 10), "a", 1.0), (T(0, 50), "a", 3.0)], "p1")
+    out = []
+
+    def sink(b, i):
+        out.extend((r.s, r._time, r._value) for r in b.collect())
+
+    ck = os.path.join(scratch, "ck_late")
+
+    def run():
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+        agg = jobs.windowed(stream, "1 hour", "mean", time_col="t", value_col="v", series=["s"], lateness="30 minutes")
+        jobs.run_to_end(agg, sink, ck, output_mode="append")
+
+    run()
+    assert out == []                                   # window [00:00, 01:00) still open
+    arrive([(T(2, 0), "a", 5.0)], "p2")                # watermark -> 01:30: first window final
+    run()
+    arrive([(T(0, 20), "a", 100.0)], "p3")             # late for a closed window: dropped
+    run()
+    assert (("a", T(1), 2.0) in out) and all(v != 100.0 for _, _, v in out)
