@@ -24,6 +24,7 @@ REJECT = "_reject"
 PAYLOAD = "_payload"
 _BARRIER = "_parse_task"
 _KEYS = "_payload_keys"
+_OBJECT_END = r"\}\s*$"
 
 
 class _NoDefault:
@@ -95,10 +96,14 @@ def payload_map(value: Column, value_type=None) -> Column:
 
 
 def decode(df: DataFrame, fields: Sequence[Field], value_col: str = "value",
-           keep: Iterable[str] = ()) -> DataFrame:
+           keep: Iterable[str] = (), strict_end: bool = True) -> DataFrame:
     """Decode ``value_col`` into typed columns + ``_reject`` (NULL when the row is good).
 
     ``keep`` lists input columns (e.g. envelope metadata) carried through unchanged.
+    ``strict_end``: Spark's JSON parser stops after the first complete value, so
+    ``{"a":1} junk`` would parse; with this check a text value must end in ``}`` (apart from
+    whitespace) or the row is rejected as ``trailing_content``. Two objects back to back
+    still pass — a documented limit.
     """
     vtype = df.schema[value_col].dataType
     # The parse is the expensive step. A filter on the decoded columns (e.g. ``_reject IS NULL``)
@@ -112,6 +117,8 @@ def decode(df: DataFrame, fields: Sequence[Field], value_col: str = "value",
     out_cols = [F.col(c) for c in keep]
     problems = [F.when(F.col(value_col).isNull(), F.lit("null_value")),
                 F.when(m.isNull(), F.lit("not_a_json_object"))]
+    if strict_end and not isinstance(vtype, (MapType, StructType)):
+        problems.append(F.when(~F.col(value_col).cast("string").rlike(_OBJECT_END), F.lit("trailing_content")))
     for f in fields:
         present = F.array_contains(F.col(_KEYS), F.lit(f.json_key))
         raw = F.try_element_at(m, F.lit(f.json_key))

@@ -188,7 +188,9 @@ def read_json(spark: SparkSession, root: str, *, extension: str | None = "json")
         w = (spark.read.text(whole_paths, wholetext=True)
              .select(F.col("value"), F.col("_metadata.file_path").alias("_path")))
         w = w.join(lines.select("_path", SOURCE_FILE).dropDuplicates(["_path"]), "_path")
-        w = w.withColumn("_v", F.try_parse_json(F.col("value"))).withColumn("_parse_task", F.spark_partition_id())
+        # a whole file must end where its array/object ends (the parser ignores trailing text)
+        parsed = F.when(F.col("value").rlike(r"[\]\}]\s*$"), F.try_parse_json(F.col("value")))
+        w = w.withColumn("_v", parsed).withColumn("_parse_task", F.spark_partition_id())
         w = w.withColumn("_kind", F.when(F.col("_parse_task") >= 0, F.schema_of_variant("_v")))
         arrays = (w.filter(F.col("_kind").startswith("ARRAY"))
                   .select(SOURCE_FILE, F.explode(F.col("_v").cast("array<variant>")).alias("_e")))
@@ -204,7 +206,9 @@ def read_json(spark: SparkSession, root: str, *, extension: str | None = "json")
     line_files = cls.filter(F.col("_mode") == "lines").select("_path")
     if fallback_paths is not None:
         line_files = line_files.unionByName(fallback_paths)
-    lv = (nb.join(line_files, "_path", "left_semi").withColumn("_v", F.try_parse_json(strip(F.col("value"))))
+    line = strip(F.col("value"))
+    lv = (nb.join(line_files, "_path", "left_semi")
+          .withColumn("_v", F.when(line.endswith("}"), F.try_parse_json(line)))   # no trailing text
           .withColumn("_parse_task", F.spark_partition_id()))      # parse once, below later filters
     lrows = lv.select(F.when(F.col("_v").isNotNull(), F.to_json("_v")).alias("value"), SOURCE_FILE,
                       F.when(F.col("_v").isNull(), F.lit("invalid_json_line"))

@@ -48,7 +48,7 @@ def test_reject_reasons(spark):
     assert d[7][REJECT] == "null_value" and d[8][REJECT] == "not_a_json_object"
     assert d[9][REJECT] == "not_a_json_object"
     assert d[5].k_default is None                  # no payload -> no fields, not defaults
-    assert d[11][REJECT] is None and d[11].k_get == 1.0   # trailing text after the object is ignored
+    assert d[11][REJECT] == "trailing_content"          # strict end: text after the object rejects
 
 
 def test_good_and_rejected_split(spark):

@@ -20,7 +20,7 @@ def bucket(scratch):
         "arr_pretty.json": b'[\n  {"a": 10},\n  {"a": 11}\n]\n',
         "obj.json": b'{"o": 1, "source_file": "x"}',
         "obj_pretty.json": b'{\n "o": 2\n}\n',
-        "lines.json": b'{"l":1}\nbad\n\n{"l":2} \n',
+        "lines.json": b'{"l":1}\nbad\n\n{"l":2} \n{"l":9} junk\n',
         "lines_badfirst.json": b'bad first\n{"l":3}\n{"l":4}\n',
         "t1.txt": b"hello  \r\n\n  world\r\n\t\n",
         "bin.txt": b"ok line\n\xff\xfe bad bytes\n",
@@ -53,7 +53,7 @@ def test_json_classification(spark, bucket):
                     ("obj.json", '{"o":1,"source_file":"x"}'), ("obj_pretty.json", '{"o":2}')]
     bad = sorted((f, rej) for f, v, rej in rows if rej is not None)
     assert bad == [("arr.json", "not_an_object"), ("lines.json", "invalid_json_line"),
-                   ("lines_badfirst.json", "invalid_json_line")]
+                   ("lines.json", "invalid_json_line"), ("lines_badfirst.json", "invalid_json_line")]
     merged = FS.read_json(spark, bucket).filter("source_file = 'obj.json'")
     assert merged.select(FS.with_source(merged)).first()[0] == '{"o":1,"source_file":"obj.json"}'
 
