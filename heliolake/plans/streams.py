@@ -16,12 +16,14 @@ from heliolake.session import unique_dir
 from heliolake.sinks.lines import line_protocol
 from heliolake.sinks.table import KeyedTable, append_batch
 from heliolake.sources.topic import read_topic, write_topic
-from heliolake.tables import table
 from heliolake.streaming import jobs
+from heliolake.tables import table
 
 # a micro-batch gets one task per file: 8 files per trigger keep 8 task slots busy
 FILES_PER_TRIGGER = 8
 TOPIC_FILES = 16
+# the topic reaches the streaming queries in this many appends (arrival order)
+ARRIVALS = 2
 
 
 def produce_topic(spark: SparkSession, root: str, edge: bool = False) -> str:
@@ -32,8 +34,6 @@ def produce_topic(spark: SparkSession, root: str, edge: bool = False) -> str:
     return path
 
 
-ARRIVALS = 2
-
 
 def run_as_arrivals(spark: SparkSession, root: str, build, sink, *, edge: bool = False,
                     output_mode: str = "append", arrivals: int = ARRIVALS) -> None:
