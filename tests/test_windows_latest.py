@@ -89,3 +89,15 @@ def test_lookup_case_insensitive_and_rejects(spark):
         validate_keys(probe, dim, "loc", "location_id")
     # a dimension above the bound is not force-broadcast
     assert checked_broadcast(dim, max_rows=2) is dim
+
+
+def test_keyed_table_with_day_partitions(spark, scratch):
+    import os
+    t = KeyedTable(scratch + "/ktd", keys=["id"], order=["off"], partition_by="day")
+    b0 = spark.createDataFrame([(1, 1, "a", "2024-01-01"), (2, 2, "b", "2024-01-02")], "id int, off long, v string, day string")
+    b1 = spark.createDataFrame([(1, 3, "c", "2024-01-01")], "id int, off long, v string, day string")
+    t.upsert(b0, 0)
+    t.upsert(b1, 1)
+    got = sorted((r.id, r.off, r.v, str(r.day)) for r in t.read().collect())
+    assert got == [(1, 3, "c", "2024-01-01"), (2, 2, "b", "2024-01-02")]
+    assert sorted(os.listdir(scratch + "/ktd/_batch=0")) [:2] == ["day=2024-01-01", "day=2024-01-02"]
