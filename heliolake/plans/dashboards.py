@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from heliolake.functions.presentation import LEVEL_STEPS, STATUS_STEPS, STATUS_TEXT, map_values, threshold_colour
 from heliolake.functions.timefn import event_time, to_ntz
 from heliolake.operators.codec import Field, decode, good_rows
-from heliolake.operators.windows import aggregate_window, footer_sum, last_not_null, yield_all
+from heliolake.operators.windows import aggregate_window, footer_sum, last_not_null, time_range
 from heliolake.plans.readings import readings_topic
 from heliolake.plans.registry import register
 
@@ -136,9 +136,19 @@ UNION ALL
 SELECT location_id, _field, _time, _value, 'mean' AS result FROM ({_MEAN_SQL})
 """)
 def multi_yield(spark: SparkSession, root: str) -> DataFrame:
-    last = window_last(spark, root).withColumn("_field", F.lit("power_output"))
-    mean = window_mean(spark, root)
-    return yield_all({"last": last, "mean": mean}).select("location_id", "_field", "_time", "_value", "result")
+    """Two named results of one panel (``last`` power, ``mean`` of two fields) from ONE decode
+    and ONE shuffle: a single aggregation per (location, window) computes all three series,
+    then ``stack`` emits them as named rows; a series whose window holds only NULLs is dropped
+    (createEmpty: false)."""
+    s = time_range(series(spark, root), RANGE_START, RANGE_STOP, "_time")
+    p, t = F.col("power_output"), F.col("temperature")
+    agg = (s.groupBy("location_id", F.window("_time", EVERY).alias("_w"))
+           .agg(F.max_by(p, F.when(p.isNotNull(), F.struct("_time", "offset"))).alias("last_p"),
+                F.round(F.avg(p), 6).alias("mean_p"), F.round(F.avg(t), 6).alias("mean_t")))
+    rows = agg.select("location_id", F.least(F.col("_w.end"), F.lit(RANGE_STOP).cast("timestamp_ntz")).alias("_time"),
+                      F.expr("stack(3, 'power_output', last_p, 'last', 'power_output', mean_p, 'mean', "
+                             "'temperature', mean_t, 'mean') as (_field, _value, result)"))
+    return rows.filter(F.col("_value").isNotNull()).select("location_id", "_field", "_time", "_value", "result")
 
 
 @register("status_and_thresholds", "A4 F19 F31 F32", oracle="""

@@ -29,7 +29,7 @@ IMPL = {
     "P13": "operators.lookup.rejects / validate_keys",
     "J1": "operators.lookup.lookup (checked broadcast)",
     "A1": "windows.aggregate_window('last')", "A2": "windows.aggregate_window('mean')", "A3": "non-null filter + groupBy",
-    "A4": "windows.last_not_null", "A5": "windows.footer_sum", "A6": "windows.yield_all", "A7": "every/start/stop args",
+    "A4": "windows.last_not_null", "A5": "windows.footer_sum", "A6": "windows.yield_all (union of named results); fused stack in multi_yield", "A7": "every/start/stop args",
     "A8": "jobs.tap, folder_stats, StreamingQueryProgress", "W1": "operators.latest.latest_per_key",
     "W2": "operators.latest.key_age_seconds", "O1": "sinks.table.append_table (range sort)",
     "O2": "append_table (day partitions)", "O3": "sources.files.preview (top-k)",
