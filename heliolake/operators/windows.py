@@ -99,3 +99,15 @@ def to_series(df: DataFrame, time_col: str, measurement: str, fields: Sequence[s
     pairs = ", ".join(f"'{f}', `{f}`" for f in fields)
     return df.select(F.lit(measurement).alias("_measurement"), *tags, F.col(time_col).alias("_time"),
                      F.expr(f"stack({len(fields)}, {pairs}) as (_field, _value)"))
+
+
+def relative_range(minutes: float = 15.0, now=None) -> tuple[Column, Column]:
+    """The dashboard's default range ``[now - minutes, now)`` as two timestamp columns.
+
+    ``now`` (a literal or Column) pins the end for replayable runs; by default it is the
+    query's start time (``current_timestamp``, one value for the whole query).
+    """
+    end = (F.lit(now).cast("timestamp") if now is not None and not isinstance(now, Column)
+           else (now if now is not None else F.current_timestamp()))
+    start = end - F.make_interval(mins=F.lit(0), secs=F.lit(float(minutes) * 60.0))
+    return start, end

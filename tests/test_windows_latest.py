@@ -101,3 +101,12 @@ def test_keyed_table_with_day_partitions(spark, scratch):
     got = sorted((r.id, r.off, r.v, str(r.day)) for r in t.read().collect())
     assert got == [(1, 3, "c", "2024-01-01"), (2, 2, "b", "2024-01-02")]
     assert sorted(os.listdir(scratch + "/ktd/_batch=0")) [:2] == ["day=2024-01-01", "day=2024-01-02"]
+
+
+def test_relative_range_last_15_minutes(spark):
+    from heliolake.operators.windows import relative_range
+    df = spark.createDataFrame([("2024-01-01 09:44:59",), ("2024-01-01 09:45:00",), ("2024-01-01 09:59:59",),
+                                ("2024-01-01 10:00:00",)], "t string").select(F.col("t").cast("timestamp").alias("t"))
+    start, stop = relative_range(15, now="2024-01-01 10:00:00")
+    kept = [str(r.t) for r in time_range(df, start, stop, "t").collect()]
+    assert kept == ["2024-01-01 09:45:00", "2024-01-01 09:59:59"]
