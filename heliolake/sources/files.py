@@ -253,3 +253,34 @@ def csv_preview(spark: SparkSession, root: str, n: int = 100, extension: str = "
     rows = (spark.read.option("header", "true").schema(", ".join(f"`{c}` string" for c in cols))
             .csv(first_path).limit(n))
     return cols, rows, stats
+
+
+# ---- fixed values: the printer-temperature CSV layout and its defaults for absent columns ----
+PRINTER_COLUMNS = {
+    "timestamp": ("string", ""),
+    "hotend_temperature": ("double", 0.0),
+    "bed_temperature": ("double", 0.0),
+    "ambient_temperature": ("double", 0.0),
+    "fluctuated_ambient_temperature": ("double", 0.0),
+}
+# ---------------------------------------------------------------------------------------------
+
+
+def read_folder(spark: SparkSession, root: str, file_format: str = "none", *,
+                columns: Mapping[str, tuple[str, object]] | None = None,
+                max_rows: int | None = None) -> DataFrame:
+    """S5–S14 as one source: dispatch on the configured format like the bucket source does.
+
+    ``csv`` -> :func:`read_csv` (``columns``, default the printer layout); ``json`` ->
+    :func:`read_json`; any other extension -> :func:`read_text` on files with that extension;
+    ``none`` -> every file read as text. Rows carry ``source_file``; rejected rows keep their
+    reason. ``max_rows`` (S12) caps the rows returned — no cap by default.
+    """
+    fmt = (file_format or "none").lower().lstrip(".")
+    if fmt == "csv":
+        df = read_csv(spark, root, columns or PRINTER_COLUMNS)
+    elif fmt == "json":
+        df = read_json(spark, root)
+    else:
+        df = read_text(spark, root, None if fmt == "none" else fmt)
+    return df.limit(max_rows) if max_rows is not None else df

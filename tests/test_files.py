@@ -81,3 +81,12 @@ def test_csv_preview(spark, bucket):
     assert cols[:2] == ["timestamp", "hotend_temperature"]          # first file by name: a.csv
     assert [r.timestamp for r in rows.collect()] == ["t0", "t1"]
     assert stats.first().files == 2                                  # a.csv and sub/B.CSV
+
+
+def test_read_folder_dispatch_and_cap(spark, bucket):
+    assert FS.read_folder(spark, bucket, "csv").count() == 6
+    assert FS.read_folder(spark, bucket, "JSON").filter("_reject IS NULL").count() == 10
+    assert sorted(r.content for r in FS.read_folder(spark, bucket, "txt").collect()) == ["hello", "world"]
+    assert FS.read_folder(spark, bucket, "csv", max_rows=2).count() == 2
+    everything = FS.read_folder(spark, bucket, "none")          # every file as text lines
+    assert everything.filter("source_file = 'a.csv'").count() == 5

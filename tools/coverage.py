@@ -14,11 +14,11 @@ from heliolake.plans.catalog import QUERIES  # noqa: E402
 IMPL = {
     "S1": "sources.topic.read_topic / as_topic", "S2": "read_topic(starting='earliest')",
     "S3": "streaming.jobs.start (one checkpoint per consumer)", "S4": "sources.topic.key_string, layouts.broker_columns",
-    "S5": "sources.files.read_lines (recursive folder)", "S6": "sources.files._glob / pathGlobFilter",
+    "S5": "sources.files.read_lines (recursive folder)", "S6": "sources.files.read_folder(file_format) / pathGlobFilter",
     "S7": "sources.files.read_csv", "S8a": "sources.files.read_json (array)", "S8b": "sources.files.read_json (object)",
     "S8c": "sources.files.read_json (JSON lines)", "S9": "sources.files.read_text / text_lines",
     "S10": "read_text(skip_binary) via is_valid_utf8", "S11": "source_file column (_metadata.file_path)",
-    "S12": "sources.files.preview (optional cap)", "S13": "sources.files.preview / folder_stats",
+    "S12": "sources.files.read_folder(max_rows) / preview (optional cap)", "S13": "sources.files.preview / folder_stats",
     "S14": "read_lines: empty -> no rows, missing -> MissingSource", "S16": "streaming.jobs.bounded_run",
     "E1": "operators.codec.encode", "E2": "operators.codec.payload_map / decode", "E3": "decode _reject",
     "E4": "operators.layouts.broker_columns", "E5": "layouts.shape_sheet stream_id", "E6": "read_topic(include_headers)",
