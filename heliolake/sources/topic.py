@@ -20,13 +20,15 @@ HEADERS_TYPE = "array<struct<key:string,value:binary>>"
 
 
 def as_topic(df: DataFrame, *, key, value: Column, topic: str, partition=None,
-             offset=None, timestamp=None) -> DataFrame:
+             offset=None, timestamp=None, headers: Column | None = None) -> DataFrame:
     """Shape any table as topic messages (U1/K1 producer side).
 
     ``key`` (S4 string key) is stored UTF-8 encoded; ``partition``/``offset``/``timestamp`` are
-    column expressions (broker metadata); ``value`` is the encoded payload (see ``codec.encode``).
+    column expressions (broker metadata); ``value`` is the encoded payload (see ``codec.encode``);
+    ``headers`` (E6) is an optional ``array<struct<key:string,value:binary>>``.
     """
     k = _col(key)
+    extra = [headers.cast(HEADERS_TYPE).alias("headers")] if headers is not None else []
     return df.select(
         F.when(k.isNull(), F.lit(None).cast("binary")).otherwise(F.encode(k.cast("string"), "UTF-8")).alias("key"),
         value.cast("string").alias("value"),
@@ -35,6 +37,7 @@ def as_topic(df: DataFrame, *, key, value: Column, topic: str, partition=None,
         (_col(offset) if offset is not None else F.monotonically_increasing_id()).cast("bigint").alias("offset"),
         (_col(timestamp).cast("timestamp") if timestamp is not None else F.current_timestamp()).alias("timestamp"),
         F.lit(0).alias("timestampType"),
+        *extra,
     )
 
 
@@ -74,13 +77,14 @@ def read_topic(spark: SparkSession, topic: str, *, bootstrap: str | None = None,
         return r.load()
     if not path:
         raise ValueError("give either bootstrap (Kafka) or path (file-backed topic)")
+    schema = ENVELOPE_SCHEMA + (f", headers {HEADERS_TYPE}" if include_headers else "")
     if stream:
-        r = spark.readStream.schema(ENVELOPE_SCHEMA)
+        r = spark.readStream.schema(schema)
         if max_per_trigger:
             r = r.option("maxFilesPerTrigger", int(max_per_trigger))
         df = r.parquet(path)
     else:
-        df = spark.read.schema(ENVELOPE_SCHEMA).parquet(path)
+        df = spark.read.schema(schema).parquet(path)
     return df.filter(F.col("topic") == F.lit(topic))
 
 
@@ -96,4 +100,5 @@ def write_topic(df: DataFrame, *, bootstrap: str | None = None, path: str | None
         w.save()
         return
     out = df if "topic" in df.columns else df.withColumn("topic", F.lit(topic))
-    out.select(*[c.split()[0] for c in ENVELOPE_SCHEMA.split(", ")]).write.mode(mode).parquet(path)
+    cols = [c.split()[0] for c in ENVELOPE_SCHEMA.split(", ")] + (["headers"] if "headers" in out.columns else [])
+    out.select(*cols).write.mode(mode).parquet(path)

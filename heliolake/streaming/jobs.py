@@ -120,7 +120,7 @@ def transform_topic(stream: DataFrame, fn: Callable[[DataFrame], DataFrame], *,
              .option("kafka.bootstrap.servers", bootstrap).option("topic", topic))
     else:
         from heliolake.sources.topic import ENVELOPE_SCHEMA
-        cols = [c.split()[0] for c in ENVELOPE_SCHEMA.split(", ")]
+        cols = [c.split()[0] for c in ENVELOPE_SCHEMA.split(", ")] + (["headers"] if "headers" in out.columns else [])
         out = out if "topic" in out.columns else out.withColumn("topic", F.lit(topic))
         w = out.select(*cols).writeStream.format("parquet").option("path", out_path)
     w = w.option("checkpointLocation", checkpoint)

@@ -154,3 +154,16 @@ def test_watermark_drops_late_rows_append_mode(spark, scratch):
     arrive([(T(0, 20), "a", 100.0)], "p3")             # late for a closed window: dropped
     run()
     assert (("a", T(1), 2.0) in out) and all(v != 100.0 for _, _, v in out)
+
+
+def test_headers_on_file_backed_topic(spark, scratch):
+    """Message headers travel with a file-backed topic and are visible to a transform."""
+    path = os.path.join(scratch, "hdr_topic")
+    from heliolake.sources.topic import as_topic
+    src = spark.createDataFrame([("PARIS", '{"a":1}', 1)], "k string, v string, o long")
+    hdr = F.array(F.struct(F.lit("trace").alias("key"), F.encode(F.lit("t-1"), "UTF-8").alias("value")))
+    write_topic(as_topic(src, key=F.col("k"), value=F.col("v"), topic="t", offset=F.col("o"), headers=hdr), path=path)
+    back = read_topic(spark, "t", path=path, stream=False, include_headers=True)
+    r = back.select(F.col("headers")[0]["key"].alias("hk"), F.col("headers")[0]["value"].cast("string").alias("hv")).first()
+    assert (r.hk, r.hv) == ("trace", "t-1")
+    assert "headers" not in read_topic(spark, "t", path=path, stream=False).columns

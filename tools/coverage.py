@@ -21,7 +21,7 @@ IMPL = {
     "S12": "sources.files.read_folder(max_rows) / preview (optional cap)", "S13": "sources.files.preview / folder_stats",
     "S14": "read_lines: empty -> no rows, missing -> MissingSource", "S16": "streaming.jobs.bounded_run",
     "E1": "operators.codec.encode", "E2": "operators.codec.payload_map / decode", "E3": "decode _reject",
-    "E4": "operators.layouts.broker_columns", "E5": "layouts.shape_sheet stream_id", "E6": "read_topic(include_headers)",
+    "E4": "operators.layouts.broker_columns", "E5": "layouts.shape_sheet stream_id", "E6": "as_topic(headers) / read_topic(include_headers) / transform_topic keeps headers",
     "P1": "DataFrame.transform / select", "P2": "DataFrame.filter", "P3": "select over envelope columns",
     "P4": "streaming.jobs.tap (observe)", "P5": "operators.layouts.shape_*", "P6": "Field(lookup='default')",
     "P7": "Field(lookup='get')", "P8": "Field(lookup='falsy')", "P9": "codec._typed (try_cast) + bad_<field>",
@@ -49,7 +49,7 @@ IMPL = {
 TESTS = {
     "S8a": "tests/test_files.py::test_json_classification", "S8b": "tests/test_files.py::test_json_classification",
     "S14": "tests/test_files.py::test_empty_and_missing", "S16": "tests/test_streaming_entry.py::test_fail_policy_and_bounded_run",
-    "E6": "Kafka only (no connector on this image)", "F7": "tests/test_functions.py (on_missing='now' is opt-in)",
+    "E6": "tests/test_streaming_entry.py::test_headers_on_file_backed_topic", "F7": "tests/test_functions.py (on_missing='now' is opt-in)",
     "T3": "tests/test_delivery_sinks.py::test_retry_*", "T4": "tests/test_delivery_sinks.py::test_backpressure_and_rate_text",
     "T5": "tests/test_delivery_sinks.py::test_backpressure_and_rate_text",
     "T6": "tests/test_streaming_entry.py::test_fail_policy_and_bounded_run",
