@@ -48,7 +48,9 @@ def aggregate_window(df: DataFrame, every: str, fn: str = "last", *, time_col: s
                      out_time: str = "_time", out_value: str = "_value") -> DataFrame:
     """Tumbling-window ``last`` or ``mean`` per series.
 
-    ``order_col`` breaks ties among equal times for ``last`` (e.g. the message offset).
+    ``order_col`` breaks ties among equal times for ``last`` (e.g. the message offset); it
+    makes the ordering a struct, which plans as a SortAggregate. Without it (series whose times
+    are unique) ``last`` is a HashAggregate.
     """
     if fn not in FUNCTIONS:
         raise ValueError(f"fn must be one of {FUNCTIONS}")
