@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from heliolake.llm import mixing, sharding
+from heliolake.llm import mixing, packing, pii, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
+    "op2_secret_ownership": secrets.op2_secret_ownership,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_disguised_pii": pii.op4_disguised_pii,
     "op8_mix_sources": mixing.op8_mix_sources,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {
