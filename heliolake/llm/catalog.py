@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from heliolake.llm import mixing, packing, pii, secrets, sharding, toxicity
+from heliolake.llm import fingerprints, mixing, packing, pii, search, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
     "op2_secret_ownership": secrets.op2_secret_ownership,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_disguised_pii": pii.op4_disguised_pii,
+    "op6_exact_top_k": search.op6_exact_top_k,
+    "op7_merkle_fingerprints": fingerprints.op7_merkle_fingerprints,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {
+    "op6_exact_top_k": search.OP6_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
 }
