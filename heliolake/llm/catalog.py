@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from heliolake.llm import fingerprints, mixing, packing, pii, search, secrets, sharding, toxicity
+from heliolake.llm import fingerprints, mixing, packing, pii, search, secrets, sharding, substrings, toxicity
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
     "op2_secret_ownership": secrets.op2_secret_ownership,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_disguised_pii": pii.op4_disguised_pii,
+    "op5_repeated_windows": substrings.op5_repeated_windows,
     "op6_exact_top_k": search.op6_exact_top_k,
     "op7_merkle_fingerprints": fingerprints.op7_merkle_fingerprints,
     "op8_mix_sources": mixing.op8_mix_sources,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op5_repeated_windows": substrings.OP5_SQL,
     "op6_exact_top_k": search.OP6_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
 }
