@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from heliolake.llm import fingerprints, mixing, packing, pii, search, secrets, sharding, substrings, toxicity
+from heliolake.llm import fingerprints, mixing, ngram_join, packing, pii, search, secrets, sharding, substrings, toxicity
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_exact_top_k": search.op6_exact_top_k,
     "op7_merkle_fingerprints": fingerprints.op7_merkle_fingerprints,
     "op8_mix_sources": mixing.op8_mix_sources,
+    "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
@@ -20,4 +21,5 @@ ORACLE_SQL = {
     "op5_repeated_windows": substrings.OP5_SQL,
     "op6_exact_top_k": search.OP6_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
+    "op9_ngram_join": ngram_join.OP9_SQL,
 }

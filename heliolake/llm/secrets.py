@@ -54,8 +54,11 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) if n else 0.0
 
 
-def base_spans(text: str) -> list[tuple[str, int, int, str]]:
-    """``(kind, start, end, value)``; runs of 20 / 24 are matched whole, so no shorter match can hide one."""
+Found = tuple[str, int, int, str]
+
+
+def base_spans(text: str) -> list[Found]:
+    """``(kind, start, end, value)``; the value is what the span ends with; runs of 20 / 24 are matched whole, so no shorter match can hide one."""
     out = []
     low = text.lower()
     if any(k in low for k in KEYWORDS):
@@ -65,7 +68,7 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return out
 
 
-def further_spans(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
+def further_spans(text: str, base: list[Found]) -> list[Found]:
     found = [("url", m.start(1), m.end(1), m[1]) for m in URL.finditer(text)] if "://" in text else []
     if HAS_DIGIT.search(text):
         for m in OPAQUE.finditer(text):
@@ -75,10 +78,10 @@ def further_spans(text: str, base: list[tuple[str, int, int, str]]) -> list[tupl
     return [x for x in found if not any(x[1] < b[2] and b[1] < x[2] for b in base)]
 
 
-SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("hash", pa.string()),
+SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value_start", pa.int64()), ("hash", pa.string()),
                   ("entropy", pa.float64()), ("placeholder", pa.bool_())])
-SCAN_SCHEMA = ("doc_id long, owner string, base_sha256 string, n_assign long, n_access long, n_hex long, "
-               "found array<struct<kind:string,start:long,end:long,hash:string,entropy:double,placeholder:boolean>>")
+SCAN_SCHEMA = ("doc_id long, owner string, text_hash string, base_sha256 string, n_assign long, n_access long, n_hex long, "
+               "found array<struct<kind:string,start:long,end:long,value_start:long,hash:string,entropy:double,placeholder:boolean>>")
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,13 +93,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = Counter(k for k, *_ in base)
             counts.append([n[k] for k in BASE_KINDS])
             digests.append(digest([x[:3] for x in base], ORDER))
-            found.append([{"kind": k, "start": a, "end": b, "hash": hashlib.sha256(v.encode()).hexdigest()[:32],
+            found.append([{"kind": k, "start": a, "end": b, "value_start": b - len(v), "hash": hashlib.sha256(v.encode()).hexdigest()[:32],
                            "entropy": entropy(v), "placeholder": any(p in v.lower() for p in PLACEHOLDERS)}
                           for k, a, b, v in base + further_spans(t, base)])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("owner"), pa.array(digests, pa.string()),
+            [batch.column("doc_id"), batch.column("owner"), batch.column("text_hash"), pa.array(digests, pa.string()),
              *[pa.array([c[i] for c in counts], pa.int64()) for i in range(3)], pa.array(found, pa.list_(SPAN))],
-            names=["doc_id", "owner", "base_sha256", "n_assign", "n_access", "n_hex", "found"])
+            names=["doc_id", "owner", "text_hash", "base_sha256", "n_assign", "n_access", "n_hex", "found"])
 
 
 def ownership(candidates: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFrame:
@@ -120,12 +123,12 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     short_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(owner_col).cast("string").alias("owner"),
-                       text_or_empty(text_col).alias("text"))
+                       F.md5(text_or_empty(text_col)).alias("text_hash"), text_or_empty(text_col).alias("text"))
     scanned = stored(rows.mapInArrow(_scan, SCAN_SCHEMA).withColumn("row", F.monotonically_increasing_id()), "secret-spans")
     each = scanned.where(F.size("found") > 0).select("row", "doc_id", "owner", F.explode("found").alias("f")).select("row", "doc_id", "owner", "f.*")
     verdicts = ownership(each.withColumnRenamed("doc_id", "repo"), copied_owners).select("hash", "owners", "repos", "verdict")
     judged = each.join(verdicts, "hash").where(F.col("kind").isin(*BASE_KINDS) | (F.col("verdict") == "live"))
-    spans = judged.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end", "verdict", "owners", "repos")).alias("found"))
+    spans = judged.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end", "value_start", "verdict", "owners", "repos")).alias("found"))
     counted = scanned.drop("found").join(spans, "row", "left").withColumn(
         "found", F.coalesce("found", F.array().cast(spans.schema["found"].dataType)))
     return counted.drop("row", "owner")
@@ -144,3 +147,18 @@ def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = lambda v: F.size(F.filter("found", lambda f: f["verdict"] == v)).cast("long")
     return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", span_text(F.col("found")).alias("spans"),
                       verdict("live").alias("n_live"), verdict("example").alias("n_example"))
+
+
+def live_secrets_masked(docs: DataFrame) -> DataFrame:
+    """``docs`` with the values of live-looking credentials replaced by as many asterisks; nothing else changes.
+
+    The places depend on a text alone, so they are joined by its hash and equal texts are masked alike.
+    """
+    live = (secret_scan(docs).select("text_hash", F.explode("found").alias("f")).where("f.verdict = 'live'")
+            .groupBy("text_hash").agg(F.collect_set(F.struct(F.col("f.value_start").alias("a"), (F.col("f.end") - F.col("f.value_start")).alias("n"))).alias("_mask")))
+    rows = docs.select(F.struct("*").alias("_doc")).withColumn("_hash", F.md5(F.coalesce("_doc.text", F.lit(""))))
+    joined = rows.join(live, F.col("_hash") == F.col("text_hash"), "left")
+    masked = F.aggregate("_mask", F.col("_doc.text"), lambda t, m: F.overlay(t, F.repeat(F.lit("*"), m["n"].cast("int")),
+                                                                            (m["a"] + 1).cast("int"), m["n"].cast("int")))
+    text = F.when(F.col("_mask").isNull(), F.col("_doc.text")).otherwise(masked)
+    return joined.select(F.col("_doc").withField("text", text).alias("_doc")).select("_doc.*")

@@ -295,6 +295,17 @@ def toxicity(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) ->
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def without_toxic(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    short_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [score(t.as_py() or "", grammar) < threshold for t in batch.column(text_col)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10: the grammar learned from ``labels`` outside the held-out third scores all ``documents``."""
     docs = table(spark, sf_dir, "documents")
