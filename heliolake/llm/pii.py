@@ -150,9 +150,14 @@ def glyphs(text: str) -> Rewritten:
     return Rewritten(text.translate(GLYPHS), [(m.start(), m.end(), "") for m in INVISIBLE.finditer(text)])
 
 
+# fixed values: last labels that an address without brackets must end in
+LAST_LABELS = ("com", "org", "net", "edu", "gov", "info", "biz", "io", "co", "dev", "app", "me", "eu", "uk", "de", "fr", "es", "it", "nl", "ch", "at",
+               "pl", "se", "no", "dk", "fi", "pt", "us", "ca", "au", "nz", "in", "jp", "cn", "kr", "br", "mx", "ru")
+
 _DOT = r"(?:\s{0,3}[\[({<]\s{0,3}dot\s{0,3}[\])}>]\s{0,3}|\s{1,3}dot\s{1,3})"
 DISGUISE = re.compile(
-    r"(?P<at>\s{0,3}[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]\s{0,3}|(?<=[A-Za-z0-9])\s{1,3}at\s{1,3}(?=[A-Za-z0-9-]{1,63}" + _DOT + r"[A-Za-z0-9]))"
+    r"(?P<at>\s{0,3}[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]\s{0,3}|(?<=[A-Za-z0-9])\s{1,3}at\s{1,3}(?=(?:[A-Za-z0-9-]{1,63}" + _DOT + r"){1,5}(?:"
+    + "|".join(LAST_LABELS) + r")\b))"
     r"|(?P<dot>(?<=[A-Za-z0-9])" + _DOT + r"(?=[A-Za-z0-9]))", re.I)
 DISGUISED = re.compile(r"\bdot\b|[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]", re.I)
 

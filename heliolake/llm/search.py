@@ -118,12 +118,12 @@ def _searcher(k: int):
     def run(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(vectors) and len(queries):
-            x, q = _matrix(vectors["v"]), _matrix(queries["v"])
+            x, q = _matrix(vectors["v"]), _matrix(queries["qv"])
             width = max(x.shape[1], q.shape[1])
             x, q = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (x, q))
             rows, ids = vectors["row"].to_numpy(), vectors["vec_id"].to_numpy()
-            found = BallTree(x).search(q, queries["row"].to_numpy(), rows, ids, queries["kth"].fillna(-np.inf).to_numpy(float), k)
-            for (row, qid), hits in zip(zip(queries["row"], queries["vec_id"]), found):
+            found = BallTree(x).search(q, queries["query_row"].to_numpy(), rows, ids, queries["kth"].fillna(-np.inf).to_numpy(float), k)
+            for (row, qid), hits in zip(zip(queries["query_row"], queries["query_id"]), found):
                 out += [(row, qid, int(rows[p]), int(ids[p]), s) for s, p in hits]
         return pd.DataFrame(out, columns=["query_row", "query_id", "row", "vec_id", "score"]).astype("int64")
     return run
@@ -150,20 +150,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard_rows: int =
     blocks = max(1, -(-queries.count() // query_block))
     hashed = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     dealt = vectors.withColumn("shard", hashed(shards))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int"))
+    # new names for the queries' columns, since both sides of a cogroup may come from one table
+    asked = queries.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("v").alias("qv"),
+                           F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int").alias("qblock"))
     schema = "query_row long, query_id long, row long, vec_id long, score long"
 
     def search(data: DataFrame, asks: DataFrame, first: int, last: int) -> DataFrame:
         """Every shard from ``first`` to ``last`` against every block: both sides copied once per partner."""
         left = data.where(F.col("shard").between(first, last)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        right = asks.withColumn("shard", F.explode(F.sequence(F.lit(first), F.lit(last))))
-        return left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(_searcher(k), schema)
+        right = asks.withColumn("qshard", F.explode(F.sequence(F.lit(first), F.lit(last))))
+        return left.groupBy("shard", "block").cogroup(right.groupBy("qshard", "qblock")).applyInPandas(_searcher(k), schema)
 
     opening = stored(search(dealt, asked.withColumn("kth", F.lit(None).cast("double")), 0, 0), "search-opening")
     kth = opening.groupBy("query_row").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("kth")).where(F.col("n") == k)
     hits = opening
     if shards > 1:
-        informed = asked.join(kth.select(F.col("query_row").alias("row"), "kth"), "row", "left")
+        informed = asked.join(kth.select("query_row", "kth"), "query_row", "left")
         hits = opening.unionByName(search(dealt, informed, 1, shards - 1))
     return _best(hits, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
