@@ -8,12 +8,12 @@ a token. Three orders are used:
   index over these prefixes yields the candidates; frequent passages stay out of it unless a set
   consists of little else;
 * orders 2 and 3 go by two other hashes. A candidate pair must also share a prefix token under each of them,
-  besides fitting in size; only then are the whole sets compared.
+  besides fitting in size; only then are whole sets moved and compared.
 
-Equal sets are one node from the start. Candidates are taken in two steps, so that a group of near
-copies does not become all its pairs: first every set with the smallest set of each shared token (a star), verified and
-merged to components; then the remaining pairs of an index entry whose sets are in different components.
-Pairs in one component already cannot change the result. No group is capped, sampled or gathered.
+Equal sets are one node from the start. An index entry with up to ``SHORT`` sets gives all its pairs. A longer one
+(its sets are frequent tokens mostly, as in a large group of near copies) gives them in two steps: first every
+set with the entry's smallest, verified and merged to components; then only pairs of sets that are still in
+different components, since a pair inside a component cannot change the result. No group is capped, sampled or gathered.
 
 Node ids are 64-bit hashes of whole sets (two different sets of a corpus of N share one with probability N^2 / 2^65).
 
@@ -40,6 +40,8 @@ NGRAM = 5
 PERCENT = 80
 #: Sets that hold a token before it counts as frequent, besides the sketch's own load.
 FREQUENT = 48
+#: Sets of an index entry up to which all its pairs are candidates at once.
+SHORT = 64
 _ORDER2, _ORDER3 = U(0x2545F4914F6CDD1D), U(0x6A09E667F3BCC909)
 
 
@@ -67,9 +69,6 @@ def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
             yield first + i, token_set(words[a:b], n)
 
 
-#: Only tokens in the lower half of the hash order can be called frequent: prefixes hardly reach beyond it.
-HALF = U(1 << 63)
-
 NODE_SCHEMA = "doc_id long, text_hash string, n long, node long, " + sketch.SCHEMA
 
 
@@ -88,7 +87,7 @@ def _nodes_and_counts(n: int, log2: int):
             for _, tokens in _sets(batch, n):
                 sizes.append(len(tokens))
                 nodes.append(node_id(tokens) if len(tokens) else None)
-                more += counter.add(tokens[:np.searchsorted(tokens, HALF)])
+                more += counter.add(tokens)
             k = len(sizes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())],
@@ -102,11 +101,12 @@ def _nodes_and_counts(n: int, log2: int):
 def ordered_prefix(tokens: np.ndarray, frequent: sketch.Bitmap, percent: int) -> np.ndarray:
     """Prefix under order 1: tokens that are not frequent, by hash, then the frequent ones, by hash."""
     p = prefix_size(len(tokens), percent)
-    low = tokens[:np.searchsorted(tokens, HALF)]
-    rare = np.ones(len(tokens), bool)
-    rare[:len(low)] = ~frequent.holds(low)
-    first = tokens[rare][:p]
-    return first if len(first) == p else np.concatenate((first, tokens[~rare][:p - len(first)]))
+    seen, first = 0, np.empty(0, U)
+    while len(first) < p and seen < len(tokens):       # few tokens beyond the prefix are looked up, as a rule
+        part = tokens[seen:seen + max(2 * p, 64)]
+        first = np.concatenate((first, part[~frequent.holds(part)]))
+        seen += len(part)
+    return first[:p] if len(first) >= p else np.concatenate((first, tokens[frequent.holds(tokens)][:p - len(first)]))
 
 
 def hashed_prefix(tokens: np.ndarray, order: U, percent: int) -> np.ndarray:
@@ -117,6 +117,7 @@ def hashed_prefix(tokens: np.ndarray, order: U, percent: int) -> np.ndarray:
 
 
 def _index_rows(frequent, n: int, percent: int):
+    """``(token, node)`` for the prefix tokens under order 1."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens, nodes = [np.empty(0, U)], [np.empty(0, np.int64)]
@@ -129,38 +130,71 @@ def _index_rows(frequent, n: int, percent: int):
     return run
 
 
-SET_SCHEMA = "node long, n int, p2 array<long>, p3 array<long>, tokens array<long>"
+def _longs(arrays) -> pa.Array:
+    return pa.array([x.view(np.int64) for x in arrays], pa.list_(pa.int64()))
+
+
+PREFIX_SCHEMA = "node long, n int, p1 array<long>, p2 array<long>, p3 array<long>"
 
 
-def _candidate_sets(wanted, n: int, percent: int):
-    """The sets of nodes that the index paired (and a few others that the bitmap lets through)."""
+def _prefixes(frequent, shared, n: int, percent: int):
+    """Sets that hold shared prefix tokens: those tokens, and the prefixes under orders 2 and 3."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, seen = [], set()
+            for _, s in _sets(batch, n):
+                if len(s):
+                    p = ordered_prefix(s, frequent.value, percent)
+                    p = p[shared.value.holds(p)]
+                    if len(p) and (k := node_id(s)) not in seen:
+                        seen.add(k)
+                        found.append((k, len(s), p, hashed_prefix(s, _ORDER2, percent), hashed_prefix(s, _ORDER3, percent)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()), *[_longs(f[i] for f in found) for i in (2, 3, 4)]],
+                names=["node", "n", "p1", "p2", "p3"])
+    return run
+
+
+SET_SCHEMA = "node long, tokens array<long>"
+
+
+def _whole_sets(wanted, n: int):
+    """The whole sets of the nodes in pairs that passed the filters (and of few others that the bitmap lets through)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        longs = lambda xs: pa.array([x.view(np.int64) for x in xs], pa.list_(pa.int64()))
         for batch in batches:
             found, seen = [], set()
             for _, s in _sets(batch, n):
                 if len(s) and (k := node_id(s)) not in seen and np.int64(k).astype(U) in wanted.value:
                     seen.add(k)
                     found.append((k, s))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in found], pa.int64()), pa.array([len(s) for _, s in found], pa.int32()),
-                 longs(hashed_prefix(s, _ORDER2, percent) for _, s in found), longs(hashed_prefix(s, _ORDER3, percent) for _, s in found),
-                 longs(s for _, s in found)], names=["node", "n", "p2", "p3", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), _longs(s for _, s in found)], names=["node", "tokens"])
     return run
 
 
-def _node_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    yield batch.column("node").to_numpy().view(U)
+def _longs_of(column: str):
+    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield batch.column(column).to_numpy().view(U)
+    return hashes
+
+
+def members_bitmap(df: DataFrame, column: str):
+    """A broadcast bitmap that holds all values of ``column`` (and lets few others through)."""
+    values = stored(df.select(column).distinct(), "ngram-members")
+    log2 = sketch.width(values.count())
+    return sketch.merged(df.sparkSession, sketch.sketch(values, _longs_of(column), log2, 2), log2, 2, 1)
+
+
+def filtered(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` that share a prefix token under orders 2 and 3 as well."""
+    side = lambda x: prefixes.select(F.col("node").alias(x), F.col("p2").alias(f"p2{x}"), F.col("p3").alias(f"p3{x}"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
+            .where(F.arrays_overlap("p2a", "p2b") & F.arrays_overlap("p3a", "p3b")).select("a", "b"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that share prefix tokens under orders 2 and 3, fit in size, and reach the similarity."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("p2").alias(f"p2{x}"), F.col("p3").alias(f"p3{x}"))
-    near = (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-                   & F.arrays_overlap("p2a", "p2b") & F.arrays_overlap("p3a", "p3b")).select("a", "b"))
+    """The pairs ``(a, b)`` whose whole sets reach the similarity."""
     whole = lambda x: sets.select(F.col("node").alias(x), F.col("tokens").alias(f"t{x}"))
-    both = near.join(whole("a"), "a").join(whole("b"), "b")
+    both = pairs.join(whole("a"), "a").join(whole("b"), "b")
     common = F.size(F.array_intersect("ta", "tb"))
     return both.where(common * 100 >= (F.size("ta") + F.size("tb") - common) * percent).select("a", "b")
 
@@ -175,34 +209,46 @@ def labelled_sets(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, i
     log2 = min(sketch.width(words, 1), 25)
     first = stored(rows.mapInArrow(_nodes_and_counts(ngram, log2), NODE_SCHEMA), "ngram-nodes")
     nodes = first.where("block is null").select("doc_id", "text_hash", "n", "node")
-    load = int(words / 2 / (1 << log2))
+    load = int(words / (1 << log2))
     frequent = sketch.merged(spark, first.where("block is not null").select("block", "cells", "counts"), log2, 1, frequent_at + 2 * load)
 
     texts = rows.select("text")
     index = texts.mapInArrow(_index_rows(frequent, ngram, percent), "token long, node long")
-    shared = index.groupBy("token").agg(F.min("node").alias("star"), F.max("node").alias("z")).where("star != z").select("token", "star")
-    entries = stored(index.join(shared, "token").distinct(), "ngram-index")
-
-    members = entries.select("node").distinct()
-    wide = sketch.width(members.count())
-    wanted = sketch.merged(spark, sketch.sketch(members, _node_hashes, wide, 2), wide, 2, 1)
-    sets = stored(texts.mapInArrow(_candidate_sets(wanted, ngram, percent), SET_SCHEMA).dropDuplicates(["node"]), "ngram-sets")
-
-    stars = entries.where("node != star").select(F.col("star").alias("a"), F.col("node").alias("b")).distinct()
-    links = stored(verified(stars, sets, percent), "ngram-links")
-    merged = stored(components(links), "ngram-components")
-
-    # index entries that still hold sets of different components: their other pairs
-    labelled = (entries.join(merged, "node", "left").join(sets.select("node", "n"), "node")
-                .select("token", "star", "node", "n", F.coalesce("comp", "node").alias("comp")))
+    shared = stored(index.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y").select("token"), "ngram-shared")
+    shared = members_bitmap(shared, "token")
+    prefixes = texts.mapInArrow(_prefixes(frequent, shared, ngram, percent), PREFIX_SCHEMA)
+    prefixes = stored(prefixes.groupBy("node").agg(F.first(F.struct("n", "p1", "p2", "p3")).alias("p")).select("node", "p.*"), "ngram-prefixes")
+
+    entries = prefixes.select("node", "n", F.explode("p1").alias("token"))
+    sized = entries.groupBy("token").agg(F.count(F.lit(1)).alias("held"), F.min(F.struct("node", "n")).alias("star")).where("held > 1")
+    entries = stored(entries.join(sized, "token"), "ngram-entries")
+    fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
+    short = entries.where(F.col("held") <= SHORT).select("token", "node", "n")
+    p, q = short.alias("p"), short.alias("q")
+    pairs = p.join(q, (F.col("p.token") == F.col("q.token")) & (F.col("p.node") < F.col("q.node")) & fits(F.col("p.n"), F.col("q.n")))
+    long_ = entries.where(F.col("held") > SHORT)
+    stars = long_.where((F.col("node") != F.col("star.node")) & fits(F.col("n"), F.col("star.n")))
+    pairs = (pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
+             .unionByName(stars.select(F.col("star.node").alias("a"), F.col("node").alias("b"))).distinct())
+    near = stored(filtered(pairs, prefixes), "ngram-near")
+
+    # sets that the second step may ask for are those of the long entries
+    ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).unionByName(long_.select("node"))
+    sets = texts.mapInArrow(_whole_sets(members_bitmap(ends, "node"), ngram), SET_SCHEMA)
+    sets = stored(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "ngram-sets")
+    links = stored(verified(near, sets, percent), "ngram-links")
+    joined = components(links)
+
+    # long entries that still hold sets of different components: the pairs between those
+    labelled = long_.join(joined, "node", "left").select("token", "star", "node", "n", F.coalesce("comp", "node").alias("comp"))
     mixed = labelled.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("token")
-    open_ = stored(labelled.join(mixed, "token", "left_semi"), "ngram-open")
-    a, b = open_.alias("p"), open_.alias("q")
-    pairs = (a.join(b, "token").where((F.col("p.comp") < F.col("q.comp")) & (F.col("p.node") != F.col("p.star")) & (F.col("q.node") != F.col("q.star"))
-                                      & (F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * percent))
-             .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct())
-    more = stored(verified(pairs, sets, percent), "ngram-links")
-    joined = components(links.unionByName(more))
+    left = stored(labelled.join(mixed, "token", "left_semi"), "ngram-open")
+    if not left.isEmpty():
+        p, q = left.alias("p"), left.alias("q")
+        pairs = (p.join(q, (F.col("p.token") == F.col("q.token")) & (F.col("p.comp") < F.col("q.comp")) & fits(F.col("p.n"), F.col("q.n")))
+                 .where((F.col("p.node") != F.col("p.star.node")) & (F.col("q.node") != F.col("q.star.node")))
+                 .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct())
+        joined = components(links.unionByName(stored(verified(filtered(pairs, prefixes), sets, percent), "ngram-links")))
 
     return nodes.join(joined, "node", "left").select("doc_id", "text_hash", "n", F.coalesce("comp", "node").alias("comp"))
 

@@ -35,15 +35,30 @@ def cells_of(hashes: np.ndarray, row: int, log2: int) -> np.ndarray:
     return (mix(hashes ^ _SEEDS[row]) >> U(64 - log2)).astype(np.int64)
 
 
+def gaps(cells: np.ndarray) -> bytes:
+    """Ascending cells of a block as one byte per gap; 255 stands for 255 more and goes on."""
+    step = np.diff(cells, prepend=0)
+    size = step // 255 + 1
+    out = np.full(int(size.sum()), 255, np.uint8)
+    out[np.cumsum(size) - 1] = step % 255
+    return out.tobytes()
+
+
+def from_gaps(raw) -> np.ndarray:
+    steps = np.frombuffer(raw, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps != 255]
+
+
 def counted(hashes: np.ndarray, log2: int, depth: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """``(block, cells as uint16, counts as uint16)`` of the blocks that the hashes touch."""
+    """``(block, cells as gaps, places and counts of cells met more than once)`` of the blocks that the hashes touch."""
     for row in range(depth):
         cells, counts = np.unique(cells_of(hashes, row, log2), return_counts=True)
-        low, counts = (cells & (BLOCK - 1)).astype("<u2"), np.minimum(counts, 65535).astype("<u2")
         blocks, at = np.unique(cells >> 16, return_index=True)
         ends = np.append(at[1:], len(cells))
+        cells &= BLOCK - 1
         for b, i, j in zip(blocks.tolist(), at.tolist(), ends.tolist()):
-            yield (row << 32) | b, low[i:j].tobytes(), counts[i:j].tobytes()
+            more = np.flatnonzero(counts[i:j] > 1)
+            yield (row << 32) | b, gaps(cells[i:j]), np.stack((more, np.minimum(counts[i:j][more], 65535)), 1).astype("<u2").tobytes()
 
 
 class Counter:
@@ -98,9 +113,11 @@ def _merge(least: int):
                         yield done()
                     block = b
                     counts[:] = 0
-                # cells are different within a row; 65,535 rows of the largest count still fit
-                at = np.frombuffer(cells.as_buffer(), "<u2")
-                counts[at] = np.minimum(counts[at] + np.frombuffer(n.as_buffer(), "<u2"), 1 << 30)
+                at = from_gaps(cells.as_buffer())       # different cells, so plain indexing adds them all
+                add = np.ones(len(at), np.uint32)
+                more = np.frombuffer(n.as_buffer(), "<u2").reshape(-1, 2)
+                add[more[:, 0]] = more[:, 1]
+                counts[at] = np.minimum(counts[at] + add, 1 << 30)
         if block is not None and (counts >= least).any():
             yield done()
     return run
