@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliolake.llm.common import short_batches, table, text_or_empty
+from heliolake.llm.common import short_batches, stored, table, text_or_empty
 
 THRESHOLD = 0.7
 #: Labelled rows that the model is fitted on, at most (the lowest hashes of their ids).
 SAMPLE_ROWS = 20_000
-#: Terminals kept, at most; they reach the driver.
+#: Terminals kept, at most.
 MOST_TERMINALS = 4_000
 LEAST_DOCS = 5
 LEAST_PRECISION = 0.6
@@ -186,27 +187,33 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     # at most `rows` pairs of numbers, a bound that the limit above proves
-    joined = texts.join(F.broadcast(picked), "doc_id")
-    unique = joined.groupBy(F.md5("text").alias("_h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
-    return unique.select("text", "toxic", (F.crc32(F.col("_h").cast("binary")) % 3).cast("int").alias("part"))
-
-
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, documents with label 1, documents with label 0), summed over the task's rows."""
-    counts: dict[str, list[int]] = {}
-    seen = [0, 0]
-    for batch in batches:
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            words = {w for w in WORD.findall(text.lower()) if len(w) <= LONGEST_WORD}
-            seen[toxic] += 1
-            for f in words | {w[:n] + "*" for w in words for n in PREFIXES if len(w) > n}:
-                counts.setdefault(f, [0, 0])[toxic] += 1
-    counts[""] = seen
-    items = list(counts.items())
-    for i in range(0, len(items), 50_000):
-        part = items[i:i + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in part]), pa.array([v[1] for _, v in part], pa.int64()),
-                                          pa.array([v[0] for _, v in part], pa.int64())], names=["feature", "pos", "neg"])
+    sample = stored(texts.join(F.broadcast(picked), "doc_id").withColumn("h", F.md5("text")), "toxicity-sample")
+    # equal texts count once: the smallest id of each stays, found without moving a text
+    one = sample.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
+    return (sample.drop("toxic").join(F.broadcast(one), ["h", "doc_id"])
+            .select("text", "toxic", (F.crc32(F.col("h").cast("binary")) % 3).cast("int").alias("part")))
+
+
+def features(text: str) -> set[str]:
+    """The words of a text and their beginnings."""
+    words = {w for w in WORD.findall(text.lower()) if len(w) <= LONGEST_WORD}
+    return words | {w[:n] + "*" for w in words for n in PREFIXES if len(w) > n}
+
+
+def _document_counts(among: frozenset[str] | None):
+    """(feature, documents that have it), summed over a task's rows; the feature ``""`` counts all documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                found = features(text)
+                counts.update(found if among is None else found & among)
+                counts[""] += 1
+        items = list(counts.items())
+        for i in range(0, len(items), 50_000):
+            part = items[i:i + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in part], pa.string()), pa.array([v for _, v in part], pa.int64())], names=["feature", "n"])
+    return run
 
 
 def _evidence_of(grammar: Grammar):
@@ -239,14 +246,25 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
 
 
 def learned_terminals(sample: DataFrame) -> dict[str, float]:
-    counts = sample.mapInArrow(_features, "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    total = counts.where("feature = ''").first()
-    if total is None or not total["pos"] or not total["neg"]:
+    """Features of label 1 with their log odds. Only those that enough documents of label 1 hold are
+    counted over label 0; the sample's bound is theirs, too."""
+    def counts(label: int, among: frozenset[str] | None, least: int) -> dict[str, int]:
+        rows = sample.where(F.col("toxic") == label).select("text").mapInArrow(_document_counts(among), "feature string, n long")
+        return {r["feature"]: r["n"] for r in rows.groupBy("feature").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("feature") == "")).collect()}
+
+    pos = counts(1, None, LEAST_DOCS)
+    neg = counts(0, frozenset(pos), 1)
+    n1, n0 = pos.pop("", 0), neg.pop("", 0)
+    if not n1 or not n0:
         return {}
-    odds = F.log((F.col("pos") + 0.5) / (total["pos"] + 1)) - F.log((F.col("neg") + 0.5) / (total["neg"] + 1))
-    kept = (counts.where((F.col("feature") != "") & (F.col("pos") >= LEAST_DOCS) & (F.col("pos") / (F.col("pos") + F.col("neg")) >= LEAST_PRECISION))
-            .withColumn("w", odds).where("w > 0").orderBy(F.desc(F.col("w") * F.log("pos")), "feature").limit(MOST_TERMINALS).collect())
-    return pruned({r["feature"]: (min(float(r["w"]), 8.0), r["pos"]) for r in kept})
+    found = {}
+    for f, p in pos.items():
+        q = neg.get(f, 0)
+        odds = math.log((p + 0.5) / (n1 + 1)) - math.log((q + 0.5) / (n0 + 1))
+        if odds > 0 and p >= LEAST_PRECISION * (p + q):
+            found[f] = (min(odds, 8.0), p)
+    best = sorted(found, key=lambda f: (-found[f][0] * math.log(found[f][1]), f))[:MOST_TERMINALS]
+    return pruned({f: found[f] for f in best})
 
 
 def pruned(found: dict[str, tuple[float, int]]) -> dict[str, float]:
@@ -267,12 +285,9 @@ def pruned(found: dict[str, tuple[float, int]]) -> dict[str, float]:
 def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Grammar:
     short_batches(docs.sparkSession)
     prior = {w: PRIOR_WEIGHT for w in INSULTS}
-    sample = training_sample(docs, labels, rows).persist()
-    try:
-        grammar = Grammar(prior | learned_terminals(sample.where("part > 0")))
-        held = sample.where("part = 0").mapInArrow(_evidence_of(grammar), "s double, m double, d double, toxic int").collect()
-    finally:
-        sample.unpersist()
+    sample = training_sample(docs, labels, rows)
+    grammar = Grammar(prior | learned_terminals(sample.where("part > 0")))
+    held = sample.where("part = 0").select("text", "toxic").mapInArrow(_evidence_of(grammar), "s double, m double, d double, toxic int").collect()
     y = np.array([r["toxic"] for r in held], float)
     if 0 < y.sum() < len(y):
         grammar.coefficients = fit_logistic(np.array([[r["s"], r["m"], r["d"]] for r in held]), y)
