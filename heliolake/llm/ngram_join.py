@@ -6,9 +6,10 @@ a token. Three orders are used:
 
 * order 1 puts tokens first that a corpus-wide sketch does not call frequent, then goes by hash. An inverted
   index over these prefixes yields the candidates; frequent passages stay out of it unless a set
-  consists of little else;
-* orders 2 and 3 go by two other hashes. A candidate pair must also share a prefix token under each of them,
-  besides fitting in size; only then are whole sets moved and compared.
+  consists of little else. A pair must fit in size and share enough of these tokens: all common tokens up to the
+  prefix end that comes first are counted, and what lies beyond it is at most the rest of that set;
+* orders 2 and 3 go by two other hashes. A candidate pair must also share a prefix token under each of them;
+  only then are whole sets moved and compared.
 
 Equal sets are one node from the start. An index entry with up to ``SHORT`` sets gives all its pairs. A longer one
 (its sets are frequent tokens mostly, as in a large group of near copies) gives them in two steps: first every
@@ -98,15 +99,18 @@ def _nodes_and_counts(n: int, log2: int):
     return run
 
 
-def ordered_prefix(tokens: np.ndarray, frequent: sketch.Bitmap, percent: int) -> np.ndarray:
-    """Prefix under order 1: tokens that are not frequent, by hash, then the frequent ones, by hash."""
+def ordered_prefix(tokens: np.ndarray, frequent: sketch.Bitmap, percent: int) -> tuple[np.ndarray, bool]:
+    """Prefix under order 1 (tokens that are not frequent, by hash, then the frequent ones, by hash), and
+    whether it reaches the frequent ones."""
     p = prefix_size(len(tokens), percent)
     seen, first = 0, np.empty(0, U)
     while len(first) < p and seen < len(tokens):       # few tokens beyond the prefix are looked up, as a rule
         part = tokens[seen:seen + max(2 * p, 64)]
         first = np.concatenate((first, part[~frequent.holds(part)]))
         seen += len(part)
-    return first[:p] if len(first) >= p else np.concatenate((first, tokens[frequent.holds(tokens)][:p - len(first)]))
+    if len(first) >= p:
+        return first[:p], False
+    return np.concatenate((first, tokens[frequent.holds(tokens)][:p - len(first)])), True
 
 
 def hashed_prefix(tokens: np.ndarray, order: U, percent: int) -> np.ndarray:
@@ -116,50 +120,52 @@ def hashed_prefix(tokens: np.ndarray, order: U, percent: int) -> np.ndarray:
     return tokens[np.argpartition(keys, p - 1)[:p]] if p < len(tokens) else tokens
 
 
-def _index_rows(frequent, n: int, percent: int):
-    """``(token, node)`` for the prefix tokens under order 1."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens, nodes = [np.empty(0, U)], [np.empty(0, np.int64)]
-            for _, s in _sets(batch, n):
-                if len(s):
-                    p = ordered_prefix(s, frequent.value, percent)
-                    tokens.append(p)
-                    nodes.append(np.full(len(p), node_id(s), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes))], names=["token", "node"])
-    return run
+PREFIX_SCHEMA = "node long, n int, late boolean, last long, p1 array<long>"
 
 
 def _longs(arrays) -> pa.Array:
     return pa.array([x.view(np.int64) for x in arrays], pa.list_(pa.int64()))
 
 
-PREFIX_SCHEMA = "node long, n int, p1 array<long>, p2 array<long>, p3 array<long>"
-
-
-def _prefixes(frequent, shared, n: int, percent: int):
-    """Sets that hold shared prefix tokens: those tokens, and the prefixes under orders 2 and 3."""
+def _prefixes(frequent, n: int, percent: int):
+    """Prefix of every set under order 1. Its end is ``(late, last)``: frequent or not, and the last token with its
+    sign bit turned, so that signed numbers keep the order of the hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, seen = [], set()
             for _, s in _sets(batch, n):
-                if len(s):
-                    p = ordered_prefix(s, frequent.value, percent)
-                    p = p[shared.value.holds(p)]
-                    if len(p) and (k := node_id(s)) not in seen:
-                        seen.add(k)
-                        found.append((k, len(s), p, hashed_prefix(s, _ORDER2, percent), hashed_prefix(s, _ORDER3, percent)))
+                if len(s) and (k := node_id(s)) not in seen:
+                    seen.add(k)
+                    found.append((k, len(s), *ordered_prefix(s, frequent.value, percent)))
+            last = np.array([f[2][-1] for f in found], U) ^ U(1 << 63)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()), *[_longs(f[i] for f in found) for i in (2, 3, 4)]],
-                names=["node", "n", "p1", "p2", "p3"])
+                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()), pa.array([f[3] for f in found], pa.bool_()),
+                 pa.array(last.view(np.int64)), _longs(f[2] for f in found)], names=["node", "n", "late", "last", "p1"])
     return run
 
 
-SET_SCHEMA = "node long, tokens array<long>"
+def _only_shared(shared):
+    """The prefixes' tokens that other sets hold, too; sets without any drop out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column("p1")
+            ends = tokens.offsets.to_numpy()
+            flat = tokens.values.to_numpy()
+            hit = shared.value.holds(flat.view(U))
+            hit[:ends[0]] = False
+            kept = np.concatenate(([0], np.cumsum(hit)))[ends].astype(np.int32)
+            p1 = pa.ListArray.from_arrays(pa.array(kept - kept[0]), pa.array(flat[hit][:kept[-1]]))
+            some = pa.array(np.diff(kept) > 0)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("node", "n", "late", "last")], p1],
+                                             names=["node", "n", "late", "last", "p1"]).filter(some)
+    return run
 
 
-def _whole_sets(wanted, n: int):
-    """The whole sets of the nodes in pairs that passed the filters (and of few others that the bitmap lets through)."""
+SET_SCHEMA = "node long, p2 array<long>, p3 array<long>, tokens array<long>"
+
+
+def _whole_sets(wanted, n: int, percent: int):
+    """The whole sets of candidate nodes (and of few others that the bitmap lets through), with prefixes under orders 2 and 3."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, seen = [], set()
@@ -167,7 +173,9 @@ def _whole_sets(wanted, n: int):
                 if len(s) and (k := node_id(s)) not in seen and np.int64(k).astype(U) in wanted.value:
                     seen.add(k)
                     found.append((k, s))
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), _longs(s for _, s in found)], names=["node", "tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in found], pa.int64()), _longs(hashed_prefix(s, _ORDER2, percent) for _, s in found),
+                 _longs(hashed_prefix(s, _ORDER3, percent) for _, s in found), _longs(s for _, s in found)], names=["node", "p2", "p3", "tokens"])
     return run
 
 
@@ -184,13 +192,27 @@ def members_bitmap(df: DataFrame, column: str):
     return sketch.merged(df.sparkSession, sketch.sketch(values, _longs_of(column), log2, 2), log2, 2, 1)
 
 
-def filtered(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+def filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` that share a prefix token under orders 2 and 3 as well."""
-    side = lambda x: prefixes.select(F.col("node").alias(x), F.col("p2").alias(f"p2{x}"), F.col("p3").alias(f"p3{x}"))
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("p2").alias(f"p2{x}"), F.col("p3").alias(f"p3{x}"))
     return (pairs.join(side("a"), "a").join(side("b"), "b")
             .where(F.arrays_overlap("p2a", "p2b") & F.arrays_overlap("p3a", "p3b")).select("a", "b"))
 
 
+def enough_shared(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs, one row per shared prefix token, that can still reach the similarity.
+
+    Tokens up to the earlier prefix end are all in both prefixes, so the sets share ``c`` of them and at most
+    the rest of the set whose prefix ends there; similar sets share ``percent / (100 + percent)`` of both sizes. ``long`` is how many
+    tokens a prefix holds in long index entries, which are not counted here.
+    """
+    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first(F.struct("na", "nb", "la", "lb", "a_first")).alias("s")).select("a", "b", "c", "s.*")
+    needed = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
+    n = F.when(F.col("a_first"), F.col("na")).otherwise(F.col("nb"))
+    rest = F.expr(f"({percent} * n1 + 99) div 100 - 1")
+    return (counted.withColumn("n1", n).where(F.col("c") + F.least("la", "lb") + rest >= needed).select("a", "b"))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose whole sets reach the similarity."""
     whole = lambda x: sets.select(F.col("node").alias(x), F.col("tokens").alias(f"t{x}"))
@@ -213,30 +235,34 @@ def labelled_sets(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, i
     frequent = sketch.merged(spark, first.where("block is not null").select("block", "cells", "counts"), log2, 1, frequent_at + 2 * load)
 
     texts = rows.select("text")
-    index = texts.mapInArrow(_index_rows(frequent, ngram, percent), "token long, node long")
-    shared = stored(index.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y").select("token"), "ngram-shared")
-    shared = members_bitmap(shared, "token")
-    prefixes = texts.mapInArrow(_prefixes(frequent, shared, ngram, percent), PREFIX_SCHEMA)
-    prefixes = stored(prefixes.groupBy("node").agg(F.first(F.struct("n", "p1", "p2", "p3")).alias("p")).select("node", "p.*"), "ngram-prefixes")
+    prefixes = stored(texts.mapInArrow(_prefixes(frequent, ngram, percent), PREFIX_SCHEMA), "ngram-prefixes")
+    index = prefixes.select("node", F.explode("p1").alias("token"))
+    shared = members_bitmap(index.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y"), "token")
+    held = prefixes.mapInArrow(_only_shared(shared), PREFIX_SCHEMA)
+    held = held.groupBy("node").agg(F.first(F.struct("n", "late", "last", "p1")).alias("p")).select("node", "p.*")
 
-    entries = prefixes.select("node", "n", F.explode("p1").alias("token"))
+    entries = held.select("node", "n", "late", "last", F.explode("p1").alias("token"))
     sized = entries.groupBy("token").agg(F.count(F.lit(1)).alias("held"), F.min(F.struct("node", "n")).alias("star")).where("held > 1")
     entries = stored(entries.join(sized, "token"), "ngram-entries")
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    short = entries.where(F.col("held") <= SHORT).select("token", "node", "n")
+    long_ = entries.where(F.col("held") > SHORT)
+    of_long = long_.groupBy("node").agg(F.count(F.lit(1)).alias("in_long"))
+    short = (entries.where(F.col("held") <= SHORT).join(of_long, "node", "left")
+             .select("token", "node", "n", "late", "last", F.coalesce("in_long", F.lit(0)).alias("in_long")))
     p, q = short.alias("p"), short.alias("q")
     pairs = p.join(q, (F.col("p.token") == F.col("q.token")) & (F.col("p.node") < F.col("q.node")) & fits(F.col("p.n"), F.col("q.n")))
-    long_ = entries.where(F.col("held") > SHORT)
+    a_first = F.struct("p.late", "p.last") <= F.struct("q.late", "q.last")
+    pairs = pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.n").alias("na"), F.col("q.n").alias("nb"),
+                         F.col("p.in_long").alias("la"), F.col("q.in_long").alias("lb"), a_first.alias("a_first"))
     stars = long_.where((F.col("node") != F.col("star.node")) & fits(F.col("n"), F.col("star.n")))
-    pairs = (pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
-             .unionByName(stars.select(F.col("star.node").alias("a"), F.col("node").alias("b"))).distinct())
-    near = stored(filtered(pairs, prefixes), "ngram-near")
+    stars = stars.select(F.least("star.node", "node").alias("a"), F.greatest("star.node", "node").alias("b"))
+    near = stored(enough_shared(pairs, percent).unionByName(stars).distinct(), "ngram-near")
 
     # sets that the second step may ask for are those of the long entries
     ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).unionByName(long_.select("node"))
-    sets = texts.mapInArrow(_whole_sets(members_bitmap(ends, "node"), ngram), SET_SCHEMA)
-    sets = stored(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "ngram-sets")
-    links = stored(verified(near, sets, percent), "ngram-links")
+    sets = texts.mapInArrow(_whole_sets(members_bitmap(ends, "node"), ngram, percent), SET_SCHEMA)
+    sets = stored(sets.groupBy("node").agg(F.first(F.struct("p2", "p3", "tokens")).alias("s")).select("node", "s.*"), "ngram-sets")
+    links = stored(verified(filtered(near, sets), sets, percent), "ngram-links")
     joined = components(links)
 
     # long entries that still hold sets of different components: the pairs between those
@@ -248,7 +274,7 @@ def labelled_sets(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, i
         pairs = (p.join(q, (F.col("p.token") == F.col("q.token")) & (F.col("p.comp") < F.col("q.comp")) & fits(F.col("p.n"), F.col("q.n")))
                  .where((F.col("p.node") != F.col("p.star.node")) & (F.col("q.node") != F.col("q.star.node")))
                  .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct())
-        joined = components(links.unionByName(stored(verified(filtered(pairs, prefixes), sets, percent), "ngram-links")))
+        joined = components(links.unionByName(stored(verified(filtered(pairs, sets), sets, percent), "ngram-links")))
 
     return nodes.join(joined, "node", "left").select("doc_id", "text_hash", "n", F.coalesce("comp", "node").alias("comp"))
 

@@ -18,8 +18,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
-#: Bytes hashed in one go; arrays of eight bytes for each of them are held.
-PIECE = 1 << 20
+#: Bytes hashed in one go; arrays of eight bytes for each of them are held, and should fit in a core's cache.
+PIECE = 1 << 16
 #: Words longer than this are hashed by BLAKE2, one by one.
 LONG_WORD = 1 << 16
 
@@ -91,7 +91,7 @@ def word_hashes(raw: bytes, fold: bool = False) -> tuple[np.ndarray, np.ndarray]
         if end < len(raw):
             m = _SPACE.search(raw, end)
             end = m.start() if m else len(raw)
-        if end - at > 8 * PIECE:  # one word of many MB
+        if end - at > 32 * PIECE:  # one word of some MB
             for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw[at:end]):
                 word = m[0].lower() if fold else m[0]
                 starts.append(np.array([at + m.start()]))
