@@ -101,13 +101,13 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ids = docs.select(doc_id.alias("doc_id"), key.alias("k"), F.char_length(text).alias("n")).groupBy("k", "doc_id").agg(F.max("n").alias("n"))
     pairs = next_of(ids.select("k", "doc_id")).join(ids.select("k", F.expr("n div 2").cast("int").alias("half")), "k")
     pairs = pairs.select(F.col("k").alias("target"), F.col("next_k").alias("k"), "half")
-    base = docs.select(doc_id.alias("doc_id"), text.alias("text"), key.alias("k"), leaves(text).alias("tree"))
-    # both joins read the same exchange of the texts, so they ask for the same columns
-    heads = base.join(pairs, "k").select(F.col("target").alias("k"), F.struct(
+    base = docs.select(doc_id.alias("doc_id"), text.alias("text"), key.alias("k"))
+    # both joins read the same exchange of the texts, so they ask for the same columns; leaves are cut after it on either side
+    heads = base.join(pairs, "k").withColumn("tree", leaves(F.col("text"))).select(F.col("target").alias("k"), F.struct(
         F.col("doc_id").alias("next_id"), F.expr("substring(text, 1, half)").alias("head"),
         fingerprint(F.sha2(F.col("text").cast("binary"), 256), F.col("tree")).alias("next_fp")).alias("next"))
     heads = heads.groupBy("k").agg(F.first("next").alias("next"))
-    both = base.join(heads, "k")
+    both = base.join(heads, "k").withColumn("tree", leaves(F.col("text")))
     n = F.char_length("text")
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - char_length(text) div 2)"),
                       F.expr("substring(next.head, 1, cast(char_length(text) div 2 as int))"))
