@@ -4,17 +4,20 @@ A document's set is its distinct word n-grams (hashed to 64 bits). If two sets r
 then under *any* global order of the tokens their prefixes (the first ``n - ceil(s n) + 1`` tokens) share
 a token. Three orders are used:
 
-* order 1 puts tokens first that a corpus-wide sketch does not call frequent, then goes by hash. An inverted
-  index over these prefixes yields the candidates; frequent passages stay out of it unless a set
+* order 1 puts rare tokens first, by levels of frequency from a corpus-wide sketch, and goes by hash within a level. An
+  inverted index over these prefixes yields the candidates; frequent passages stay out of it unless a set
   consists of little else. A pair must fit in size and share enough of these tokens: all common tokens up to the
   prefix end that comes first are counted, and what lies beyond it is at most the rest of that set;
 * orders 2 and 3 go by two other hashes. A candidate pair must also share a prefix token under each of them;
   only then are whole sets moved and compared.
 
-Equal sets are one node from the start. An index entry with up to ``SHORT`` sets gives all its pairs. A longer one
-(its sets are frequent tokens mostly, as in a large group of near copies) gives them in two steps: first every
-set with the entry's smallest, verified and merged to components; then only pairs of sets that are still in
-different components, since a pair inside a component cannot change the result. No group is capped, sampled or gathered.
+Equal sets are one node from the start. An index entry with up to ``SHORT`` sets gives its pairs. A longer one comes
+from a large group of near copies (its sets are frequent tokens mostly), and is joined by differences instead: a hub
+is chosen, the member with the most frequent tokens, and a member x is kept as D(x), the tokens that it or the hub has
+alone. With r(x) hub tokens missing, two members share ``n(hub) - r(x) - r(y) + |D(x) & D(y)|`` tokens. So a pair is either
+similar whatever D holds, and then both are linked to the member that needs least (the condition is a sum of two
+numbers), or it must share k >= 1 tokens of D, and a prefix filter over D, rare tokens first, finds it. Members are dealt to
+bands of what they need, so that k is known when prefixes are cut. No group is capped, sampled or gathered.
 
 Node ids are 64-bit hashes of whole sets (two different sets of a corpus of N share one with probability N^2 / 2^65).
 
@@ -39,8 +42,10 @@ from heliolake.llm.words import U, documents, mix, powers, runs
 
 NGRAM = 5
 PERCENT = 80
-#: Sets that hold a token before it counts as frequent, besides the sketch's own load.
-FREQUENT = 48
+#: Sets that hold a token from which on it counts as more frequent, besides twice the sketch's own load.
+FREQUENT = (4, 16, 64, 256, 1024, 4096, 16384)
+#: log2 of the sketch's cells, at most; its levels are 32 MB then.
+MOST_CELLS = 25
 #: Sets of an index entry up to which all its pairs are candidates at once.
 SHORT = 64
 _ORDER2, _ORDER3 = U(0x2545F4914F6CDD1D), U(0x6A09E667F3BCC909)
@@ -99,18 +104,11 @@ def _nodes_and_counts(n: int, log2: int):
     return run
 
 
-def ordered_prefix(tokens: np.ndarray, frequent: sketch.Bitmap, percent: int) -> tuple[np.ndarray, bool]:
-    """Prefix under order 1 (tokens that are not frequent, by hash, then the frequent ones, by hash), and
-    whether it reaches the frequent ones."""
-    p = prefix_size(len(tokens), percent)
-    seen, first = 0, np.empty(0, U)
-    while len(first) < p and seen < len(tokens):       # few tokens beyond the prefix are looked up, as a rule
-        part = tokens[seen:seen + max(2 * p, 64)]
-        first = np.concatenate((first, part[~frequent.holds(part)]))
-        seen += len(part)
-    if len(first) >= p:
-        return first[:p], False
-    return np.concatenate((first, tokens[frequent.holds(tokens)][:p - len(first)])), True
+def ordered_prefix(tokens: np.ndarray, frequency: sketch.Levels, percent: int) -> tuple[np.ndarray, int]:
+    """Prefix under order 1 (by level of frequency, then by hash), and the level of its last token."""
+    level = frequency.of(tokens)
+    order = np.argsort(level, kind="stable")[:prefix_size(len(tokens), percent)]
+    return tokens[order], int(level[order[-1]])
 
 
 def hashed_prefix(tokens: np.ndarray, order: U, percent: int) -> np.ndarray:
@@ -120,27 +118,27 @@ def hashed_prefix(tokens: np.ndarray, order: U, percent: int) -> np.ndarray:
     return tokens[np.argpartition(keys, p - 1)[:p]] if p < len(tokens) else tokens
 
 
-PREFIX_SCHEMA = "node long, n int, late boolean, last long, p1 array<long>"
+PREFIX_SCHEMA = "node long, n int, level int, last long, p1 array<long>"
 
 
 def _longs(arrays) -> pa.Array:
     return pa.array([x.view(np.int64) for x in arrays], pa.list_(pa.int64()))
 
 
-def _prefixes(frequent, n: int, percent: int):
-    """Prefix of every set under order 1. Its end is ``(late, last)``: frequent or not, and the last token with its
-    sign bit turned, so that signed numbers keep the order of the hashes."""
+def _prefixes(frequency, n: int, percent: int):
+    """Prefix of every set under order 1. Its end is ``(level, last)``: the last token with its
+    sign bit turned, so that signed numbers keep the order of the hashes, and its level."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, seen = [], set()
             for _, s in _sets(batch, n):
                 if len(s) and (k := node_id(s)) not in seen:
                     seen.add(k)
-                    found.append((k, len(s), *ordered_prefix(s, frequent.value, percent)))
+                    found.append((k, len(s), *ordered_prefix(s, frequency.value, percent)))
             last = np.array([f[2][-1] for f in found], U) ^ U(1 << 63)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()), pa.array([f[3] for f in found], pa.bool_()),
-                 pa.array(last.view(np.int64)), _longs(f[2] for f in found)], names=["node", "n", "late", "last", "p1"])
+                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()), pa.array([f[3] for f in found], pa.int32()),
+                 pa.array(last.view(np.int64)), _longs(f[2] for f in found)], names=["node", "n", "level", "last", "p1"])
     return run
 
 
@@ -156,8 +154,8 @@ def _only_shared(shared):
             kept = np.concatenate(([0], np.cumsum(hit)))[ends].astype(np.int32)
             p1 = pa.ListArray.from_arrays(pa.array(kept - kept[0]), pa.array(flat[hit][:kept[-1]]))
             some = pa.array(np.diff(kept) > 0)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("node", "n", "late", "last")], p1],
-                                             names=["node", "n", "late", "last", "p1"]).filter(some)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("node", "n", "level", "last")], p1],
+                                             names=["node", "n", "level", "last", "p1"]).filter(some)
     return run
 
 
@@ -203,8 +201,8 @@ def enough_shared(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs, one row per shared prefix token, that can still reach the similarity.
 
     Tokens up to the earlier prefix end are all in both prefixes, so the sets share ``c`` of them and at most
-    the rest of the set whose prefix ends there; similar sets share ``percent / (100 + percent)`` of both sizes. ``long`` is how many
-    tokens a prefix holds in long index entries, which are not counted here.
+    the rest of the set whose prefix ends there; similar sets share ``percent / (100 + percent)`` of both sizes. ``la`` and ``lb``
+    are how many shared tokens the prefixes hold that are not counted here.
     """
     counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first(F.struct("na", "nb", "la", "lb", "a_first")).alias("s")).select("a", "b", "c", "s.*")
     needed = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
@@ -221,60 +219,121 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(common * 100 >= (F.size("ta") + F.size("tb") - common) * percent).select("a", "b")
 
 
+MEMBER_SCHEMA = "hub long, node long, nh int, n int, r int, need long, band int, d array<long>"
+#: Bands of a hub's members are this share of the hub's size wide.
+BAND = 0.02
+
+
+def _members(frequency, percent: int):
+    """Members of a hub as differences from it: ``r``, ``need`` = percent * n + (100 + percent) * r, its band, and D by rising frequency."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for hub, node, h, x in zip(*[batch.column(c).to_pylist() for c in ("hub", "node")], batch.column("th"), batch.column("tx")):
+                h, x = h.values.to_numpy().view(U), x.values.to_numpy().view(U)
+                gone = np.setdiff1d(h, x, assume_unique=True)
+                d = np.sort(np.concatenate((gone, np.setdiff1d(x, h, assume_unique=True))))
+                d = d[np.argsort(frequency.value.of(d), kind="stable")]
+                need = percent * len(x) + (100 + percent) * len(gone)
+                band = int(need // max(1, int((100 + percent) * BAND * len(h))))
+                out.append((hub, node, len(h), len(x), len(gone), need, band, d))
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([*[pa.array([o[i] for o in out], t) for i, t in enumerate(types)], _longs(o[7] for o in out)],
+                                             names=["hub", "node", "nh", "n", "r", "need", "band", "d"])
+    return run
+
+
+def _difference_prefixes(percent: int):
+    """``(hub, token, lo, hi, band, node, n)``: for every band of the hub, the tokens of D that a similar member of that band must share one of."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = 100 + percent
+        for batch in batches:
+            cols: list[list] = [[], [], [], [], [], [], [], []]
+            rows = zip(*[batch.column(c).to_pylist() for c in ("hub", "node", "nh", "n", "need", "band", "sure", "least")], batch.column("d"))
+            for hub, node, nh, n, need, band, sure, least, d in rows:
+                d = d.values.to_numpy()
+                for other in least:
+                    k = max(1, -((whole * nh - need - other["need"]) // whole))
+                    tokens = d[:max(0, len(d) - k + 1)]
+                    m = len(tokens)
+                    for c, v in zip(cols, (hub, None, min(band, other["band"]), max(band, other["band"]), band, node, n, sure)):
+                        c.append(tokens if v is None else np.full(m, v))
+            arrays = [np.concatenate(c) if c else np.empty(0, np.int64) for c in cols]
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(t)) for x, t in zip(arrays, (np.int64, np.int64, np.int32, np.int32, np.int32, np.int64, np.int32, np.bool_))],
+                                             names=["hub", "token", "lo", "hi", "band", "node", "n", "sure"])
+    return run
+
+
+def near_copies(long_: DataFrame, sets: DataFrame, frequency, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that connect the sets of long index entries as all their similar pairs would."""
+    whole = 100 + percent
+    tokens = sets.select("node", "tokens")
+    pairs = long_.select("hub", "node").distinct()
+    both = (pairs.join(tokens.withColumnRenamed("tokens", "tx"), "node")
+            .join(tokens.select(F.col("node").alias("hub"), F.col("tokens").alias("th")), "hub"))
+    members = stored(both.select("hub", "node", "th", "tx").mapInArrow(_members(frequency, percent), MEMBER_SCHEMA), "ngram-members")
+    first = F.min(F.struct("need", "node"))
+    easiest = members.groupBy("hub").agg(first.alias("e"))
+    members = members.join(easiest, "hub").withColumn("sure", F.col("need") + F.col("e.need") <= whole * F.col("nh"))
+    sure = members.where(F.col("sure") & (F.col("node") != F.col("e.node"))).select(F.col("e.node").alias("a"), F.col("node").alias("b"))
+
+    bands = members.groupBy("hub", "band").agg(F.min("need").alias("need"))
+    bands = bands.groupBy("hub").agg(F.collect_list(F.struct("band", "need")).alias("least"))
+    index = members.join(bands, "hub").select("hub", "node", "nh", "n", "need", "band", "sure", "least", "d").mapInArrow(
+        _difference_prefixes(percent), "hub long, token long, lo int, hi int, band int, node long, n int, sure boolean")
+    p, q = index.where("band = lo").alias("p"), index.where("band = hi").alias("q")
+    same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("hub", "token", "lo", "hi")]
+    found = p.join(q, same[0] & same[1] & same[2] & same[3] & ((F.col("p.lo") < F.col("p.hi")) | (F.col("p.node") < F.col("q.node")))
+                   & ~(F.col("p.sure") & F.col("q.sure"))       # those two are connected already
+                   & (F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * percent))
+    found = found.select(F.col("p.hub").alias("hub"), F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+    side = lambda x: members.select("hub", F.col("node").alias(x), F.col("nh").alias(f"nh{x}"), F.col("need").alias(f"need{x}"), F.col("d").alias(f"d{x}"))
+    checked = (found.join(side("a"), ["hub", "a"]).join(side("b"), ["hub", "b"])
+               .where(F.size(F.array_intersect("da", "db")) * whole >= F.col("needa") + F.col("needb") - F.col("nha") * whole))
+    return sure.unionByName(checked.select("a", "b")).distinct()
+
+
 def labelled_sets(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
-                  frequent_at: int = FREQUENT) -> DataFrame:
+                  frequent_at: tuple[int, ...] = FREQUENT, short: int = SHORT) -> DataFrame:
     """``doc_id, text_hash, n, comp`` for every row; ``comp`` names its group (null: no words)."""
     spark = docs.sparkSession
     short_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.md5(text_or_empty(text_col)).alias("text_hash"), text_or_empty(text_col).alias("text"))
     words = (rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0) / 6
-    log2 = min(sketch.width(words, 1), 25)
+    log2 = min(sketch.width(words, 1), MOST_CELLS)
     first = stored(rows.mapInArrow(_nodes_and_counts(ngram, log2), NODE_SCHEMA), "ngram-nodes")
     nodes = first.where("block is null").select("doc_id", "text_hash", "n", "node")
     load = int(words / (1 << log2))
-    frequent = sketch.merged(spark, first.where("block is not null").select("block", "cells", "counts"), log2, 1, frequent_at + 2 * load)
+    frequency = sketch.levels(spark, first.where("block is not null").select("block", "cells", "counts"), log2, [f + 2 * load for f in frequent_at])
 
     texts = rows.select("text")
-    prefixes = stored(texts.mapInArrow(_prefixes(frequent, ngram, percent), PREFIX_SCHEMA), "ngram-prefixes")
+    prefixes = stored(texts.mapInArrow(_prefixes(frequency, ngram, percent), PREFIX_SCHEMA), "ngram-prefixes")
     index = prefixes.select("node", F.explode("p1").alias("token"))
     shared = members_bitmap(index.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y"), "token")
     held = prefixes.mapInArrow(_only_shared(shared), PREFIX_SCHEMA)
-    held = held.groupBy("node").agg(F.first(F.struct("n", "late", "last", "p1")).alias("p")).select("node", "p.*")
-
-    entries = held.select("node", "n", "late", "last", F.explode("p1").alias("token"))
-    sized = entries.groupBy("token").agg(F.count(F.lit(1)).alias("held"), F.min(F.struct("node", "n")).alias("star")).where("held > 1")
-    entries = stored(entries.join(sized, "token"), "ngram-entries")
-    fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    long_ = entries.where(F.col("held") > SHORT)
-    of_long = long_.groupBy("node").agg(F.count(F.lit(1)).alias("in_long"))
-    short = (entries.where(F.col("held") <= SHORT).join(of_long, "node", "left")
-             .select("token", "node", "n", "late", "last", F.coalesce("in_long", F.lit(0)).alias("in_long")))
-    p, q = short.alias("p"), short.alias("q")
-    pairs = p.join(q, (F.col("p.token") == F.col("q.token")) & (F.col("p.node") < F.col("q.node")) & fits(F.col("p.n"), F.col("q.n")))
-    a_first = F.struct("p.late", "p.last") <= F.struct("q.late", "q.last")
-    pairs = pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.n").alias("na"), F.col("q.n").alias("nb"),
-                         F.col("p.in_long").alias("la"), F.col("q.in_long").alias("lb"), a_first.alias("a_first"))
-    stars = long_.where((F.col("node") != F.col("star.node")) & fits(F.col("n"), F.col("star.n")))
-    stars = stars.select(F.least("star.node", "node").alias("a"), F.greatest("star.node", "node").alias("b"))
-    near = stored(enough_shared(pairs, percent).unionByName(stars).distinct(), "ngram-near")
-
-    # sets that the second step may ask for are those of the long entries
+    held = held.groupBy("node").agg(F.first(F.struct("n", "level", "last", "p1")).alias("p")).select("node", "p.*")
+
+    entries = held.select("node", "n", "level", "last", F.explode("p1").alias("token"))
+    sized = entries.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    entries = entries.join(sized, "token")
+    kind = F.col("held") > short
+    of_long = entries.groupBy("node").agg(F.count_if(kind).alias("in_long"))
+    entries = stored(entries.join(of_long, "node"), "ngram-entries")
+    p, q = entries.where(~kind).alias("p"), entries.where(~kind).alias("q")
+    each = p.join(q, (F.col("p.token") == F.col("q.token")) & (F.col("p.node") < F.col("q.node"))
+                  & (F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * percent))
+    a_first = F.struct("p.level", "p.last") <= F.struct("q.level", "q.last")
+    near = enough_shared(each.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.n").alias("na"), F.col("q.n").alias("nb"),
+                                     F.col("p.in_long").alias("la"), F.col("q.in_long").alias("lb"), a_first.alias("a_first")), percent)
+    near = stored(near, "ngram-near")
+
+    long_ = entries.where(kind)
+    hubs = long_.groupBy("token").agg(F.max(F.struct("in_long", "node"))["node"].alias("hub"))
+    long_ = long_.join(hubs, "token").select("hub", "node")
     ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).unionByName(long_.select("node"))
     sets = texts.mapInArrow(_whole_sets(members_bitmap(ends, "node"), ngram, percent), SET_SCHEMA)
     sets = stored(sets.groupBy("node").agg(F.first(F.struct("p2", "p3", "tokens")).alias("s")).select("node", "s.*"), "ngram-sets")
-    links = stored(verified(filtered(near, sets), sets, percent), "ngram-links")
-    joined = components(links)
-
-    # long entries that still hold sets of different components: the pairs between those
-    labelled = long_.join(joined, "node", "left").select("token", "star", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    mixed = labelled.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("token")
-    left = stored(labelled.join(mixed, "token", "left_semi"), "ngram-open")
-    if not left.isEmpty():
-        p, q = left.alias("p"), left.alias("q")
-        pairs = (p.join(q, (F.col("p.token") == F.col("q.token")) & (F.col("p.comp") < F.col("q.comp")) & fits(F.col("p.n"), F.col("q.n")))
-                 .where((F.col("p.node") != F.col("p.star.node")) & (F.col("q.node") != F.col("q.star.node")))
-                 .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct())
-        joined = components(links.unionByName(stored(verified(filtered(pairs, sets), sets, percent), "ngram-links")))
+    joined = components(verified(filtered(near, sets), sets, percent).unionByName(near_copies(long_, sets, frequency, percent)))
 
     return nodes.join(joined, "node", "left").select("doc_id", "text_hash", "n", F.coalesce("comp", "node").alias("comp"))
 

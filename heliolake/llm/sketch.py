@@ -98,18 +98,19 @@ def sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
     return df.mapInArrow(run, SCHEMA)
 
 
-def _merge(least: int):
+def _merge(least: list[int]):
+    """Cells of merged blocks: as bits for one threshold, else one byte that tells how many thresholds the count reaches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, counts = None, np.zeros(BLOCK, np.uint32)
 
         def done():
-            bits = np.packbits(counts >= least)
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([bits.tobytes()], pa.binary())], names=["block", "bits"])
+            cells = np.packbits(counts >= least[0]) if len(least) == 1 else np.searchsorted(least, counts, "right").astype(np.uint8)
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([cells.tobytes()], pa.binary())], names=["block", "cells"])
 
         for batch in batches:
             for b, cells, n in zip(batch.column("block").to_pylist(), batch.column("cells"), batch.column("counts")):
                 if b != block:
-                    if block is not None and (counts >= least).any():
+                    if block is not None and (counts >= least[0]).any():
                         yield done()
                     block = b
                     counts[:] = 0
@@ -118,7 +119,7 @@ def _merge(least: int):
                 more = np.frombuffer(n.as_buffer(), "<u2").reshape(-1, 2)
                 add[more[:, 0]] = more[:, 1]
                 counts[at] = np.minimum(counts[at] + add, 1 << 30)
-        if block is not None and (counts >= least).any():
+        if block is not None and (counts >= least[0]).any():
             yield done()
     return run
 
@@ -140,11 +141,32 @@ class Bitmap:
         return out
 
 
+class Levels:
+    """How many of the sketch's thresholds a hash's estimated count reaches (one byte a cell, one row)."""
+
+    def __init__(self, log2: int, cells: np.ndarray):
+        self.log2, self.cells = log2, cells
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        return self.cells[cells_of(hashes, 0, self.log2)]
+
+
+def _blocks(rows: DataFrame, least: list[int]) -> DataFrame:
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(_merge(least), "block long, cells binary")
+
+
 def merged(spark: SparkSession, rows: DataFrame, log2: int, depth: int, least: int):
     """The broadcast bitmap of the merged sketch."""
-    blocks = rows.repartition("block").sortWithinPartitions("block").mapInArrow(_merge(least), "block long, bits binary")
     bits = np.zeros((depth, max(1 << log2, BLOCK) >> 3), np.uint8)
-    for r in blocks.toLocalIterator():
+    for r in _blocks(rows, [least]).toLocalIterator():
         at = (r["block"] & 0xFFFFFFFF) * (BLOCK >> 3)
-        bits[r["block"] >> 32, at:at + (BLOCK >> 3)] = np.frombuffer(r["bits"], np.uint8)
+        bits[r["block"] >> 32, at:at + (BLOCK >> 3)] = np.frombuffer(r["cells"], np.uint8)
     return spark.sparkContext.broadcast(Bitmap(log2, depth, bits))
+
+
+def levels(spark: SparkSession, rows: DataFrame, log2: int, thresholds: list[int]):
+    """The broadcast levels of a merged sketch of depth 1 (``2^log2`` bytes)."""
+    cells = np.zeros(max(1 << log2, BLOCK), np.uint8)
+    for r in _blocks(rows, thresholds).toLocalIterator():
+        cells[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(r["cells"], np.uint8)
+    return spark.sparkContext.broadcast(Levels(log2, cells))

@@ -320,7 +320,7 @@ def brute_groups(rows, n, percent):
     return Counter((rows[i][0], len(s), min(ids[root(i)], default=None)) for i, s in enumerate(sets))
 
 
-@pytest.mark.parametrize("n, percent, frequent", [(4, 85, 48), (5, 80, 48), (3, 60, 2)])
+@pytest.mark.parametrize("n, percent, frequent", [(4, 85, ngram_join.FREQUENT), (5, 80, ngram_join.FREQUENT), (3, 60, (2, 3, 9))])
 def test_similar_groups(spark, n, percent, frequent):
     import random
     r = random.Random(n)
@@ -339,7 +339,7 @@ def test_similar_groups(spark, n, percent, frequent):
         chain = chain[3:] + [f"tail{k}{j}" for j in range(3)]
         more.append(row(3000 + k, " ".join(chain)))
     df = awkward(spark).unionByName(spark.createDataFrame(more, SCHEMA))
-    out = ngram_join.similar_groups(df, n, percent, frequent_at=frequent).collect()
+    out = ngram_join.similar_groups(df, n, percent, frequent_at=frequent, short=5 if n == 3 else ngram_join.SHORT).collect()
     assert counted(out) == brute_groups(texts() + [(x[0], x[1]) for x in more], n, percent)
 
 
