@@ -1,12 +1,12 @@
 """Object-store file sources: CSV, JSON (array / object / JSON lines), text.
 
-Every reader returns rows plus ``source_file`` (the object name relative to the scanned
-folder). Files are read *line by line* — splittable, never one file in one row — except JSON
-array/object files, which are the only format that needs a whole-file parse.
+Every reader returns rows plus ``source_file`` (the object name relative to the scanned folder).
+A folder is listed and read by Spark's readers only: no path ever goes through the driver, and no
+file is opened again by a name taken from the data, so blanks, brackets and percent signs in names are safe.
 
-Where the first line of a file matters (CSV header, JSON-lines detection) it is found without
-a driver loop: rows of the split starting at byte 0 carry increasing ``monotonically_increasing_id``
-values in read order, so the file's first line is the minimum id among them.
+What belongs to a file as a whole (a CSV header, the kind of a JSON file) is a table with one row per file.
+It always stands on the right of a left, semi or anti join, so the rows of the files are never the broadcast side; whether
+it is broadcast is left to its measured size.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from typing import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType, VariantType
 
 from heliolake.functions.text import strip
 
@@ -25,55 +25,65 @@ class MissingSource(FileNotFoundError):
     """The bucket/root folder itself does not exist (an error, unlike an empty folder)."""
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+def _qualified(spark: SparkSession, root: str):
+    """The root as the file system names it, and whether it exists."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    return fs.makeQualified(p).toUri().getPath().rstrip("/"), bool(fs.exists(p))
 
 
-def _glob(folder: str, extension: str | None) -> str:
-    """Folder prefix (leading/trailing '/' stripped) + case-insensitive extension."""
-    folder = folder.rstrip("/")
-    if not extension or extension == "none":
-        return folder
-    ext = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension.lstrip("."))
-    return f"{folder}/*.{ext}"
+def _extension_glob(extension: str | None) -> str | None:
+    """File names by extension, in either case; ``none`` (or nothing) takes every file."""
+    if not extension or extension.lower() == "none":
+        return None
+    return "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension.lstrip("."))
 
 
-def _relative_name(root: str) -> Column:
-    """Object name relative to the scanned root (keeps sub-folders)."""
-    path = F.col("_metadata.file_path")
-    root_name = root.rstrip("/").split("/")[-1]
-    return F.regexp_extract(path, f"/{_re_escape(root_name)}/(.*)$", 1)
+def _reader(reader, extension: str | None):
+    reader = reader.option("recursiveFileLookup", "true")
+    glob = _extension_glob(extension)
+    return reader.option("pathGlobFilter", glob) if glob else reader
 
 
-def _re_escape(s: str) -> str:
-    import re
-    return re.escape(s)
+def _escaped(root: str) -> str:
+    """The folder's own name taken literally (Spark reads paths as globs)."""
+    return "".join("\\" + c if c in "[]{}*?\\" else c for c in root.rstrip("/"))
 
 
-def read_lines(spark: SparkSession, root: str, extension: str | None = None, *,
-               stream: bool = False, text_schema: StructType | None = None) -> DataFrame | None:
+def source_name(root_path: str, file_path: Column) -> Column:
+    """Object name relative to the scanned root (keeps sub-folders), percent signs decoded.
+
+    ``root_path`` is the path of the qualified root; it is stripped by its length, wherever its name occurs again.
+    """
+    path = F.regexp_replace(file_path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.substring(decoded, F.lit(len(root_path) + 2), F.length(decoded))
+
+
+def _load(reader, root: str) -> DataFrame | None:
+    try:
+        return reader.load(_escaped(root))
+    except Exception as e:  # noqa: BLE001 - an empty folder has no files to infer from
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER" in str(e) or "Unable to infer" in str(e):
+            return None
+        raise
+
+
+def read_lines(spark: SparkSession, root: str, extension: str | None = None, *, stream: bool = False) -> DataFrame | None:
     """Raw lines ``(value, source_file, _block, _path)`` split on ``\\n`` only (so a trailing
     ``\\r`` stays in the line and is stripped later, like Python's ``split('\\n')``).
 
     Returns None for an empty folder / no matching file (S14); raises MissingSource when the
     root itself is missing.
     """
-    if not _fs_exists(spark, root):
+    root_path, there = _qualified(spark, root)
+    if not there:
         raise MissingSource(root)
-    reader = (spark.readStream if stream else spark.read).format("text").option("lineSep", "\n") \
-        .option("recursiveFileLookup", "true")
-    if extension and extension != "none":
-        reader = reader.option("pathGlobFilter", _glob("", extension).lstrip("/"))
-    try:
-        df = reader.load(root.rstrip("/"))
-    except Exception as e:  # noqa: BLE001 - an empty folder has no files to infer from
-        if "PATH_NOT_FOUND" in str(e) or "Unable to infer" in str(e) or "UNABLE_TO_INFER" in str(e):
-            return None
-        raise
-    return df.select("value", _relative_name(root).alias(SOURCE_FILE),
+    reader = (spark.readStream if stream else spark.read).format("text").option("lineSep", "\n")
+    df = _load(_reader(reader, extension), root)
+    if df is None:
+        return None
+    return df.select("value", source_name(root_path, F.col("_metadata.file_path")).alias(SOURCE_FILE),
                      F.col("_metadata.file_block_start").alias("_block"),
                      F.col("_metadata.file_path").alias("_path"))
 
@@ -111,42 +121,63 @@ def _first_lines(lines: DataFrame, nonblank: bool = False) -> DataFrame:
     return src.groupBy("_path").agg(F.min_by("value", "_id").alias("_first"), F.min("_id").alias("_first_id"))
 
 
-def _unquote(c: Column) -> Column:
-    return F.regexp_replace(strip(c), '^"|"$', "")
+def _quotes(c: Column) -> Column:
+    return F.length(c) - F.length(F.replace(c, F.lit('"'), F.lit("")))
+
+
+_CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\u0000", "emptyValue": ""}
+
+
+def _csv_rows(spark: SparkSession, root: str, root_path: str, extension: str | None, width: int, multiline: bool, header: bool) -> DataFrame:
+    reader = _reader(spark.read.format("csv").schema(", ".join(f"c{i} string" for i in range(width))).options(**_CSV), extension)
+    reader = reader.option("header", str(header).lower()).option("enforceSchema", "true").option("multiLine", str(multiline).lower())
+    return reader.load(_escaped(root)).select(
+        F.array(*[F.col(f"c{i}") for i in range(width)]).alias("_fa"),
+        source_name(root_path, F.col("_metadata.file_path")).alias(SOURCE_FILE), F.col("_metadata.file_path").alias("_path"),
+        F.spark_partition_id().alias("_parse_task"))          # keeps the parse below later filters
+
+
+def _csv_heads(spark: SparkSession, root: str, root_path: str, extension: str | None, lines: DataFrame, multiline: bool) -> DataFrame:
+    """``(_path, _hdr)``: each file's header as a CSV record, from its first line.
+
+    A header with a line break inside quotes shows as an odd number of quotes; then the records themselves are asked.
+    """
+    first = _first_lines(lines).select("_path", F.col("_first").alias("_line"))
+    broken = multiline and not first.filter(_quotes(F.col("_line")) % 2 == 1).isEmpty()
+    if not broken:
+        most = (first.agg(F.max(F.length("_line") - F.length(F.replace("_line", F.lit(","), F.lit(""))))).first()[0] or 0) + 1
+        cells = F.from_csv(F.rtrim(F.col("_line"), F.lit("\r")), F.lit(", ".join(f"c{i} string" for i in range(most))), _CSV)
+        return first.select("_path", F.filter(F.array(*[cells[f"c{i}"] for i in range(most)]), lambda c: c.isNotNull()).alias("_hdr"))
+    most = (lines.agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(","), F.lit(""))))).first()[0] or 0) + 1
+    records = _csv_rows(spark, root, root_path, extension, most + 1, True, False).withColumn("_id", F.monotonically_increasing_id())
+    return (records.groupBy("_path").agg(F.min_by("_fa", "_id").alias("_hdr"))
+            .select("_path", F.filter("_hdr", lambda c: c.isNotNull()).alias("_hdr")))
 
 
 def read_csv(spark: SparkSession, root: str, columns: Mapping[str, tuple[str, object]], *,
-             extension: str | None = "csv") -> DataFrame:
+             extension: str | None = "csv", multiline: bool = True) -> DataFrame:
     """CSV files with a header. ``columns`` maps name -> (dtype, default-when-column-absent).
 
     Columns are matched by *header name per file* (files may differ); an absent column gives
     its default, extra columns are ignored. An empty or non-numeric value in a typed column,
     or a short row, rejects that row only (``_reject`` holds the reason).
 
-    The body is read by Spark's CSV reader (splittable; it drops each file's header line
-    itself) with positional string columns; each file's header — found from its first split —
-    maps names to positions. Only the widest header's size reaches the driver.
+    Quotes are a CSV reader's quotes: commas, doubled quotes and line breaks inside them belong to the field, in header and
+    body. ``multiline=False`` lets Spark split large files between lines; it is for folders whose fields are known to
+    hold no line breaks. Only the widest header's size reaches the driver.
     """
     names = list(columns)
     lines = read_lines(spark, root, extension)
     if lines is None:
         schema = ", ".join(f"{n} {columns[n][0]}" for n in names)
         return spark.createDataFrame([], f"{schema}, {SOURCE_FILE} string, _reject string")
-    hdr = F.transform(F.split(strip(F.col("_first")), ","), _unquote)
-    heads = _first_lines(lines).select("_path", hdr.alias("_hdr"))
+    root_path, _ = _qualified(spark, root)
+    heads = _csv_heads(spark, root, root_path, extension, lines, multiline)
+    heads = heads.select("_path", F.transform("_hdr", strip).alias("_hdr"))
     heads = heads.select("_path", *[F.array_position("_hdr", F.lit(n)).cast("int").alias(f"_pos{i}")
                                    for i, n in enumerate(names)], F.size("_hdr").alias("_width"))
     width = (heads.agg(F.max("_width")).first()[0] or 0) + 1
-    reader = (spark.read.schema(", ".join(f"c{i} string" for i in range(width)))
-              .option("header", "true").option("enforceSchema", "true").option("mode", "PERMISSIVE")
-              .option("nullValue", "\u0000").option("emptyValue", "").option("recursiveFileLookup", "true"))
-    if extension and extension != "none":
-        reader = reader.option("pathGlobFilter", _glob("", extension).lstrip("/"))
-    body = reader.csv(root.rstrip("/")).select(
-        F.array(*[F.col(f"c{i}") for i in range(width)]).alias("_fa"),
-        _relative_name(root).alias(SOURCE_FILE), F.col("_metadata.file_path").alias("_path"),
-        F.spark_partition_id().alias("_parse_task"))          # keeps the parse below later filters
-    rows = body.join(heads, "_path")
+    rows = _csv_rows(spark, root, root_path, extension, width, multiline, True).join(heads, "_path", "left")
     out_cols, problems = [], []
     for i, name in enumerate(names):
         dtype, default = columns[name]
@@ -164,57 +195,86 @@ def read_csv(spark: SparkSession, root: str, columns: Mapping[str, tuple[str, ob
     return rows.select(*out_cols, F.col(SOURCE_FILE), F.coalesce(*problems).alias("_reject"))
 
 
-def read_json(spark: SparkSession, root: str, *, extension: str | None = "json") -> DataFrame:
+_CORRUPT = "_corrupt_text"
+
+
+#: A JSON value beyond this many bytes cannot be looked into as one variant.
+VARIANT_LIMIT = 1 << 27
+LONG_LINE = 1 << 20
+
+
+def _json_fields(spark: SparkSession, root: str, extension: str | None, schema) -> StructType:
+    """Field names of the records, each kept as a variant (values, nested or not, keep their JSON types and nulls).
+
+    Given ``schema`` (a StructType or a DDL text) names them. Without it the whole files are read once
+    for the names in use; one too large for that raises and asks for ``schema``, so no field is lost.
+    """
+    if schema is not None:
+        names = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
+    else:
+        v = _reader(spark.read.format("json").option("singleVariantColumn", "v").option("multiLine", "true"), extension).load(_escaped(root))
+        large = F.col("v").isNull() & (F.col("_metadata.file_size") > VARIANT_LIMIT)
+        v = v.select(F.when(large, F.raise_error(F.concat(F.lit("give schema= to read a JSON file of this size: "), F.col("_metadata.file_path"))).cast("variant"))
+                     .otherwise(F.col("v")).alias("v"), F.spark_partition_id().alias("_parse_task"))
+        array = F.coalesce(F.schema_of_variant("v").startswith("ARRAY"), F.lit(False)) & (F.col("_parse_task") >= 0)
+        records = v.filter(array).select(F.explode(F.col("v").cast("array<variant>")).alias("v")).unionByName(v.filter(~array).select("v"))
+        keys = F.map_keys(F.from_json(F.to_json("v"), "map<string,variant>"))
+        names = sorted(r[0] for r in records.select(F.explode(keys).alias("k")).distinct().collect())
+    names = names or ["_none"]     # a folder without any object still needs a field to ask for
+    return StructType([StructField(n, VariantType()) for n in names] + [StructField(_CORRUPT, StringType())])
+
+
+def read_json(spark: SparkSession, root: str, *, extension: str | None = "json", schema=None) -> DataFrame:
     """JSON files holding an array, one object, or JSON lines.
 
-    Output ``(value string-JSON-object, source_file, _reject)``: one row per object. A file is
-    read as JSON lines when it has several non-blank lines and its first one parses alone;
-    otherwise the whole file is parsed (array -> one row per element, object -> one row) and,
-    if that fails, it falls back to JSON lines (bad lines rejected, blank lines dropped).
-    Non-object array elements are rejected rows.
+    Output ``(value string-JSON-object, source_file, _reject)``: one row per object. A file whose first non-blank
+    line is an object by itself, or begins with neither ``[`` nor ``{``, is JSON lines; any other is read whole by Spark's
+    streaming JSON reader, at any size. A whole file that does not parse falls back: its array is taken
+    element by element (elements that are not objects are rejected rows), or else its lines are.
+    Bad lines are rejected, blank lines dropped. ``schema`` names the fields and saves the inference.
     """
     lines = read_lines(spark, root, extension)
     if lines is None:
         return spark.createDataFrame([], f"value string, {SOURCE_FILE} string, _reject string")
-    nb = lines.filter(strip(F.col("value")) != "")
-    stats = nb.groupBy("_path").agg(F.count(F.lit(1)).alias("_n"))
-    first = _first_lines(lines, nonblank=True).select("_path", F.try_parse_json(F.col("_first")).isNotNull().alias("_first_ok"))
-    cls = stats.join(first, "_path", "left").withColumn(
-        "_mode", F.when((F.col("_n") > 1) & F.coalesce(F.col("_first_ok"), F.lit(False)), F.lit("lines")).otherwise(F.lit("whole")))
-    whole_paths = [r["_path"] for r in cls.filter(F.col("_mode") == "whole").select("_path").collect()]
-
-    out = None
-    if whole_paths:
-        w = (spark.read.text(whole_paths, wholetext=True)
-             .select(F.col("value"), F.col("_metadata.file_path").alias("_path")))
-        w = w.join(lines.select("_path", SOURCE_FILE).dropDuplicates(["_path"]), "_path")
-        # a whole file must end where its array/object ends (the parser ignores trailing text)
-        parsed = F.when(F.col("value").rlike(r"[\]\}]\s*$"), F.try_parse_json(F.col("value")))
-        w = w.withColumn("_v", parsed).withColumn("_parse_task", F.spark_partition_id())
-        w = w.withColumn("_kind", F.when(F.col("_parse_task") >= 0, F.schema_of_variant("_v")))
-        arrays = (w.filter(F.col("_kind").startswith("ARRAY"))
-                  .select(SOURCE_FILE, F.explode(F.col("_v").cast("array<variant>")).alias("_e")))
-        arrays = arrays.select(F.to_json("_e").alias("value"), SOURCE_FILE,
-                               F.when(~F.schema_of_variant("_e").startswith("OBJECT"), F.lit("not_an_object")).alias("_reject"))
-        objects = w.filter(F.col("_kind").startswith("OBJECT")).select(
-            F.to_json("_v").alias("value"), SOURCE_FILE, F.lit(None).cast("string").alias("_reject"))
-        failed = w.filter(F.col("_v").isNull() | ~(F.col("_kind").startswith("ARRAY") | F.col("_kind").startswith("OBJECT")))
-        out = arrays.unionByName(objects)
-        fallback_paths = failed.select("_path")
-    else:
-        fallback_paths = None
-    line_files = cls.filter(F.col("_mode") == "lines").select("_path")
-    if fallback_paths is not None:
-        line_files = line_files.unionByName(fallback_paths)
-    line = strip(F.col("value"))
-    lv = (nb.join(line_files, "_path", "left_semi")
-          .withColumn("_v", F.when(line.endswith("}"), F.try_parse_json(line)))   # no trailing text
-          .withColumn("_parse_task", F.spark_partition_id()))      # parse once, below later filters
-    lrows = lv.select(F.when(F.col("_v").isNotNull(), F.to_json("_v")).alias("value"), SOURCE_FILE,
-                      F.when(F.col("_v").isNull(), F.lit("invalid_json_line"))
-                      .when(~F.schema_of_variant("_v").startswith("OBJECT"), F.lit("not_an_object"))
-                      .when(F.col("_parse_task") < 0, F.lit("unreachable")).alias("_reject"))
-    return lrows if out is None else out.unionByName(lrows)
+    root_path, _ = _qualified(spark, root)
+    # a first line of this length is told by its ends alone
+    ends = F.when(F.length("value") > LONG_LINE, F.concat(F.left(F.ltrim("value"), F.lit(1)), F.lit("..."), F.right(F.rtrim("value"), F.lit(1)))).otherwise(F.col("value"))
+    first = strip(F.col("_first"))
+    is_object = F.when(first.startswith("{...") , F.lit(True)).otherwise(F.coalesce(F.schema_of_variant(F.try_parse_json(first)).startswith("OBJECT"), F.lit(False)))
+    alone = first.endswith("}") & is_object
+    kinds = _first_lines(lines.withColumn("value", ends), nonblank=True).select("_path", (alone | ~F.substring(first, 1, 1).isin("[", "{")).alias("_lines"))
+
+    fields = _json_fields(spark, root, extension, schema)
+    names = [n for n in fields.names if n != _CORRUPT]
+    record = F.to_json(F.struct(*[F.col(f"`{n}`") for n in names]))
+    whole = _reader(spark.read.format("json").schema(fields).option("multiLine", "true").option("columnNameOfCorruptRecord", _CORRUPT), extension)
+    whole = (whole.load(_escaped(root)).select(record.alias("value"), F.col(_CORRUPT), F.col("_metadata.file_path").alias("_path"),
+                                              source_name(root_path, F.col("_metadata.file_path")).alias(SOURCE_FILE),
+                                              F.spark_partition_id().alias("_parse_task"))
+             .join(kinds.filter(~F.col("_lines")), "_path", "left_semi"))
+    # a whole file must end where its array or object ends (the parser ignores trailing text)
+    whole = whole.withColumn("_v", F.when(F.col(_CORRUPT).rlike(r"\]\s*$"), F.try_parse_json(F.col(_CORRUPT))))
+    is_array = F.coalesce(F.schema_of_variant("_v").startswith("ARRAY"), F.lit(False)) & (F.col("_parse_task") >= 0)
+    row = lambda value, reject, line: F.struct(value.alias("value"), reject.alias("_reject"), line.alias("_line"))
+    none = F.lit(None).cast("string")
+    elements = F.transform(F.col("_v").cast("array<variant>"), lambda e: row(
+        F.to_json(e), F.when(~F.schema_of_variant(e).startswith("OBJECT"), F.lit("not_an_object")), F.lit(None).cast("string")))
+    torn = F.transform(F.split(_CORRUPT, "\n"), lambda line: row(F.lit(None).cast("string"), F.lit(None).cast("string"), line))
+    found = F.when(F.col(_CORRUPT).isNull(), F.array(row(F.col("value"), none, none))).when(is_array, elements).otherwise(torn)
+    whole = whole.select(SOURCE_FILE, F.explode(found).alias("r")).select(SOURCE_FILE, "r.*")
+
+    plain = lines.join(kinds.filter(~F.col("_lines")), "_path", "left_anti").select("value", SOURCE_FILE)
+    # the lines of line files and of whole files that do not parse go the same way
+    rows = whole.unionByName(plain.select(SOURCE_FILE, none.alias("value"), none.alias("_reject"), F.col("value").alias("_line")))
+    line = strip(F.col("_line"))
+    parsed = (rows.filter(F.col("_line").isNull() | (line != ""))
+              .withColumn("_v", F.when(line.endswith("}"), F.try_parse_json(line)))   # no trailing text
+              .withColumn("_parse_task", F.spark_partition_id()))      # parse once, below later filters
+    return parsed.select(
+        F.when(F.col("_line").isNull(), F.col("value")).when(F.col("_v").isNotNull(), F.to_json("_v")).alias("value"), SOURCE_FILE,
+        F.when(F.col("_line").isNull(), F.col("_reject")).when(F.col("_v").isNull(), F.lit("invalid_json_line"))
+        .when(~F.schema_of_variant("_v").startswith("OBJECT"), F.lit("not_an_object"))
+        .when(F.col("_parse_task") < 0, F.lit("unreachable")).alias("_reject"))
 
 
 def with_source(df: DataFrame, value_col: str = "value") -> Column:
@@ -230,29 +290,48 @@ def preview(df: DataFrame, n: int = 100, order_by=None) -> DataFrame:
 
 def folder_stats(spark: SparkSession, root: str, extension: str | None = None) -> DataFrame:
     """Number of matching files and their total size (from file metadata only)."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if extension and extension != "none":
-        reader = reader.option("pathGlobFilter", _glob("", extension).lstrip("/"))
-    df = reader.load(root.rstrip("/")).select("length")
-    return df.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    df = _load(_reader(spark.read.format("binaryFile"), extension), root)
+    sizes = df.select("length") if df is not None else spark.createDataFrame([], "length long")
+    return sizes.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
 
 
 def csv_preview(spark: SparkSession, root: str, n: int = 100, extension: str = "csv") -> tuple[list[str], DataFrame, DataFrame]:
     """``(header, first n rows of the first CSV file by name, folder stats)``.
 
-    Only the first file is opened for rows; the limit is the feature (a preview). The header
-    comes from that file's first line; counts and sizes come from file metadata only.
+    The first file is picked from file metadata; a filter on it prunes the others, so only that file is read for
+    rows. The limit is the feature (a preview).
     """
     stats = folder_stats(spark, root, extension)
-    lines = read_lines(spark, root, extension)
-    if lines is None:
+    listed = _load(_reader(spark.read.format("binaryFile"), extension), root)
+    first = listed.agg(F.min("_metadata.file_path")).first()[0] if listed is not None else None
+    if first is None:
         return [], spark.createDataFrame([], "value string"), stats
-    first_path = lines.agg(F.min("_path")).first()[0]
-    header = _first_lines(lines.filter(F.col("_path") == first_path)).select("_first").first()[0]
-    cols = [c.strip().strip('"') for c in header.split(",")]
-    rows = (spark.read.option("header", "true").schema(", ".join(f"`{c}` string" for c in cols))
-            .csv(first_path).limit(n))
-    return cols, rows, stats
+    plain = _reader(spark.read.format("text"), extension).load(_escaped(root))
+    widest = plain.filter(F.col("_metadata.file_path") == first).agg(
+        F.max(F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))))
+    width = (widest.first()[0] or 0) + 1
+    reader = _reader(spark.read.format("csv").schema(", ".join(f"c{i} string" for i in range(width))).options(**_CSV).option("multiLine", "true"), extension)
+    rows = reader.load(_escaped(root)).filter(F.col("_metadata.file_path") == first)
+    numbered = rows.withColumn("_id", F.monotonically_increasing_id()).orderBy("_id").limit(n + 1)
+    head = numbered.first()
+    header = [c.strip() for c in head[:width] if c is not None] if head else []
+    body = numbered.filter(F.col("_id") > (head["_id"] if head else -1)).orderBy("_id").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(header)])
+    return header, body, stats
+
+
+def folder_topic(spark: SparkSession, root: str, topic: str, file_format: str = "json", *, columns: Mapping[str, tuple[str, object]] | None = None,
+                 schema=None, timestamp: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """S5-S11 + F29 + K1: every record of a folder as a message: ``(messages, rejected rows)``.
+
+    The key is the file's name, and the value is the record with ``source_file`` merged in (the file's name wins).
+    """
+    from heliolake.sources.topic import as_topic
+    df = read_folder(spark, root, file_format, columns=columns, schema=schema)
+    if "_reject" not in df.columns:
+        df = df.withColumn("_reject", F.lit(None).cast("string"))
+    good = df.filter(F.col("_reject").isNull()).drop("_reject")
+    value = with_source(good) if (file_format or "").lower().lstrip(".") == "json" else F.to_json(F.struct(*good.columns))
+    return (as_topic(good, key=F.col(SOURCE_FILE), value=value, topic=topic, timestamp=timestamp), df.filter(F.col("_reject").isNotNull()))
 
 
 # ---- fixed values: the printer-temperature CSV layout and its defaults for absent columns ----
@@ -267,7 +346,7 @@ PRINTER_COLUMNS = {
 
 
 def read_folder(spark: SparkSession, root: str, file_format: str = "none", *,
-                columns: Mapping[str, tuple[str, object]] | None = None,
+                columns: Mapping[str, tuple[str, object]] | None = None, schema=None,
                 max_rows: int | None = None) -> DataFrame:
     """S5–S14 as one source: dispatch on the configured format like the bucket source does.
 
@@ -280,7 +359,7 @@ def read_folder(spark: SparkSession, root: str, file_format: str = "none", *,
     if fmt == "csv":
         df = read_csv(spark, root, columns or PRINTER_COLUMNS)
     elif fmt == "json":
-        df = read_json(spark, root)
+        df = read_json(spark, root, schema=schema)
     else:
         df = read_text(spark, root, None if fmt == "none" else fmt)
     return df.limit(max_rows) if max_rows is not None else df

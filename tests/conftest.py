@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     from heliolake.session import build_session
     ckpt = str(tmp_path_factory.mktemp("ckpt"))
     s = build_session("local[4]", app_name="heliolake-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
     s.sparkContext.setCheckpointDir(ckpt)
     yield s
     s.stop()

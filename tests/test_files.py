@@ -90,3 +90,67 @@ def test_read_folder_dispatch_and_cap(spark, bucket):
     assert FS.read_folder(spark, bucket, "csv", max_rows=2).count() == 2
     everything = FS.read_folder(spark, bucket, "none")          # every file as text lines
     assert everything.filter("source_file = 'a.csv'").count() == 5
+
+
+def _write(root, files):
+    os.makedirs(root, exist_ok=True)
+    for name, data in files.items():
+        os.makedirs(os.path.dirname(os.path.join(root, name)), exist_ok=True)
+        with open(os.path.join(root, name), "wb") as f:
+            f.write(data)
+
+
+def test_names_with_blanks_brackets_and_repeated_folders(spark, scratch):
+    root = os.path.join(scratch, "my data[1]", "data")
+    _write(root, {"a b.json": b'[{"x":1}]', "a[1].json": b'{"x":2}\n{"x":3}', "data/c%20d+e.json": b'{"x":4}', "q u.csv": b"h,i\n1,2\n", "t{1}.txt": b"hi"})
+    got = sorted((r.source_file, r.value, r._reject) for r in FS.read_json(spark, root).collect())
+    assert got == [("a b.json", '{"x":1}', None), ("a[1].json", '{"x":2}', None), ("a[1].json", '{"x":3}', None), ("data/c%20d+e.json", '{"x":4}', None)]
+    assert [tuple(r) for r in FS.read_csv(spark, root, {"i": ("int", 0)}).collect()] == [(2, "q u.csv", None)]
+    cols, rows, stats = FS.csv_preview(spark, root)
+    assert cols == ["h", "i"] and [tuple(r) for r in rows.collect()] == [("1", "2")] and stats.first().files == 1
+    assert [tuple(r) for r in FS.read_text(spark, root, "txt").collect()] == [("hi", "t{1}.txt")]
+
+
+def test_csv_quotes(spark, scratch):
+    root = os.path.join(scratch, "csv")
+    _write(root, {"a.csv": b'a,"b, unit",c\r\n1,"x\ny",3\r\n2,"he said ""hi"", ok",4\r\n\r\n5,plain,6\r\n', "b.csv": b'"c","a","b, unit"\n7,8,z\n'})
+    rows = sorted(tuple(r) for r in FS.read_csv(spark, root, {"a": ("int", 0), "b, unit": ("string", ""), "c": ("int", 0)}).collect())
+    assert rows == [(1, "x\ny", 3, "a.csv", None), (2, 'he said "hi", ok', 4, "a.csv", None), (5, "plain", 6, "a.csv", None), (8, "z", 7, "b.csv", None)]
+    _write(root, {"c.csv": b'"a","two\nlines",c\n9,w,10\n'})
+    rows = FS.read_csv(spark, root, {"a": ("int", 0), "two\nlines": ("string", "none"), "c": ("int", 0)})
+    assert (9, "w", 10, "c.csv", None) in {tuple(r) for r in rows.collect()} and rows.count() == 5
+
+
+def test_json_keeps_nulls_types_and_broken_files(spark, scratch):
+    root = os.path.join(scratch, "json")
+    _write(root, {"n.json": b'[{"a":null,"b":1.50,"c":{"d":[1,"x",null]}},{"b":"t"}]', "torn.json": b'[{"a":1},\n{"a":2}\n', "mix.json": b'[{"a":1}, 3, {"a":4}]', "e.json": b"[]"})
+    got = sorted(((r.source_file, r.value, r._reject) for r in FS.read_json(spark, root).collect()), key=str)
+    assert ("n.json", '{"a":null,"b":1.5,"c":{"d":[1,"x",null]}}', None) in got or ("n.json", '{"a":null,"b":1.50,"c":{"d":[1,"x",null]}}', None) in got
+    assert ("n.json", '{"b":"t"}', None) in got
+    assert [(v, r) for f, v, r in got if f == "mix.json" and r is None] == [('{"a":1}', None), ('{"a":4}', None)]
+    assert [r for f, v, r in got if f == "mix.json" and r] == ["not_an_object"]
+    assert sorted((v, r) for f, v, r in got if f == "torn.json" and r is None) == [('{"a":2}', None)]
+    assert not [f for f, *_ in got if f == "e.json"]
+
+
+def test_json_array_beyond_the_variant_limit(spark, scratch):
+    root = os.path.join(scratch, "big")
+    os.makedirs(root)
+    n, pad = 150_000, "p" * 930
+    with open(os.path.join(root, "big.json"), "w") as f:
+        f.write("[")
+        for i in range(n):
+            f.write(("," if i else "") + '{"i":%d,"pad":"%s"}' % (i, pad))
+        f.write("]")
+    assert os.path.getsize(os.path.join(root, "big.json")) > 134_217_728
+    df = FS.read_json(spark, root, schema="i int, pad string")
+    assert df.filter("_reject is null").count() == n and df.filter("_reject is not null").count() == 0
+
+
+def test_folder_to_topic(spark, bucket):
+    messages, rejected = FS.folder_topic(spark, bucket, "files", "json")
+    rows = sorted((r.key.decode(), r.value) for r in messages.select("key", "value").collect())
+    assert len(rows) == 10 and ("obj.json", '{"o":1,"source_file":"obj.json"}') in rows
+    assert all(f'"source_file":"{k}"' in v for k, v in rows) and rejected.count() == 4
+    text, none = FS.folder_topic(spark, bucket, "files", "txt")
+    assert sorted(r.value for r in text.collect())[0] == '{"content":"hello","source_file":"t1.txt"}' and none.count() == 0
