@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heliolake.functions.signals import inverter_status
+from heliolake.functions.scalars import inverter_status
 from heliolake.functions.text import panel_id
 from heliolake.functions.timefn import timestamp_to_ns
 from heliolake.sources.topic import as_topic

@@ -1,89 +1,18 @@
-"""Scalar-function queries: expected signals, weather helpers, identifiers, paths, rounding."""
+"""Scalar-function queries: identifiers, paths, rounding."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from heliolake.functions import signals as S
+from heliolake.functions import scalars as S
 from heliolake.functions.text import data_path, panel_id, topic_path
-from heliolake.functions.timefn import hour_of_day, timestamp_to_ns
-from heliolake.operators.signals import expected_signals
 from heliolake.plans.registry import register
+from heliolake.sinks.transport import http_requests, mqtt_messages
+from heliolake.sources.topic import as_topic
+from heliolake.streaming.jobs import tap
+from heliolake.streaming.delivery import Backpressure, DeliveryPolicy, deliveries
 from heliolake.tables import table
 
-_HOUR = "((epoch_us(ts) // 1000000) % 86400) / 3600.0"
-_GAUSS = f"exp(-0.5 * power(abs({_HOUR} - 12.0) / 4.0, 2))"
-_INTENSITY = f"""(CASE WHEN {_HOUR} < 5.0 OR {_HOUR} > 19.0 THEN 0.0
-      WHEN {_HOUR} < 6.0 THEN {_GAUSS} * ({_HOUR} - 5.0)
-      WHEN {_HOUR} >= 18.0 THEN {_GAUSS} * (19.0 - {_HOUR})
-      ELSE {_GAUSS} END)"""
-_TEMP = f"(25.0 + i * 15.0 + 0.5 * (h - 12.0) / 6.0)"
-
-
-@register("expected_signals", "F8 F9 F10 F11 F12 F13 F14 F15 F16 F19 W2", oracle=f"""
-WITH b AS (
-  SELECT event_id, user_id, {_HOUR} AS h, {_INTENSITY} AS i,
-         epoch_us(ts) // 1000000 - min(epoch_us(ts) // 1000000) OVER (PARTITION BY user_id) AS age_s
-  FROM events),
-c AS (SELECT *, {_TEMP} AS t, 1.0 - age_s * 0.0125 / (365 * 24 * 3600) AS degr FROM b),
-d AS (SELECT *, greatest(0.0, 250.0 * i * degr * (1.0 - 0.004 * (t - 25.0))) AS p,
-             greatest(0.0, 24.0 * (1.0 - 0.002 * (t - 25.0))) AS v FROM c)
-SELECT event_id, round(h, 6) AS hour, round(i, 6) AS intensity, round(t, 6) AS expected_temperature,
-       round(p, 6) AS expected_power, round(greatest(0.0, 800.0 * i), 6) AS expected_irradiance,
-       round(v, 6) AS expected_voltage,
-       round(CASE WHEN v > 0 THEN p / v ELSE 0.0 END, 6) AS expected_current,
-       CASE WHEN p > 0 THEN 'OK' ELSE 'STANDBY' END AS expected_status
-FROM d
-""")
-def expected_signals_q(spark: SparkSession, root: str) -> DataFrame:
-    """Expected power/irradiance/voltage/current/status for every reading (panel = user_id)."""
-    ev = table(spark, root, "events").select("event_id", "user_id", "ts")
-    r = ev.withColumn("timestamp", timestamp_to_ns("ts"))
-    out = expected_signals(r, panel_col="user_id", time_col="ts")
-    cols = ["hour", "intensity", "expected_temperature", "expected_power", "expected_irradiance",
-            "expected_voltage", "expected_current"]
-    return out.select("event_id", *[F.round(c, 6).alias(c) for c in cols], "expected_status")
-
-
-@register("weather_factors", "F8 F16 F22 F23 F24", oracle="""
-WITH w AS (
-  SELECT o_orderkey,
-         ((epoch_us(o_orderdate) // 1000000) % 86400) / 3600.0 AS h,
-         [5, 5, 8, 12, 16, 19, 22, 21, 18, 14, 9, 6][month(o_orderdate)] AS base_temp,
-         ['clear','partly_cloudy','cloudy','overcast','light_rain','moderate_rain','heavy_rain',
-          'thunderstorm','fog','mist'] AS conds,
-         CAST(o_orderkey % 10 AS INTEGER) AS idx,
-         (o_totalprice % 1000) / 1000.0 - 0.5 AS trend
-  FROM orders)
-SELECT o_orderkey,
-       round(sin((h - 6.0) * pi() / 12.0) * 0.5 + 0.5, 6) AS diurnal,
-       CAST(base_temp AS DOUBLE) AS base_temp,
-       round(CAST(base_temp AS DOUBLE) + 8.0 * (sin((h - 6.0) * pi() / 12.0) * 0.5 + 0.5), 6) AS temperature,
-       conds[idx + 1] AS condition,
-       conds[least(greatest(idx + CAST(trunc(trend * 2.0) AS INTEGER), 0), 9) + 1] AS next_condition,
-       round(least(11.0, greatest(0.0, (sin((h - 6.0) * pi() / 12.0) * 0.5 + 0.5) * 10.0)), 6) AS uv_index
-FROM w
-""")
-def weather_factors(spark: SparkSession, root: str) -> DataFrame:
-    """Weather helpers on every order date: diurnal factor, month base temperature, ordinal
-    condition shift by a trend (from o_totalprice), UV clamp."""
-    o = table(spark, root, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    h = hour_of_day(timestamp_to_ns("o_orderdate"))
-    conds = F.array(*[F.lit(c) for c in S.WEATHER_CONDITIONS])
-    idx = F.pmod(F.col("o_orderkey"), F.lit(10)).cast("int")
-    cond = F.element_at(conds, idx + 1)
-    trend = F.pmod(F.col("o_totalprice"), F.lit(1000.0)) / F.lit(1000.0) - F.lit(0.5)
-    diurnal = S.diurnal_factor(h)
-    base = S.month_base_temperature("o_orderdate")
-    return o.select("o_orderkey",
-                    F.round(diurnal, 6).alias("diurnal"),
-                    base.alias("base_temp"),
-                    F.round(base + F.lit(8.0) * diurnal, 6).alias("temperature"),
-                    cond.alias("condition"),
-                    S.shift_condition(cond, trend).alias("next_condition"),
-                    F.round(S.uv_index(diurnal), 6).alias("uv_index"))
-
-
 @register("panel_code", "F21 F20", oracle="""
 SELECT c_custkey, upper(c_mktsegment) || '-P' || lpad(CAST(c_custkey AS VARCHAR),
        greatest(4, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') AS panel_id
@@ -99,7 +28,39 @@ _ROUTE_LOC = """CASE CAST(json_extract(props, '$.k') AS INTEGER) % 10 WHEN 6 THE
                     WHEN 7 THEN NULL ELSE upper(event_type) END"""
 
 
-@register("route_path", "F25 F26 K8 K9", oracle=f"""
+class _Counting:
+    """A sender that accepts everything."""
+
+    def __call__(self, records: list) -> None:
+        if not records:
+            raise ValueError("an empty chunk was sent")
+
+
+class _Unsteady:
+    """An endpoint that fails by the record's id, a fixed number of times."""
+
+    def __init__(self):
+        self.calls: dict[int, int] = {}
+
+    def __call__(self, records: list) -> None:
+        for (i,) in records:
+            n = self.calls[i] = self.calls.get(i, 0) + 1
+            lost, busy, quota = 2 * (i % 5 == 0), 3 * (i % 7 == 0), i % 11 == 0
+            if n <= lost:
+                raise ConnectionError("connection lost")
+            if n <= lost + busy:
+                raise Backpressure(0.0)
+            if n <= lost + busy + quota:
+                raise RuntimeError("Quota exceeded for this minute")
+
+
+def _routed(spark: SparkSession, root: str) -> DataFrame:
+    k = F.pmod(F.get_json_object("props", "$.k").try_cast("int"), F.lit(10))
+    loc = F.when(k == 6, F.lit("")).when(k == 7, F.lit(None).cast("string")).otherwise(F.upper("event_type"))
+    return table(spark, root, "events").select("event_id", "user_id", loc.alias("loc"))
+
+
+@register("route_path", "F25 F26", oracle=f"""
 SELECT event_id,
        CASE WHEN loc IS NULL OR loc = '' THEN 'http://api.local/data/' ELSE 'http://api.local/data/' || loc END AS url,
        CASE WHEN loc IS NULL THEN NULL ELSE 'solar/' || loc END AS mqtt_topic
@@ -108,10 +69,7 @@ FROM (SELECT event_id, {_ROUTE_LOC} AS loc FROM events)
 def route_path(spark: SparkSession, root: str) -> DataFrame:
     """HTTP path by location (keyless path when empty) and MQTT topic ``root/key`` (NULL key
     -> NULL topic, a reject). Some keys are blanked/nulled by a rule on props.k."""
-    ev = table(spark, root, "events")
-    k = F.pmod(F.get_json_object("props", "$.k").try_cast("int"), F.lit(10))
-    loc = F.when(k == 6, F.lit("")).when(k == 7, F.lit(None).cast("string")).otherwise(F.upper("event_type"))
-    e = ev.select("event_id", loc.alias("loc"))
+    e = _routed(spark, root)
     return e.select("event_id", data_path("http://api.local", F.col("loc")).alias("url"),
                     topic_path("solar", F.encode(F.col("loc"), "UTF-8")).alias("mqtt_topic"))
 
@@ -134,3 +92,56 @@ def round_trunc(spark: SparkSession, root: str) -> DataFrame:
                      S.round_int("l_quantity").alias("qty_int"),
                      F.round(S.safe_divide("l_extendedprice", "l_discount"), 6).alias("price_per_discount"),
                      F.round(S.clamp(F.col("l_discount") * F.lit(10.0), 0.2, 0.8), 6).alias("discount_clamped"))
+
+
+@register("http_bodies", "K8 F25", oracle=f"""
+SELECT event_id, CASE WHEN loc IS NULL OR loc = '' THEN 'http://api.local/data/' ELSE 'http://api.local/data/' || loc END AS url,
+       '{{"event_id":' || event_id || ',"user_id":' || user_id || CASE WHEN loc IS NULL THEN '' ELSE ',"location_id":"' || loc || '"' END || '}}' AS body
+FROM (SELECT event_id, user_id, {_ROUTE_LOC} AS loc FROM events)
+""")
+def http_bodies(spark: SparkSession, root: str) -> DataFrame:
+    """What is sent over HTTP: the path by location and the whole record as JSON, delivered by an in-process sender."""
+    e = _routed(spark, root).withColumnRenamed("loc", "location_id")
+    shaped = http_requests(e, "http://api.local", body_cols=["event_id", "user_id", "location_id"])
+    sent = deliveries(shaped, _Counting, ["url", "body"])
+    return sent.select(F.get_json_object("body", "$.event_id").cast("bigint").alias("event_id"), "url", "body")
+
+
+@register("mqtt_payloads", "K9 F26", oracle=f"""
+SELECT event_id, 'solar/' || loc AS topic, '{{"event_id":' || event_id || '}}' AS payload, NULL AS reject
+FROM (SELECT event_id, {_ROUTE_LOC} AS loc FROM events) WHERE loc IS NOT NULL
+UNION ALL
+SELECT event_id, NULL, '{{"event_id":' || event_id || '}}', 'bad_key' FROM (SELECT event_id, {_ROUTE_LOC} AS loc FROM events) WHERE loc IS NULL
+""")
+def mqtt_payloads(spark: SparkSession, root: str) -> DataFrame:
+    """What is published: ``root/key`` and the message's own value; a message without a key is a rejected row."""
+    e = _routed(spark, root)
+    envelope = as_topic(e, key="loc", value=F.to_json(F.struct("event_id")), topic="readings", offset=F.col("event_id"))
+    messages = mqtt_messages(envelope, "solar")
+    sent = deliveries(messages.filter(F.col("_reject").isNull()), _Counting, ["topic", "payload"])
+    both = sent.select("topic", "payload", F.lit(None).cast("string").alias("reject")).unionByName(
+        messages.filter(F.col("_reject").isNotNull()).select("topic", "payload", F.col("_reject").alias("reject")))
+    return both.select(F.get_json_object("payload", "$.event_id").cast("bigint").alias("event_id"), "topic", "payload", "reject")
+
+
+@register("delivery_attempts", "T3 T4 T5", oracle="""
+SELECT event_id, 1 + (CASE WHEN event_id % 5 = 0 THEN 2 ELSE 0 END) + (CASE WHEN event_id % 7 = 0 THEN 3 ELSE 0 END) + (CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END) AS calls
+FROM events
+""")
+def delivery_attempts(spark: SparkSession, root: str) -> DataFrame:
+    """Calls that each record took against an endpoint that fails by rule: two lost connections (retried), three
+    refusals for load (waited out, not counted as failures), one quota message (told by its text)."""
+    ev = table(spark, root, "events").select("event_id")
+    policy = DeliveryPolicy(attempts=3, retry_wait_s=0.0, backpressure_wait_s=0.0)
+    return deliveries(ev, _Unsteady, ["event_id"], policy, chunk_size=1).select("event_id", "calls")
+
+
+@register("observed_counts", "P4 A8", oracle="""
+SELECT count(*) AS rows, count(*) FILTER (value > 0) AS positive, round(sum(value), 4) AS total FROM events
+""")
+def observed_counts(spark: SparkSession, root: str) -> DataFrame:
+    """A tap counts the rows that pass while they are used for something else; nothing is read twice."""
+    seen = Observation("tap")
+    ev = table(spark, root, "events").select("value")
+    total = tap(ev, seen, F.count_if(F.col("value") > 0).alias("positive")).agg(F.round(F.sum("value"), 4).alias("total")).first()["total"]
+    return spark.createDataFrame([(seen.get["rows"], seen.get["positive"], total)], "rows long, positive long, total double")

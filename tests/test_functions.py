@@ -4,33 +4,12 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from heliolake.functions import signals as S
+from heliolake.functions import scalars as S
 from heliolake.functions.text import panel_id, strip, zfill, data_path, topic_path
 from heliolake.functions.timefn import hour_of_day, ns_to_timestamp, iso_utc, event_time, floor_div
 from heliolake.functions.presentation import map_values, threshold_colour, STATUS_TEXT, STATUS_STEPS, LEVEL_STEPS
 
 
-def py_intensity(hour):
-    delta = abs(hour - 12.0)
-    intensity = math.exp(-0.5 * (delta / 4.0) ** 2)
-    if hour < 5 or hour > 19:
-        return 0.0
-    if 5 <= hour < 6:
-        return intensity * (hour - 5)
-    if 18 <= hour <= 19:
-        return intensity * (19 - hour)
-    return intensity
-
-
-def test_solar_intensity_edges(spark):
-    hours = [0.0, 4.999, 5.0, 5.5, 6.0, 12.0, 17.999, 18.0, 18.5, 19.0, 19.001, 23.9]
-    df = spark.createDataFrame([(h,) for h in hours], "h double")
-    got = [r[0] for r in df.select(S.solar_intensity("h")).collect()]
-    for h, g in zip(hours, got):
-        assert g == pytest.approx(py_intensity(h), abs=1e-12), h
-    assert df.select(S.solar_intensity(F.lit(None).cast("double"))).first()[0] is None
-
-
 def test_hour_of_day_and_ns(spark):
     ns = 1754900000123456789
     row = spark.createDataFrame([(ns,)], "ns long").select(
@@ -102,18 +81,6 @@ def test_paths(spark):
     assert [x[1] for x in r] == ["root/PARIS", None, None]
 
 
-def test_weather_helpers(spark):
-    df = spark.createDataFrame([("clear", 0.4), ("clear", -0.9), ("fog", 0.9), ("mist", 0.49), ("hail", 0.0)],
-                               "c string, t double")
-    r = [x[0] for x in df.select(S.shift_condition("c", "t")).collect()]
-    assert r == ["clear", "clear", "mist", "mist", None]   # int(0.8)=0, clamp at both ends, unknown -> NULL
-    m = spark.createDataFrame([("2024-01-15 00:00:00",), ("2024-07-01 00:00:00",)], "d string").select(
-        S.month_base_temperature(F.col("d").cast("timestamp"))).collect()
-    assert [x[0] for x in m] == [5.0, 22.0]
-    d = spark.createDataFrame([(12.0,), (0.0,)], "h double").select(S.diurnal_factor("h")).collect()
-    assert d[0][0] == pytest.approx(1.0) and d[1][0] == pytest.approx(0.0)
-
-
 def test_value_mapping_and_thresholds(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (0.5,), (None,), (85.0,)], "v double")
     r = df.select(map_values("v", STATUS_TEXT), threshold_colour("v", STATUS_STEPS),

@@ -6,7 +6,7 @@ import math
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from heliolake.functions import signals as S
+from heliolake.functions import scalars as S
 from heliolake.operators.codec import Field, decode
 
 VALUE = st.one_of(st.none(), st.integers(-1000, 1000), st.floats(-1e6, 1e6, allow_nan=False),
@@ -48,43 +48,8 @@ def test_lookup_rules_match_python(spark, payloads):
         assert (r._reject == "bad_g") == bad
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.floats(0.0, 24.0, allow_nan=False))
-def test_day_curve_matches_python(spark, h):
-    delta = abs(h - 12.0)
-    g = math.exp(-0.5 * (delta / 4.0) ** 2)
-    want = 0.0 if (h < 5 or h > 19) else g * (h - 5) if h < 6 else g * (19 - h) if h >= 18 else g
-    got = spark.createDataFrame([(h,)], "h double").select(S.solar_intensity("h")).first()[0]
-    assert math.isclose(got, want, rel_tol=1e-12, abs_tol=1e-12)
-
-
 @settings(max_examples=40, deadline=None)
 @given(st.one_of(st.none(), st.floats(-100, 100, allow_nan=False)), st.floats(-10, 0), st.floats(0, 10))
 def test_clamp_matches_python(spark, x, lo, hi):
     got = spark.createDataFrame([(x,)], "x double").select(S.clamp(F.col("x"), lo, hi)).first()[0]
     assert got == (None if x is None else max(lo, min(hi, x)))
-
-
-def test_expected_signals_with_dimension_columns(spark):
-    """Column-valued parameters (from a joined location dimension) follow the same formulas;
-    irradiance uses the efficiency twice (base already scaled by it, then the reading again)."""
-    from heliolake.operators.signals import expected_signals
-    ns0 = 1_704_110_400 * 10**9                     # 2024-01-01 12:00:00 UTC
-    rows = [("P1", ns0, 900.0, 1.1), ("P1", ns0 + 3600 * 10**9, 900.0, 1.1), ("P2", ns0 - 6 * 3600 * 10**9, 800.0, 0.9)]
-    df = spark.createDataFrame(rows, "panel string, timestamp long, peak double, eff double")
-    out = {(r.panel, r.timestamp): r for r in expected_signals(
-        df, panel_col="panel", base_irradiance=F.col("peak"), efficiency=F.col("eff")).collect()}
-    for panel, ns, peak, eff in rows:
-        r = out[(panel, ns)]
-        h = ((ns // 10**9) % 86400) / 3600.0
-        g = math.exp(-0.5 * (abs(h - 12) / 4) ** 2)
-        i = 0.0 if (h < 5 or h > 19) else g * (h - 5) if h < 6 else g * (19 - h) if h >= 18 else g
-        temp = 25 + 15 * i + 0.5 * (h - 12) / 6
-        first = min(n for p, n, _, _ in rows if p == panel)
-        degr = 1 - ((ns - first) // 10**9) * 0.0125 / (365 * 24 * 3600)
-        power = max(0.0, 250.0 * eff * i * degr * (1 - 0.004 * (temp - 25)))
-        volt = 24.0 * (1 - 0.002 * (temp - 25))
-        assert math.isclose(r.expected_power, power, rel_tol=1e-12, abs_tol=1e-12)
-        assert math.isclose(r.expected_irradiance, peak * eff * i * eff, rel_tol=1e-12, abs_tol=1e-12)
-        assert math.isclose(r.expected_current, power / volt, rel_tol=1e-12, abs_tol=1e-12)
-        assert r.expected_status == ("OK" if power > 0 else "STANDBY")
