@@ -3,77 +3,61 @@ consumed by Structured Streaming jobs; results are read back from their sink tab
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heliolake.functions.timefn import event_time, to_ntz
-from heliolake.operators.codec import REJECT, decode, good_rows
+from heliolake.operators.codec import REJECT, Field, decode, good_rows
 from heliolake.operators.layouts import shape_columnar, shape_relational, shape_timeseries, SYMBOL_COLUMNS, ROW_COLUMNS
-from heliolake.plans.dashboards import SERIES_FIELDS, _MEAN_SQL
+from heliolake.plans.dashboards import SERIES_FIELDS
 from heliolake.plans.decoding import _D
 from heliolake.plans.readings import TOPIC, readings_topic
 from heliolake.plans.registry import register
 from heliolake.session import unique_dir
 from heliolake.sinks.lines import line_protocol
-from heliolake.sinks.table import KeyedTable, append_batch
-from heliolake.sources.topic import read_topic, write_topic
+from heliolake.sinks.table import KeyedTable, WindowTable, append_batch
+from heliolake.sinks.transport import BatchSink, read_sheet, sheet_rows_sink
+from heliolake.sources.topic import as_topic, read_topic, write_topic
 from heliolake.streaming import jobs
 from heliolake.tables import table
 
-# a micro-batch gets one task per file: 8 files per trigger keep 8 task slots busy
-FILES_PER_TRIGGER = 8
-TOPIC_FILES = 16
-# the topic reaches the streaming queries in this many appends (arrival order)
-ARRIVALS = 2
+# a micro-batch takes files up to this size, however many they are
+TRIGGER_BYTES = 1 << 30
 
 
 def produce_topic(spark: SparkSession, root: str, edge: bool = False) -> str:
-    """Write the readings topic as a file-backed topic; returns its folder."""
+    """Write the readings topic as a file-backed topic; returns its folder. Files follow the
+    input's splits, so their number grows with it."""
     path = unique_dir(spark, "topic")
-    t = readings_topic(spark, root, edge=edge)
-    write_topic(t.repartitionByRange(TOPIC_FILES, "offset"), path=path)
+    write_topic(readings_topic(spark, root, edge=edge), path=path)
     return path
 
 
-
-def run_as_arrivals(spark: SparkSession, root: str, build, sink, *, edge: bool = False,
-                    output_mode: str = "append", arrivals: int = ARRIVALS) -> None:
-    """Feed the readings topic to a streaming query the way a live producer does: the topic is
-    appended in ``arrivals`` offset slices, and after each append the same query (same
-    checkpoint) processes what is new. Micro-batches therefore follow arrival order, which a
-    bounded watermark and arrival-order upserts rely on. Only two offsets reach the driver."""
-    topic_path, ckpt = unique_dir(spark, "topic"), unique_dir(spark, "ckpt")
-    t = readings_topic(spark, root, edge=edge)
-    lo, hi = table(spark, root, "events", spread=False).agg(F.min("event_id"), F.max("event_id")).first()
-    span = hi - lo + 1
-    for i in range(arrivals):
-        a, b = lo + span * i // arrivals, lo + span * (i + 1) // arrivals
-        part = t.filter((F.col("offset") >= F.lit(a)) & (F.col("offset") < F.lit(b)))
-        write_topic(part.repartitionByRange(TOPIC_FILES // arrivals, "offset"), path=topic_path)
-        stream = read_topic(spark, TOPIC, path=topic_path, stream=True, max_per_trigger=FILES_PER_TRIGGER)
-        jobs.run_to_end(build(stream), sink, ckpt, output_mode=output_mode)
+def _stream(spark: SparkSession, path: str) -> DataFrame:
+    return read_topic(spark, TOPIC, path=path, stream=True, max_bytes_per_trigger=TRIGGER_BYTES)
 
 
-@register("stream_window_mean", "S1 S2 S3 T1 T2 T11 A2 K3", oracle=f"""
-SELECT location_id, _time, _value FROM ({_MEAN_SQL}) WHERE _field = 'power_output'
+@register("stream_window_mean", "S3 T11 A2", oracle="""
+SELECT upper(event_type) AS location_id, time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 hour' AS _time,
+       round(avg(value), 6) AS _value
+FROM events WHERE value IS NOT NULL GROUP BY 1, 2
 """)
 def stream_window_mean(spark: SparkSession, root: str) -> DataFrame:
-    """Hourly mean power per location as a continuous query: watermark (1 hour lateness, so
-    state stays bounded) + window in update mode; each update is upserted into a keyed table,
-    whose final state equals the batch result."""
-    def build(stream: DataFrame) -> DataFrame:
-        d = good_rows(decode(stream.withColumn("_broker_ms", F.unix_millis("timestamp")), SERIES_FIELDS,
-                             keep=["offset", "_broker_ms"]))
-        d = d.withColumn("_time", event_time(F.col("timestamp"), F.col("_broker_ms"), "broker"))
-        return jobs.windowed(d, "1 hour", "mean", time_col="_time", value_col="power_output",
-                             series=["location_id"], lateness="1 hour")
-
-    table_ = KeyedTable(unique_dir(spark, "stream_window_mean"), keys=["location_id", "_time"], order=[])
-    run_as_arrivals(spark, root, build, lambda b, i: table_.upsert(b, i), output_mode="update")
-    out = table_.read()
-    return out.select("location_id", to_ntz("_time").alias("_time"), F.round("_value", 6).alias("_value"))
+    """Hourly mean power per location as a continuous query. The parts of the windows are merged in a keyed
+    table, so late rows count and the final state is the batch answer for any order of arrival."""
+    windows = WindowTable(unique_dir(spark, "stream_window_mean"), "1 hour", "mean", time_col="_time_of", value_col="power_output",
+                          series=["location_id"], lateness_s=3600)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        d = good_rows(decode(batch.withColumn("_broker_ms", F.unix_millis("timestamp")), SERIES_FIELDS, keep=["offset", "_broker_ms"]))
+        windows.upsert(d.withColumn("_time_of", event_time(F.col("timestamp"), F.col("_broker_ms"), "broker")), batch_id)
+
+    jobs.run_to_end(_stream(spark, produce_topic(spark, root)), sink, unique_dir(spark, "ckpt"))
+    return windows.read().select("location_id", to_ntz("_time").alias("_time"), F.round("_value", 6).alias("_value"))
 
 
-@register("stream_upsert", "S1 S3 T2 T7 T12 K2 K3 W1", oracle=_D + """
+@register("stream_upsert", "S1 S3 T7 T12 K3 W1", oracle=_D + """
 SELECT panel_id, timestamp, power_output, temperature, inverter_status FROM (
   SELECT panel_id,
          CASE WHEN ts_ns IS NULL THEN TIMESTAMP '1970-01-01' ELSE make_timestamp(ts_ns // 1000) END AS timestamp,
@@ -83,19 +67,19 @@ QUALIFY row_number() OVER (PARTITION BY panel_id, timestamp ORDER BY event_id DE
 """)
 def stream_upsert(spark: SparkSession, root: str) -> DataFrame:
     """Relational upsert sink as a stream: decode -> reject side table -> keyed upsert on
-    (panel_id, timestamp); last writer wins in arrival order (later batch, then higher
-    offset); messages without a time share epoch 0."""
+    (panel_id, timestamp); the highest offset wins, whichever batch brings it; messages without a
+    time share epoch 0."""
     table_ = KeyedTable(unique_dir(spark, "stream_upsert"), keys=["panel_id", "timestamp"],
-                        order=["partition", "offset"], batch_wins=True)
+                        order=["offset"], batch_wins=False)
     rejects_path = unique_dir(spark, "stream_upsert_rejects")
     sink = jobs.split_rejects(lambda b, i: table_.upsert(b, i), lambda b, i: append_batch(b, rejects_path, i))
-    run_as_arrivals(spark, root, lambda s: shape_relational(s, keep=["partition", "offset"]), sink, edge=True)
+    jobs.run_to_end(shape_relational(_stream(spark, produce_topic(spark, root, edge=True)), keep=["partition", "offset"]), sink, unique_dir(spark, "ckpt"))
     out = table_.read()
     return out.select("panel_id", to_ntz("timestamp").alias("timestamp"), "power_output", "temperature",
                       "inverter_status")
 
 
-@register("stream_fanout", "U2 K4 K5 P4 A8", oracle="""
+@register("stream_fanout", "U2 K4 K5", oracle="""
 SELECT 'columnar' AS sink, count(*) AS n, CAST(sum(CAST(round(value) AS INTEGER)) AS DOUBLE) AS total FROM events
 UNION ALL
 SELECT 'lines', count(*), round(sum(value), 4) FROM events
@@ -104,11 +88,11 @@ def stream_fanout(spark: SparkSession, root: str) -> DataFrame:
     """One topic, two sinks in one query (the batch is materialised once): columnar append
     table and line-protocol text; counts and totals read back from both."""
     topic_path = produce_topic(spark, root)
-    stream = read_topic(spark, TOPIC, path=topic_path, stream=True, max_per_trigger=FILES_PER_TRIGGER)
+    stream = _stream(spark, topic_path)
     col_path, line_path = unique_dir(spark, "fanout_columnar"), unique_dir(spark, "fanout_lines")
 
     def columnar(batch, batch_id):
-        append_batch(good_rows(shape_columnar(batch)), col_path, batch_id)
+        append_batch(good_rows(shape_columnar(batch)), col_path, batch_id, time_col="timestamp", sort_by=["panel_id", "timestamp"])
 
     def lines(batch, batch_id):
         ts = shape_timeseries(batch, keep=["offset"])
@@ -133,7 +117,6 @@ FROM events WHERE value > 1.0
 def topic_to_topic(spark: SparkSession, root: str) -> DataFrame:
     """Stateless stream transform between topics: filter (P2), map with the message metadata
     (P1/P3) and produce to an output topic; the output topic is read back."""
-    from heliolake.operators.codec import Field, decode
     src = produce_topic(spark, root)
     out_path = unique_dir(spark, "topic_out")
 
@@ -145,10 +128,121 @@ def topic_to_topic(spark: SparkSession, root: str) -> DataFrame:
         return d.select("key", body.alias("value"), F.lit("doubled").alias("topic"), "partition", "offset",
                         "timestamp", F.lit(0).alias("timestampType"))
 
-    stream = read_topic(spark, TOPIC, path=src, stream=True, max_per_trigger=FILES_PER_TRIGGER)
+    stream = _stream(spark, src)
     q = jobs.transform_topic(stream, fn, out_path=out_path, topic="doubled", checkpoint=unique_dir(spark, "ckpt"),
                              available_now=True)
     q.awaitTermination()
     back = read_topic(spark, "doubled", path=out_path, stream=False)
     parsed = back.select("offset", F.from_json("value", "key_text string, doubled double").alias("v"))
     return parsed.select("offset", "v.key_text", F.round("v.doubled", 6).alias("doubled"))
+
+
+@register("stream_bounded_run", "S16 S2", oracle="""
+SELECT least(count(*), 100) AS n FROM events
+""")
+def stream_bounded_run(spark: SparkSession, root: str) -> DataFrame:
+    """A test run of a consumer: from the earliest offset, at most 100 messages (the limit is the feature)."""
+    path = unique_dir(spark, "bounded")
+    stream = _stream(spark, produce_topic(spark, root))
+    jobs.bounded_run(stream, lambda b, i: append_batch(b, path, i), unique_dir(spark, "ckpt"), count=100, timeout_s=600)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_interval_flush", "T1 X4 K11", oracle="""
+SELECT count(*) AS n, round(sum(value), 4) AS total FROM events
+""")
+def stream_interval_flush(spark: SparkSession, root: str) -> DataFrame:
+    """A custom batch sink (set up once) that flushes every second or as much as the size cap lets in."""
+    path = unique_dir(spark, "flush")
+
+    class Appender(BatchSink):
+        def write(self, batch: DataFrame, batch_id: int) -> None:
+            append_batch(good_rows(decode(batch, [Field("power_output", "double")], keep=["offset"])), path, batch_id)
+
+    q = jobs.start(_stream(spark, produce_topic(spark, root)), Appender().as_batch_fn(), unique_dir(spark, "ckpt"), processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("power_output"), 4).alias("total"))
+
+
+@register("stream_replay", "T2 T12", oracle="""
+SELECT event_id AS offset FROM events
+""")
+def stream_replay(spark: SparkSession, root: str) -> DataFrame:
+    """A sink that dies after its first write: the batch is not committed, and a restart from the
+    checkpoint replays it into the same place, so every message is there once."""
+    path, checkpoint, topic = unique_dir(spark, "replay"), unique_dir(spark, "ckpt"), produce_topic(spark, root)
+    failures = []
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch.select("offset"), path, batch_id)
+        if not failures:
+            failures.append(batch_id)
+            raise RuntimeError("sink lost after the write")
+
+    try:
+        jobs.run_to_end(_stream(spark, topic), sink, checkpoint)
+    except Exception as e:  # noqa: BLE001 - the failure this query is about
+        if "sink lost" not in str(e):
+            raise
+    jobs.run_to_end(_stream(spark, topic), sink, checkpoint)
+    return spark.read.parquet(path).select("offset")
+
+
+@register("stream_fail_policy", "T6", oracle=_D + """
+SELECT reason, count(*) AS n FROM d WHERE reason IS NOT NULL GROUP BY reason
+""")
+def stream_fail_policy(spark: SparkSession, root: str) -> DataFrame:
+    """A batch with bad rows fails as a whole: nothing is written, and the error counts every reason."""
+    path = unique_dir(spark, "fail_policy")
+    shaped = shape_relational(_stream(spark, produce_topic(spark, root, edge=True)), keep=["offset"])
+    told = ""
+    try:
+        jobs.run_to_end(shaped, jobs.fail_on_rejects(lambda b, i: append_batch(b, path, i)), unique_dir(spark, "ckpt"))
+    except Exception as e:  # noqa: BLE001 - the failure this query is about
+        told = str(e)
+    listed = re.search(r"has bad rows: (\w+ x \d+(?:, \w+ x \d+)*)", told)
+    found = re.findall(r"(\w+) x (\d+)", listed[1]) if listed else []
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        raise AssertionError("a failed batch was written")
+    return spark.createDataFrame([(r, int(n)) for r, n in found], "reason string, n long")
+
+
+@register("topic_headers", "E6 S1 K1 P3", oracle="""
+SELECT event_id AS offset, event_type AS kind, CAST(user_id AS VARCHAR) AS trace FROM events
+""")
+def topic_headers(spark: SparkSession, root: str) -> DataFrame:
+    """Message headers written, carried through a topic-to-topic transform, and read back."""
+    ev = table(spark, root, "events")
+    header = lambda k, v: F.struct(F.lit(k).alias("key"), F.encode(v.cast("string"), "UTF-8").alias("value"))
+    first, second = unique_dir(spark, "headers"), unique_dir(spark, "headers_out")
+    write_topic(as_topic(ev, key="event_type", value=F.to_json(F.struct("event_id")), topic="traced", offset=F.col("event_id"), timestamp=F.col("ts"),
+                         headers=F.array(header("kind", F.col("event_type")), header("trace", F.col("user_id")))), path=first)
+    stream = read_topic(spark, "traced", path=first, include_headers=True, max_bytes_per_trigger=TRIGGER_BYTES)
+    jobs.transform_topic(stream, lambda d: d.withColumn("topic", F.lit("copied")), out_path=second, topic="copied",
+                         checkpoint=unique_dir(spark, "ckpt"), available_now=True).awaitTermination()
+    back = read_topic(spark, "copied", path=second, stream=False, include_headers=True)
+    value = lambda i: F.col("headers")[i]["value"].cast("string")
+    return back.select("offset", value(0).alias("kind"), value(1).alias("trace"))
+
+
+@register("sheet_append", "K7 P5", oracle="""
+SELECT 'location_id,power_output,offset' AS header, upper(event_type) AS location_id, CAST(event_id AS VARCHAR) AS "offset" FROM events
+""")
+def sheet_append(spark: SparkSession, root: str) -> DataFrame:
+    """Spreadsheet append over two runs of a consumer: one header in all, then every row."""
+    path, checkpoint, topic = unique_dir(spark, "sheet"), unique_dir(spark, "ckpt"), unique_dir(spark, "topic")
+    write = sheet_rows_sink(path, order_by=["offset"])
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        write(good_rows(decode(batch, [Field("location_id"), Field("power_output", "double")], keep=["offset"])).select("location_id", "power_output", "offset"), batch_id)
+
+    readings = readings_topic(spark, root)
+    for part in (F.col("partition") < 4, F.col("partition") >= 4):
+        write_topic(readings.filter(part), path=topic)
+        jobs.run_to_end(_stream(spark, topic), sink, checkpoint)
+    sheet = read_sheet(spark, path)
+    return sheet.select(F.lit(",".join(c for c in sheet.columns if c != "batch")).alias("header"), "location_id", "offset")

@@ -54,6 +54,18 @@ def line_protocol(df: DataFrame, measurement, tags: Sequence[str], fields: Seque
     return F.when(field_txt == "", F.lit(None).cast("string")).otherwise(line)
 
 
+def measurement_lines(df: DataFrame, measurement: str, tags: Sequence[str], fields: Sequence[str], *, time_col: str | None = None,
+                      broker_time_col: str = "timestamp") -> DataFrame:
+    """K6: a configured measurement: given tags and fields, and the row's time or else the broker's.
+
+    ``time_col`` (ns epoch) may be absent, null or 0 in a row; then the broker's time stands in. Returns ``line``.
+    """
+    broker = timestamp_to_ns(F.col(broker_time_col))
+    t = F.coalesce(F.when(F.col(time_col) != 0, F.col(time_col)), broker) if time_col else broker
+    timed = df.withColumn("_line_time", t.cast("bigint"))
+    return timed.select(line_protocol(timed, measurement, tags, fields, "_line_time").alias("line"))
+
+
 def _esc_lit(s: str) -> str:
     out = []
     for ch in s:

@@ -1,24 +1,28 @@
-"""Table sinks: create-if-absent DDL, append with time layout, keyed upsert.
-
-Keyed upsert without a transactional table format is *merge-on-read*: every micro-batch is
-written, deduplicated, into its own ``_batch=<id>`` folder (dynamic partition overwrite, so a
-replayed batch replaces exactly its own folder — idempotent), and readers take the latest row
-per key by ``(_batch, order...)``. No batch ever rewrites or anti-joins the whole table; the
-read is a partial+final aggregation that stays balanced when one key is hot. ``compact_to``
-writes the merged state once to a new folder. Where a relational database is the target,
-:func:`upsert_statement` + :func:`write_jdbc_partitions` send ``INSERT .. ON CONFLICT`` per
-partition instead.
+"""Table sinks: create-if-absent DDL, append with time layout, keyed upsert, window state.
+
+Keyed tables need no transactional format. Rows are stored in *generations* of hash buckets
+(``_gen=<n>/_bucket=<b>``). A micro-batch, combined per key, becomes one small generation; after
+``compact_every`` of them the touched buckets alone are merged with their base into a new one. A commit
+is a new pointer file, created once and never changed, that names the live generation of every bucket; readers
+take the newest pointer, so they see a whole commit or none. A read therefore looks at the base
+and a bounded number of batches, however many came before. A replayed batch id changes nothing.
+
+Where a relational database is the target, :func:`upsert_statement` + :func:`write_jdbc_partitions`
+send ``INSERT .. ON CONFLICT`` per partition instead.
 """
 
 from __future__ import annotations
 
+import json
 from typing import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType, StructType,
                                TimestampNTZType, TimestampType)
 
 from heliolake.operators.latest import latest_per_key
+from heliolake.operators.windows import last_order
 
 BATCH_COL = "_batch"
 
@@ -47,53 +51,208 @@ def append_table(df: DataFrame, path: str, *, time_col: str | None = None, sort_
     w.parquet(path)
 
 
+class _Pointers:
+    """The commits of a table: ``_commits/<number>.json``, each written once."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._p = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._p(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def newest(self) -> dict:
+        folder = self._p(f"{self.path}/_commits")
+        numbers = [int(f.getPath().getName()[:-5]) for f in self._fs.listStatus(folder) if f.getPath().getName().endswith(".json")] if self._fs.exists(folder) else []
+        if not numbers:
+            return {"number": 0, "next_gen": 0, "base": {}, "batches": {}, "merged_through": None, "meta": {}}
+        stream = self._fs.open(self._p(f"{self.path}/_commits/{max(numbers):012d}.json"))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def commit(self, state: dict) -> None:
+        """Creating the file fails if another writer has committed this number."""
+        state["number"] += 1
+        target = self._p(f"{self.path}/_commits/{state['number']:012d}.json")
+        draft = self._p(f"{self.path}/_commits/.{state['number']:012d}.draft")
+        out = self._fs.create(draft, True)
+        try:
+            out.write(bytearray(json.dumps(state).encode()))
+        finally:
+            out.close()
+        if self._fs.exists(target) or not self._fs.rename(draft, target):
+            raise RuntimeError(f"another writer committed {target}")
+
+
 class KeyedTable:
-    """Merge-on-read keyed table (K3 upsert, T12 idempotent replay)."""
+    """Keyed table by generations of hash buckets (K3 upsert, T12 idempotent replay).
+
+    ``combine`` reduces rows of equal keys (default: the row with the greatest ``order``); it must give the same
+    result over parts combined before. ``batch_wins``: a later batch beats an earlier one, whatever ``order`` says.
+    Rows with a NULL in a key cannot be upserted; they are written to ``rejects()`` with a reason.
+    """
 
-    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], partition_by: str | None = None,
-                 batch_wins: bool = True):
-        """``batch_wins``: a later batch beats an earlier one (arrival order, as with offsets
-        per partition); False orders only by ``order`` (e.g. when batches are not ordered)."""
+    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], *, batch_wins: bool = True,
+                 combine: Callable[[DataFrame], DataFrame] | None = None, buckets: int = 8, compact_every: int = 8,
+                 spark: SparkSession | None = None):
         self.path = path.rstrip("/")
-        self.keys = list(keys)
-        self.order = list(order)
-        self.partition_by = partition_by
-        self.batch_wins = batch_wins
+        self.keys, self.order = list(keys), list(order)
+        self.batch_wins = batch_wins and combine is None
+        self._combine = combine or (lambda df: latest_per_key(df, self.keys, [*([BATCH_COL] if self.batch_wins else []), *self.order] or [BATCH_COL]))
+        self.buckets, self.compact_every = buckets, compact_every
+        self.spark = spark or SparkSession.getActiveSession()
 
-    def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        """Write one batch: last writer wins inside it, then it lands in its own folder."""
-        nulls = F.lit(False)
+    def _pointers(self) -> _Pointers:
+        return _Pointers(self.spark, self.path)
+
+    def upsert(self, batch: DataFrame, batch_id: int, meta: dict | None = None) -> None:
+        """Write one batch, combined per key, and commit it; ``meta`` is kept with the commit."""
+        pointers = self._pointers()
+        state = pointers.newest()
+        if state["merged_through"] is not None and batch_id <= state["merged_through"]:
+            return                                        # a replay of a batch that is merged already
+        null_key = F.lit(False)
         for k in self.keys:
-            nulls = nulls | F.col(k).isNull()
-        clean = batch.filter(~nulls)          # a NULL key cannot be upserted (reject upstream)
-        deduped = latest_per_key(clean, self.keys, self.order).withColumn(BATCH_COL, F.lit(int(batch_id)))
-        parts = [BATCH_COL] + ([self.partition_by] if self.partition_by else [])
-        (deduped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(self.path))
+            null_key = null_key | F.col(k).isNull()
+        bad = batch.filter(null_key).withColumn("_reason", F.lit("null_key")).withColumn(BATCH_COL, F.lit(int(batch_id)))
+        (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(f"{self.path}/_rejects"))
+        rows = batch.filter(~null_key).withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
+        gen = state["next_gen"]
+        self._write(self._combine(rows), gen)
+        state["next_gen"] += 1
+        state["batches"][str(int(batch_id))] = gen         # a replay replaces its own generation
+        state["meta"] |= meta or {}
+        pointers.commit(state)
+        if len(state["batches"]) >= self.compact_every:
+            self.compact()
+
+    def _write(self, rows: DataFrame, gen: int) -> None:
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        # one file a bucket; AQE splits none, since a bucket is one partition value
+        (rows.withColumn("_bucket", bucket).repartition(self.buckets, "_bucket").sortWithinPartitions("_bucket", *self.keys)
+         .write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/_gen={gen}"))
+
+    def _rows(self, gens: dict[int, list[int] | None]) -> DataFrame | None:
+        """The rows of the given buckets (None: all) of each generation, read by partition folder."""
+        parts = []
+        for gen, buckets in gens.items():
+            try:
+                part = self.spark.read.parquet(f"{self.path}/_gen={gen}")
+            except AnalysisException as e:
+                if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                    raise
+                continue                                   # a generation without any row has no file
+            parts.append(part if buckets is None else part.filter(F.col("_bucket").isin(buckets)))
+        out = None
+        for part in parts:
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    def _live(self, state: dict) -> dict[int, list[int] | None]:
+        gens: dict[int, list[int] | None] = {}
+        for bucket, gen in state["base"].items():
+            gens.setdefault(gen, []).append(int(bucket))
+        return gens | {gen: None for gen in state["batches"].values()}
+
+    def compact(self) -> None:
+        """Merge the batches into the base; only the buckets that they touch are rewritten."""
+        pointers = self._pointers()
+        state = pointers.newest()
+        if not state["batches"]:
+            return
+        batches = self._rows({gen: None for gen in state["batches"].values()})
+        touched = [r[0] for r in batches.select("_bucket").distinct().collect()]       # at most `buckets` numbers
+        old = {}
+        for bucket, gen in state["base"].items():
+            if int(bucket) in touched:
+                old.setdefault(gen, []).append(int(bucket))
+        before = self._rows(old) if old else None
+        merged = self._combine((batches if before is None else before.unionByName(batches)).drop("_bucket"))
+        gen = state["next_gen"]
+        self._write(merged, gen)
+        state["next_gen"] += 1
+        state["base"] |= {str(b): gen for b in touched}
+        state["merged_through"] = max(map(int, state["batches"]))
+        state["batches"] = {}
+        pointers.commit(state)
 
     def read(self) -> DataFrame:
-        spark = _active_session()
-        log = spark.read.parquet(self.path)
-        order = [BATCH_COL, *self.order] if self.batch_wins else [*self.order, BATCH_COL]
-        return latest_per_key(log, self.keys, order).drop(BATCH_COL)
+        rows = self._rows(self._live(self._pointers().newest()))
+        if rows is None:
+            raise FileNotFoundError(f"nothing was written to {self.path}")
+        return self._combine(rows.drop("_bucket")).drop(BATCH_COL)
 
-    def compact_to(self, path: str, batch_id: int) -> "KeyedTable":
-        """Write the merged state once (as ``batch_id``) to a fresh folder and return it."""
-        t = KeyedTable(path, self.keys, self.order, self.partition_by, self.batch_wins)
-        t.upsert(self.read(), batch_id)
-        return t
+    def rejects(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/_rejects")
 
+    def meta(self) -> dict:
+        return self._pointers().newest()["meta"]
 
-def append_batch(batch: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    """K4 inside foreachBatch: append one micro-batch into its own ``_batch`` folder; a replay
-    of the same batch id overwrites exactly that folder (idempotent append)."""
-    (batch.withColumn(BATCH_COL, F.lit(int(batch_id))).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL, *partition_by).parquet(path))
+    def generations(self) -> int:
+        """Generations that a read looks at: the base's and the batches not merged yet."""
+        return len(self._live(self._pointers().newest()))
 
 
-def _active_session():
-    from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession()
+class WindowTable:
+    """Tumbling-window ``last`` / ``mean`` kept as mergeable parts in a keyed table.
+
+    Every batch adds its parts (sum and count, or the last value with its place), so rows may come in any
+    order: the state equals the batch answer, late rows included. A row whose window had closed by the
+    earlier batches (their newest event time less ``lateness_s``) is also listed in :meth:`late`, with its reason.
+    """
+
+    def __init__(self, path: str, every: str, fn: str, *, time_col: str, value_col: str, series: Sequence[str], lateness_s: int,
+                 order_col: str | None = None, buckets: int = 8, compact_every: int = 8):
+        if fn not in ("last", "mean"):
+            raise ValueError("fn must be 'last' or 'mean'")
+        self.path, self.every, self.fn, self.time_col, self.value_col = path.rstrip("/"), every, fn, time_col, value_col
+        self.series, self.lateness_s, self.order_col = list(series), lateness_s, order_col
+        self.table = KeyedTable(f"{self.path}/state", [*self.series, "_time"], [], combine=self._merge, buckets=buckets, compact_every=compact_every)
+
+    def _merge(self, parts: DataFrame) -> DataFrame:
+        keys = [F.col(k) for k in (*self.series, "_time")]
+        if self.fn == "mean":
+            parts_of = [F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n")]
+        else:
+            parts_of = [F.max_by("_last", "_place").alias("_last"), F.max("_place").alias("_place")]
+        return parts.groupBy(*keys).agg(*parts_of, F.max(BATCH_COL).alias(BATCH_COL))
+
+    def upsert(self, batch: DataFrame, batch_id: int) -> None:
+        t, v = F.col(self.time_col), F.col(self.value_col)
+        rows = batch.filter(v.isNotNull() & t.isNotNull()).withColumn("_time", F.window(t, self.every)["end"])
+        high = self.table.meta().get("high")
+        newest = rows.agg(F.unix_micros(F.max(t.cast("timestamp"))).alias("m")).first()["m"]
+        if high is not None:
+            closed = F.timestamp_micros(F.lit(high - self.lateness_s * 1_000_000))
+            late = rows.filter(F.col("_time").cast("timestamp") <= closed).withColumn("_reason", F.lit("window_closed"))
+        else:
+            late = rows.filter(F.lit(False)).withColumn("_reason", F.lit("window_closed"))
+        append_batch(late, f"{self.path}/late", batch_id)
+        parts = [v.cast("double").alias("_sum"), F.lit(1).cast("long").alias("_n")] if self.fn == "mean" else [
+            v.alias("_last"), last_order(t, F.col(self.order_col) if self.order_col else None).alias("_place")]
+        self.table.upsert(rows.select(*self.series, "_time", *parts), batch_id, {"high": max(x for x in (high, newest) if x is not None)} if newest is not None else None)
+
+    def read(self) -> DataFrame:
+        value = F.col("_sum") / F.col("_n") if self.fn == "mean" else F.col("_last")
+        return self.table.read().select(*self.series, "_time", value.alias("_value"))
+
+    def late(self) -> DataFrame:
+        return self.table.spark.read.parquet(f"{self.path}/late")
+
+
+def append_batch(batch: DataFrame, path: str, batch_id: int, *, time_col: str | None = None, sort_by: Sequence[str] = (),
+                 date_col: str = "event_date") -> None:
+    """K4 inside foreachBatch: append one micro-batch into its own ``_batch`` folder; a replay
+    of the same batch id overwrites exactly that folder (idempotent append). ``time_col`` and
+    ``sort_by`` lay it out like :func:`append_table`: by day and sorted (O1/O2)."""
+    out = batch.withColumn(BATCH_COL, F.lit(int(batch_id)))
+    parts = [BATCH_COL]
+    if time_col:
+        out = out.withColumn(date_col, F.to_date(F.col(time_col)))
+        parts.append(date_col)
+    if time_col or sort_by:
+        out = out.hint("rebalance", *parts[1:]).sortWithinPartitions(*parts, *sort_by)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
 
 
 # ---- relational targets ---------------------------------------------------------------------

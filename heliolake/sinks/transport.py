@@ -4,10 +4,9 @@ is Python, one client per partition task, with ``delivery.deliver`` around each
 
 from __future__ import annotations
 
-import json
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heliolake.functions.text import data_path, topic_path
 from heliolake.streaming.delivery import Backpressure, DeliveryPolicy, send_partitions
@@ -54,32 +53,6 @@ class HttpSender:
                 raise ConnectionError(str(e)) from e
 
 
-def mqtt_sender_factory(host: str, port: int = 1883, qos: int = 1, **auth) -> Callable[[], Callable[[list], None]]:
-    """MQTT publisher per task (needs the optional ``paho-mqtt`` package on executors)."""
-    def make():
-        try:
-            import paho.mqtt.client as mqtt  # type: ignore
-        except ImportError as e:  # pragma: no cover - optional dependency
-            raise ImportError("paho-mqtt is required for the MQTT sink") from e
-        client = mqtt.Client()
-        if auth.get("username"):
-            client.username_pw_set(auth["username"], auth.get("password"))
-        client.connect(host, port)
-        client.loop_start()
-
-        def send(records: list) -> None:
-            for topic, payload in records:
-                info = client.publish(topic, payload=payload, qos=qos)
-                info.wait_for_publish()
-
-        def close():
-            client.loop_stop()
-            client.disconnect()
-        send.close = close  # type: ignore[attr-defined]
-        return send
-    return make
-
-
 def post_records(df: DataFrame, base_url: str, key_col: str = "location_id",
                  make_sender: Callable[[], Callable[[list], None]] | None = None,
                  policy: DeliveryPolicy = DeliveryPolicy(), chunk_size: int = 1000) -> None:
@@ -121,24 +94,27 @@ class BatchSink:
         return run
 
 
-def sheet_rows_sink(path: str, header: bool = True):
-    """K7: spreadsheet-like append: one CSV folder per batch (header in each file), rows in
-    layout order; replaying a batch rewrites only its folder."""
-    def run(batch: DataFrame, batch_id: int) -> None:
-        (batch.write.mode("overwrite").option("header", str(header).lower())
-         .csv(f"{path.rstrip('/')}/batch={int(batch_id)}"))
-    return run
-
+def sheet_rows_sink(path: str, order_by: Sequence[str] = ()):
+    """K7: spreadsheet-like append: CSV rows in layout order; the header goes in only while the sheet is empty.
 
+    The header is a row of its own folder (``header``), written by the first batch that brings rows; each batch has
+    its folder, so a replay rewrites only its rows. :func:`read_sheet` gives the sheet as it would be shown.
+    """
+    root = path.rstrip("/")
 
-class JsonLinesFileSender:
-    """Debug/test transport: append each record as a JSON array line to a file (P4 tap for
-    local runs; on a cluster every executor writes to its own local file)."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/header")
+        if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p) and not batch.isEmpty():
+            spark.createDataFrame([tuple(batch.columns)], ", ".join(f"c{i} string" for i in range(len(batch.columns)))).coalesce(1).write.csv(f"{root}/header")
+        rows = batch.sortWithinPartitions(*order_by) if order_by else batch
+        rows.write.mode("overwrite").option("header", "false").option("emptyValue", "").csv(f"{root}/rows/batch={int(batch_id):012d}")
+    return run
 
-    def __init__(self, path: str):
-        self.path = path
 
-    def __call__(self, records: list) -> None:
-        with open(self.path, "a", encoding="utf-8") as f:
-            for r in records:
-                f.write(json.dumps(list(r)) + "\n")
+def read_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """The sheet's rows as text columns named by its header, with their batch."""
+    root = path.rstrip("/")
+    header = list(spark.read.csv(f"{root}/header").first())
+    schema = ", ".join(f"`{c}` string" for c in header)
+    return spark.read.schema(f"{schema}, batch long").option("header", "false").csv(f"{root}/rows")

@@ -56,12 +56,14 @@ def has_kafka(spark: SparkSession) -> bool:
 
 def read_topic(spark: SparkSession, topic: str, *, bootstrap: str | None = None, path: str | None = None,
                stream: bool = True, starting: str = "earliest", max_per_trigger: int | None = None,
+               max_bytes_per_trigger: int | None = None,
                include_headers: bool = False, min_partitions: int | None = None) -> DataFrame:
     """Scan a topic from its earliest offset.
 
     With ``bootstrap`` it is Spark's Kafka source (``startingOffsets`` = S2; consumer position
     per query lives in that query's checkpoint = S3). With ``path`` it is a file-backed topic.
-    ``max_per_trigger`` caps a micro-batch (T1: ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
+    ``max_per_trigger`` caps a micro-batch (T1: ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``);
+    ``max_bytes_per_trigger`` caps a file-backed one by size, which fits files of any number.
     ``min_partitions`` splits large Kafka partitions over more tasks (a hot partition does not
     become one task).
     """
@@ -82,6 +84,8 @@ def read_topic(spark: SparkSession, topic: str, *, bootstrap: str | None = None,
         r = spark.readStream.schema(schema)
         if max_per_trigger:
             r = r.option("maxFilesPerTrigger", int(max_per_trigger))
+        elif max_bytes_per_trigger:
+            r = r.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
         df = r.parquet(path)
     else:
         df = spark.read.schema(schema).parquet(path)
@@ -93,7 +97,7 @@ def write_topic(df: DataFrame, *, bootstrap: str | None = None, path: str | None
     """K1 (batch): produce keyed messages. Kafka when ``bootstrap`` is given, else a parquet
     folder partitioned by topic (the file-backed topic read by :func:`read_topic`)."""
     if bootstrap:
-        w = df.select("key", "value", *([] if topic else ["topic"])).write.format("kafka") \
+        w = df.select("key", "value", *([] if topic else ["topic"]), *(["headers"] if "headers" in df.columns else [])).write.format("kafka") \
             .option("kafka.bootstrap.servers", bootstrap)
         if topic:
             w = w.option("topic", topic)

@@ -36,12 +36,12 @@ def is_transient(exc: BaseException) -> bool:
 @dataclass(frozen=True)
 class DeliveryPolicy:
     """``attempts`` tries ``retry_wait_s`` apart for connection errors; backpressure
-    waits ``backpressure_wait_s`` (at most ``max_backpressure_waits`` times)."""
+    waits ``backpressure_wait_s``, again and again; ``max_backpressure_waits`` bounds that (default: no bound)."""
 
     attempts: int = 3
     retry_wait_s: float = 3.0
     backpressure_wait_s: float = 30.0
-    max_backpressure_waits: int = 2
+    max_backpressure_waits: int | None = None
     retry_on: tuple = (ConnectionError,)
     classify: Callable[[BaseException], bool] = field(default=is_transient)
 
@@ -58,7 +58,7 @@ def deliver(send: Callable[[], None], policy: DeliveryPolicy, sleep: Callable[[f
             return calls
         except Backpressure as bp:
             waits += 1
-            if waits > policy.max_backpressure_waits:
+            if policy.max_backpressure_waits is not None and waits > policy.max_backpressure_waits:
                 raise DeliveryFailed(f"still backpressured after {waits - 1} waits") from bp
             sleep(min(bp.retry_after, policy.backpressure_wait_s) if bp.retry_after else policy.backpressure_wait_s)
         except policy.retry_on as e:  # type: ignore[misc]
@@ -69,7 +69,7 @@ def deliver(send: Callable[[], None], policy: DeliveryPolicy, sleep: Callable[[f
         except Exception as e:  # noqa: BLE001
             if policy.classify(e):
                 waits += 1
-                if waits > policy.max_backpressure_waits:
+                if policy.max_backpressure_waits is not None and waits > policy.max_backpressure_waits:
                     raise DeliveryFailed(f"still rate limited after {waits - 1} waits: {e}") from e
                 sleep(policy.backpressure_wait_s)
             else:
@@ -102,6 +102,34 @@ def send_partitions(df, make_sender: Callable[[], Callable[[list], None]], colum
     df.select(*cols).foreachPartition(run)
 
 
+def deliveries(df, make_sender: Callable[[], Callable[[list], None]], columns: Sequence[str],
+               policy: DeliveryPolicy = DeliveryPolicy(), chunk_size: int = 1000):
+    """Like :func:`send_partitions`, as a DataFrame: the delivered records with ``calls``, how often their
+    chunk was sent. Sending happens where the result is computed, so it is read once (or stored)."""
+    import pyarrow as pa
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    cols = list(columns)
+    sent = df.select(*cols)
+
+    def run(batches):
+        sender = make_sender()
+        try:
+            for batch in batches:
+                rows = list(zip(*[batch.column(c).to_pylist() for c in cols]))
+                calls: list[int] = []
+                for i in range(0, len(rows), chunk_size):
+                    chunk = rows[i:i + chunk_size]
+                    calls += [deliver(lambda: sender(chunk), policy)] * len(chunk)
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in cols], pa.array(calls, pa.int32())], names=[*cols, "calls"])
+        finally:
+            close = getattr(sender, "close", None)
+            if callable(close):
+                close()
+
+    return sent.mapInArrow(run, StructType([*sent.schema.fields, StructField("calls", IntegerType())]))
+
+
 class BatchLedger:
     """``(query, batch_id)`` markers on shared storage: a batch already delivered by an append
     sink is skipped when Spark replays it (crash between the write and the checkpoint commit)."""

@@ -73,12 +73,19 @@ def split_rejects(good_sink: BatchFn, reject_sink: BatchFn, reject_col: str = "_
 
 
 def fail_on_rejects(sink: BatchFn, reject_col: str = "_reject") -> BatchFn:
-    """A batch holding any rejected row fails as a whole (nothing of it is written)."""
+    """A batch holding any rejected row fails as a whole (nothing of it is written).
+
+    The batch is decoded once; the error counts every reason.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
-        bad = batch.filter(F.col(reject_col).isNotNull()).select(reject_col).limit(5).collect()
-        if bad:
-            raise ValueError(f"batch {batch_id} has bad rows: {[r[0] for r in bad]}")
-        sink(batch.drop(reject_col), batch_id)
+        batch.persist()
+        try:
+            reasons = batch.filter(F.col(reject_col).isNotNull()).groupBy(reject_col).count().orderBy(reject_col).collect()
+            if reasons:
+                raise ValueError(f"batch {batch_id} has bad rows: " + ", ".join(f"{r[reject_col]} x {r['count']}" for r in reasons))
+            sink(batch.drop(reject_col), batch_id)
+        finally:
+            batch.unpersist()
     return run
 
 
@@ -87,7 +94,8 @@ def windowed(stream: DataFrame, every: str, fn: str, *, time_col: str, value_col
     """Tumbling-window ``last``/``mean`` as a continuous query (emit with ``update`` mode).
 
     ``lateness`` is the watermark delay: rows older than (max event time - lateness) are
-    dropped and their windows' state is freed. The event-time column must be TIMESTAMP.
+    dropped by Spark and their windows' state is freed; :class:`heliolake.sinks.table.WindowTable` keeps late rows
+    instead. The event-time column must be TIMESTAMP.
     """
     src = stream.withWatermark(time_col, lateness).filter(F.col(value_col).isNotNull())
     if fn == "last":
@@ -101,9 +109,9 @@ def windowed(stream: DataFrame, every: str, fn: str, *, time_col: str, value_col
     return g.select(*series, F.col("_w.end").alias("_time"), "_value")
 
 
-def tap(df: DataFrame, name: str, *counters) -> DataFrame:
+def tap(df: DataFrame, name, *counters) -> DataFrame:
     """Pass rows through unchanged while counting them (and any extra aggregate
-    expressions) as named metrics — read from ``query.lastProgress['observedMetrics']`` in a
+    expressions) as metrics of ``name`` (a text, or an ``Observation`` in batch) — read from ``query.lastProgress['observedMetrics']`` in a
     stream or ``Observation.get`` in batch. No second pass, no collect of rows."""
     exprs = [F.count(F.lit(1)).alias("rows"), *counters]
     return df.observe(name, *exprs)
@@ -116,7 +124,7 @@ def transform_topic(stream: DataFrame, fn: Callable[[DataFrame], DataFrame], *,
     ``key``/``value``); Kafka when ``bootstrap`` is given, else a file-backed topic."""
     out = fn(stream)
     if bootstrap:
-        w = (out.select("key", "value").writeStream.format("kafka")
+        w = (out.select("key", "value", *(["headers"] if "headers" in out.columns else [])).writeStream.format("kafka")
              .option("kafka.bootstrap.servers", bootstrap).option("topic", topic))
     else:
         from heliolake.sources.topic import ENVELOPE_SCHEMA

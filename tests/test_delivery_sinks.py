@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from heliolake.sinks.lines import line_protocol
 from heliolake.sinks.table import create_table_ddl, upsert_statement, write_jdbc_partitions, append_table
-from heliolake.sinks.transport import http_requests, mqtt_messages, post_records, BatchSink, JsonLinesFileSender
+from heliolake.sinks.transport import http_requests, mqtt_messages, post_records, BatchSink
 from heliolake.streaming.delivery import (Backpressure, BatchLedger, DeliveryFailed, DeliveryPolicy, deliver,
                                           is_transient, send_partitions)
 from heliolake.operators.layouts import READING_FIELDS
@@ -23,6 +23,7 @@ class Flaky:
             raise self.exc
 
 
+
 def test_retry_then_success():
     waits = []
     f = Flaky(2, ConnectionError("down"))
@@ -53,7 +54,11 @@ def test_backpressure_and_rate_text():
 def test_send_partitions_http_shape(spark, scratch):
     out = os.path.join(scratch, "sent.jsonl")
     df = spark.createDataFrame([("PARIS", 1.0), ("", 2.0), (None, 3.0)], "location_id string, v double")
-    post_records(df, "http://api", make_sender=lambda: JsonLinesFileSender(out), chunk_size=2)
+    def to_file(records):                    # a local function travels to the workers by value
+        with open(out, "a", encoding="utf-8") as f:
+            f.writelines(json.dumps(list(r)) + "\n" for r in records)
+
+    post_records(df, "http://api", make_sender=lambda: to_file, chunk_size=2)
     sent = sorted(json.loads(l)[0] for l in open(out))
     assert sent == ["http://api/data/", "http://api/data/", "http://api/data/PARIS"]
     req = http_requests(df, "http://api").collect()

@@ -27,7 +27,7 @@ def test_every_query_has_oracle_or_is_declared(spark):
 
 
 @pytest.mark.parametrize("name", ["window_last", "decode_lookups", "sink_rows_23", "upsert_latest",
-                                  "expected_signals", "text_lines", "dimension_lookup"])
+                                  "text_lines", "dimension_lookup"])
 def test_queries_match_oracle_small(spark, name):
     con = duckdb.connect()
     for t in ["events", "customer", "nation", "region", "documents", "lineitem", "orders"]:

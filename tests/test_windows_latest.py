@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heliolake.operators.latest import key_age_seconds, latest_per_key
-from heliolake.operators.lookup import checked_broadcast, lookup, rejects, validate_keys
+from heliolake.operators.lookup import lookup, rejects, validate_keys
 from heliolake.operators.windows import aggregate_window, last_not_null, time_range, yield_all, to_series
 from heliolake.sinks.table import KeyedTable
 
@@ -66,7 +66,7 @@ def test_latest_per_key_and_key_age(spark):
 
 
 def test_keyed_table_upsert_replay(spark, scratch):
-    t = KeyedTable(scratch + "/kt", keys=["id"], order=["off"])
+    t = KeyedTable(scratch + "/kt", keys=["id"], order=["off"], buckets=4)
     b0 = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 3, "c")], "id int, off long, v string")
     b1 = spark.createDataFrame([(1, 4, "d"), (3, 5, "e"), (None, 6, "null-key")], "id int, off long, v string")
     t.upsert(b0, 0)
@@ -75,8 +75,34 @@ def test_keyed_table_upsert_replay(spark, scratch):
     t.upsert(b1, 1)                          # replay of the same batch id: no change
     after = sorted(tuple(r) for r in t.read().collect())
     assert before == after == [(1, 4, "d"), (2, 3, "c"), (3, 5, "e")]
-    c = t.compact_to(scratch + "/kt2", 2)
-    assert sorted(tuple(r) for r in c.read().collect()) == after
+    assert [(r.v, r._reason) for r in t.rejects().collect()] == [("null-key", "null_key")]
+    t.compact()
+    t.upsert(b0, 0)                          # replay of a merged batch: no change
+    assert sorted(tuple(r) for r in t.read().collect()) == after
+
+
+def test_keyed_table_reads_a_bounded_number_of_generations(spark, scratch):
+    t = KeyedTable(scratch + "/many", keys=["id"], order=["off"], buckets=4, compact_every=4)
+    want = {}
+    for i in range(13):
+        rows = [(k, i, f"{i}-{k}") for k in range(i, i + 5)]
+        want |= {k: (k, o, v) for k, o, v in rows}
+        t.upsert(spark.createDataFrame(rows, "id int, off long, v string"), i)
+        assert t.generations() <= 4 + 4
+    assert sorted(tuple(r) for r in t.read().collect()) == sorted(want.values())
+
+
+@pytest.mark.parametrize("fn", ["mean", "last"])
+def test_window_table_takes_rows_in_any_order(spark, scratch, fn):
+    from heliolake.sinks.table import WindowTable
+    rows = [("p", i, float(i % 7), f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00") for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, off long, v double, t string").withColumn("t", F.col("t").cast("timestamp"))
+    t = WindowTable(scratch + "/" + fn, "1 hour", fn, time_col="t", value_col="v", series=["k"], lateness_s=600, order_col="off", compact_every=2)
+    for i in range(4, -1, -1):               # the newest hour comes first
+        t.upsert(df.filter((F.col("off") >= 60 * i) & (F.col("off") < 60 * i + 60)), 4 - i)
+    want = aggregate_window(df, "1 hour", fn, time_col="t", value_col="v", series=["k"], order_col="off")
+    assert sorted(tuple(r) for r in t.read().collect()) == sorted(tuple(r) for r in want.collect())
+    assert t.late().count() > 0 and {r[0] for r in t.late().select("_reason").distinct().collect()} == {"window_closed"}
 
 
 def test_lookup_case_insensitive_and_rejects(spark):
@@ -87,20 +113,13 @@ def test_lookup_case_insensitive_and_rejects(spark):
     assert [r.loc for r in rejects(probe, dim, "loc", "location_id").collect()] == ["Oslo"]
     with pytest.raises(ValueError, match="Oslo"):
         validate_keys(probe, dim, "loc", "location_id")
-    # a dimension above the bound is not force-broadcast
-    assert checked_broadcast(dim, max_rows=2) is dim
-
-
-def test_keyed_table_with_day_partitions(spark, scratch):
-    import os
-    t = KeyedTable(scratch + "/ktd", keys=["id"], order=["off"], partition_by="day")
-    b0 = spark.createDataFrame([(1, 1, "a", "2024-01-01"), (2, 2, "b", "2024-01-02")], "id int, off long, v string, day string")
-    b1 = spark.createDataFrame([(1, 3, "c", "2024-01-01")], "id int, off long, v string, day string")
-    t.upsert(b0, 0)
-    t.upsert(b1, 1)
-    got = sorted((r.id, r.off, r.v, str(r.day)) for r in t.read().collect())
-    assert got == [(1, 3, "c", "2024-01-01"), (2, 2, "b", "2024-01-02")]
-    assert sorted(os.listdir(scratch + "/ktd/_batch=0")) [:2] == ["day=2024-01-01", "day=2024-01-02"]
+    many = spark.range(50).select(F.concat(F.lit("x"), F.col("id")).alias("loc"))
+    import os, tempfile
+    path = os.path.join(tempfile.mkdtemp(), "report")
+    with pytest.raises(ValueError, match="50 invalid loc"):
+        validate_keys(many, dim, "loc", "location_id", report_path=path)
+    report = spark.read.parquet(path)
+    assert report.filter("kind = 'invalid'").count() == 50 and report.filter("kind = 'valid'").count() == 3
 
 
 def test_relative_range_last_15_minutes(spark):
