@@ -1,8 +1,8 @@
 """Encode rows to keyed JSON messages and decode them back with exact missing/null rules.
 
-Decoding parses each message once into ``map<string,string>``: a JSON ``null`` becomes a map
-entry with a NULL value, an absent key is absent, and non-string values keep their JSON text.
-That single parse distinguishes the three lookups used by sinks:
+Decoding parses each message once into a struct of the wanted fields as text: other keys are skipped
+by the parser, a JSON ``null`` is NULL, and a value that is not a string keeps its JSON text. Only a field with a
+default for *absent* keys also looks at the object's key list.
 
 * ``get``      — NULL when absent or null                                  (P7)
 * ``default``  — the default only when the key is absent; null stays NULL   (P6)
@@ -18,12 +18,13 @@ from dataclasses import dataclass
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, MapType, StringType, StructType
+from pyspark.sql.types import BinaryType, MapType, StringType, StructField, StructType
 
 REJECT = "_reject"
 PAYLOAD = "_payload"
 _BARRIER = "_parse_task"
 _KEYS = "_payload_keys"
+_IS_OBJECT = "_is_object"
 _OBJECT_END = r"\}\s*$"
 
 
@@ -88,11 +89,32 @@ def payload_map(value: Column, value_type=None) -> Column:
     """
     if isinstance(value_type, MapType):
         return F.transform_values(value, lambda k, v: v.cast("string"))
+    return F.from_json(_as_text(value, value_type), MapType(StringType(), StringType()))
+
+
+def _as_text(value: Column, value_type) -> Column:
     if isinstance(value_type, StructType):
-        value = F.to_json(value, {"ignoreNullFields": "false"})
-    elif isinstance(value_type, BinaryType):
-        value = value.cast("string")
-    return F.from_json(value, MapType(StringType(), StringType()))
+        return F.to_json(value, {"ignoreNullFields": "false"})
+    return value.cast("string") if isinstance(value_type, BinaryType) else value
+
+
+_BROKEN = "_broken_text"
+
+
+def _parsed(value: Column, value_type, keys: Sequence[str]) -> Column:
+    """Struct of the keys as text, and the text that could not be parsed, if any."""
+    if isinstance(value_type, MapType):
+        texts = F.transform_values(value, lambda k, v: v.cast("string"))
+        return F.struct(*[F.try_element_at(texts, F.lit(k)).alias(k) for k in keys])
+    schema = StructType([StructField(k, StringType()) for k in keys] + [StructField(_BROKEN, StringType())])
+    return F.from_json(_as_text(value, value_type), schema, {"columnNameOfCorruptRecord": _BROKEN})
+
+
+def _is_object(payload: Column, value: Column, value_type) -> Column:
+    if isinstance(value_type, MapType):
+        return value.isNotNull()
+    good = payload.isNotNull() & payload[_BROKEN].isNull()
+    return good if isinstance(value_type, StructType) else good & value.cast("string").rlike(r"^\s*\{")
 
 
 def decode(df: DataFrame, fields: Sequence[Field], value_col: str = "value",
@@ -110,18 +132,20 @@ def decode(df: DataFrame, fields: Sequence[Field], value_col: str = "value",
     # would otherwise be pushed below this projection with the parse inlined once per reference;
     # the (cheap, non-deterministic) partition id column stops that push-down here, so each
     # message is parsed exactly once.
-    staged = (df.withColumn(PAYLOAD, payload_map(F.col(value_col), vtype))
-              .withColumn(_BARRIER, F.spark_partition_id()))
-    staged = staged.withColumn(_KEYS, F.map_keys(F.col(PAYLOAD)))
-    m = F.col(PAYLOAD)
+    keys = list(dict.fromkeys(f.json_key for f in fields))
+    staged = df.withColumn(PAYLOAD, _parsed(F.col(value_col), vtype, keys)).withColumn(_BARRIER, F.spark_partition_id())
+    staged = staged.withColumn(_IS_OBJECT, F.coalesce(_is_object(F.col(PAYLOAD), F.col(value_col), vtype), F.lit(False)))
+    if any(f.lookup == "default" for f in fields):
+        names = F.map_keys(F.col(value_col)) if isinstance(vtype, MapType) else F.json_object_keys(_as_text(F.col(value_col), vtype))
+        staged = staged.withColumn(_KEYS, names)
+    is_object = F.col(_IS_OBJECT)
     out_cols = [F.col(c) for c in keep]
     problems = [F.when(F.col(value_col).isNull(), F.lit("null_value")),
-                F.when(m.isNull(), F.lit("not_a_json_object"))]
+                F.when(~is_object, F.lit("not_a_json_object"))]
     if strict_end and not isinstance(vtype, (MapType, StructType)):
         problems.append(F.when(~F.col(value_col).cast("string").rlike(_OBJECT_END), F.lit("trailing_content")))
     for f in fields:
-        present = F.array_contains(F.col(_KEYS), F.lit(f.json_key))
-        raw = F.try_element_at(m, F.lit(f.json_key))
+        raw = F.col(PAYLOAD)[f.json_key]
         typed = _typed(raw, f.dtype)
         bad = raw.isNotNull() & typed.isNull()
         if f.lookup == "get":
@@ -129,16 +153,17 @@ def decode(df: DataFrame, fields: Sequence[Field], value_col: str = "value",
         elif f.lookup == "default":
             if f.default is NO_DEFAULT:
                 raise ValueError(f"field {f.name}: lookup='default' needs a default")
-            val = F.when(present, typed).otherwise(F.lit(f.default))
+            # a value is there, or a null under its key; else the key is absent
+            val = F.when(raw.isNotNull() | F.array_contains(F.col(_KEYS), F.lit(f.json_key)), typed).otherwise(F.lit(f.default))
         elif f.lookup == "falsy":
             val = F.when(_falsy(typed, f.dtype), F.lit(f.default)).otherwise(typed)
         else:
             raise ValueError(f"unknown lookup {f.lookup!r}")
         # no object payload -> no fields (the row is rejected as a whole)
-        out_cols.append(F.when(m.isNotNull(), val).cast(_spark_type(f.dtype)).alias(f.name))
-        problems.append(F.when(m.isNotNull() & bad, F.lit(f"bad_{f.name}")))
+        out_cols.append(F.when(is_object, val).cast(_spark_type(f.dtype)).alias(f.name))
+        problems.append(F.when(is_object & bad, F.lit(f"bad_{f.name}")))
         if f.required:
-            problems.append(F.when(m.isNotNull() & ~bad & val.isNull(), F.lit(f"missing_{f.name}")))
+            problems.append(F.when(is_object & ~bad & val.isNull(), F.lit(f"missing_{f.name}")))
     problems.append(F.when(F.col(_BARRIER) < 0, F.lit("unreachable")))   # keeps the barrier column alive
     reason = F.coalesce(*problems)
     return staged.select(*out_cols, reason.alias(REJECT))

@@ -35,5 +35,6 @@ def key_age_seconds(df: DataFrame, key: str, time_col: str, out: str = "age_s")
     """
     secs = F.unix_seconds(F.col(time_col).cast("timestamp"))
     first = df.groupBy(key).agg(F.min(secs).alias("_first_s"))
-    return (df.join(first, on=key, how="left")
-            .withColumn(out, secs - F.col("_first_s")).drop("_first_s"))
+    first = first.withColumnRenamed(key, "_first_key")        # a NULL key is a key like others
+    return (df.join(first, F.col(key).eqNullSafe(F.col("_first_key")), "left")
+            .withColumn(out, secs - F.col("_first_s")).drop("_first_s", "_first_key"))

@@ -1,7 +1,7 @@
 """Dimension lookup (location attributes by a case-insensitive key) and its reject path.
 
-The dimension is broadcast only after its row count has been checked against a bound; above
-the bound the join is left to the planner (shuffle join, with AQE splitting skewed keys).
+The joins carry no hint: Spark broadcasts a dimension whose measured bytes are below
+``spark.sql.autoBroadcastJoinThreshold`` and joins by shuffle beyond that, splitting skewed keys.
 """
 
 from __future__ import annotations
@@ -10,19 +10,6 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# A dimension larger than this is never force-broadcast.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``dim`` unchanged.
-
-    The count is one cheap job over the (small) dimension; the bound is what keeps executor
-    memory safe when a "dimension" turns out to grow with the data.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
 
 def _normalised(dim: DataFrame, dim_key: str, prefer: Sequence[str] | None) -> DataFrame:
     """One row per upper-cased key: the first by ``prefer`` order (default: the key text)."""
@@ -34,30 +21,41 @@ def _normalised(dim: DataFrame, dim_key: str, prefer: Sequence[str] | None) -> D
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, *, how: str = "inner",
-           prefer: Sequence[str] | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           prefer: Sequence[str] | None = None) -> DataFrame:
     """Attach dimension columns where ``upper(df.key) == upper(dim.dim_key)``.
 
     Duplicate keys in the dimension (case-insensitively) resolve to the first by ``prefer``.
     ``how='inner'`` drops misses — pair it with :func:`rejects` to keep them.
     """
-    d = checked_broadcast(_normalised(dim, dim_key, prefer), max_broadcast_rows)
     return (df.withColumn("_lk", F.upper(F.col(key)))
-            .join(d, on="_lk", how=how).drop("_lk"))
+            .join(_normalised(dim, dim_key, prefer), on="_lk", how=how).drop("_lk"))
 
 
-def rejects(df: DataFrame, dim: DataFrame, key: str, dim_key: str, *,
-            max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def rejects(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
     """Rows whose key has no match in the dimension (left anti join)."""
     keys = dim.select(F.upper(F.col(dim_key)).alias("_lk")).distinct()
-    keys = checked_broadcast(keys, max_broadcast_rows)
     return (df.withColumn("_lk", F.upper(F.col(key)))
             .join(keys, on="_lk", how="left_anti").drop("_lk"))
 
 
-def validate_keys(df: DataFrame, dim: DataFrame, key: str, dim_key: str, sample: int = 20) -> None:
-    """Raise ``ValueError`` naming the invalid keys (a bounded sample) and the valid ones."""
-    bad = rejects(df.select(key).distinct(), dim, key, dim_key).limit(sample).collect()
-    if bad:
-        valid = ", ".join(f'"{r[0]}"' for r in dim.select(dim_key).orderBy(dim_key).limit(1000).collect())
-        shown = ", ".join(f"'{r[0]}'" for r in bad)
-        raise ValueError(f"Invalid {key}: {shown}. Valid values are: {valid}")
+def key_report(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
+    """Every invalid key once, and every valid one: ``(kind, key)`` with ``invalid`` / ``valid``."""
+    bad = rejects(df.select(key).distinct(), dim, key, dim_key).select(F.lit("invalid").alias("kind"), F.col(key).cast("string").alias("key"))
+    return bad.unionByName(dim.select(F.lit("valid").alias("kind"), F.col(dim_key).cast("string").alias("key")).distinct())
+
+
+def validate_keys(df: DataFrame, dim: DataFrame, key: str, dim_key: str, report_path: str | None = None, shown: int = 20) -> None:
+    """Raise ``ValueError`` when a key is not in the dimension.
+
+    The message counts the invalid keys and shows the first ``shown`` of them; ``report_path``, if given, receives
+    all of them and all valid ones (:func:`key_report`) as a table.
+    """
+    bad = rejects(df.select(key).distinct(), dim, key, dim_key)
+    n = bad.count()
+    if not n:
+        return
+    if report_path:
+        key_report(df, dim, key, dim_key).write.partitionBy("kind").parquet(report_path)
+    first = ", ".join(f"'{r[0]}'" for r in bad.orderBy(key).limit(shown).collect())
+    raise ValueError(f"{n} invalid {key}: {first}" + (" ..." if n > shown else "")
+                     + (f"; all invalid and valid keys are in {report_path}" if report_path else ""))

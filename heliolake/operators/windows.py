@@ -8,7 +8,7 @@ Semantics of the dashboard's ``range |> filter |> aggregateWindow(every, fn, cre
   are omitted (``createEmpty: false``) and ``last``/``mean`` ignore NULLs;
 * the output time is the window *stop*, clipped to the range stop.
 
-``last`` is ``max_by(value, struct(time, offset))`` — deterministic when times tie — and both
+``last`` is ``max_by(value, (time, offset))`` — deterministic when times tie — and both
 aggregates run as partial (map-side) + final aggregation, so a hot series costs one row per
 window per input partition in the shuffle, never all of its rows.
 """
@@ -24,7 +24,11 @@ FUNCTIONS = ("last", "mean")
 
 
 def time_range(df: DataFrame, start=None, stop=None, time_col: str = "_time") -> DataFrame:
-    """``start <= t < stop`` (either bound may be None). Pushed into the parquet scan."""
+    """``start <= t < stop`` (either bound may be None; a Column, such as a scalar subquery, is taken as it is).
+
+    On a column of the stored table the filter reaches the parquet scan; on a decoded time it cannot, see
+    :func:`broker_range`.
+    """
     t = F.col(time_col)
     cond = None
     if start is not None:
@@ -35,6 +39,28 @@ def time_range(df: DataFrame, start=None, stop=None, time_col: str = "_time") ->
     return df if cond is None else df.filter(cond)
 
 
+def broker_range(topic: DataFrame, start, stop, slack: str = "1 hour", time_col: str = "timestamp") -> DataFrame:
+    """Messages whose broker time is within ``slack`` of ``[start, stop)``, as a filter that reaches the topic's scan.
+
+    It goes before decoding. ``slack`` states how far an event time may be from its broker time; rows
+    beyond that would be missed, so it belongs to the topic's contract.
+    """
+    t, wide = F.col(time_col), F.expr(f"INTERVAL {slack}")
+    at = lambda v: (v if isinstance(v, Column) else F.lit(v)).cast(topic.schema[time_col].dataType)
+    return topic.filter((t >= at(start) - wide) & (t < at(stop) + wide))
+
+
+def last_order(time: Column, order: Column | None = None) -> Column:
+    """Time, then ``order`` (an integer such as an offset), as one decimal number.
+
+    A number can be updated in place in a hash aggregation; a struct cannot, and would make Spark sort the whole input.
+    """
+    micros = F.unix_micros(time.cast("timestamp")).cast("decimal(18,0)")
+    if order is None:
+        return micros.cast("decimal(38,0)")
+    return (micros * F.lit("10000000000000000000").cast("decimal(20,0)") + order.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def _ts_lit(v, df: DataFrame, time_col: str) -> Column:
     if isinstance(v, Column):
         return v
@@ -48,17 +74,15 @@ def aggregate_window(df: DataFrame, every: str, fn: str = "last", *, time_col: s
                      out_time: str = "_time", out_value: str = "_value") -> DataFrame:
     """Tumbling-window ``last`` or ``mean`` per series.
 
-    ``order_col`` breaks ties among equal times for ``last`` (e.g. the message offset); it
-    makes the ordering a struct, which plans as a SortAggregate. Without it (series whose times
-    are unique) ``last`` is a HashAggregate.
+    ``order_col`` (an integer) breaks ties among equal times for ``last`` (e.g. the message offset). Numeric values
+    plan as a HashAggregate; text values have to be sorted.
     """
     if fn not in FUNCTIONS:
         raise ValueError(f"fn must be one of {FUNCTIONS}")
     src = time_range(df, start, stop, time_col).filter(F.col(value_col).isNotNull())
     w = F.window(F.col(time_col), every)
     if fn == "last":
-        order = F.struct(F.col(time_col), F.col(order_col)) if order_col else F.col(time_col)
-        agg = F.max_by(F.col(value_col), order)
+        agg = F.max_by(F.col(value_col), last_order(F.col(time_col), F.col(order_col) if order_col else None))
     else:
         agg = F.avg(F.col(value_col))
     grouped = src.groupBy(*[F.col(s) for s in series], w.alias("_w")).agg(agg.alias(out_value))
@@ -73,7 +97,7 @@ def last_not_null(df: DataFrame, *, time_col: str = "_time", value_col: str = "_
                   start=None, stop=None) -> DataFrame:
     """A4: the panel reducer ``lastNotNull`` over the selected range, per series."""
     src = time_range(df, start, stop, time_col).filter(F.col(value_col).isNotNull())
-    order = F.struct(F.col(time_col), F.col(order_col)) if order_col else F.col(time_col)
+    order = last_order(F.col(time_col), F.col(order_col) if order_col else None)
     return src.groupBy(*series).agg(F.max_by(F.col(time_col), order).alias(time_col),
                                     F.max_by(F.col(value_col), order).alias(value_col))
 

@@ -2,27 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heliolake.functions.presentation import LEVEL_STEPS, STATUS_STEPS, STATUS_TEXT, map_values, threshold_colour
 from heliolake.functions.timefn import event_time, to_ntz
 from heliolake.operators.codec import Field, decode, good_rows
-from heliolake.operators.windows import aggregate_window, footer_sum, last_not_null, time_range
+from heliolake.operators.windows import (aggregate_window, broker_range, footer_sum, last_not_null, last_order, time_range, to_series,
+                                         yield_all)
 from heliolake.plans.readings import readings_topic
 from heliolake.plans.registry import register
+from heliolake.session import unique_dir
+from heliolake.sinks.table import append_table
+from heliolake.tables import table
 
-# Dashboard range of the registered queries: it spans the whole events table.
-RANGE_START = "2024-01-01 00:00:00"
-RANGE_STOP = "2024-02-01 00:00:00"
 EVERY = "1 hour"
 
+
+def whole_range(spark: SparkSession, root: str) -> tuple[Column, Column]:
+    """The whole days that the events table covers, as two scalar subqueries over its own times."""
+    ev = table(spark, root, "events")
+    day = lambda f: F.date_trunc("day", f("ts")).cast("timestamp_ntz")
+    return ev.agg(day(F.min)).scalar(), ev.agg(day(F.max) + F.expr("INTERVAL 1 DAY")).scalar()
+
 SERIES_FIELDS = [Field("location_id"), Field("power_output", "double"), Field("temperature", "double"),
                  Field("inverter_status"), Field("timestamp", "long")]
 
 
-def series(spark: SparkSession, root: str, edge: bool = False) -> DataFrame:
-    """Decoded readings with an event time (broker time when the payload has none)."""
+def series(spark: SparkSession, root: str, edge: bool = False, within: tuple[Column, Column] | None = None) -> DataFrame:
+    """Decoded readings with an event time (broker time when the payload has none).
+
+    ``within`` skips messages by their broker time before decoding; a reading's own time is its broker time here.
+    """
     topic = readings_topic(spark, root, edge=edge)
+    if within:
+        topic = broker_range(topic, *within)
     d = good_rows(decode(topic.withColumn("_broker_ms", F.unix_millis("timestamp")), SERIES_FIELDS,
                          keep=["offset", "_broker_ms"]))
     return d.withColumn("_time", to_ntz(event_time(F.col("timestamp"), F.col("_broker_ms"), "broker")))
@@ -32,21 +45,22 @@ def _bucket(every_sql: str = "INTERVAL '1 hour'") -> str:
     return f"time_bucket({every_sql}, ts, TIMESTAMP '1970-01-01') + {every_sql}"
 
 
-_RANGE_SQL = f"ts >= TIMESTAMP '{RANGE_START}' AND ts < TIMESTAMP '{RANGE_STOP}'"
+_RANGE_SQL = "ts >= (SELECT date_trunc('day', min(ts)) FROM events) AND ts < (SELECT date_trunc('day', max(ts)) + INTERVAL 1 DAY FROM events)"
 
 
-@register("window_last", "S1 S4 E2 F1 P10 P12 A1 A3 A7", oracle=f"""
+@register("window_last", "E2 F1 P10 A1 A3", oracle=f"""
 SELECT upper(event_type) AS location_id, {_bucket()} AS _time, value AS _value
 FROM events WHERE {_RANGE_SQL} AND value IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY event_type, {_bucket()} ORDER BY ts DESC, event_id DESC) = 1
 """)
 def window_last(spark: SparkSession, root: str) -> DataFrame:
+    start, stop = whole_range(spark, root)
     s = series(spark, root).select("location_id", "_time", "offset", F.col("power_output").alias("_value"))
     return aggregate_window(s, EVERY, "last", series=["location_id"], order_col="offset",
-                            start=RANGE_START, stop=RANGE_STOP)
+                            start=start, stop=stop)
 
 
-@register("window_last_zero", "P10 P12 A1 A3", oracle=f"""
+@register("window_last_zero", "P10 A1 A3", oracle=f"""
 SELECT upper(event_type) AS location_id, {_bucket()} AS _time,
        CAST(json_extract(props, '$.k') AS DOUBLE) AS _value
 FROM events WHERE {_RANGE_SQL} AND CAST(json_extract(props, '$.k') AS INTEGER) = 0
@@ -54,13 +68,14 @@ QUALIFY row_number() OVER (PARTITION BY event_type, {_bucket()} ORDER BY ts DESC
 """)
 def window_last_zero(spark: SparkSession, root: str) -> DataFrame:
     """The alert panel: last value per window among readings whose value equals 0."""
+    start, stop = whole_range(spark, root)
     s = series(spark, root).select("location_id", "_time", "offset", F.col("temperature").alias("_value"))
     s = s.filter(F.col("_value") == 0.0)
     return aggregate_window(s, EVERY, "last", series=["location_id"], order_col="offset",
-                            start=RANGE_START, stop=RANGE_STOP)
+                            start=start, stop=stop)
 
 
-@register("window_last_text", "P10 P12 A1 A3", oracle=f"""
+@register("window_last_text", "P10 A1 A3", oracle=f"""
 SELECT upper(event_type) AS location_id, {_bucket()} AS _time,
        CASE WHEN value > 0 THEN 'OK' ELSE 'STANDBY' END AS _value
 FROM events WHERE {_RANGE_SQL} AND value > 0
@@ -68,10 +83,11 @@ QUALIFY row_number() OVER (PARTITION BY event_type, {_bucket()} ORDER BY ts DESC
 """)
 def window_last_text(spark: SparkSession, root: str) -> DataFrame:
     """The alerts table: string equality on a text field, then last per window."""
+    start, stop = whole_range(spark, root)
     s = series(spark, root).select("location_id", "_time", "offset", F.col("inverter_status").alias("_value"))
     s = s.filter(F.col("_value") == "OK")
     return aggregate_window(s, EVERY, "last", series=["location_id"], order_col="offset",
-                            start=RANGE_START, stop=RANGE_STOP)
+                            start=start, stop=stop)
 
 
 _MEAN_SQL = f"""
@@ -90,12 +106,13 @@ def _long_series(s: DataFrame) -> DataFrame:
                     F.expr("stack(2, 'power_output', power_output, 'temperature', temperature) as (_field, _value)"))
 
 
-@register("window_mean", "P11 P12 A2 A3 A7", oracle=_MEAN_SQL)
+@register("window_mean", "P11 A2 A3", oracle=_MEAN_SQL)
 def window_mean(spark: SparkSession, root: str) -> DataFrame:
     """Mean per window of two fields (``_field == a or _field == b``)."""
+    start, stop = whole_range(spark, root)
     s = _long_series(series(spark, root))
     s = s.filter((F.col("_field") == "power_output") | (F.col("_field") == "temperature"))
-    out = aggregate_window(s, EVERY, "mean", series=["location_id", "_field"], start=RANGE_START, stop=RANGE_STOP)
+    out = aggregate_window(s, EVERY, "mean", series=["location_id", "_field"], start=start, stop=stop)
     return out.withColumn("_value", F.round("_value", 6))
 
 
@@ -111,9 +128,10 @@ QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DE
 """)
 def last_not_null_q(spark: SparkSession, root: str) -> DataFrame:
     """``lastNotNull`` of temperature per location over messages with nulls/bad payloads."""
+    start, stop = whole_range(spark, root)
     s = series(spark, root, edge=True).select("location_id", "_time", "offset",
                                              F.col("temperature").alias("_value"))
-    return last_not_null(s, series=["location_id"], order_col="offset", start=RANGE_START, stop=RANGE_STOP)
+    return last_not_null(s, series=["location_id"], order_col="offset", start=start, stop=stop)
 
 
 @register("footer_sum", "A5", oracle="""
@@ -140,12 +158,13 @@ def multi_yield(spark: SparkSession, root: str) -> DataFrame:
     and ONE shuffle: a single aggregation per (location, window) computes all three series,
     then ``stack`` emits them as named rows; a series whose window holds only NULLs is dropped
     (createEmpty: false)."""
-    s = time_range(series(spark, root), RANGE_START, RANGE_STOP, "_time")
+    start, stop = whole_range(spark, root)
+    s = time_range(series(spark, root), start, stop, "_time")
     p, t = F.col("power_output"), F.col("temperature")
     agg = (s.groupBy("location_id", F.window("_time", EVERY).alias("_w"))
-           .agg(F.max_by(p, F.when(p.isNotNull(), F.struct("_time", "offset"))).alias("last_p"),
+           .agg(F.max_by(p, F.when(p.isNotNull(), last_order(F.col("_time"), F.col("offset")))).alias("last_p"),
                 F.round(F.avg(p), 6).alias("mean_p"), F.round(F.avg(t), 6).alias("mean_t")))
-    rows = agg.select("location_id", F.least(F.col("_w.end"), F.lit(RANGE_STOP).cast("timestamp_ntz")).alias("_time"),
+    rows = agg.select("location_id", F.least(F.col("_w.end"), stop).alias("_time"),
                       F.expr("stack(3, 'power_output', last_p, 'last', 'power_output', mean_p, 'mean', "
                              "'temperature', mean_t, 'mean') as (_field, _value, result)"))
     return rows.filter(F.col("_value").isNotNull()).select("location_id", "_field", "_time", "_value", "result")
@@ -168,7 +187,7 @@ def status_and_thresholds(spark: SparkSession, root: str) -> DataFrame:
     s = series(spark, root)
     s = s.withColumn("status_value", F.when(F.col("inverter_status") == "OK", 1).otherwise(0))
     last = (s.groupBy("location_id")
-            .agg(F.max_by(F.struct("status_value", "power_output"), F.struct("_time", "offset")).alias("l")))
+            .agg(F.max_by(F.struct("status_value", "power_output"), last_order(F.col("_time"), F.col("offset"))).alias("l")))
     return last.select(
         "location_id", F.col("l.status_value").alias("status_value"),
         map_values(F.col("l.status_value"), STATUS_TEXT).alias("status_text"),
@@ -176,7 +195,7 @@ def status_and_thresholds(spark: SparkSession, root: str) -> DataFrame:
         threshold_colour(F.col("l.power_output"), LEVEL_STEPS).alias("level_colour"))
 
 
-@register("stored_series_last", "A1 A7 P10 P12 O1 O2 K4", oracle=f"""
+@register("stored_series_last", "A1 P10 O2 K4", oracle=f"""
 SELECT upper(event_type) AS location_id, {_bucket()} AS _time, value AS _value
 FROM events WHERE {_RANGE_SQL} AND value IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY event_type, {_bucket()} ORDER BY ts DESC, event_id DESC) = 1
@@ -186,17 +205,45 @@ def stored_series_last(spark: SparkSession, root: str) -> DataFrame:
     (_measurement, location_id, _field, _value, _time, offset), partitioned by day and sorted by
     (field, location, time); the dashboard query then filters field and range on the table, so
     day partitions and parquet row groups outside them are skipped."""
-    from heliolake.operators.windows import to_series
-    from heliolake.session import unique_dir
-    from heliolake.sinks.table import append_table
+    start, stop = whole_range(spark, root)
     s = series(spark, root)
     long = to_series(s, "_time", "solar",
                      ["power_output", "temperature"], tags=["location_id", "offset"])
     path = unique_dir(spark, "series")
     append_table(long, path, time_col="_time", sort_by=["_field", "location_id", "_time"])
     stored = spark.read.parquet(path)
-    day_lo, day_hi = RANGE_START[:10], RANGE_STOP[:10]
-    q = stored.filter((F.col("event_date") >= F.lit(day_lo).cast("date")) & (F.col("event_date") <= F.lit(day_hi).cast("date"))
+    q = stored.filter((F.col("event_date") >= start.cast("date")) & (F.col("event_date") <= stop.cast("date"))
                       & (F.col("_measurement") == "solar") & (F.col("_field") == "power_output"))
     return aggregate_window(q, EVERY, "last", series=["location_id"], order_col="offset",
-                            start=RANGE_START, stop=RANGE_STOP)
+                            start=start, stop=stop)
+
+
+# a range that cuts: from 90 minutes after the middle of the table's times to 20 minutes past some later hour
+_CUT = "(SELECT date_trunc('hour', min(ts) + (max(ts) - min(ts)) / 2) FROM events)"
+_CUT_SQL = f"ts >= {_CUT} + INTERVAL 90 MINUTE AND ts < {_CUT} + INTERVAL 1460 MINUTE"
+
+
+def cut_range(spark: SparkSession, root: str) -> tuple[Column, Column]:
+    ev = table(spark, root, "events")
+    middle = F.timestamp_micros(F.expr("(unix_micros(cast(min(ts) as timestamp)) + unix_micros(cast(max(ts) as timestamp))) div 2"))
+    at = lambda minutes: ev.agg((F.date_trunc("hour", middle) + F.expr(f"INTERVAL {minutes} MINUTE")).cast("timestamp_ntz")).scalar()
+    return at(90), at(1460)
+
+
+@register("window_cut_range", "P12 A7 A1 A2 A6", oracle=f"""
+SELECT upper(event_type) AS location_id, least({_bucket()}, {_CUT} + INTERVAL 1460 MINUTE) AS _time, round(value, 6) AS _value, 'last' AS result
+FROM events WHERE {_CUT_SQL} AND value IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY event_type, {_bucket()} ORDER BY ts DESC, event_id DESC) = 1
+UNION ALL
+SELECT upper(event_type), least({_bucket("INTERVAL '15 minutes'")}, {_CUT} + INTERVAL 1460 MINUTE), round(avg(value), 6), 'mean'
+FROM events WHERE {_CUT_SQL} AND value IS NOT NULL GROUP BY 1, 2
+""")
+def window_cut_range(spark: SparkSession, root: str) -> DataFrame:
+    """A range inside the data: both bounds cut rows, the first window begins late and the last one is clipped at the stop;
+    two window lengths as two named results. Messages outside (by broker time) are skipped before decoding."""
+    start, stop = cut_range(spark, root)
+    s = series(spark, root, within=(start, stop)).select("location_id", "_time", "offset", F.col("power_output").alias("_value"))
+    last = aggregate_window(s, "1 hour", "last", series=["location_id"], order_col="offset", start=start, stop=stop)
+    mean = aggregate_window(s, "15 minutes", "mean", series=["location_id"], start=start, stop=stop)
+    out = yield_all({"last": last, "mean": mean})
+    return out.select("location_id", "_time", F.round("_value", 6).alias("_value"), "result")

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heliolake.functions.timefn import (iso_utc, ms_to_timestamp, ns_to_timestamp, timestamp_to_ms,
+from heliolake.functions.timefn import (event_time, hour_of_day, iso_utc, ms_to_timestamp, ns_to_timestamp, timestamp_to_ms,
                                         timestamp_to_ns, to_ntz)
 from heliolake.operators.codec import REJECT, Field, decode, good_rows
 from heliolake.operators.layouts import (ROW_COLUMNS, SYMBOL_COLUMNS, broker_columns, shape_columnar,
                                          shape_relational, shape_sheet, shape_timeseries)
 from heliolake.plans.readings import readings_topic
 from heliolake.plans.registry import register
-from heliolake.sinks.lines import line_protocol
+from heliolake.sinks.lines import line_protocol, measurement_lines
 from heliolake.tables import table
 
 # SQL view of the readings topic payloads, field by field (mirrors ``readings.readings_topic``).
@@ -37,7 +37,7 @@ def _int(x: str) -> str:
     return f"CAST(round({x}) AS INTEGER)"
 
 
-@register("envelope_roundtrip", "E1 E2 E4 S1 S4 K1", oracle="""
+@register("envelope_roundtrip", "E1 E2 E4 S4", oracle="""
 SELECT event_id AS kafka_offset, upper(event_type) AS kafka_key, 'solar-data' AS kafka_topic,
        CAST(user_id % 8 AS INTEGER) AS kafka_partition, date_trunc('millisecond', ts) AS kafka_timestamp,
        upper(event_type) || '-P' || lpad(CAST(user_id AS VARCHAR),
@@ -56,7 +56,7 @@ def envelope_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     return good_rows(d).withColumn("kafka_timestamp", to_ntz("kafka_timestamp"))
 
 
-@register("decode_lookups", "E2 E3 P6 P7 P8 P9 T7", oracle=_D + """
+@register("decode_lookups", "E2 E3 P6 P7 P8 P9", oracle=_D + """
 SELECT event_id AS offset,
        CASE WHEN obj THEN temperature END AS temp_get,
        CASE WHEN NOT obj THEN NULL WHEN k = 5 THEN NULL WHEN k = 0 THEN NULL ELSE temperature END AS temp_default,
@@ -79,7 +79,7 @@ def decode_lookups(spark: SparkSession, root: str) -> DataFrame:
                     floor_div("ts_default", 1000).alias("ts_us_default"), REJECT)
 
 
-@register("coerce_reject", "P9 E3 T7", oracle=_D + """
+@register("coerce_reject", "P9 E3", oracle=_D + """
 SELECT coalesce(reason, 'ok') AS outcome, count(*) AS n FROM d GROUP BY 1
 """)
 def coerce_reject(spark: SparkSession, root: str) -> DataFrame:
@@ -88,12 +88,13 @@ def coerce_reject(spark: SparkSession, root: str) -> DataFrame:
     return d.groupBy(F.coalesce(F.col(REJECT), F.lit("ok")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("ns_to_ts", "F1 F2 F4", oracle="""
+@register("ns_to_ts", "F1 F2 F4 F8", oracle="""
 SELECT event_id,
        epoch_us(ts) * 1000 + event_id % 1000 AS ns,
        make_timestamp(epoch_us(ts)) AS ts_from_ns,
        make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts_from_ms,
-       epoch_us(ts) * 1000 AS ns_back
+       epoch_us(ts) * 1000 AS ns_back,
+       round(((epoch_us(ts) // 1000000) % 86400) / 3600.0, 6) AS hour
 FROM events
 """)
 def ns_to_ts(spark: SparkSession, root: str) -> DataFrame:
@@ -104,7 +105,8 @@ def ns_to_ts(spark: SparkSession, root: str) -> DataFrame:
     return out.select("event_id", "ns",
                       to_ntz(ns_to_timestamp("ns")).alias("ts_from_ns"),
                       to_ntz(ms_to_timestamp("ms")).alias("ts_from_ms"),
-                      timestamp_to_ns(ns_to_timestamp("ns")).alias("ns_back"))
+                      timestamp_to_ns(ns_to_timestamp("ns")).alias("ns_back"),
+                      F.round(hour_of_day("ns"), 6).alias("hour"))
 
 
 @register("iso_time", "F3", oracle="""
@@ -125,7 +127,6 @@ FROM d
 """)
 def event_time_fallback(spark: SparkSession, root: str) -> DataFrame:
     """Event time with a fallback: broker time (columnar sink) vs epoch 0 (relational sink)."""
-    from heliolake.functions.timefn import event_time
     topic = readings_topic(spark, root, edge=True).withColumn("_ms", F.unix_millis("timestamp"))
     d = decode(topic, [Field("ts_falsy", "long", lookup="falsy", default=0, key="timestamp"),
                        Field("ts_absent0", "long", lookup="default", default=0, key="timestamp")],
@@ -135,7 +136,7 @@ def event_time_fallback(spark: SparkSession, root: str) -> DataFrame:
                     to_ntz(F.when(F.col(REJECT).isNull(), event_time("ts_absent0", on_missing="epoch"))).alias("t_epoch"))
 
 
-@register("sink_rows_18_int", "P5 P7 K2 K3 F1 F6", oracle=_D + f"""
+@register("sink_rows_18_int", "P5 P7 F1 F6", oracle=_D + f"""
 SELECT event_id AS offset,
        CASE WHEN obj THEN panel_id END AS panel_id, CASE WHEN obj THEN location_id END AS location_id,
        CASE WHEN obj THEN location_name END AS location_name,
@@ -180,14 +181,14 @@ FROM (SELECT d.*, ev.event_type AS event_type_k FROM d JOIN events ev USING (eve
 """
 
 
-@register("sink_rows_23", "P5 P6 E4 F5 K4", oracle=_COLUMNAR_SQL)
+@register("sink_rows_23", "P5 P6 E4 F5", oracle=_COLUMNAR_SQL)
 def sink_rows_23(spark: SparkSession, root: str) -> DataFrame:
     """Columnar append layout: defaults only for absent keys, broker metadata, ms time."""
     s = shape_columnar(readings_topic(spark, root, edge=True))
     return s.withColumn("timestamp", to_ntz("timestamp")).withColumn("kafka_timestamp", to_ntz("kafka_timestamp"))
 
 
-@register("sheet_rows_20", "P5 P6 E5 K7", oracle=_D + """
+@register("sheet_rows_20", "P5 P6 E5", oracle=_D + """
 SELECT event_id AS offset,
        CASE WHEN obj THEN panel_id END AS panel_id, CASE WHEN obj THEN location_id END AS location_id,
        CASE WHEN obj THEN location_name END AS location_name,
@@ -232,14 +233,14 @@ FROM d
 """
 
 
-@register("timeseries_rows", "P5 P9 T7 K5", oracle=_TS_SQL)
+@register("timeseries_rows", "P5 P9", oracle=_TS_SQL)
 def timeseries_rows(spark: SparkSession, root: str) -> DataFrame:
     """Time-series row layout: 4 symbols, 8 forced numbers, designated time; bad rows rejected."""
     s = shape_timeseries(readings_topic(spark, root, edge=True), keep=["offset"])
     return s.withColumn("time", to_ntz("time"))
 
 
-@register("line_protocol", "K5 K6 F3", oracle=_D + """
+@register("line_protocol", "K5 F3", oracle=_D + """
 SELECT event_id AS offset,
        'solar,panel_id=' || panel_id || ',location_id=' || location_id || ',location_name=' || location_name
        || ',inverter_status=' || inverter_status
@@ -284,3 +285,28 @@ def union_producers(spark: SparkSession, root: str) -> DataFrame:
     u = da.unionByName(db, allowMissingColumns=True)
     return u.groupBy("location_id").agg(F.count(F.lit(1)).alias("n"), F.count("power_output").alias("n_power"),
                                         F.count("temperature").alias("n_temperature"))
+
+
+@register("measurement_lines", "K6", oracle=_D + """
+SELECT 'readings,panel_id=' || panel_id || ',status=' || inverter_status || ' offset=' || event_id || 'i,power=' || CAST(power_output AS VARCHAR) || ' '
+       || CAST(coalesce(ts_ns, epoch_us(ts) * 1000) AS VARCHAR) AS line
+FROM d WHERE reason IS NULL
+""")
+def measurement_lines_q(spark: SparkSession, root: str) -> DataFrame:
+    """A measurement with configured tags and fields; a message without a time takes the broker's."""
+    t = readings_topic(spark, root, edge=True).withColumnRenamed("timestamp", "broker_time")
+    d = good_rows(decode(t, [Field("panel_id"), Field("status", key="inverter_status"), Field("power", "double", key="power_output"),
+                             Field("temperature", "double"), Field("time_ns", "long", key="timestamp")], keep=["offset", "broker_time"]))
+    return measurement_lines(d, "readings", ["panel_id", "status"], ["offset", "power"], time_col="time_ns", broker_time_col="broker_time")
+
+
+@register("event_time_now", "F7", oracle=_D + """
+SELECT event_id AS offset, ts_ns IS NULL AS is_now, CASE WHEN ts_ns IS NOT NULL THEN make_timestamp(ts_ns // 1000) END AS t
+FROM d WHERE reason IS NULL
+""")
+def event_time_now(spark: SparkSession, root: str) -> DataFrame:
+    """A missing time becomes the processing time (opt-in, not replayable): told here as "within a day of this run"."""
+    d = good_rows(decode(readings_topic(spark, root, edge=True), [Field("temperature", "double"), Field("ns", "long", key="timestamp")], keep=["offset"]))
+    t = event_time("ns", on_missing="now")
+    is_now = F.abs(F.unix_seconds(t) - F.unix_seconds(F.current_timestamp())) < 86_400
+    return d.select("offset", is_now.alias("is_now"), F.when(~is_now, to_ntz(t)).alias("t"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heliolake.functions.text import STRIP_PATTERN
-from heliolake.operators.lookup import checked_broadcast, lookup, rejects
+from heliolake.operators.lookup import key_report, lookup, rejects
 from heliolake.plans.registry import register
 from heliolake.sources.files import text_lines
 from heliolake.tables import table
@@ -15,9 +15,9 @@ SERVED_REGION = "EUROPE"
 
 def _served_locations(spark: SparkSession, root: str) -> DataFrame:
     """Location dimension: the nations of the served region (upper-case ids)."""
-    n = table(spark, root, "nation", spread=False)          # dimensions: small, no spreading
-    r = table(spark, root, "region", spread=False).filter(F.col("r_name") == SERVED_REGION)
-    return n.join(checked_broadcast(r), n.n_regionkey == r.r_regionkey, "left_semi").select(
+    n = table(spark, root, "nation")
+    r = table(spark, root, "region").filter(F.col("r_name") == SERVED_REGION)
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left_semi").select(
         F.upper("n_name").alias("location_id"), "n_nationkey", "n_regionkey")
 
 
@@ -39,7 +39,7 @@ SELECT c_custkey, location, location_id, n_nationkey, n_regionkey
 FROM probe JOIN dim ON upper(probe.location) = dim.location_id
 """)
 def dimension_lookup(spark: SparkSession, root: str) -> DataFrame:
-    """Attach location attributes by a case-insensitive key (size-checked broadcast)."""
+    """Attach location attributes by a case-insensitive key (no hint: joined by measured size)."""
     return lookup(_probe(spark, root), _served_locations(spark, root), "location", "location_id")
 
 
@@ -51,10 +51,19 @@ def dimension_rejects(spark: SparkSession, root: str) -> DataFrame:
     return rejects(_probe(spark, root), _served_locations(spark, root), "location", "location_id")
 
 
+@register("dimension_key_report", "P13", oracle=_DIM_SQL + """
+SELECT DISTINCT 'invalid' AS kind, location AS key FROM probe WHERE upper(location) NOT IN (SELECT location_id FROM dim)
+UNION ALL SELECT DISTINCT 'valid', location_id FROM dim
+""")
+def dimension_key_report(spark: SparkSession, root: str) -> DataFrame:
+    """Every invalid key of the probe and every valid key of the dimension, none left out."""
+    return key_report(_probe(spark, root), _served_locations(spark, root), "location", "location_id")
+
+
 _WS = r"[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]"
 
 
-@register("text_lines", "S9 S11 F28", oracle=f"""
+@register("text_lines", "S9 F28", oracle=f"""
 SELECT source_file, line_no, content FROM (
   SELECT CAST(doc_id AS VARCHAR) AS source_file,
          regexp_replace(line, '^{_WS}+|{_WS}+$', '', 'g') AS content, line_no
@@ -69,7 +78,7 @@ def text_lines_q(spark: SparkSession, root: str) -> DataFrame:
     return text_lines(docs, text_col="text", source_col="source_file")
 
 
-@register("preview_limit", "S12 S13 O3", oracle="""
+@register("preview_limit", "S12 O3", oracle="""
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer ORDER BY c_custkey LIMIT 100
 """)
 def preview_limit(spark: SparkSession, root: str) -> DataFrame:

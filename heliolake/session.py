@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -57,11 +58,15 @@ def apply_defaults(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder on the cluster's shared storage for checkpoints and written tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when neither is
-    set — local tests — a private temp folder is created and registered as the checkpoint dir.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). A cluster must name one: executors
+    would write to different disks otherwise, so an unset folder raises. Only a local master, whose executors are the
+    driver, gets a temporary folder of its own (tests, bench).
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="heliolake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
@@ -69,10 +74,24 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts]) if parts else base
 
 
+_made: list[str] = []
+
+
 def unique_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh, never-reused sub-folder of ``shared_dir`` (one per run)."""
-    import uuid
-    return shared_dir(spark, *parts, uuid.uuid4().hex)
+    path = shared_dir(spark, *parts, uuid.uuid4().hex)
+    _made.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the folders that ``unique_dir`` has given out in this process; call it when their
+    results have been read. Returns how many there were."""
+    n = len(_made)
+    while _made:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return n
 
 
 def cpu_count() -> int:

@@ -8,23 +8,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, root: str, name: str, spread: bool = True) -> DataFrame:
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
 
-    ``spread``: see :func:`ensure_parallelism`.
+    How many tasks read it is for ``spark.sql.files.maxPartitionBytes`` and the files' row groups; no shuffle is added.
     """
-    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if spread else df
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the scan yields fewer splits than the cluster has
-    task slots (e.g. one unsplittable file: one row group = one task). Large inputs already
-    have thousands of splits, so nothing changes for them and no shuffle is added."""
-    try:
-        spark = df.sparkSession
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave the plan alone
-        return df
-    return df.repartition(want) if have < want else df
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
