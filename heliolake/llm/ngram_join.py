@@ -16,7 +16,7 @@ from a large group of near copies (its sets are frequent tokens mostly), and is
 is chosen, the member with the most frequent tokens, and a member x is kept as D(x), the tokens that it or the hub has
 alone. With r(x) hub tokens missing, two members share ``n(hub) - r(x) - r(y) + |D(x) & D(y)|`` tokens. So a pair is either
 similar whatever D holds, and then both are linked to the member that needs least (the condition is a sum of two
-numbers), or it must share k >= 1 tokens of D, and a prefix filter over D, rare tokens first, finds it. Members are dealt to
+numbers), or it must share k >= 1 tokens of D, and a prefix filter over D, the tokens of fewest members first, finds it. Members are dealt to
 bands of what they need, so that k is known when prefixes are cut. No group is capped, sampled or gathered.
 
 Node ids are 64-bit hashes of whole sets (two different sets of a corpus of N share one with probability N^2 / 2^65).
@@ -44,8 +44,8 @@ NGRAM = 5
 PERCENT = 80
 #: Sets that hold a token from which on it counts as more frequent, besides twice the sketch's own load.
 FREQUENT = (4, 16, 64, 256, 1024, 4096, 16384)
-#: log2 of the sketch's cells, at most; its levels are 32 MB then.
-MOST_CELLS = 25
+#: log2 of the sketch's cells, at most; its levels are 16 MB then.
+MOST_CELLS = 24
 #: Sets of an index entry up to which all its pairs are candidates at once.
 SHORT = 64
 _ORDER2, _ORDER3 = U(0x2545F4914F6CDD1D), U(0x6A09E667F3BCC909)
@@ -224,16 +224,15 @@ MEMBER_SCHEMA = "hub long, node long, nh int, n int, r int, need long, band int,
 BAND = 0.02
 
 
-def _members(frequency, percent: int):
-    """Members of a hub as differences from it: ``r``, ``need`` = percent * n + (100 + percent) * r, its band, and D by rising frequency."""
+def _members(percent: int):
+    """Members of a hub as differences from it: ``r``, ``need`` = percent * n + (100 + percent) * r, its band, and D."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for hub, node, h, x in zip(*[batch.column(c).to_pylist() for c in ("hub", "node")], batch.column("th"), batch.column("tx")):
                 h, x = h.values.to_numpy().view(U), x.values.to_numpy().view(U)
                 gone = np.setdiff1d(h, x, assume_unique=True)
-                d = np.sort(np.concatenate((gone, np.setdiff1d(x, h, assume_unique=True))))
-                d = d[np.argsort(frequency.value.of(d), kind="stable")]
+                d = np.concatenate((gone, np.setdiff1d(x, h, assume_unique=True)))
                 need = percent * len(x) + (100 + percent) * len(gone)
                 band = int(need // max(1, int((100 + percent) * BAND * len(h))))
                 out.append((hub, node, len(h), len(x), len(gone), need, band, d))
@@ -264,14 +263,14 @@ def _difference_prefixes(percent: int):
     return run
 
 
-def near_copies(long_: DataFrame, sets: DataFrame, frequency, percent: int) -> DataFrame:
+def near_copies(long_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``(a, b)`` that connect the sets of long index entries as all their similar pairs would."""
     whole = 100 + percent
     tokens = sets.select("node", "tokens")
     pairs = long_.select("hub", "node").distinct()
     both = (pairs.join(tokens.withColumnRenamed("tokens", "tx"), "node")
             .join(tokens.select(F.col("node").alias("hub"), F.col("tokens").alias("th")), "hub"))
-    members = stored(both.select("hub", "node", "th", "tx").mapInArrow(_members(frequency, percent), MEMBER_SCHEMA), "ngram-members")
+    members = stored(both.select("hub", "node", "th", "tx").mapInArrow(_members(percent), MEMBER_SCHEMA), "ngram-members")
     first = F.min(F.struct("need", "node"))
     easiest = members.groupBy("hub").agg(first.alias("e"))
     members = members.join(easiest, "hub").withColumn("sure", F.col("need") + F.col("e.need") <= whole * F.col("nh"))
@@ -279,7 +278,12 @@ def near_copies(long_: DataFrame, sets: DataFrame, frequency, percent: int) -> D
 
     bands = members.groupBy("hub", "band").agg(F.min("need").alias("need"))
     bands = bands.groupBy("hub").agg(F.collect_list(F.struct("band", "need")).alias("least"))
-    index = members.join(bands, "hub").select("hub", "node", "nh", "n", "need", "band", "sure", "least", "d").mapInArrow(
+    # D by how many members of the hub hold a token, rarest first: what most of them share and the hub lacks comes last
+    each = members.select("hub", "node", F.explode("d").alias("token"))
+    held = each.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("held"))
+    ordered = (each.join(held, ["hub", "token"]).groupBy("hub", "node")
+               .agg(F.transform(F.array_sort(F.collect_list(F.struct("held", "token"))), lambda x: x["token"]).alias("d")))
+    index = members.drop("d").join(ordered, ["hub", "node"]).join(bands, "hub").select("hub", "node", "nh", "n", "need", "band", "sure", "least", "d").mapInArrow(
         _difference_prefixes(percent), "hub long, token long, lo int, hi int, band int, node long, n int, sure boolean")
     p, q = index.where("band = lo").alias("p"), index.where("band = hi").alias("q")
     same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("hub", "token", "lo", "hi")]
@@ -333,7 +337,7 @@ def labelled_sets(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, i
     ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).unionByName(long_.select("node"))
     sets = texts.mapInArrow(_whole_sets(members_bitmap(ends, "node"), ngram, percent), SET_SCHEMA)
     sets = stored(sets.groupBy("node").agg(F.first(F.struct("p2", "p3", "tokens")).alias("s")).select("node", "s.*"), "ngram-sets")
-    joined = components(verified(filtered(near, sets), sets, percent).unionByName(near_copies(long_, sets, frequency, percent)))
+    joined = components(verified(filtered(near, sets), sets, percent).unionByName(near_copies(long_, sets, percent)))
 
     return nodes.join(joined, "node", "left").select("doc_id", "text_hash", "n", F.coalesce("comp", "node").alias("comp"))
 

@@ -22,7 +22,7 @@ BLOCK = 1 << 16
 LOG2_LEAST, LOG2_MOST = 16, 27
 SCHEMA = "block long, cells binary, counts binary"
 #: Hashes that a task holds before it sends their cells.
-HELD = 1 << 21
+HELD = 1 << 19
 _SEEDS = tuple(U(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
 
 
@@ -158,7 +158,7 @@ def _blocks(rows: DataFrame, least: list[int]) -> DataFrame:
 def merged(spark: SparkSession, rows: DataFrame, log2: int, depth: int, least: int):
     """The broadcast bitmap of the merged sketch."""
     bits = np.zeros((depth, max(1 << log2, BLOCK) >> 3), np.uint8)
-    for r in _blocks(rows, [least]).toLocalIterator():
+    for r in _blocks(rows, [least]).collect():
         at = (r["block"] & 0xFFFFFFFF) * (BLOCK >> 3)
         bits[r["block"] >> 32, at:at + (BLOCK >> 3)] = np.frombuffer(r["cells"], np.uint8)
     return spark.sparkContext.broadcast(Bitmap(log2, depth, bits))
@@ -167,6 +167,6 @@ def merged(spark: SparkSession, rows: DataFrame, log2: int, depth: int, least: i
 def levels(spark: SparkSession, rows: DataFrame, log2: int, thresholds: list[int]):
     """The broadcast levels of a merged sketch of depth 1 (``2^log2`` bytes)."""
     cells = np.zeros(max(1 << log2, BLOCK), np.uint8)
-    for r in _blocks(rows, thresholds).toLocalIterator():
+    for r in _blocks(rows, thresholds).collect():
         cells[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(r["cells"], np.uint8)
     return spark.sparkContext.broadcast(Levels(log2, cells))
