@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from heliolake.functions.presentation import LEVEL_STEPS, STATUS_STEPS, STATUS_TEXT, map_values, threshold_colour
 from heliolake.functions.timefn import event_time, to_ntz
 from heliolake.operators.codec import Field, decode, good_rows
-from heliolake.operators.windows import (aggregate_window, broker_range, footer_sum, last_not_null, last_order, time_range, to_series,
+from heliolake.operators.windows import (aggregate_window, broker_range, footer_sum, last_not_null, last_order, relative_range, time_range, to_series,
                                          yield_all)
 from heliolake.plans.readings import readings_topic
 from heliolake.plans.registry import register
@@ -247,3 +247,16 @@ def window_cut_range(spark: SparkSession, root: str) -> DataFrame:
     mean = aggregate_window(s, "15 minutes", "mean", series=["location_id"], start=start, stop=stop)
     out = yield_all({"last": last, "mean": mean})
     return out.select("location_id", "_time", F.round("_value", 6).alias("_value"), "result")
+
+
+@register("window_relative_range", "P12 A7 A2", oracle="""
+SELECT upper(event_type) AS location_id, least(time_bucket(INTERVAL '1 minute', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 minute', m) AS _time, round(avg(value), 6) AS _value
+FROM events, (SELECT max(ts) AS m FROM events) WHERE ts >= m - INTERVAL 15 MINUTE AND ts < m AND value IS NOT NULL GROUP BY 1, 2
+""")
+def window_relative_range(spark: SparkSession, root: str) -> DataFrame:
+    """The dashboard's default range, the last 15 minutes; "now" is the newest event's time, so that reruns agree."""
+    now = table(spark, root, "events").agg(F.max("ts").cast("timestamp")).scalar()
+    start, stop = (c.cast("timestamp_ntz") for c in relative_range(15, now=now))
+    s = series(spark, root, within=(start, stop)).select("location_id", "_time", F.col("power_output").alias("_value"))
+    out = aggregate_window(s, "1 minute", "mean", series=["location_id"], start=start, stop=stop)
+    return out.withColumn("_value", F.round("_value", 6))
