@@ -23,6 +23,7 @@ import unicodedata
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -140,10 +141,11 @@ class _Glyphs(dict):
 
 GLYPHS = _Glyphs()
 INVISIBLE = re.compile("[­​-‏⁠-⁤﻿]")
-#: A look-alike or styled character beside a character of an identifier, or a digit of another script.
-ODD = re.compile("[Ͱ-ӿԀ-ԯ！-～。․‐-–−ıɡ\U0001d400-\U0001d7ff][A-Za-z0-9@.+]"
-                 "|[A-Za-z0-9@.+][Ͱ-ӿԀ-ԯ！-～。․‐-–−ıɡ\U0001d400-\U0001d7ff]"
-                 "|[０-９٠-٩۰-۹०-९\U0001d7ce-\U0001d7ff]|[­​-‏⁠-⁤﻿]")
+
+
+def odd(text: str) -> bool:
+    """Whether ``glyphs`` changes the text: told by its different characters, whatever stands beside them."""
+    return not text.isascii() and any(GLYPHS[ord(c)] != ord(c) or INVISIBLE.match(c) for c in set(text))
 
 
 def glyphs(text: str) -> Rewritten:
@@ -169,7 +171,12 @@ def addresses(text: str) -> Rewritten:
 _DIGIT = "(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
 RUN = re.compile(rf"(?:\bplus[\s-]+)?\b(?:(?:(?:double|triple)[\s-]+)?{_DIGIT}\b|[0-9]+)(?:[\s,.-]{{1,3}}(?:(?:(?:double|triple)[\s-]+)?{_DIGIT}\b|[0-9]+))+", re.I)
 PIECE = re.compile(rf"(?P<plus>plus[\s-]+)|(?:(?P<times>double|triple)[\s-]+)?(?P<digit>{_DIGIT})\b|(?P<gap>[\s,-]+)", re.I)
-SPELLED = re.compile(rf"\b{_DIGIT}[\s,.-]{{1,3}}(?:(?:double|triple)[\s-]+)?{_DIGIT}\b", re.I)
+SPELLED = re.compile(rf"\b{_DIGIT}\b", re.I)
+
+
+def spelled(text: str) -> bool:
+    """Whether the text has three spelled digits, which a rewritten run has at least."""
+    return next(islice(SPELLED.finditer(text), 2, None), None) is not None
 
 
 def numerals(text: str) -> Rewritten:
@@ -184,15 +191,16 @@ def numerals(text: str) -> Rewritten:
     return Rewritten(text, edits)
 
 
-#: (signal, transducer): a transducer runs only where its signal occurs, since it would change nothing elsewhere.
-TRANSDUCERS: tuple[tuple[re.Pattern, Callable[[str], Rewritten]], ...] = ((ODD, glyphs), (DISGUISED, addresses), (SPELLED, numerals))
+#: (signal, transducer): a transducer runs where its signal holds; the signal holds wherever the transducer changes anything.
+TRANSDUCERS: tuple[tuple[Callable[[str], object], Callable[[str], Rewritten]], ...] = (
+    (odd, glyphs), (DISGUISED.search, addresses), (spelled, numerals))
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Spans that only the normalised text shows, in code points of the source."""
     steps, now = [], text
     for signal, transduce in TRANSDUCERS:
-        if signal.search(now):
+        if signal(now):
             steps.append(transduce(now))
             now = steps[-1].text
     if not steps or now == text:

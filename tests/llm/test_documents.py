@@ -194,6 +194,32 @@ def test_pii(spark):
     assert pii.personal_data(empty(spark)).count() == 0
 
 
+# (text, kind): whole spans without an ASCII character of an identifier beside the odd ones
+ALONE = [(" ｊｏｈｎ＠ｅｘａｍｐｌｅ．ｃｏｍ ", "email"), (" +๖๖๘๑๒๓๔๕๖๗๘ ", "phone"), (" ＋৮৮০১৭১২৩৪৫৬৭ ", "phone"), (" ⁺¹⁵⁵⁵¹²³⁴⁵⁶⁷ ", "phone"), (" ⓙⓞⓗⓝ﹫ⓔⓧⓐⓜ．ⓒⓞⓜ ", "email"),
+         (" 𝐣𝐨𝐡𝐧＠𝐞𝐱𝐚𝐦．𝐜𝐨𝐦 ", "email"), (" оре＠хау．сом ", "email"), (" ①②⑦。⓪。⓪。① ", "ip"), (" ₄₁₁₁₁₁₁₁₁₁₁₁₁₁₁₁ ", "card"),
+         (" +five 5 five 5 five 5 five 5 five 5 five ", "phone")]
+
+
+def test_disguises_need_no_plain_neighbour():
+    for text, kind in ALONE:
+        assert [(k, text[a:b]) for k, a, b in pii.disguised(text, pii.detect(text))] == [(kind, text.strip())], text
+        # the rest of a document does not matter
+        assert [(k, a, b) for k, a, b in pii.disguised(text + "a\u200bb", [])][:1] == pii.disguised(text, [])
+
+
+def test_every_signal_covers_its_transducer():
+    import random
+    for cp in range(0x20000):     # no character beyond has a plain form
+        ch = chr(cp)
+        assert bool(pii.odd(ch)) == (pii.glyphs(ch).text != ch), hex(cp)
+    r = random.Random(7)
+    words = ["one", "five", "5", "12", "double", "plus", "at", "dot", "[at]", "(dot)", "com", "bob", "Seven", "<@>", " ", "-", ". ", ", ", "\n"]
+    for _ in range(20000):
+        text = "".join(r.choice(words) + r.choice(["", " ", " ", "-"]) for _ in range(r.randrange(1, 14)))
+        for signal, transduce in pii.TRANSDUCERS:
+            assert signal(text) or transduce(text).text == text, text
+
+
 # 5 repeated windows
 
 def brute_windows(rows, window):
