@@ -38,14 +38,16 @@ PLACEHOLDERS = ("example", "changeme", "change_me", "placeholder", "dummy", "sam
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-URL = re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:([^\s/:@]{6,64})@")
-OPAQUE = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_-]{20,200}(?![A-Za-z0-9_+/=-])")
+#: Whole runs, so no length is lost; both stay linear, since a run is entered at its start only.
+URL = re.compile(r"://[^\s/:@]+:([^\s/:@]+)@")
+SCHEME = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+.-")
+OPAQUE = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_-]{20,}(?![A-Za-z0-9_+/=-])")
 HAS_DIGIT = re.compile(r"[0-9]")
 
 #: Values in at least this many owners are widely copied.
 COPIED_OWNERS = 3
-#: Bits a character that a live-looking value has at least.
-LIVE_ENTROPY = 3.0
+#: Share of the most bits a character that a live-looking value can have, by its length and up to an alphabet of 16: 3 bits from 16 characters on.
+LIVE_SHARE, LIVE_ALPHABET = 0.75, 16
 OPAQUE_ENTROPY = 3.5
 
 
@@ -54,6 +56,11 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) if n else 0.0
 
 
+def varied(value: str) -> bool:
+    """Whether a value has the entropy of a live-looking one, for its length."""
+    return len(value) > 1 and entropy(value) >= LIVE_SHARE * math.log2(min(len(value), LIVE_ALPHABET))
+
+
 Found = tuple[str, int, int, str]
 
 
@@ -68,8 +75,18 @@ def base_spans(text: str) -> list[Found]:
     return out
 
 
+def has_scheme(text: str, end: int) -> bool:
+    """Whether a letter and one or more further characters of a scheme stand before ``end``."""
+    a = end
+    while a > 0 and text[a - 1] in SCHEME:
+        a -= 1
+    return any("a" <= c <= "z" for c in text[a:max(a, end - 1)])
+
+
 def further_spans(text: str, base: list[Found]) -> list[Found]:
-    found = [("url", m.start(1), m.end(1), m[1]) for m in URL.finditer(text)] if "://" in text else []
+    found = []
+    if "://" in text:
+        found = [("url", m.start(1), m.end(1), m[1]) for m in URL.finditer(text) if len(m[1]) >= 6 and has_scheme(text, m.start())]
     if HAS_DIGIT.search(text):
         for m in OPAQUE.finditer(text):
             v = m[0]
@@ -79,9 +96,9 @@ def further_spans(text: str, base: list[Found]) -> list[Found]:
 
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value_start", pa.int64()), ("hash", pa.string()),
-                  ("entropy", pa.float64()), ("placeholder", pa.bool_())])
+                  ("varied", pa.bool_()), ("placeholder", pa.bool_())])
 SCAN_SCHEMA = ("doc_id long, owner string, text_hash string, base_sha256 string, n_assign long, n_access long, n_hex long, "
-               "found array<struct<kind:string,start:long,end:long,value_start:long,hash:string,entropy:double,placeholder:boolean>>")
+               "found array<struct<kind:string,start:long,end:long,value_start:long,hash:string,varied:boolean,placeholder:boolean>>")
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +111,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts.append([n[k] for k in BASE_KINDS])
             digests.append(digest([x[:3] for x in base], ORDER))
             found.append([{"kind": k, "start": a, "end": b, "value_start": b - len(v), "hash": hashlib.sha256(v.encode()).hexdigest()[:32],
-                           "entropy": entropy(v), "placeholder": any(p in v.lower() for p in PLACEHOLDERS)}
+                           "varied": varied(v), "placeholder": any(p in v.lower() for p in PLACEHOLDERS)}
                           for k, a, b, v in base + further_spans(t, base)])
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("owner"), batch.column("text_hash"), pa.array(digests, pa.string()),
@@ -103,15 +120,15 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def ownership(candidates: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFrame:
-    """``(hash, owner, repo, entropy, placeholder)`` -> per hash its owners, repositories, occurrences and verdict."""
+    """``(hash, owner, repo, varied, placeholder)`` -> per hash its owners, repositories, occurrences and verdict."""
     per_repo = candidates.groupBy("hash", "owner", "repo").agg(
-        F.count(F.lit(1)).alias("n"), F.first("entropy").alias("entropy"), F.first("placeholder").alias("placeholder"))
+        F.count(F.lit(1)).alias("n"), F.first("varied").alias("varied"), F.first("placeholder").alias("placeholder"))
     per_owner = per_repo.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("n"),
-                                                      F.first("entropy").alias("entropy"), F.first("placeholder").alias("placeholder"))
+                                                      F.first("varied").alias("varied"), F.first("placeholder").alias("placeholder"))
     per_hash = per_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"), F.sum("n").alias("occurrences"),
-                                             F.first("entropy").alias("entropy"), F.first("placeholder").alias("placeholder"))
+                                             F.first("varied").alias("varied"), F.first("placeholder").alias("placeholder"))
     verdict = (F.when(F.col("placeholder") | (F.col("owners") >= copied_owners), "example")
-               .when((F.col("owners") == 1) & (F.col("entropy") >= LIVE_ENTROPY), "live").otherwise("unclear"))
+               .when((F.col("owners") == 1) & F.col("varied"), "live").otherwise("unclear"))
     return per_hash.withColumn("verdict", verdict)
 
 

@@ -103,6 +103,20 @@ def test_secrets(spark):
     assert secrets.secret_scan(empty(spark)).count() == 0
 
 
+def test_secrets_of_any_length(spark):
+    token = "".join(chr(97 + i * 7 % 26) + chr(65 + i * 11 % 26) + str(i % 10) for i in range(120))
+    long = "!".join(token[i:i + 12] for i in range(0, 150, 12))     # not opaque
+    cases = {1: ("password=hunter22", "hunter22", "assign"), 2: ("token: k9Xw2q", "k9Xw2q", "assign"), 3: ("at http://u:s3cr3t@host", "s3cr3t", "url"),
+             4: (f"at https://{'user' * 30}:{long}@host", long, "url"), 5: (f"key {token}.", token, "opaque")}
+    df = spark.createDataFrame([row(i, t, source=f"s{i}") for i, (t, *_) in cases.items()] + [row(9, "password=aaaaaa", source="a")], SCHEMA)
+    out = {r["doc_id"]: [(f["kind"], f["verdict"], f["value_start"], f["end"]) for f in r["found"]] for r in secrets.secret_scan(df).collect()}
+    masked = {r["doc_id"]: r["text"] for r in secrets.live_secrets_masked(df).collect()}
+    for i, (t, value, kind) in cases.items():
+        a = t.index(value)
+        assert out[i] == [(kind, "live", a, a + len(value))] and masked[i] == t.replace(value, "*" * len(value)), t
+    assert [v for _, v, *_ in out[9]] == ["unclear"] and masked[9] == "password=aaaaaa"
+
+
 # 3 packing
 
 def test_packing(spark):
