@@ -2,14 +2,15 @@
 
 Pass 1 scans every whole text in Python for base spans (assignments, access keys, hex strings) and
 for further candidates (credentials in URLs, opaque mixed tokens). It keeps offsets and hashes of the
-values, never the texts. Pass 2 counts, per value hash, the distinct repositories and owners that
-hold it, in three nested groupings that each combine before the shuffle, so a value copied into a
-third of all documents moves as one row per task. A value held by several owners, or one that reads
-like a placeholder, is a widely copied example; a varied value held by one owner looks live.
+values, never the texts. Pass 2 counts, per value hash, the distinct
+repositories and owners that hold it, in nested groupings that each combine before the shuffle, so a
+value copied into a third of all documents moves as one row per task. A value held by several owners,
+or by many repositories of one, or one that reads like a placeholder, is a widely copied example; a
+varied value held by one owner looks live.
 
-Here a document stands for a repository and its source for the owner.
+Here a document stands for a repository (equal texts are one) and its source for the owner.
 
-Defined results: null text is empty; a null owner is one owner of its own; repeated rows are one
+Defined results: null text is empty; a null owner is one owner of its own; rows of equal texts are one
 repository but separate result rows; an empty table gives no rows; other columns are not read.
 """
 
@@ -46,6 +47,8 @@ HAS_DIGIT = re.compile(r"[0-9]")
 
 #: Values in at least this many owners are widely copied.
 COPIED_OWNERS = 3
+#: Values in at least this many different texts are widely copied, even of one owner.
+COPIED_REPOS = 10
 #: Share of the most bits a character that a live-looking value can have, by its length and up to an alphabet of 16: 3 bits from 16 characters on.
 LIVE_SHARE, LIVE_ALPHABET = 0.75, 16
 OPAQUE_ENTROPY = 3.5
@@ -119,32 +122,31 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "owner", "text_hash", "base_sha256", "n_assign", "n_access", "n_hex", "found"])
 
 
-def ownership(candidates: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFrame:
+def ownership(candidates: DataFrame, copied_owners: int = COPIED_OWNERS, copied_repos: int = COPIED_REPOS) -> DataFrame:
     """``(hash, owner, repo, varied, placeholder)`` -> per hash its owners, repositories, occurrences and verdict."""
-    per_repo = candidates.groupBy("hash", "owner", "repo").agg(
-        F.count(F.lit(1)).alias("n"), F.first("varied").alias("varied"), F.first("placeholder").alias("placeholder"))
-    per_owner = per_repo.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("n"),
-                                                      F.first("varied").alias("varied"), F.first("placeholder").alias("placeholder"))
-    per_hash = per_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"), F.sum("n").alias("occurrences"),
-                                             F.first("varied").alias("varied"), F.first("placeholder").alias("placeholder"))
-    verdict = (F.when(F.col("placeholder") | (F.col("owners") >= copied_owners), "example")
+    same = [F.first("varied").alias("varied"), F.first("placeholder").alias("placeholder")]
+    repos = (candidates.groupBy("hash", "repo").agg(F.count(F.lit(1)).alias("n"), *same)
+             .groupBy("hash").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("occurrences"), *same))
+    owners = candidates.select("hash", "owner").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("owners"))
+    copied = (F.col("owners") >= copied_owners) | (F.col("repos") >= copied_repos)
+    verdict = (F.when(F.col("placeholder") | copied, "example")
                .when((F.col("owners") == 1) & F.col("varied"), "live").otherwise("unclear"))
-    return per_hash.withColumn("verdict", verdict)
+    return repos.join(owners, "hash").withColumn("verdict", verdict)
 
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                copied_owners: int = COPIED_OWNERS) -> DataFrame:
+                copied_owners: int = COPIED_OWNERS, copied_repos: int = COPIED_REPOS) -> DataFrame:
     """One row per input row: base counts and digest, and ``found``, all spans with their verdicts.
 
-    Further spans (``url``, ``opaque``) are only reported where the corpus shows them owner-specific.
+    Further spans (``url``, ``opaque``) are left out where the corpus shows a widely copied example.
     """
     short_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(owner_col).cast("string").alias("owner"),
                        F.md5(text_or_empty(text_col)).alias("text_hash"), text_or_empty(text_col).alias("text"))
     scanned = stored(rows.mapInArrow(_scan, SCAN_SCHEMA).withColumn("row", F.monotonically_increasing_id()), "secret-spans")
-    each = scanned.where(F.size("found") > 0).select("row", "doc_id", "owner", F.explode("found").alias("f")).select("row", "doc_id", "owner", "f.*")
-    verdicts = ownership(each.withColumnRenamed("doc_id", "repo"), copied_owners).select("hash", "owners", "repos", "verdict")
-    judged = each.join(verdicts, "hash").where(F.col("kind").isin(*BASE_KINDS) | (F.col("verdict") == "live"))
+    each = scanned.where(F.size("found") > 0).select("row", F.col("text_hash").alias("repo"), "owner", F.explode("found").alias("f")).select("row", "repo", "owner", "f.*")
+    verdicts = ownership(each, copied_owners, copied_repos).select("hash", "owners", "repos", "verdict")
+    judged = each.join(verdicts, "hash").where(F.col("kind").isin(*BASE_KINDS) | (F.col("verdict") != "example"))
     spans = judged.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end", "value_start", "verdict", "owners", "repos")).alias("found"))
     counted = scanned.drop("found").join(spans, "row", "left").withColumn(
         "found", F.coalesce("found", F.array().cast(spans.schema["found"].dataType)))

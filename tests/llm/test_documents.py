@@ -117,6 +117,20 @@ def test_secrets_of_any_length(spark):
     assert [v for _, v, *_ in out[9]] == ["unclear"] and masked[9] == "password=aaaaaa"
 
 
+def test_secrets_copied_within_one_owner(spark):
+    two = "Qw3rTy7UiOp9AsDf2GhJ"
+    rows = [row(i, f"tutorial {i} password=tuTor1alKey9x", source="hot") for i in range(10)]
+    rows += [row(100 + i, "a mirrored page, password=mirR0redKey7", source="hot") for i in range(30)]
+    rows += [row(200 + i, f"{i} and {two}", source=f"s{i}") for i in range(2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = {r["doc_id"]: [(f["kind"], f["verdict"], f["owners"], f["repos"]) for f in r["found"]] for r in secrets.secret_scan(df).collect()}
+    assert all(out[i] == [("assign", "example", 1, 10)] for i in range(10))
+    assert all(out[100 + i] == [("assign", "live", 1, 1)] for i in range(30))
+    assert all(out[200 + i] == [("opaque", "unclear", 2, 2)] for i in range(2))
+    masked = {r["doc_id"]: r["text"] for r in secrets.live_secrets_masked(df).collect()}
+    assert masked[3] == rows[3][1] and "mirR0redKey7" not in masked[100]
+
+
 # 3 packing
 
 def test_packing(spark):
