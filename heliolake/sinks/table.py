@@ -255,6 +255,12 @@ def append_batch(batch: DataFrame, path: str, batch_id: int, *, time_col: str |
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
 
 
+def batch_written(spark: SparkSession, path: str, batch_id: int | None = None) -> bool:
+    """Whether :func:`append_batch` has written this batch (or any) to ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path if batch_id is None else f"{path}/{BATCH_COL}={int(batch_id)}")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 # ---- relational targets ---------------------------------------------------------------------
 
 _SQL_TYPES = {StringType: "TEXT", DoubleType: "DOUBLE PRECISION", IntegerType: "INTEGER", LongType: "BIGINT",

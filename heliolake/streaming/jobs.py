@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from heliolake.sinks.table import append_batch, batch_written
+
 BatchFn = Callable[[DataFrame, int], None]
 
 
@@ -72,16 +75,22 @@ def split_rejects(good_sink: BatchFn, reject_sink: BatchFn, reject_col: str = "_
     return run
 
 
-def fail_on_rejects(sink: BatchFn, reject_col: str = "_reject") -> BatchFn:
+def fail_on_rejects(sink: BatchFn, reject_col: str = "_reject", told: str | None = None) -> BatchFn:
     """A batch holding any rejected row fails as a whole (nothing of it is written).
 
-    The batch is decoded once; the error counts every reason.
+    The batch is decoded once; the error counts every reason. With ``told``, a side table, a failing batch first
+    appends its counts ``(reject_col, count)`` there; replayed, it is passed over, still without output.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
+        if told and batch_written(batch.sparkSession, told, batch_id):
+            return
         batch.persist()
         try:
-            reasons = batch.filter(F.col(reject_col).isNotNull()).groupBy(reject_col).count().orderBy(reject_col).collect()
+            counts = batch.filter(F.col(reject_col).isNotNull()).groupBy(reject_col).count()
+            reasons = counts.orderBy(reject_col).collect()
             if reasons:
+                if told:
+                    append_batch(counts, told, batch_id)
                 raise ValueError(f"batch {batch_id} has bad rows: " + ", ".join(f"{r[reject_col]} x {r['count']}" for r in reasons))
             sink(batch.drop(reject_col), batch_id)
         finally:
@@ -89,6 +98,23 @@ def fail_on_rejects(sink: BatchFn, reject_col: str = "_reject") -> BatchFn:
     return run
 
 
+def run_past_failures(stream: DataFrame, sink: BatchFn, checkpoint: str) -> list[int]:
+    """Run to the end, started again after each batch that fails for bad rows; returns the ids of those batches.
+
+    For ``fail_on_rejects`` with a side table, which passes a failed batch over when it is replayed.
+    """
+    failed: list[int] = []
+    while True:
+        try:
+            run_to_end(stream, sink, checkpoint)
+            return failed
+        except Exception as e:  # noqa: BLE001 - only failures for bad rows are gone past, each batch once
+            bad = re.search(r"batch (\d+) has bad rows", str(e))
+            if not bad or int(bad[1]) in failed:
+                raise
+            failed.append(int(bad[1]))
+
+
 def windowed(stream: DataFrame, every: str, fn: str, *, time_col: str, value_col: str,
              series: Sequence[str], lateness: str, order_col: str | None = None) -> DataFrame:
     """Tumbling-window ``last``/``mean`` as a continuous query (emit with ``update`` mode).

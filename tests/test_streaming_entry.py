@@ -104,6 +104,21 @@ def test_fail_policy_and_bounded_run(spark, scratch):
     assert sum(got) == 10
 
 
+def test_fail_policy_counts_every_batch(spark, scratch, monkeypatch):
+    from heliolake.operators.layouts import shape_relational
+    from heliolake.plans import streams
+    path = os.path.join(scratch, "batches")
+    rows = readings_topic(spark, SF, edge=True)
+    clean = shape_relational(rows, keep=["offset"]).filter(F.col(REJECT).isNull()).select("offset").limit(50)
+    write_topic(rows.join(clean, "offset", "left_semi").coalesce(1), path=path)      # read first
+    write_topic(rows.join(clean, "offset", "left_anti").repartition(3), path=path)
+    monkeypatch.setattr(streams, "TRIGGER_BYTES", 1)
+    monkeypatch.setattr(streams, "produce_topic", lambda *a, **k: path)
+    got = {r["reason"]: r["n"] for r in streams.stream_fail_policy(spark, SF).collect()}
+    want = shape_relational(rows, keep=["offset"]).filter(F.col(REJECT).isNotNull()).groupBy(REJECT).count().collect()
+    assert got == {r[REJECT]: r["count"] for r in want} and len(got) > 1
+
+
 def test_tap_counts_without_collect(spark):
     from pyspark.sql import Observation
     obs = Observation("tap")
