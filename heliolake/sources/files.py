@@ -252,12 +252,12 @@ def read_json(spark: SparkSession, root: str, *, extension: str | None = "json",
                                               source_name(root_path, F.col("_metadata.file_path")).alias(SOURCE_FILE),
                                               F.spark_partition_id().alias("_parse_task"))
              .join(kinds.filter(~F.col("_lines")), "_path", "left_semi"))
-    # a whole file must end where its array or object ends (the parser ignores trailing text)
-    whole = whole.withColumn("_v", F.when(F.col(_CORRUPT).rlike(r"\]\s*$"), F.try_parse_json(F.col(_CORRUPT))))
-    is_array = F.coalesce(F.schema_of_variant("_v").startswith("ARRAY"), F.lit(False)) & (F.col("_parse_task") >= 0)
+    # a whole file must end where its array or object ends (the parser ignores trailing text); each element is a variant of its own
+    whole = whole.withColumn("_v", F.when(F.col(_CORRUPT).rlike(r"\]\s*$"), F.from_json(F.col(_CORRUPT), "array<variant>")))
+    is_array = F.col("_v").isNotNull() & (F.col("_parse_task") >= 0)
     row = lambda value, reject, line: F.struct(value.alias("value"), reject.alias("_reject"), line.alias("_line"))
     none = F.lit(None).cast("string")
-    elements = F.transform(F.col("_v").cast("array<variant>"), lambda e: row(
+    elements = F.transform(F.col("_v"), lambda e: row(
         F.to_json(e), F.when(~F.schema_of_variant(e).startswith("OBJECT"), F.lit("not_an_object")), F.lit(None).cast("string")))
     torn = F.transform(F.split(_CORRUPT, "\n"), lambda line: row(F.lit(None).cast("string"), F.lit(None).cast("string"), line))
     found = F.when(F.col(_CORRUPT).isNull(), F.array(row(F.col("value"), none, none))).when(is_array, elements).otherwise(torn)

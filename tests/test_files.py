@@ -44,6 +44,18 @@ def test_csv_by_header_with_rejects(spark, bucket):
     ]
 
 
+def test_json_large_array_with_a_bad_element(spark, scratch):
+    root = os.path.join(scratch, "large")
+    os.makedirs(root)
+    n, text = 140, "x" * (1 << 20)
+    with open(os.path.join(root, "a.json"), "w") as f:      # more than one variant holds, in one line
+        f.write("[" + ",".join(f'{{"a":{i},"t":"{text}"}}' for i in range(n)) + ',3,null,"{}",[{}]]')
+    rows = FS.read_json(spark, root, schema="a bigint, t string").selectExpr("get_json_object(value, '$.a') AS a", "length(value) AS n", "_reject").collect()
+    assert sorted(int(r.a) for r in rows if r._reject is None) == list(range(n))
+    assert all(r.n > len(text) for r in rows if r._reject is None)
+    assert [r._reject for r in rows if r._reject] == ["not_an_object"] * 4
+
+
 def test_json_classification(spark, bucket):
     rows = [(r.source_file, r.value, r._reject) for r in FS.read_json(spark, bucket).collect()]
     good = sorted((f, v) for f, v, rej in rows if rej is None)
