@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from heliolake.llm import fingerprints, mixing, ngram_join, packing, pii, search, secrets, sharding, substrings, toxicity
+from heliolake.llm import (divergence, fingerprints, languages, mixing, ngram_join, packing, periodic, pii, search, secrets, sharding, substrings,
+                           toxicity)
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_output_codes": languages.op11_output_codes,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
+    "op13_source_divergence": divergence.op13_source_divergence,
 }
 
 ORACLE_SQL = {
@@ -22,4 +26,5 @@ ORACLE_SQL = {
     "op6_exact_top_k": search.OP6_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
     "op9_ngram_join": ngram_join.OP9_SQL,
+    "op13_source_divergence": divergence.OP13_SQL,
 }
