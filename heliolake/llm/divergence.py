@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from heliolake.llm.common import short_batches, stored, table, text_or_empty
+from heliolake.llm.common import short_batches, slots, stored, table, text_or_empty
 
 #: Whatever is not a letter A-Z, a-z or beyond ASCII separates terms.
 SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -183,7 +183,10 @@ def divergences(docs: DataFrame) -> DataFrame:
     heads = (groups.join(langs, "lang").join(totals, ["lang", "source"], "left")
              .select("lang", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "source", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"),
                      (F.coalesce("words", F.lit(0)) + 2 * F.col("v")).alias("total"), "lang_total"))
-    body = (kept.join(langs.select("lang", "shards"), "lang")
+    # a language may hold most of the rows, so its shard number is joined under as many keys as there are partitions
+    salts = slots(docs.sparkSession)
+    salted = langs.select("lang", "shards", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    body = (kept.withColumn("salt", F.pmod(F.xxhash64("term", "source"), F.lit(salts)).cast("int")).join(salted, ["lang", "salt"])
             .select("lang", F.pmod(F.xxhash64("term"), F.col("shards")).cast("int").alias("shard"), "source", "term", "n", F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("lang_total")))
     shares = heads.unionByName(body).groupBy("lang", "shard").applyInArrow(shard_shares, SHARE_SQL)
     pair = F.col("part") == "pair"

@@ -166,20 +166,32 @@ def remainder(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4
 
 
+def _shares(rows: DataFrame, most: float) -> DataFrame:
+    """``lang, share``: which part of each language's rows makes about ``most``; a table bounded by ``MOST_LANGUAGES``."""
+    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counted) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages are labelled; they are classes of a model that is held in memory")
+    return F.broadcast(rows.sparkSession.createDataFrame([(r["lang"], min(1.0, most / r["n"])) for r in counted], "lang string, share double"))
+
+
 def training_sample(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """``lang, text, part`` (0 to 2): at most ``rows`` different texts of each language, none held out.
 
     A first pass counts languages from ids alone; a hash threshold then keeps about ``OVERSAMPLE * rows`` rows of each, so one
-    frequent language costs no more than a rare one and no group is ever sorted whole.
+    frequent language costs no more than a rare one and no group is ever sorted whole. Equal texts are counted once, and a
+    second threshold, on the hash of the text, leaves little more than ``rows`` for the exact cut.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder() != 2))
     usable = usable.select(F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shares = usable.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(OVERSAMPLE * rows)) / F.count(F.lit(1))).alias("share"))
-    unit = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
-    picked = usable.join(shares, "lang").where(unit < F.col("share")).withColumn("h", F.md5("text"))
-    different = picked.select("lang", "h", "text").dropDuplicates(["lang", "h"])
-    ranked = different.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= rows)
-    return stored(ranked.select("lang", "text", (F.crc32(F.col("h").cast("binary")) % 3).cast("int").alias("part")), "language-sample")
+
+    def unit(h: Column) -> Column:
+        return F.shiftrightunsigned(h, 11) / F.lit(float(1 << 53))
+    picked = usable.join(_shares(usable, OVERSAMPLE * rows), "lang").where(unit(F.xxhash64("doc_id")) < F.col("share")).withColumn("h", F.md5("text"))
+    different = stored(picked.select("lang", "h", "text").dropDuplicates(["lang", "h"]), "language-texts")
+    fewer = different.join(_shares(different, 1.2 * rows + 50), "lang").where(unit(F.xxhash64("h")) < F.col("share")).select("lang", "h")
+    ranked = fewer.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h"))).where(F.col("r") <= rows)
+    sample = different.join(ranked.select("lang", "h"), ["lang", "h"])
+    return stored(sample.select("lang", "text", (F.crc32(F.col("h").cast("binary")) % 3).cast("int").alias("part")), "language-sample")
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,10 +232,7 @@ def learn(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> Codes:
     short_batches(spark)
     sample = training_sample(docs, rows)
     counted = sample.where("part > 0").mapInArrow(_gram_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    names = [r["lang"] for r in counted.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages are labelled; they are classes of a model that is held in memory")
-    languages = sorted(names)
+    languages = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
     k, size = len(languages), 1 << LOG2_GRAMS
     code = codebook(k)
     # at most MOST_LANGUAGES * 2^LOG2_GRAMS pairs of numbers, whatever the corpus
