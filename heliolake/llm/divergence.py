@@ -34,8 +34,8 @@ TOP_TERMS = 10
 SCALE_STEPS, SCALE_STEP = 3, 1000          # 10^9 in steps whose products stay below 2^63
 MOST_TOTAL = (1 << 63) // SCALE_STEP - 1
 #: Bytes of text split in one go, and partial counts that a task holds before it merges or sends them.
-SPLIT_BYTES = 4 << 20
-HELD = 1 << 20
+SPLIT_BYTES = 2 << 20
+HELD = 1 << 19
 #: Cells of a shard's matrix, and terms of one, at most.
 CELLS, MOST_TERMS = 1 << 21, 4096
 
@@ -91,6 +91,7 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             rows += held[-1].num_rows
             if rows > HELD:
                 held = [merged(held)]
+                pa.default_memory_pool().release_unused()
                 rows = held[0].num_rows
                 if rows > HELD // 2:
                     yield from held[0].to_batches(max_chunksize=1 << 16)
@@ -188,7 +189,8 @@ def divergences(docs: DataFrame) -> DataFrame:
     salted = langs.select("lang", "shards", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     body = (kept.withColumn("salt", F.pmod(F.xxhash64("term", "source"), F.lit(salts)).cast("int")).join(salted, ["lang", "salt"])
             .select("lang", F.pmod(F.xxhash64("term"), F.col("shards")).cast("int").alias("shard"), "source", "term", "n", F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("lang_total")))
-    shares = heads.unionByName(body).groupBy("lang", "shard").applyInArrow(shard_shares, SHARE_SQL)
+    # read twice below; a shard's shares are few next to its counts
+    shares = stored(heads.unionByName(body).groupBy("lang", "shard").applyInArrow(shard_shares, SHARE_SQL), "divergence-shares")
     pair = F.col("part") == "pair"
     # a pair's share stands for both directions
     both = shares.where(pair).select("lang", F.explode(F.array(F.struct("source", "item"), F.struct(F.col("item").alias("source"), F.col("source").alias("item")))).alias("d"), "value")
