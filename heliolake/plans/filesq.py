@@ -67,27 +67,32 @@ def jsonl_source(spark: SparkSession, root: str) -> DataFrame:
 SELECT event_id, event_type, value, CASE event_id % 3 WHEN 0 THEN 'kind=array' WHEN 1 THEN 'kind=pretty' ELSE 'kind=lines' END AS folder FROM events
 WHERE event_id NOT IN (SELECT min(event_id) FROM events GROUP BY event_type)
 UNION ALL SELECT event_id, event_type, value, 'kind=object' FROM events WHERE event_id IN (SELECT min(event_id) FROM events GROUP BY event_type)
+UNION ALL SELECT NULL, CASE event_id % 60 WHEN 0 THEN 'not_an_object' ELSE 'invalid_json_line' END, NULL, CASE event_id % 60 WHEN 0 THEN 'kind=array' ELSE 'kind=lines' END FROM events
+WHERE event_id % 60 IN (0, 2) AND event_id NOT IN (SELECT min(event_id) FROM events GROUP BY event_type)
 """)
 def json_files_source(spark: SparkSession, root: str) -> DataFrame:
     """events -> JSON files of four kinds (compact arrays, pretty-printed arrays, JSON lines, a single object in a
-    file) -> one folder read. Arrays are assembled per chunk of ids; every file kind is told by its first line."""
+    file) -> one folder read. Arrays are assembled per chunk of ids. Some hold elements that are no objects, some line files bad lines, and
+    some records a field of over 1 MB; the rejected ones come with their reason as ``event_type``."""
     path = unique_dir(spark, "json_files")
     ev = table(spark, root, "events").select("event_id", "event_type", "value")
     firsts = ev.groupBy("event_type").agg(F.min_by(F.struct("event_id", "value"), "event_id").alias("f"))
     alone = firsts.select(F.lit("object").alias("kind"), F.to_json(F.struct("f.event_id", "event_type", "f.value"), {"pretty": "true"}).alias("text"), F.col("f.event_id").alias("chunk"))
     rest = ev.join(firsts.select(F.col("f.event_id").alias("event_id")), "event_id", "left_anti")
     kind = F.element_at(F.array(F.lit("array"), F.lit("pretty"), F.lit("lines")), (F.pmod("event_id", F.lit(3)) + 1).cast("int"))
-    records = F.collect_list(F.struct("event_id", "event_type", "value"))
+    pad = F.when(F.col("event_id") % 20_000 == 11, F.repeat(F.lit("x[,"), 400_000)).alias("pad")
+    records = F.collect_list(F.struct("event_id", "event_type", "value", pad))
     chunks = rest.groupBy(kind.alias("kind"), F.expr("event_id div 16384").alias("chunk")).agg(records.alias("rows"))
-    text = (F.when(F.col("kind") == "array", F.to_json("rows")).when(F.col("kind") == "pretty", F.to_json("rows", {"pretty": "true"}))
-            .otherwise(F.array_join(F.transform("rows", lambda r: F.to_json(r)), "\n")))
+    spoilt = lambda rest, bad: lambda r: F.concat(F.to_json(r), F.when(r["event_id"] % 60 == rest, F.lit(bad)).otherwise(F.lit("")))
+    text = (F.when(F.col("kind") == "array", F.concat(F.lit("["), F.array_join(F.transform("rows", spoilt(0, ",3")), ","), F.lit("]")))
+            .when(F.col("kind") == "pretty", F.to_json("rows", {"pretty": "true"})).otherwise(F.array_join(F.transform("rows", spoilt(2, "\nbad")), "\n")))
     files = chunks.select("kind", text.alias("text"), "chunk").unionByName(alone)
     # one record a file, since a file holds one array or object
     files.repartition("kind", "chunk").select("kind", F.col("text").alias("value")).write.option("maxRecordsPerFile", 1).partitionBy("kind").text(path)
     names = "event_id bigint, event_type string, value double"
     back = read_json(spark, path, extension="txt", schema=names)
-    parsed = back.filter(F.col("_reject").isNull()).select(F.from_json("value", names).alias("r"), _folder().alias("folder"))
-    return parsed.select("r.*", "folder")
+    parsed = back.select(F.when(F.col("_reject").isNull(), F.from_json("value", names)).alias("r"), "_reject", _folder().alias("folder"))
+    return parsed.select("r.event_id", F.coalesce("_reject", "r.event_type").alias("event_type"), "r.value", "folder")
 
 
 @register("text_source", "S9 S10 S11 F28 S6", oracle="""
@@ -103,7 +108,7 @@ def text_source(spark: SparkSession, root: str) -> DataFrame:
     path = unique_dir(spark, "text_source")
     docs = table(spark, root, "documents")
     docs.filter("lang <> 'fr'").select("text", "lang").write.partitionBy("lang").text(f"{path}/utf8")
-    docs.filter("lang = 'fr'").select("text").coalesce(1).write.option("encoding", "UTF-16LE").json(f"{path}/other")
+    docs.filter("lang = 'fr'").select("text").write.option("encoding", "UTF-16LE").json(f"{path}/other")
     return read_text(spark, path, "none").select("content", _folder().alias("folder"))
 
 

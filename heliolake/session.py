@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +56,34 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(k, v)
     # the zone must be UTC for epoch conversions to be exact
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once a context: executors need neither an install nor a path to it.
+
+    The modules go as a zip into the shared folder, which Spark hands to every worker.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_heliolake_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(here):         # else the package itself is already run from a zip
+        found = sorted(os.path.join(d, f) for d, _, files in os.walk(here) for f in files if f.endswith(".py"))
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in found:
+                with open(f, "rb") as module:
+                    z.writestr(zipfile.ZipInfo(os.path.join("heliolake", os.path.relpath(f, here))), module.read())
+        path = shared_dir(spark, "package", uuid.uuid4().hex, f"heliolake-{hashlib.sha256(buffer.getvalue()).hexdigest()[:16]}.zip")
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+        try:
+            out.write(bytearray(buffer.getvalue()))
+        finally:
+            out.close()
+        sc.addPyFile(path)
+    sc._heliolake_shipped = True
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:

@@ -11,12 +11,13 @@ it is broadcast is left to its measured size.
 
 from __future__ import annotations
 
-from typing import Mapping
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType, VariantType
+from pyspark.sql.types import StructType
 
 from heliolake.functions.text import strip
+from heliolake.sources.cutting import LONGEST, cut
 
 SOURCE_FILE = "source_file"
 
@@ -60,27 +61,29 @@ def source_name(root_path: str, file_path: Column) -> Column:
     return F.substring(decoded, F.lit(len(root_path) + 2), F.length(decoded))
 
 
-def _load(reader, root: str) -> DataFrame | None:
+def _load(reader, root: str, files: Sequence[str] | None = None) -> DataFrame | None:
+    if files is not None and not files:
+        return None
     try:
-        return reader.load(_escaped(root))
+        return reader.load(_escaped(root) if files is None else [_escaped(f) for f in files])
     except Exception as e:  # noqa: BLE001 - an empty folder has no files to infer from
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER" in str(e) or "Unable to infer" in str(e):
             return None
         raise
 
 
-def read_lines(spark: SparkSession, root: str, extension: str | None = None, *, stream: bool = False) -> DataFrame | None:
+def read_lines(spark: SparkSession, root: str, extension: str | None = None, *, stream: bool = False, files: Sequence[str] | None = None) -> DataFrame | None:
     """Raw lines ``(value, source_file, _block, _path)`` split on ``\\n`` only (so a trailing
     ``\\r`` stays in the line and is stripped later, like Python's ``split('\\n')``).
 
     Returns None for an empty folder / no matching file (S14); raises MissingSource when the
-    root itself is missing.
+    root itself is missing. ``files`` names files of the folder to read instead of all.
     """
     root_path, there = _qualified(spark, root)
     if not there:
         raise MissingSource(root)
     reader = (spark.readStream if stream else spark.read).format("text").option("lineSep", "\n")
-    df = _load(_reader(reader, extension), root)
+    df = _load(_reader(reader, extension), root, files)
     if df is None:
         return None
     return df.select("value", source_name(root_path, F.col("_metadata.file_path")).alias(SOURCE_FILE),
@@ -88,6 +91,32 @@ def read_lines(spark: SparkSession, root: str, extension: str | None = None, *,
                      F.col("_metadata.file_path").alias("_path"))
 
 
+def read_records(spark: SparkSession, root: str, extension: str | None, kind: str, files: Sequence[str] | None = None) -> DataFrame | None:
+    """Records of JSON or CSV files of any size, cut by many tasks (:func:`heliolake.sources.cutting.cut`); None and
+    MissingSource as :func:`read_lines`."""
+    root_path, there = _qualified(spark, root)
+    if not there:
+        raise MissingSource(root)
+    def scan(separator: str, longest: int | None, paths: Sequence[str] | None) -> DataFrame | None:
+        reader = _reader(spark.read.format("text").option("lineSep", separator), extension)
+        if longest is not None:
+            reader = reader.option("mapreduce.input.linerecordreader.line.maxlength", longest)
+        df = _load(reader, root, files if paths is None else [_plain(spark, p) for p in paths])
+        if df is None:
+            return None
+        m = F.col("_metadata")
+        return df.select(F.col("value").cast("binary").alias("value"), m["file_path"].alias("path"), m["file_block_start"].alias("block"),
+                         (m["file_block_start"] + m["file_block_length"] >= m["file_size"]).alias("last"), m["file_size"].alias("size"))
+    if scan("\n", None, None) is None:
+        return None
+    return cut(spark, scan, kind).withColumn(SOURCE_FILE, source_name(root_path, F.col("path")))
+
+
+def _plain(spark: SparkSession, file_path: str) -> str:
+    """The name of a file that ``_metadata.file_path`` gives (with percent signs), as a reader takes it."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file_path)).toString()
+
+
 def text_lines(df: DataFrame, text_col: str = "content", source_col: str = SOURCE_FILE,
                line_col: str | None = "line_no") -> DataFrame:
     """S9/F28 on a table of whole texts: split on ``\\n``, strip, drop blank lines."""
@@ -98,10 +127,10 @@ def text_lines(df: DataFrame, text_col: str = "content", source_col: str = SOURC
 
 
 def read_text(spark: SparkSession, root: str, extension: str | None = None, *,
-              skip_binary: bool = True) -> DataFrame:
+              skip_binary: bool = True, files: Sequence[str] | None = None) -> DataFrame:
     """Text files -> ``(content, source_file)``; blank lines dropped; files that are
     not valid UTF-8 are skipped whole."""
-    lines = read_lines(spark, root, extension)
+    lines = read_lines(spark, root, extension, files=files)
     if lines is None:
         return spark.createDataFrame([], "content string, source_file string")
     out = lines.select(strip(F.col("value")).alias("content"), SOURCE_FILE, "_path")
@@ -121,41 +150,29 @@ def _first_lines(lines: DataFrame, nonblank: bool = False) -> DataFrame:
     return src.groupBy("_path").agg(F.min_by("value", "_id").alias("_first"), F.min("_id").alias("_first_id"))
 
 
-def _quotes(c: Column) -> Column:
-    return F.length(c) - F.length(F.replace(c, F.lit('"'), F.lit("")))
+_CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\u0000", "emptyValue": "", "multiLine": "true"}
 
 
-_CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\u0000", "emptyValue": ""}
+_END = "\u0001end\u0001"
 
 
-def _csv_rows(spark: SparkSession, root: str, root_path: str, extension: str | None, width: int, multiline: bool, header: bool) -> DataFrame:
-    reader = _reader(spark.read.format("csv").schema(", ".join(f"c{i} string" for i in range(width))).options(**_CSV), extension)
-    reader = reader.option("header", str(header).lower()).option("enforceSchema", "true").option("multiLine", str(multiline).lower())
-    return reader.load(_escaped(root)).select(
-        F.array(*[F.col(f"c{i}") for i in range(width)]).alias("_fa"),
-        source_name(root_path, F.col("_metadata.file_path")).alias(SOURCE_FILE), F.col("_metadata.file_path").alias("_path"),
-        F.spark_partition_id().alias("_parse_task"))          # keeps the parse below later filters
+def _cells(record: Column, width: int) -> Column:
+    """The fields of one CSV record, at most ``width``: an empty one is ``''``, and one beyond the record's end is missing.
 
+    A mark behind the record's last field tells an empty field from one that is not there, which the parser both gives as NULL.
+    """
+    row = F.from_csv(F.concat(record, F.lit(f",{_END}")), F.lit(", ".join(f"c{i} string" for i in range(width + 1))), _CSV)
+    fields = F.array(*[row[f"c{i}"] for i in range(width + 1)])
+    there = F.coalesce(F.nullif(F.array_position(fields, _END), F.lit(0)) - 1, F.lit(width)).cast("int")
+    return F.transform(F.slice(fields, F.lit(1), there), lambda c: F.coalesce(c, F.lit("")))
 
-def _csv_heads(spark: SparkSession, root: str, root_path: str, extension: str | None, lines: DataFrame, multiline: bool) -> DataFrame:
-    """``(_path, _hdr)``: each file's header as a CSV record, from its first line.
 
-    A header with a line break inside quotes shows as an odd number of quotes; then the records themselves are asked.
-    """
-    first = _first_lines(lines).select("_path", F.col("_first").alias("_line"))
-    broken = multiline and not first.filter(_quotes(F.col("_line")) % 2 == 1).isEmpty()
-    if not broken:
-        most = (first.agg(F.max(F.length("_line") - F.length(F.replace("_line", F.lit(","), F.lit(""))))).first()[0] or 0) + 1
-        cells = F.from_csv(F.rtrim(F.col("_line"), F.lit("\r")), F.lit(", ".join(f"c{i} string" for i in range(most))), _CSV)
-        return first.select("_path", F.filter(F.array(*[cells[f"c{i}"] for i in range(most)]), lambda c: c.isNotNull()).alias("_hdr"))
-    most = (lines.agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(","), F.lit(""))))).first()[0] or 0) + 1
-    records = _csv_rows(spark, root, root_path, extension, most + 1, True, False).withColumn("_id", F.monotonically_increasing_id())
-    return (records.groupBy("_path").agg(F.min_by("_fa", "_id").alias("_hdr"))
-            .select("_path", F.filter("_hdr", lambda c: c.isNotNull()).alias("_hdr")))
+def _commas(c: Column) -> Column:
+    return F.length(c) - F.length(F.replace(c, F.lit(","), F.lit("")))
 
 
 def read_csv(spark: SparkSession, root: str, columns: Mapping[str, tuple[str, object]], *,
-             extension: str | None = "csv", multiline: bool = True) -> DataFrame:
+             extension: str | None = "csv", multiline: bool = True, files: Sequence[str] | None = None) -> DataFrame:
     """CSV files with a header. ``columns`` maps name -> (dtype, default-when-column-absent).
 
     Columns are matched by *header name per file* (files may differ); an absent column gives
@@ -163,26 +180,40 @@ def read_csv(spark: SparkSession, root: str, columns: Mapping[str, tuple[str, ob
     or a short row, rejects that row only (``_reject`` holds the reason).
 
     Quotes are a CSV reader's quotes: commas, doubled quotes and line breaks inside them belong to the field, in header and
-    body. ``multiline=False`` lets Spark split large files between lines; it is for folders whose fields are known to
+    body. A large file is cut into records by many tasks, each of which knows whether its block begins inside quotes.
+    ``multiline=False`` takes every line for a record and saves that; it is for folders whose fields are known to
     hold no line breaks. Only the widest header's size reaches the driver.
     """
     names = list(columns)
-    lines = read_lines(spark, root, extension)
-    if lines is None:
+    if multiline:
+        records = read_records(spark, root, extension, "csv", files)
+    else:
+        records = read_lines(spark, root, extension, files=files)
+    if records is None:
         schema = ", ".join(f"{n} {columns[n][0]}" for n in names)
         return spark.createDataFrame([], f"{schema}, {SOURCE_FILE} string, _reject string")
-    root_path, _ = _qualified(spark, root)
-    heads = _csv_heads(spark, root, root_path, extension, lines, multiline)
-    heads = heads.select("_path", F.transform("_hdr", strip).alias("_hdr"))
+    if multiline:
+        records = records.withColumnsRenamed({"path": "_path", "text": "_record"})
+        heads = records.filter("first").select("_path", F.rtrim("_record", F.lit("\r")).alias("_record"))
+        body = records.filter("NOT first")
+    else:
+        heads = _first_lines(records).select("_path", F.rtrim("_first", F.lit("\r")).alias("_record"))
+        body = records.withColumn("_id", F.monotonically_increasing_id()).withColumnRenamed("value", "_record")
+        body = body.join(_first_lines(records).select("_path", "_first_id"), "_path", "left").filter("NOT (_block = 0 AND _id = _first_id)")
+    most = (heads.agg(F.max(_commas(F.col("_record")))).first()[0] or 0) + 1
+    heads = heads.select("_path", F.transform(_cells(F.col("_record"), most), strip).alias("_hdr"))
     heads = heads.select("_path", *[F.array_position("_hdr", F.lit(n)).cast("int").alias(f"_pos{i}")
                                    for i, n in enumerate(names)], F.size("_hdr").alias("_width"))
     width = (heads.agg(F.max("_width")).first()[0] or 0) + 1
-    rows = _csv_rows(spark, root, root_path, extension, width, multiline, True).join(heads, "_path", "left")
+    record = F.rtrim("_record", F.lit("\r"))
+    rows = body.filter(record != "").select(_cells(record, width).alias("_fa"), SOURCE_FILE, "_path",
+                                            F.spark_partition_id().alias("_parse_task"))          # keeps the parse below later filters
+    rows = rows.join(heads, "_path", "left")
     out_cols, problems = [], []
     for i, name in enumerate(names):
         dtype, default = columns[name]
         pos = F.col(f"_pos{i}")
-        raw = F.when(pos > 0, F.element_at(F.col("_fa"), pos))
+        raw = F.when(pos > 0, F.get(F.col("_fa"), pos - 1))
         if dtype == "string":
             val = F.when(pos > 0, raw).otherwise(F.lit(default))
             problems.append(F.when((pos > 0) & raw.isNull(), F.lit(f"short_row_{name}")))
@@ -195,85 +226,39 @@ def read_csv(spark: SparkSession, root: str, columns: Mapping[str, tuple[str, ob
     return rows.select(*out_cols, F.col(SOURCE_FILE), F.coalesce(*problems).alias("_reject"))
 
 
-_CORRUPT = "_corrupt_text"
-
-
-#: A JSON value beyond this many bytes cannot be looked into as one variant.
-VARIANT_LIMIT = 1 << 27
-LONG_LINE = 1 << 20
-
+def read_json(spark: SparkSession, root: str, *, extension: str | None = "json", schema=None, files: Sequence[str] | None = None) -> DataFrame:
+    """JSON files holding an array, one object, or JSON lines, of any size.
 
-def _json_fields(spark: SparkSession, root: str, extension: str | None, schema) -> StructType:
-    """Field names of the records, each kept as a variant (values, nested or not, keep their JSON types and nulls).
+    Output ``(value string-JSON-object, source_file, _reject)``: one row per object. The first character that is not blank
+    tells a file's kind: ``[`` begins an array, ``{`` an object (JSON lines, if it closes on its line), anything else JSON
+    lines. Elements of an array are cut and parsed by many tasks, and each is judged by itself: a bad one rejects itself only. What
+    follows the array's or object's end is read as JSON lines, and so is an element or object that never ends. Blank elements and
+    lines are dropped. One record may have 128 MiB, what a variant holds (``beyond_variant_limit``).
 
-    Given ``schema`` (a StructType or a DDL text) names them. Without it the whole files are read once
-    for the names in use; one too large for that raises and asks for ``schema``, so no field is lost.
+    ``schema`` (a StructType or a DDL text) names the fields to keep, each with its own JSON type; all by default.
     """
+    records = read_records(spark, root, extension, "json", files)
+    if records is None:
+        return spark.createDataFrame([], f"value string, {SOURCE_FILE} string, _reject string")
+    text = strip(F.col("text"))
+    # Spark's parser stops after the first value: a record must end as it begins, and hold one value
+    braces = text.startswith("{") & text.endswith("}")
+    whole = F.col("line") & text.endswith("}") | ~F.col("line") & (F.col("opens") <= 1) & (braces | ~text.startswith("{"))
+    parsed = (records.filter(F.col("text").isNull() | (text != ""))
+              .withColumn("_v", F.when(whole, F.try_parse_json(text)))
+              .withColumn("_parse_task", F.spark_partition_id()))      # parse once, below later filters
     if schema is not None:
         names = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
+        quoted = [n.replace("\\", "\\\\").replace("'", "\\'") for n in names]
+        kept = F.to_json(F.struct(*[F.try_variant_get("_v", f"$['{q}']", "variant").alias(n) for q, n in zip(quoted, names)]))
     else:
-        v = _reader(spark.read.format("json").option("singleVariantColumn", "v").option("multiLine", "true"), extension).load(_escaped(root))
-        large = F.col("v").isNull() & (F.col("_metadata.file_size") > VARIANT_LIMIT)
-        v = v.select(F.when(large, F.raise_error(F.concat(F.lit("give schema= to read a JSON file of this size: "), F.col("_metadata.file_path"))).cast("variant"))
-                     .otherwise(F.col("v")).alias("v"), F.spark_partition_id().alias("_parse_task"))
-        array = F.coalesce(F.schema_of_variant("v").startswith("ARRAY"), F.lit(False)) & (F.col("_parse_task") >= 0)
-        records = v.filter(array).select(F.explode(F.col("v").cast("array<variant>")).alias("v")).unionByName(v.filter(~array).select("v"))
-        keys = F.map_keys(F.from_json(F.to_json("v"), "map<string,variant>"))
-        names = sorted(r[0] for r in records.select(F.explode(keys).alias("k")).distinct().collect())
-    names = names or ["_none"]     # a folder without any object still needs a field to ask for
-    return StructType([StructField(n, VariantType()) for n in names] + [StructField(_CORRUPT, StringType())])
-
-
-def read_json(spark: SparkSession, root: str, *, extension: str | None = "json", schema=None) -> DataFrame:
-    """JSON files holding an array, one object, or JSON lines.
-
-    Output ``(value string-JSON-object, source_file, _reject)``: one row per object. A file whose first non-blank
-    line is an object by itself, or begins with neither ``[`` nor ``{``, is JSON lines; any other is read whole by Spark's
-    streaming JSON reader, at any size. A whole file that does not parse falls back: its array is taken
-    element by element (elements that are not objects are rejected rows), or else its lines are.
-    Bad lines are rejected, blank lines dropped. ``schema`` names the fields and saves the inference.
-    """
-    lines = read_lines(spark, root, extension)
-    if lines is None:
-        return spark.createDataFrame([], f"value string, {SOURCE_FILE} string, _reject string")
-    root_path, _ = _qualified(spark, root)
-    # a first line of this length is told by its ends alone
-    ends = F.when(F.length("value") > LONG_LINE, F.concat(F.left(F.ltrim("value"), F.lit(1)), F.lit("..."), F.right(F.rtrim("value"), F.lit(1)))).otherwise(F.col("value"))
-    first = strip(F.col("_first"))
-    is_object = F.when(first.startswith("{...") , F.lit(True)).otherwise(F.coalesce(F.schema_of_variant(F.try_parse_json(first)).startswith("OBJECT"), F.lit(False)))
-    alone = first.endswith("}") & is_object
-    kinds = _first_lines(lines.withColumn("value", ends), nonblank=True).select("_path", (alone | ~F.substring(first, 1, 1).isin("[", "{")).alias("_lines"))
-
-    fields = _json_fields(spark, root, extension, schema)
-    names = [n for n in fields.names if n != _CORRUPT]
-    record = F.to_json(F.struct(*[F.col(f"`{n}`") for n in names]))
-    whole = _reader(spark.read.format("json").schema(fields).option("multiLine", "true").option("columnNameOfCorruptRecord", _CORRUPT), extension)
-    whole = (whole.load(_escaped(root)).select(record.alias("value"), F.col(_CORRUPT), F.col("_metadata.file_path").alias("_path"),
-                                              source_name(root_path, F.col("_metadata.file_path")).alias(SOURCE_FILE),
-                                              F.spark_partition_id().alias("_parse_task"))
-             .join(kinds.filter(~F.col("_lines")), "_path", "left_semi"))
-    # a whole file must end where its array or object ends (the parser ignores trailing text); each element is a variant of its own
-    whole = whole.withColumn("_v", F.when(F.col(_CORRUPT).rlike(r"\]\s*$"), F.from_json(F.col(_CORRUPT), "array<variant>")))
-    is_array = F.col("_v").isNotNull() & (F.col("_parse_task") >= 0)
-    row = lambda value, reject, line: F.struct(value.alias("value"), reject.alias("_reject"), line.alias("_line"))
-    none = F.lit(None).cast("string")
-    elements = F.transform(F.col("_v"), lambda e: row(
-        F.to_json(e), F.when(~F.schema_of_variant(e).startswith("OBJECT"), F.lit("not_an_object")), F.lit(None).cast("string")))
-    torn = F.transform(F.split(_CORRUPT, "\n"), lambda line: row(F.lit(None).cast("string"), F.lit(None).cast("string"), line))
-    found = F.when(F.col(_CORRUPT).isNull(), F.array(row(F.col("value"), none, none))).when(is_array, elements).otherwise(torn)
-    whole = whole.select(SOURCE_FILE, F.explode(found).alias("r")).select(SOURCE_FILE, "r.*")
-
-    plain = lines.join(kinds.filter(~F.col("_lines")), "_path", "left_anti").select("value", SOURCE_FILE)
-    # the lines of line files and of whole files that do not parse go the same way
-    rows = whole.unionByName(plain.select(SOURCE_FILE, none.alias("value"), none.alias("_reject"), F.col("value").alias("_line")))
-    line = strip(F.col("_line"))
-    parsed = (rows.filter(F.col("_line").isNull() | (line != ""))
-              .withColumn("_v", F.when(line.endswith("}"), F.try_parse_json(line)))   # no trailing text
-              .withColumn("_parse_task", F.spark_partition_id()))      # parse once, below later filters
+        kept = F.to_json("_v")
+    is_object = F.schema_of_variant("_v").startswith("OBJECT")
+    bad = F.when(F.col("line"), F.lit("invalid_json_line")).otherwise(F.lit("invalid_json_element"))
     return parsed.select(
-        F.when(F.col("_line").isNull(), F.col("value")).when(F.col("_v").isNotNull(), F.to_json("_v")).alias("value"), SOURCE_FILE,
-        F.when(F.col("_line").isNull(), F.col("_reject")).when(F.col("_v").isNull(), F.lit("invalid_json_line"))
-        .when(~F.schema_of_variant("_v").startswith("OBJECT"), F.lit("not_an_object"))
+        F.when(is_object, kept).when(F.col("_v").isNotNull(), F.to_json("_v")).alias("value"), SOURCE_FILE,
+        F.when(F.coalesce(F.octet_length("text") > LONGEST, F.lit(True)), F.lit("beyond_variant_limit")).when(F.col("_v").isNull(), bad)
+        .when(~is_object, F.lit("not_an_object"))
         .when(F.col("_parse_task") < 0, F.lit("unreachable")).alias("_reject"))
 
 

@@ -141,7 +141,8 @@ def test_json_keeps_nulls_types_and_broken_files(spark, scratch):
     assert ("n.json", '{"b":"t"}', None) in got
     assert [(v, r) for f, v, r in got if f == "mix.json" and r is None] == [('{"a":1}', None), ('{"a":4}', None)]
     assert [r for f, v, r in got if f == "mix.json" and r] == ["not_an_object"]
-    assert sorted((v, r) for f, v, r in got if f == "torn.json" and r is None) == [('{"a":2}', None)]
+    # every element of a torn array is judged by itself; what never ends is read as lines
+    assert sorted((v, r) for f, v, r in got if f == "torn.json") == [('{"a":1}', None), ('{"a":2}', None)]
     assert not [f for f, *_ in got if f == "e.json"]
 
 
