@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from heliolake.llm.common import stored
 
-#: Rounds grow with the logarithm of the nodes; this many would serve any input.
+#: Rounds grow with the logarithm of the nodes; this many serve any input, and an unfinished labelling is never returned.
 MOST_ROUNDS = 100
 
 
@@ -41,5 +41,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if new == mark:
             break
         mark = new
+    else:
+        raise RuntimeError(f"components are not settled after {MOST_ROUNDS} rounds")
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("comp"))
     return stars.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())

@@ -61,9 +61,8 @@ AIMED, NEGATED, REPORTED = 1.25, 0.5, 0.6
 REACH = 4
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
-CLAUSE_END = re.compile(r"[.!?;:\n]")
-#: A clause without an end mark is read this far to each side of its hit.
-CLAUSE_REACH = 400
+CLAUSE_ENDS = ".!?;:\n"
+CLAUSE_END = re.compile(f"[{CLAUSE_ENDS}]")
 
 
 @dataclass
@@ -113,9 +112,10 @@ def insult(words: list[str], grammar: Grammar) -> Marks:
 def threat(marks: Marks) -> Marks:
     out = list(marks)
     for i, (w, _, _) in enumerate(marks):
-        near = {x for x, *_ in marks[max(0, i - REACH):i + REACH + 1]}
-        if w in HARM and near & TARGETS and near & MODALS:
-            out[i] = (w, "threat", HARM_WEIGHT)
+        if w in HARM:
+            near = {x for x, *_ in marks[max(0, i - REACH):i + REACH + 1]}
+            if near & TARGETS and near & MODALS:
+                out[i] = (w, "threat", HARM_WEIGHT)
     return out
 
 
@@ -141,17 +141,17 @@ def clause_weight(clause: str, grammar: Grammar) -> float:
 
 
 def hit_clauses(low: str, grammar: Grammar) -> list[tuple[int, int]]:
-    """The clauses (start, end) of a lower-cased text that hold a terminal at a word's start."""
+    """The whole clauses (start, end) of a lower-cased text that hold a terminal at a word's start; no character is looked at
+    twice, however long a clause is."""
     out, end = [], -1
     for last, (n, beginning) in grammar.machine().iter(low):
         a = last - n + 1
         if a < end or (a and low[a - 1].isalpha()) or (not beginning and last + 1 < len(low) and low[last + 1].isalpha()):
             continue
-        left = max(end, 0, a - CLAUSE_REACH)
-        for m in CLAUSE_END.finditer(low, left, a):
-            left = m.end()
-        m = CLAUSE_END.search(low, last + 1, last + 1 + CLAUSE_REACH)
-        end = m.start() if m else min(len(low), last + 1 + CLAUSE_REACH)
+        left = max(end, 0)
+        left = max(left, *(low.rfind(c, left, a) + 1 for c in CLAUSE_ENDS))
+        m = CLAUSE_END.search(low, last + 1)
+        end = m.start() if m else len(low)
         out.append((left, end))
     return out
 

@@ -119,3 +119,62 @@ def test_remainder_is_the_crc_of_the_id(spark, text, label):
     import zlib
     out = spark.range(200).select("id", toxicity.remainder("id").alias("m")).collect()
     assert all(x["m"] == zlib.crc32(str(x["id"]).encode()) % 3 for x in out)
+
+
+def test_unsettled_components_are_not_returned(spark, monkeypatch):
+    from heliolake.llm import components as module
+    monkeypatch.setattr(module, "MOST_ROUNDS", 2)
+    with pytest.raises(RuntimeError, match="not settled"):
+        components(spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long"))
+
+
+@pytest.mark.parametrize("between", [0, 60, 90, 5000])
+def test_reported_speech_reaches_through_a_clause_of_any_length(between):
+    grammar = toxicity.Grammar({"idiot": 2.0})
+    filler = "word " * between
+    reported = toxicity.evidence(f"He said {filler}you are an idiot", grammar)
+    plain = toxicity.evidence(f"He sang {filler}you are an idiot", grammar)
+    cut = toxicity.evidence(f"He said. {filler}you are an idiot", grammar)
+    assert reported[1] == pytest.approx(plain[1] * toxicity.REPORTED) and cut[1] == pytest.approx(plain[1])
+    after = toxicity.evidence(f"You are an idiot {filler}she said", grammar)
+    assert after[1] == pytest.approx(plain[1] * toxicity.REPORTED)
+
+
+def plain_evidence(text, grammar):
+    """The grammar clause by clause over the whole text, without a search for hits."""
+    import math
+    import re
+    weights = []
+    low = text.lower()
+    for clause in re.split(r"[.!?;:\n]", low):
+        words = re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)?", clause)
+        total = 0.0
+        for i, w in enumerate(words):
+            x = max([grammar.terminals.get(w, 0.0)] + [grammar.terminals.get(w[:n] + "*", 0.0) for n in range(3, 9) if len(w) > n])
+            near = words[max(0, i - 4):i + 5]
+            if w in toxicity.HARM and set(near) & toxicity.TARGETS and set(near) & toxicity.MODALS:
+                x = 3.0
+            if x > 0:
+                x *= 1.25 if set(near) & toxicity.TARGETS else 1
+                x *= 0.5 if set(words[max(0, i - 3):i]) & toxicity.NEGATORS else 1
+                x *= 0.6 if clause.count('"') >= 2 or set(words) & toxicity.REPORTS else 1
+                total += x
+        if total > 0:
+            weights.append(total)
+    if not weights:
+        return 0.0, 0.0, 0.0
+    return math.log1p(sum(weights)), min(max(weights), 12.0), min(100.0 * len(weights) / max(1, low.count(" ") + low.count("\n") + 1), 5.0)
+
+
+def test_scores_of_a_given_grammar_equal_a_plain_version(spark):
+    import math
+    grammar = toxicity.Grammar({"idiot": 2.0, "stup*": 1.5, "scum": 3.0, "scu*": 1.0}, (-2.0, 0.7, 0.3, 0.2))
+    r = random.Random(12)
+    pool = ["idiot", "Idiots", "stupid", "STUPIDITY", "scum", "scumbag", "kill", "you", "will", "not", "never", "said", "he", "the", "cat", '"', ".", "!", "\n", "3idiot", "x-scum", "l'idiot", "ok;", "and"]
+    texts = [" ".join(r.choice(pool) for _ in range(r.randrange(1, 60))) for _ in range(400)] + ["", "idiot", "i will kill you " * 3000]
+    docs = spark.createDataFrame([row(i, t) for i, t in enumerate(texts)] + [row(9999, None)], SCHEMA).repartition(3)
+    got = {x.doc_id: (x.score, x.predicted) for x in toxicity.toxicity(docs, grammar).collect()}
+    for i, t in [*enumerate(texts), (9999, "")]:
+        z = -2.0 + sum(a * b for a, b in zip((0.7, 0.3, 0.2), plain_evidence(t, grammar)))
+        want = 1 / (1 + math.exp(-z))
+        assert got[i][0] == pytest.approx(want) and got[i][1] == int(got[i][0] >= 0.7)
