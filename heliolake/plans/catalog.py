@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from heliolake.plans import dashboards, decoding, filesq, keyed, lookups, scalars, streams  # noqa: F401  (registers queries)
+from heliolake.plans import connectors, dashboards, decoding, filesq, keyed, lookups, scalars, streams  # noqa: F401  (registers queries)
 from heliolake.plans.registry import QUERIES, Query
 
 __all__ = ["QUERIES", "Query"]

@@ -10,6 +10,7 @@ and, beyond that, the query failure + restart from the checkpoint resend the dat
 
 from __future__ import annotations
 
+import re
 import time
 from dataclasses import dataclass, field
 from typing import Callable, Iterable, Sequence
@@ -28,20 +29,20 @@ class DeliveryFailed(RuntimeError):
 
 
 def is_transient(exc: BaseException) -> bool:
-    """T5: an error is a rate/quota signal when its text mentions 'quota' or 'rate'."""
-    msg = str(exc).lower()
-    return "quota" in msg or "rate" in msg
+    """T5: an error is a rate/quota signal when its text has the word 'quota' or 'rate' (or one of their forms), not when
+    another word happens to hold those letters."""
+    return re.search(r"\b(quotas?|rates?|rate[-_ ]?limit\w*)\b", str(exc), re.IGNORECASE) is not None
 
 
 @dataclass(frozen=True)
 class DeliveryPolicy:
     """``attempts`` tries ``retry_wait_s`` apart for connection errors; backpressure
-    waits ``backpressure_wait_s``, again and again; ``max_backpressure_waits`` bounds that (default: no bound)."""
+    waits ``backpressure_wait_s``, at most ``max_backpressure_waits`` times in a row (None: without bound)."""
 
     attempts: int = 3
     retry_wait_s: float = 3.0
     backpressure_wait_s: float = 30.0
-    max_backpressure_waits: int | None = None
+    max_backpressure_waits: int | None = 120
     retry_on: tuple = (ConnectionError,)
     classify: Callable[[BaseException], bool] = field(default=is_transient)
 
