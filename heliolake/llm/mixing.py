@@ -92,6 +92,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, most_epochs: int = MOST_EPOCHS, seed:
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, most_epochs: int = MOST_EPOCHS, seed: int = 0) -> DataFrame:
     """The documents of the mix as rows: one per epoch, the one at the cut if at least half of it fits.
 
+    Documents without words (null, empty or blank) cost nothing: they stay, once, or once per whole epoch of their source.
+
     Keeps the columns of ``docs``. The decision joins on id, source and the text's hash, so repeated
     rows (which get the same decisions in the same numbers) stay apart from other rows of that id.
     """
@@ -99,13 +101,15 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, most_epochs: int = MOST_EP
     keyed = docs.select(F.struct("*").alias("_doc"), F.col("source").alias("_source"), F.md5(F.concat_ws(
         ":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))).alias("_key"))
     plan = mix(docs, weights, most_epochs, seed)
-    copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(F.lit(0)).cast("int")
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(F.lit(1))
+    copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(F.greatest(F.lit(1), epochs)).cast("int")
     # repeated rows share a key: their copies are dealt out over them as one number
     plan = (plan.withColumn("_copies", copies).groupBy("source", "mix_key")
             .agg(F.sum("_copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0"))
     joined = keyed.join(plan, (F.col("_key") == F.col("mix_key")) & F.col("_source").eqNullSafe(F.col("source")))
     single = joined.where("_rows = 1").withColumn("_n", F.col("_copies"))
-    own = F.row_number().over(W.partitionBy("_key", "_source").orderBy(F.lit(0)))
+    # by the rest of their columns, so that reruns agree
+    own = F.row_number().over(W.partitionBy("_key", "_source").orderBy(F.xxhash64(F.to_json("_doc")), F.to_json("_doc")))
     several = joined.where("_rows > 1").withColumn("_n", F.expr("_copies div _rows") + (own <= F.col("_copies") % F.col("_rows")).cast("int"))
     both = single.select("_doc", F.col("_n").cast("int")).unionByName(several.select("_doc", F.col("_n").cast("int")))
     return both.where("_n > 0").select("_doc", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_doc.*")

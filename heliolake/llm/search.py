@@ -10,7 +10,8 @@ gives a lower bound of its final k-th score. Round two sends that bound to all o
 prune from the start with it. The k best of all shards are ranked at the end. Bounds carry a
 slack for rounding and only strictly smaller ones prune, so ties are whole and the result is exact.
 
-Defined results: vectors that are null or hold null or non-finite parts take no part; vectors of different
+Defined results: vectors that are null or hold null or non-finite parts take no part; nor do those with a part beyond
+``LARGEST`` in integer form, whose products would leave exact arithmetic, and rows without a ``vec_id``; vectors of different
 lengths count missing parts as 0; a repeated row is a row of its own and a candidate for its twin; ties
 go to the smaller vec_id; an empty table gives no rows; other columns are not read.
 """
@@ -33,6 +34,8 @@ EVERY = 50
 SHARD_ROWS = 8192
 QUERY_BLOCK = 1024
 LEAF = 64
+#: Integer parts up to this size make sums that are exact in 64 bits for vectors of up to 2^9 parts (2^53 / 2^44).
+LARGEST = 1 << 22
 
 
 @dataclass
@@ -134,6 +137,7 @@ def integer_vectors(table_: DataFrame, id_col: str = "vec_id", vector_col: str =
     x = F.col(vector_col)
     usable = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < float("inf")))
     v = F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("double"))
+    usable = usable & F.forall(x, lambda c: F.abs(c.cast("double")) * scale < LARGEST)
     rows = table_.where(F.col(id_col).isNotNull()).where(usable).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
     return stored(rows.withColumn("row", F.monotonically_increasing_id()), "search-vectors")
 

@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from heliolake.llm.common import table, text_or_empty
+from heliolake.llm.common import stored, table, text_or_empty
 
 BITS = 5
 SHARDS = 40
@@ -168,10 +168,29 @@ def hilbert_shards(df: DataFrame, dims: list[str], size: Column, shards: int = S
     return placed.join(firsts, "shard").select(*kept, "hilbert", "size", "shard", (F.col("rank") - F.col("_first")).cast("long").alias("slot"))
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write the documents as one folder per shard, in curve order, so that min/max of the dimensions prune files."""
-    (docs.join(placed.select(id_col, "shard", "slot"), id_col)
-     .repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
+#: Rows of one file of a shard.
+FILE_ROWS = 1 << 20
+
+
+def write_shards(docs: DataFrame, dims: list[str], path: str, *, size: Column | None = None, shards: int = SHARDS, law: str = "rows", bits: int = BITS, file_rows: int = FILE_ROWS) -> str:
+    """Write every row of ``docs`` to a folder per shard, in curve order and in files of ``file_rows`` slots, so that min/max of the
+    dimensions prune files. Returns the name of the column that holds the shard: ``shard``, with underscores before it if
+    the documents have such a column.
+
+    Rows are numbered and stored first and keep their number, so null and repeated ids and repeated rows come back as they
+    were; a shard is written by as many tasks as it has files.
+    """
+    numbered = docs.select(F.struct("*").alias("_doc"), (size if size is not None else F.lit(1)).cast("long").alias("_size")).withColumn("_row", F.monotonically_increasing_id())
+    numbered = stored(numbered, "shard-rows")
+    flat = numbered.select("_row", "_size", *[F.col(f"_doc.`{d}`").alias(f"_d{i}") for i, d in enumerate(dims)])
+    placed = hilbert_shards(flat, [f"_d{i}" for i in range(len(dims))], F.col("_size"), shards, law, bits, keep=[F.col("_row")], ties=[F.col("_row")])
+    rows = numbered.join(placed.select("_row", "shard", "slot"), "_row").withColumn("_file", F.expr(f"slot div {int(file_rows)}"))
+    column = "shard"
+    while column.lower() in {c.lower() for c in docs.columns}:
+        column = "_" + column
+    (rows.repartition("shard", "_file").sortWithinPartitions("shard", "slot").select("_doc.*", F.col("shard").alias(column))
+     .write.partitionBy(column).parquet(path))
+    return column
 
 
 DIMENSIONS = ["lang", "source", "n_chars"]

@@ -16,13 +16,14 @@ def test_top_k(spark):
     r = random.Random(2)
     rows = [(i, [r.uniform(-1, 1) for _ in range(8)], "x") for i in range(300)]
     rows += [(50, rows[50][1], "twin"), (700, None, "x"), (701, [1.0, None], "x"), (702, [float("nan")] * 8, "x"), (703, [float("inf")] * 8, "x"), (704, [0.5], "short"),
-             (None, [1.0] * 8, "x"), (750, [], "x"), (-100, [0.9] * 8, "x")]
+             (None, [1.0] * 8, "x"), (750, [], "x"), (751, [1e300] + [0.0] * 7, "huge"), (800, [-1e20] * 8, "huge"), (850, [16384.5] + [0.0] * 7, "huge"),
+             (852, [16000.25] + [0.0] * 7, "large"), (-100, [0.9] * 8, "x")]
     rows += [(800 + i, [0.25] * 8, "tie") for i in range(20)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
     vectors = search.integer_vectors(df)
     got = search.top_k(vectors, vectors.where("vec_id % 50 = 0"), shard_rows=64, query_block=4).collect()
     usable = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, _ in rows
-              if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+              if i is not None and v is not None and all(x is not None and np.isfinite(x) and abs(x) * 256 < 1 << 22 for x in v)]
     want = []
     for a, (i, v) in enumerate(usable):
         if i % 50 == 0:
