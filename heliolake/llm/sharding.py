@@ -189,7 +189,7 @@ def write_shards(docs: DataFrame, dims: list[str], path: str, *, size: Column |
     while column.lower() in {c.lower() for c in docs.columns}:
         column = "_" + column
     (rows.repartition("shard", "_file").sortWithinPartitions("shard", "slot").select("_doc.*", F.col("shard").alias(column))
-     .write.partitionBy(column).parquet(path))
+     .write.option("maxRecordsPerFile", int(file_rows)).partitionBy(column).parquet(path))
     return column
 
 
