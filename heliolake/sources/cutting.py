@@ -43,6 +43,8 @@ MOST_NAMED = 10_000
 COMPRESSED = r"\.(gz|bz2|deflate|snappy|lz4|zst|zstd)$"
 
 LINES, ARRAY, OBJECT, CSV = "lines", "array", "object", "csv"
+#: (between blocks) a brace has opened the file and its line has not ended, so it may be an object or JSON lines
+FIRST = "first"
 
 
 class State(NamedTuple):
@@ -189,11 +191,11 @@ class JsonBlock:
 
 class JsonSummary:
     """What a block does from either state: for a start outside and inside a string its end, the change and least of the
-    depth, and the relative depths of commas."""
+    depth, its least before the first line end, and the relative depths of commas."""
 
     def __init__(self):
-        self.now = [False, True]
-        self.delta, self.least, self.commas = [0, 0], [0, 0], [set(), set()]
+        self.now, self.newline = [False, True], False
+        self.delta, self.least, self.early, self.commas = [0, 0], [0, 0], [0, 0], [set(), set()]
 
     def feed(self, chunk: bytes) -> None:
         before = list(self.now)
@@ -205,11 +207,16 @@ class JsonSummary:
             if len(at):
                 depth = self.delta[s] + np.cumsum(step)
                 self.least[s] = min(self.least[s], int(depth.min()))
+                if not self.newline:
+                    ends = np.flatnonzero(code == 10)
+                    line = depth[:ends[0]] if len(ends) else depth
+                    self.early[s] = min(self.early[s], int(line.min(initial=0)))
                 self.commas[s] |= set(np.unique(depth[code == 44]).tolist())
                 self.delta[s] = int(depth[-1])
+        self.newline = self.newline or b"\n" in chunk
 
     def row(self) -> dict:
-        return {"ends": list(self.now), "delta": self.delta, "least": self.least, "commas": [sorted(c) for c in self.commas]}
+        return {"ends": list(self.now), "delta": self.delta, "least": self.least, "early": self.early, "newline": self.newline, "commas": [sorted(c) for c in self.commas]}
 
 
 # ---- CSV ----
@@ -260,7 +267,7 @@ class CsvSummary:
         self.now = [csv_cuts(chunk, s)[1] for s in self.now]
 
     def row(self) -> dict:
-        return {"ends": list(self.now), "delta": [0, 0], "least": [0, 0], "commas": [[], []]}
+        return {"ends": list(self.now), "delta": [0, 0], "least": [0, 0], "early": [0, 0], "newline": False, "commas": [[], []]}
 
 
 # ---- tasks ----
@@ -353,9 +360,9 @@ def _cut(kind: str, separator: bytes, states, skipped: frozenset[str] = frozense
 
 
 _SUMMARY = pa.schema([("path", pa.string()), ("block", pa.int64()), ("last", pa.bool_()), ("size", pa.int64()), ("bytes", pa.int64()), ("mode", pa.string()), ("cut", pa.bool_()),
-                      ("ends", pa.list_(pa.bool_())), ("delta", pa.list_(pa.int64())), ("least", pa.list_(pa.int64())), ("commas", pa.list_(pa.list_(pa.int64())))])
+                      ("ends", pa.list_(pa.bool_())), ("delta", pa.list_(pa.int64())), ("least", pa.list_(pa.int64())), ("early", pa.list_(pa.int64())), ("newline", pa.bool_()), ("commas", pa.list_(pa.list_(pa.int64())))])
 SUMMARIES = ("path string, block long, last boolean, size long, bytes long, mode string, cut boolean, ends array<boolean>, delta array<long>, least array<long>, "
-             "commas array<array<long>>")
+             "early array<long>, newline boolean, commas array<array<long>>")
 
 
 def _summarise(kind: str, separator: bytes):
@@ -375,10 +382,12 @@ def _summarise(kind: str, separator: bytes):
                     pass
             row = {"path": path, "block": start, "last": last, "size": size, "bytes": seen + 1, "mode": None, "cut": False}
             if start == 0:
-                if block.mode is None:
+                mode = block.mode
+                if mode is None:
                     for _ in block.settle(last):
                         pass
-                row |= {"mode": block.mode, "cut": block.cut, "ends": [block.inside], "delta": [block.depth], "least": [0], "commas": [[]]}
+                    mode = FIRST if block.mode == OBJECT else block.mode
+                row |= {"mode": mode, "cut": block.cut, "ends": [block.inside], "delta": [block.depth], "least": [0], "early": [0], "newline": False, "commas": [[]]}
             else:
                 row |= block.row()
             yield pa.RecordBatch.from_pylist([row], schema=_SUMMARY)
@@ -404,6 +413,14 @@ def block_states(t: pa.Table, separator: bytes) -> pa.Table:
             inside = r["ends"][int(inside)]
         elif mode != LINES:
             s = int(inside)
+            if mode == FIRST:
+                if depth + r["early"][s] <= 0:       # it closes on its line: JSON lines
+                    mode, inside, depth = LINES, False, 0
+                    out[i].update(mode=LINES, inside=False, depth=0)
+                    continue
+                out[i]["mode"] = OBJECT
+                if r["newline"]:
+                    mode = OBJECT
             if depth + r["least"][s] <= 0:
                 mode, inside, depth = LINES, False, 0
             else:
@@ -417,7 +434,7 @@ def block_states(t: pa.Table, separator: bytes) -> pa.Table:
             last_cut = len(out) - 1
         if separator == b"}" and depth == 1:
             mode = LINES
-    if mode in (ARRAY, OBJECT):      # it never ends: its lines, from the last cut on
+    if mode in (ARRAY, OBJECT, FIRST):      # it never ends: its lines, from the last cut on
         out[last_cut]["tail_lines"] = True
         for row in out[last_cut + 1:]:
             row.update(mode=LINES, inside=False, depth=0)

@@ -65,7 +65,7 @@ values = st.recursive(st.one_of(st.none(), st.booleans(), st.integers(-99, 99),
                       lambda v: st.one_of(st.lists(v, max_size=3), st.dictionaries(st.text('k,"\\', max_size=3), v, max_size=3)), max_leaves=8)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=int(os.environ.get("EXAMPLES", "300")), deadline=None)
 @given(st.lists(values, max_size=6), st.sampled_from([None, 1]), st.lists(st.integers(1, 300), max_size=5), st.sampled_from(["", "\n", "\n{\"x\":1}\n[2]\n", " junk"]))
 def test_arrays_cut_anywhere(elements, indent, bounds, rest):
     data = (json.dumps(elements, indent=indent, ensure_ascii=False) + rest).encode()
@@ -74,7 +74,7 @@ def test_arrays_cut_anywhere(elements, indent, bounds, rest):
     assert [t for t, line in got if line] == [x.strip().encode() for x in rest.split("\n") if x.strip()]
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=int(os.environ.get("EXAMPLES", "300")), deadline=None)
 @given(st.binary(max_size=120).map(lambda b: bytes(b'[]{}",\\:\n 1a'[x % 12] for x in b)), st.sampled_from([b"[", b"{", b'[{"a":', b'{"a":"x\n', b""]), st.lists(st.integers(1, 130), max_size=5))
 @example(b'{"a":1},\n{"b":2}', b"[", [3, 9])
 def test_torn_files_do_not_depend_on_the_cuts(tail, head, bounds):
@@ -100,7 +100,7 @@ def test_kinds_of_json_files(data, want):
 cells = st.text('ab",\n\r 1é', max_size=6)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=int(os.environ.get("EXAMPLES", "300")), deadline=None)
 @given(st.lists(st.lists(cells, min_size=2, max_size=3), min_size=1, max_size=8), st.lists(st.integers(1, 200), max_size=5), st.sampled_from(["\n", "\r\n"]))
 def test_csv_cut_anywhere(rows, bounds, end):
     out = io.StringIO()
