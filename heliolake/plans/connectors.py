@@ -6,7 +6,7 @@ import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heliolake.plans.registry import register
 from heliolake.session import unique_dir
@@ -128,12 +128,13 @@ class FileEndpoint:
             raise Backpressure(0.0, "busy")
         fs.create_dir(root, recursive=True)
         with fs.open_output_stream(f"{root}/{uuid.uuid4().hex}.json") as f:
-            f.write("".join(json.dumps({"partition": p, "offset": o, "kind": k, "at": time.time_ns() + i}) + "\n" for i, (p, o, k) in enumerate(rows)).encode())
+            at, call = time.time_ns(), uuid.uuid4().hex
+            f.write("".join(json.dumps({"partition": p, "offset": o, "kind": k, "at": at, "call": call}) + "\n" for p, o, k in rows).encode())
 
 
 @register("delivery_ledger", "T2 T3 T4 K8", oracle="""
 WITH e AS (SELECT event_id AS "offset", CAST(user_id % 8 AS INTEGER) AS partition, event_type AS kind, (event_id * 3) // (SELECT max(event_id) + 1 FROM events) AS lot FROM events)
-SELECT "offset", partition, kind, CAST(row_number() OVER (PARTITION BY partition ORDER BY "offset") AS INTEGER) AS place, CASE WHEN partition = 3 OR lot = 2 THEN 1 ELSE 0 END AS run FROM e
+SELECT "offset", partition, kind, true AS in_order, CASE WHEN partition = 3 OR lot = 2 THEN 1 ELSE 0 END AS run FROM e
 """)
 def delivery_ledger(spark: SparkSession, root: str) -> DataFrame:
     """A topic of eight partitions in three batches to an endpoint that refuses one of them during the first two: the others go out, the
@@ -157,6 +158,9 @@ def delivery_ledger(spark: SparkSession, root: str) -> DataFrame:
             jobs.run_to_end(read_topic(spark, "out", path=path), lambda b, i, out=out: out.deliver(b.select("partition", "offset", F.col("value").alias("kind")), i), checkpoint)
         if fs.get_file_info(mark).is_file:
             fs.delete_file(mark)
-    got = spark.read.schema("partition int, offset long, kind string, at long, run int").json(sink)
-    place = F.row_number().over(Window.partitionBy("partition").orderBy("run", "at"))
-    return got.select("offset", "partition", "kind", place.alias("place"), "run")
+    got = spark.read.schema("partition int, offset long, kind string, at long, call string, run int").json(sink)
+    # the calls of a partition, one row for 500 messages, by time: each begins behind the one before
+    calls = got.groupBy("partition", "run", "at", "call").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
+    times = calls.groupBy("partition").agg(F.sort_array(F.collect_list(F.struct("run", "at", "low", "high"))).alias("c"))
+    behind = F.zip_with(F.slice("c", F.lit(1), F.size("c") - 1), F.slice("c", F.lit(2), F.size("c") - 1), lambda a, b: a["high"] < b["low"])
+    return got.join(times.select("partition", F.forall(behind, lambda x: x).alias("in_order")), "partition").select("offset", "partition", "kind", "in_order", "run")

@@ -463,9 +463,12 @@ def _items(spark: SparkSession, fragments: DataFrame, checked: Column, kind: str
     return items.withColumn("text", F.col("text").cast("string"))
 
 
-def _joined(items: DataFrame) -> DataFrame:
-    """Whole records: an item's parts belong to the one that began last in the file."""
+def _joined(items: DataFrame, n: int) -> DataFrame:
+    """Whole records: an item's parts belong to the one that began last in the file. A block has two parts at most, so what is
+    ordered by file is two rows for each 128 MB; where no file was summarised (``n`` = 0) there are none."""
     columns = ("path", "line", "first", "opens", "text")
+    if not n:
+        return items.select(*columns)
     parts = items.where("NOT (starts AND ends)")
     # in a block the part that ends an item stands before the one that begins the next
     began = F.max(F.when(F.col("starts"), F.col("block"))).over(Window.partitionBy("path").orderBy("block", "starts").rowsBetween(Window.unboundedPreceding, 0))
@@ -498,13 +501,15 @@ def cut(spark: SparkSession, scan: Callable[[str, int | None, list[str] | None],
         return fragments, checked, kind, separator, states, states.count()
 
     if kind == "csv":
-        return _joined(_items(spark, *prepared("\n", None, None), []))
+        now = prepared("\n", None, None)
+        return _joined(_items(spark, *now, []), now[-1])
     coarse = prepared("}", LONGEST_FRAGMENT, None)
     states, n = coarse[-2:]
     named = [r["path"] for r in states.where(~F.col("whole") | F.col("path").rlike(COMPRESSED)).select("path").distinct().limit(MOST_NAMED + 1).collect()] if n else []
     if len(named) > MOST_NAMED:
-        return _joined(_items(spark, *prepared(",", None, None), []))
+        now = prepared(",", None, None)
+        return _joined(_items(spark, *now, []), now[-1])
     items = _items(spark, *coarse, named)
     if named:
         items = items.unionByName(_items(spark, *prepared(",", None, named), []))
-    return _joined(items)
+    return _joined(items, n)
