@@ -44,7 +44,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mixing", mixing), ("packing", packing)]
 
-#: Toxicity is learned from labels, so no SQL gives these rows; tests use a brute-force version.
+#: Toxicity is learned from labels, so no SQL gives these rows. Each operator is tested against a plain version, the stages by what they keep and change.
 ORACLE_SQL = None
 
 

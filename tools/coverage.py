@@ -33,9 +33,9 @@ IMPL = {
     "A8": "jobs.tap, folder_stats, StreamingQueryProgress", "W1": "operators.latest.latest_per_key",
     "W2": "operators.latest.key_age_seconds", "O1": "sinks.table.append_table (range sort)",
     "O2": "append_table (day partitions)", "O3": "sources.files.preview (top-k)",
-    "U1": "unionByName of producers", "U2": "streaming.jobs.fan_out", "U3": "unionByName(allowMissingColumns=True)",
+    "U1": "unionByName of producers", "U2": "streaming.jobs.fan_out", "U3": "sinks.widening.WideningTable; unionByName(allowMissingColumns=True)",
     "T1": "read_topic(max_per_trigger) + trigger(processingTime)", "T2": "foreachBatch commit after return",
-    "T3": "streaming.delivery.deliver (attempts/wait)", "T4": "delivery.Backpressure", "T5": "delivery.is_transient",
+    "T3": "streaming.delivery.deliver (attempts/wait)", "T4": "streaming.ledger.DeliveryLedger (parked partitions); delivery.Backpressure", "T5": "delivery.is_transient",
     "T6": "streaming.jobs.fail_on_rejects", "T7": "streaming.jobs.split_rejects", "T10": "streaming.jobs.transform_topic",
     "T11": "sinks.table.WindowTable (late rows kept); streaming.jobs.windowed", "T12": "sinks.table.KeyedTable (idempotent by batch id)",
     "K1": "sources.topic.write_topic / transform_topic", "K2": "sinks.table.create_table_ddl",
@@ -43,8 +43,8 @@ IMPL = {
     "K5": "sinks.lines.line_protocol + layouts.shape_timeseries", "K6": "sinks.lines.measurement_lines",
     "K7": "layouts.shape_sheet + transport.sheet_rows_sink / read_sheet (header once)", "K8": "transport.http_requests / post_records",
     "K9": "transport.mqtt_messages / publish_records (sender given)", "K11": "transport.BatchSink",
-    "X1": "Column functions (no UDF)", "X2": "functions over envelope columns", "X3": "DataFrame factories (sources.*)",
-    "X4": "transport.BatchSink / foreachBatch",
+    "X1": "Column functions (no UDF)", "X2": "functions over envelope columns", "X3": "sources.custom.LogSource (Python data source); DataFrame factories",
+    "X4": "sinks.committed.CommittedFiles (stage, commit, abort); transport.BatchSink",
 }
 TESTS = {
     "S8a": "tests/test_files.py::test_json_classification", "S8b": "tests/test_files.py::test_json_classification",
