@@ -1,7 +1,7 @@
 """Table sinks: create-if-absent DDL, append with time layout, keyed upsert, window state.
 
 Keyed tables need no transactional format. Rows are stored in *generations* of hash buckets
-(``_gen=<n>/_bucket=<b>``). A micro-batch, combined per key, becomes one small generation; after
+(``_gen=<n>-<writer>/_bucket=<b>``). A micro-batch, combined per key, becomes one small generation; after
 ``compact_every`` of them the touched buckets alone are merged with their base into a new one. A commit
 is a new pointer file, created once and never changed, that names the live generation of every bucket; readers
 take the newest pointer, so they see a whole commit or none. A read therefore looks at the base
@@ -14,8 +14,10 @@ send ``INSERT .. ON CONFLICT`` per partition instead.
 from __future__ import annotations
 
 import json
+import uuid
 from typing import Callable, Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType, StructType,
@@ -52,36 +54,94 @@ def append_table(df: DataFrame, path: str, *, time_col: str | None = None, sort_
 
 
 class _Pointers:
-    """The commits of a table: ``_commits/<number>.json``, each written once."""
+    """The commits of a table: ``_commits/<number>.json``, each written once.
+
+    A commit renames a draft of the writer's own to the next number, which fails if that number exists. The rename is atomic on
+    HDFS and stores with atomic rename; on others, as on a local disk, a table must have one writer at a time.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
         self._p = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._p(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._conf = spark._jsc.hadoopConfiguration()
+        self._fs = self._p(path).getFileSystem(self._conf)
 
-    def newest(self) -> dict:
+    def numbers(self) -> list[int]:
         folder = self._p(f"{self.path}/_commits")
-        numbers = [int(f.getPath().getName()[:-5]) for f in self._fs.listStatus(folder) if f.getPath().getName().endswith(".json")] if self._fs.exists(folder) else []
-        if not numbers:
-            return {"number": 0, "next_gen": 0, "base": {}, "batches": {}, "merged_through": None, "meta": {}}
-        stream = self._fs.open(self._p(f"{self.path}/_commits/{max(numbers):012d}.json"))
+        names = [f.getPath().getName() for f in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
+
+    def state(self, number: int) -> dict:
+        stream = self._fs.open(self._p(f"{self.path}/_commits/{number:012d}.json"))
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
+    def newest(self) -> dict:
+        numbers = self.numbers()
+        if not numbers:
+            return {"number": 0, "next_gen": 0, "buckets": None, "base": {}, "batches": {}, "merged_through": None, "meta": {}}
+        return self.state(numbers[-1])
+
     def commit(self, state: dict) -> None:
-        """Creating the file fails if another writer has committed this number."""
+        """Fails if another writer has committed this number."""
         state["number"] += 1
         target = self._p(f"{self.path}/_commits/{state['number']:012d}.json")
-        draft = self._p(f"{self.path}/_commits/.{state['number']:012d}.draft")
-        out = self._fs.create(draft, True)
+        draft = self._p(f"{self.path}/_commits/.{state['number']:012d}.{uuid.uuid4().hex}.draft")
+        out = self._fs.create(draft, False)
         try:
             out.write(bytearray(json.dumps(state).encode()))
         finally:
             out.close()
-        if self._fs.exists(target) or not self._fs.rename(draft, target):
-            raise RuntimeError(f"another writer committed {target}")
+        files = self.spark._jvm.org.apache.hadoop.fs
+        plain = self.spark.sparkContext._gateway.new_array(files.Options.Rename, 0)
+        try:
+            files.FileContext.getFileContext(target.toUri(), self._conf).rename(self._fs.makeQualified(draft), self._fs.makeQualified(target), plain)
+        except Py4JJavaError as e:
+            self._fs.delete(draft, False)
+            if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+            raise RuntimeError(f"another writer committed {target}") from e
+
+    def sizes(self, gen: str) -> dict[int, int]:
+        """Bytes of every bucket of a generation; one entry a bucket."""
+        folder, found = self._p(f"{self.path}/_gen={gen}"), {}
+        files = self._fs.listFiles(folder, True) if self._fs.exists(folder) else None
+        while files is not None and files.hasNext():
+            f = files.next()
+            parent = f.getPath().getParent().getName()
+            if parent.startswith("_bucket="):
+                found[int(parent[8:])] = found.get(int(parent[8:]), 0) + f.getLen()
+        return found
+
+    def remove_dead(self, keep: int) -> int:
+        """Remove all but the newest ``keep`` commits and the generations that none of these names.
+
+        A generation numbered from the oldest kept commit on may belong to a writer that has not committed yet; it stays.
+        """
+        numbers = self.numbers()
+        kept = [self.state(n) for n in numbers[-keep:]]
+        for n in numbers[:-keep]:
+            self._fs.delete(self._p(f"{self.path}/_commits/{n:012d}.json"), False)
+        named = {gen for s in kept for gen in (*s["batches"].values(), *(gen for gen, _ in s["base"].values()))}
+        removed = 0
+        for f in self._fs.listStatus(self._p(self.path)):
+            name = f.getPath().getName()
+            if name.startswith("_gen=") and name[5:] not in named and int(name[5:].split("-")[0]) < kept[0]["next_gen"]:
+                self._fs.delete(f.getPath(), True)
+                removed += 1
+        return removed
+
+
+def _parent(bucket: int, buckets: int, first: int) -> int:
+    """The bucket among ``buckets`` that was split, perhaps more than once, to give ``bucket``."""
+    while bucket >= buckets:
+        low = first
+        while low * 2 <= bucket:
+            low *= 2
+        bucket -= low
+    return bucket
 
 
 class KeyedTable:
@@ -90,16 +150,21 @@ class KeyedTable:
     ``combine`` reduces rows of equal keys (default: the row with the greatest ``order``); it must give the same
     result over parts combined before. ``batch_wins``: a later batch beats an earlier one, whatever ``order`` says.
     Rows with a NULL in a key cannot be upserted; they are written to ``rejects()`` with a reason.
+
+    The table starts with ``buckets`` buckets and grows by linear hashing: a compaction measures the bytes of the base and splits as many
+    buckets, in order, as keep the average below ``bucket_bytes``; the others keep their files. Commits beyond the
+    newest ``keep_commits``, and generations that no kept commit names, are removed, so the files follow the live rows and not the batches;
+    a DataFrame of :meth:`read` stays valid for that many commits.
     """
 
     def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], *, batch_wins: bool = True,
                  combine: Callable[[DataFrame], DataFrame] | None = None, buckets: int = 8, compact_every: int = 8,
-                 spark: SparkSession | None = None):
+                 bucket_bytes: int = 128 << 20, keep_commits: int = 24, spark: SparkSession | None = None):
         self.path = path.rstrip("/")
         self.keys, self.order = list(keys), list(order)
         self.batch_wins = batch_wins and combine is None
         self._combine = combine or (lambda df: latest_per_key(df, self.keys, [*([BATCH_COL] if self.batch_wins else []), *self.order] or [BATCH_COL]))
-        self.buckets, self.compact_every = buckets, compact_every
+        self.buckets, self.compact_every, self.bucket_bytes, self.keep_commits = buckets, compact_every, bucket_bytes, max(keep_commits, 1)
         self.spark = spark or SparkSession.getActiveSession()
 
     def _pointers(self) -> _Pointers:
@@ -117,22 +182,33 @@ class KeyedTable:
         bad = batch.filter(null_key).withColumn("_reason", F.lit("null_key")).withColumn(BATCH_COL, F.lit(int(batch_id)))
         (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(f"{self.path}/_rejects"))
         rows = batch.filter(~null_key).withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
-        gen = state["next_gen"]
-        self._write(self._combine(rows), gen)
-        state["next_gen"] += 1
+        state["buckets"] = state["buckets"] or [self.buckets, self.buckets]
+        gen = self._write(self._combine(rows), state)
         state["batches"][str(int(batch_id))] = gen         # a replay replaces its own generation
         state["meta"] |= meta or {}
         pointers.commit(state)
         if len(state["batches"]) >= self.compact_every:
             self.compact()
 
-    def _write(self, rows: DataFrame, gen: int) -> None:
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        # one file a bucket; AQE splits none, since a bucket is one partition value
-        (rows.withColumn("_bucket", bucket).repartition(self.buckets, "_bucket").sortWithinPartitions("_bucket", *self.keys)
-         .write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/_gen={gen}"))
+    @staticmethod
+    def _bucket(keys: Sequence[str], first: int, buckets: int):
+        """Linear hashing: the hash modulo the next doubling of ``first``, or modulo the last one for buckets that are not split yet."""
+        low = first
+        while low * 2 <= buckets:
+            low *= 2
+        h = F.xxhash64(*keys)
+        wide = F.pmod(h, F.lit(2 * low))
+        return F.when(wide < buckets, wide).otherwise(F.pmod(h, F.lit(low))).cast("int")
+
+    def _write(self, rows: DataFrame, state: dict) -> str:
+        """A new generation, of a name of this writer's own; AQE sizes the tasks, so a large bucket is several files."""
+        gen = f"{state['next_gen']:012d}-{uuid.uuid4().hex[:12]}"
+        state["next_gen"] += 1
+        (rows.withColumn("_bucket", self._bucket(self.keys, *state["buckets"])).hint("rebalance", "_bucket").sortWithinPartitions("_bucket", *self.keys)
+         .write.partitionBy("_bucket").parquet(f"{self.path}/_gen={gen}"))
+        return gen
 
-    def _rows(self, gens: dict[int, list[int] | None]) -> DataFrame | None:
+    def _rows(self, gens: dict[str, list[int] | None]) -> DataFrame | None:
         """The rows of the given buckets (None: all) of each generation, read by partition folder."""
         parts = []
         for gen, buckets in gens.items():
@@ -148,33 +224,45 @@ class KeyedTable:
             out = part if out is None else out.unionByName(part)
         return out
 
-    def _live(self, state: dict) -> dict[int, list[int] | None]:
-        gens: dict[int, list[int] | None] = {}
-        for bucket, gen in state["base"].items():
-            gens.setdefault(gen, []).append(int(bucket))
-        return gens | {gen: None for gen in state["batches"].values()}
+    @staticmethod
+    def _base(state: dict, wanted: Iterable[int] | None = None) -> dict[str, list[int]]:
+        gens: dict[str, list[int]] = {}
+        for bucket, (gen, size) in state["base"].items():
+            if size and (wanted is None or int(bucket) in wanted):
+                gens.setdefault(gen, []).append(int(bucket))
+        return gens
+
+    def _live(self, state: dict) -> dict[str, list[int] | None]:
+        return self._base(state) | {gen: None for gen in state["batches"].values()}
 
     def compact(self) -> None:
-        """Merge the batches into the base; only the buckets that they touch are rewritten."""
+        """Merge the batches into the base; only the buckets that they touch, and those that are split, are rewritten."""
         pointers = self._pointers()
         state = pointers.newest()
         if not state["batches"]:
             return
+        first, old = state["buckets"]
+        held = sum(size for _, size in state["base"].values()) + sum(sum(pointers.sizes(gen).values()) for gen in state["batches"].values())
+        now = max(old, -(-held // self.bucket_bytes))
         batches = self._rows({gen: None for gen in state["batches"].values()})
-        touched = [r[0] for r in batches.select("_bucket").distinct().collect()]       # at most `buckets` numbers
-        old = {}
-        for bucket, gen in state["base"].items():
-            if int(bucket) in touched:
-                old.setdefault(gen, []).append(int(bucket))
-        before = self._rows(old) if old else None
-        merged = self._combine((batches if before is None else before.unionByName(batches)).drop("_bucket"))
-        gen = state["next_gen"]
-        self._write(merged, gen)
-        state["next_gen"] += 1
-        state["base"] |= {str(b): gen for b in touched}
+        touched = set()
+        if batches is not None:
+            touched = {r[0] for r in batches.select(self._bucket(self.keys, first, old).alias("b")).distinct().collect()}      # bucket numbers
+        children: dict[int, list[int]] = {}
+        for b in range(now):
+            children.setdefault(_parent(b, old, first), []).append(b)
+        rewritten = {b for b in range(old) if b in touched or len(children[b]) > 1}
+        before = self._rows(self._base(state, rewritten))
+        state["buckets"] = [first, now]
+        if batches is not None or before is not None:
+            rows = [df for df in (before, batches) if df is not None]
+            gen = self._write(self._combine((rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])).drop("_bucket")), state)
+            sizes = pointers.sizes(gen)
+            state["base"] |= {str(c): [gen, sizes.get(c, 0)] for b in rewritten for c in children[b]}
         state["merged_through"] = max(map(int, state["batches"]))
         state["batches"] = {}
         pointers.commit(state)
+        pointers.remove_dead(self.keep_commits)
 
     def read(self) -> DataFrame:
         rows = self._rows(self._live(self._pointers().newest()))
@@ -192,6 +280,10 @@ class KeyedTable:
         """Generations that a read looks at: the base's and the batches not merged yet."""
         return len(self._live(self._pointers().newest()))
 
+    def bucket_count(self) -> int:
+        state = self._pointers().newest()
+        return (state["buckets"] or [0, self.buckets])[1]
+
 
 class WindowTable:
     """Tumbling-window ``last`` / ``mean`` kept as mergeable parts in a keyed table.

@@ -92,6 +92,57 @@ def test_keyed_table_reads_a_bounded_number_of_generations(spark, scratch):
     assert sorted(tuple(r) for r in t.read().collect()) == sorted(want.values())
 
 
+def test_keyed_table_splits_buckets_and_removes_generations(spark, scratch):
+    import glob
+    import hashlib
+    import os
+    path, want, files = scratch + "/grows", {}, []
+    t = KeyedTable(path, keys=["id"], order=["off"], buckets=3, compact_every=2, bucket_bytes=12000, keep_commits=3)
+    for i in range(8):
+        rows = [(k, i, hashlib.sha512(f"{i}-{k}".encode()).hexdigest()) for k in range(i * 100, i * 100 + 200)]
+        want |= {k: (k, o, v) for k, o, v in rows}
+        t.upsert(spark.createDataFrame(rows, "id int, off long, v string"), i)
+        files.append(len(glob.glob(path + "/_gen=*")))
+    assert sorted(tuple(r) for r in t.read().collect()) == sorted(want.values())
+    assert t.bucket_count() > 6
+    t.compact()
+    # every bucket is read from one place, and holds its own keys only
+    state = t._pointers().newest()
+    assert sorted(map(int, state["base"])) == list(range(t.bucket_count()))
+    base = t._rows(t._base(state))
+    assert base.filter(F.col("_bucket") != t._bucket(["id"], *state["buckets"])).count() == 0
+    assert base.count() == base.select("id").distinct().count() == len(want)
+    assert max(files) <= 3 + 4 and len(os.listdir(path + "/_commits")) < 4 * 4
+    before = t.bucket_count()
+    t.upsert(spark.createDataFrame([(1, 99, "x")], "id int, off long, v string"), 8)       # one bucket touched: the others keep their files
+    t.compact()
+    after = t._pointers().newest()
+    assert t.bucket_count() == before and sum(after["base"][b] != state["base"][b] for b in state["base"]) == 1
+
+
+def test_keyed_table_of_two_writers(spark, scratch):
+    t = KeyedTable(scratch + "/two", keys=["id"], order=["off"])
+    row = lambda *r: spark.createDataFrame([r], "id int, off long, v string")
+    t.upsert(row(1, 1, "a"), 0)
+    ours, theirs = t._pointers(), t._pointers()
+    mine, other = ours.newest(), theirs.newest()
+    theirs.commit(other)
+    with pytest.raises(RuntimeError, match="another writer"):
+        ours.commit(mine)
+    assert [tuple(r) for r in t.read().collect()] == [(1, 1, "a")]
+
+
+def test_keyed_table_without_rows(spark, scratch):
+    t = KeyedTable(scratch + "/none", keys=["id"], order=["off"], compact_every=2)
+    none = spark.createDataFrame([], "id int, off long, v string")
+    for i in range(3):
+        t.upsert(none, i)
+    with pytest.raises(FileNotFoundError):
+        t.read()
+    t.upsert(spark.createDataFrame([(1, 1, "a")], none.schema), 3)
+    assert [tuple(r) for r in t.read().collect()] == [(1, 1, "a")]
+
+
 @pytest.mark.parametrize("fn", ["mean", "last"])
 def test_window_table_takes_rows_in_any_order(spark, scratch, fn):
     from heliolake.sinks.table import WindowTable
