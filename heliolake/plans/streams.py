@@ -18,6 +18,8 @@ from heliolake.sinks.table import KeyedTable, WindowTable, append_batch, batch_w
 from heliolake.sinks.transport import BatchSink, read_sheet, sheet_rows_sink
 from heliolake.sources.topic import as_topic, read_topic, write_topic
 from heliolake.streaming import jobs
+from heliolake.streaming.first_seen import KeyAges
+from heliolake.streaming.row_batches import RowBatches
 from heliolake.tables import table
 
 # a micro-batch takes files up to this size, however many they are
@@ -189,6 +191,32 @@ def stream_replay(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(path).select("offset")
 
 
+@register("stream_row_batches", "T1 T2", oracle="""
+SELECT event_id AS offset, true AS within_cap FROM events
+""")
+def stream_row_batches(spark: SparkSession, root: str) -> DataFrame:
+    """A consumer that commits every 4,000 messages, however large the topic's files are; its sink is lost at the second call. After
+    the restart no batch that went out is sent again, so every message is there once."""
+    cap, path, own = 4_000, unique_dir(spark, "row_batches"), unique_dir(spark, "row_batches_own")
+    topic, checkpoint, lost = produce_topic(spark, root), unique_dir(spark, "ckpt"), []
+
+    def sink(batch: DataFrame, number: int) -> None:
+        if number == 1 and not lost:
+            lost.append(number)
+            raise RuntimeError("sink lost before the write")
+        batch.select("offset", F.lit(number).alias("number")).write.mode("append").parquet(path)
+
+    for _ in range(2):
+        try:
+            jobs.run_to_end(_stream(spark, topic), RowBatches(sink, own, cap), checkpoint)
+        except Exception as e:  # noqa: BLE001 - the failure this query is about
+            if "sink lost" not in str(e):
+                raise
+    sent = spark.read.schema("offset long, number int").parquet(path)
+    sizes = sent.groupBy("number").agg(F.count(F.lit(1)).alias("n"))
+    return sent.join(sizes, "number").select("offset", (F.col("n") <= cap).alias("within_cap"))
+
+
 @register("stream_fail_policy", "T6", oracle=_D + """
 SELECT reason, count(*) AS n FROM d WHERE reason IS NOT NULL GROUP BY reason
 """)
@@ -241,3 +269,20 @@ def sheet_append(spark: SparkSession, root: str) -> DataFrame:
         jobs.run_to_end(_stream(spark, topic), sink, checkpoint)
     sheet = read_sheet(spark, path)
     return sheet.select(F.lit(",".join(c for c in sheet.columns if c != "batch")).alias("header"), "location_id", "offset")
+
+
+@register("stream_key_age", "W2 S3", oracle="""
+SELECT event_id, user_id,
+       epoch_us(ts) // 1000000 - min(epoch_us(ts) // 1000000) OVER (PARTITION BY user_id) AS age_s
+FROM events
+""")
+def stream_key_age(spark: SparkSession, root: str) -> DataFrame:
+    """Seconds since each panel's first reading, the first readings held as keyed state of a stream. The later half of the
+    readings arrives first and the query is stopped in between; the ages are those of one batch over all rows."""
+    ev = table(spark, root, "events").select("event_id", "user_id", "ts")
+    path, checkpoint, ages = unique_dir(spark, "key_age"), unique_dir(spark, "ckpt"), KeyAges(unique_dir(spark, "key_age_firsts"))
+    middle = ev.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0] or 0
+    for half in (F.col("event_id") > middle, (F.col("event_id") <= middle) | F.col("event_id").isNull()):
+        ev.filter(half).write.mode("append").parquet(path)
+        ages.run_to_end(spark.readStream.schema(ev.schema).parquet(path), "user_id", "ts", checkpoint)
+    return ages.ages(spark.read.parquet(path), "user_id", "ts").select("event_id", "user_id", "age_s")
