@@ -65,5 +65,5 @@ def test_range_reaches_the_scan(spark):
     assert scans and all("DataFilters: [isnotnull(ts" in s or "Subquery" in s or "scalar-subquery" in s for s in scans), scans
 
 
-def test_every_builder_reads_the_tables_it_is_given(spark):
+def test_every_query_has_an_oracle():
     assert all(q.oracle for q in QUERIES.values())
