@@ -1,12 +1,14 @@
 """Merkle fingerprints: leaves are word runs, then paragraphs, sections and one root per text.
 
 A paragraph is a line. It is cut into leaves of ``LEAF_WORDS`` words from its own start, so an edit
-moves leaves of its paragraph only. Paragraph hashes cover their leaves, section hashes cover runs
-of ``SECTION`` paragraphs, the root (SHA-256) covers the sections and the text's exact bytes, so equal roots mean equal
-texts and unequal branches lead down to the edited leaves.
+moves leaves of its paragraph only. A paragraph's hash covers its leaves. A section is a run of paragraphs that ends
+where the content says so, behind a paragraph hash divisible by 8 (or at the end), so a paragraph that comes, goes or moves
+changes the sections it touches and no others. A section's hash covers its paragraph hashes, the root (SHA-256)
+covers the sections and the text's exact bytes: equal roots mean equal texts, and unequal branches lead down to the edits.
 
-The fingerprint is one string: ``root|section,section,...|leaf leaf,leaf leaf`` with the leaves of a paragraph
-between commas. The likeness of two fingerprints is the Dice share of their different leaves, 1 for equal roots.
+The fingerprint is one string: ``root|section,section|paragraph paragraph,paragraph|leaf leaf,leaf leaf``; the paragraphs of
+a section stand between commas, and so do the leaves of a paragraph. The likeness of two fingerprints is the Dice share
+of their different leaves, 1 for equal roots. ``located_edits`` descends two trees and lists the branches that differ.
 
 DataFrame functions only; texts never leave the JVM. Null text is empty (one empty leaf); equal texts have
 equal fingerprints; ties in ``doc_id`` are ordered by text hash; a null id comes last; a single document is its own next one;
@@ -22,10 +24,10 @@ from pyspark.sql import functions as F
 from heliolake.llm.common import stored, table, text_or_empty
 
 LEAF_WORDS = 8
-SECTION = 8
 #: A run of up to LEAF_WORDS words within a line; possessive, so it never backtracks.
 LEAF = rf"[^\x20\t\r]*+(?:[\x20\t\r]++[^\x20\t\r]*+){{0,{LEAF_WORDS - 1}}}+[\x20\t\r]*+"
-SECTION_RUN = rf"(?:[^,]*+,){{{SECTION}}}+|(?:[^,]*+,){{0,{SECTION - 1}}}+[^,]*+$"
+#: The last digit of a paragraph hash that is divisible by 8, and what follows it inside a text.
+SECTION_END = "([08]) "
 
 
 def _short(col: Column) -> Column:
@@ -42,11 +44,16 @@ def leaves(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, "\n"), _line_leaves), ",")
 
 
+def paragraphs(tree: Column) -> Column:
+    """Paragraph hashes from a text's ``leaves``: blank between paragraphs, comma between sections."""
+    return F.regexp_replace(F.array_join(F.transform(F.split(tree, ","), _short), " "), SECTION_END, "$1,")
+
+
 def fingerprint(text_hash: Column, tree: Column) -> Column:
-    """``root|sections|leaves`` from a text's SHA-256 and its ``leaves``."""
-    runs = F.filter(F.regexp_extract_all(tree, F.lit(SECTION_RUN), F.lit(0)), lambda x: x != "")
-    branches = F.array_join(F.transform(runs, _short), ",")
-    return F.concat_ws("|", F.sha2(F.concat_ws("|", text_hash, branches), 256), branches, tree)
+    """``root|sections|paragraphs|leaves`` from a text's SHA-256 and its ``leaves``."""
+    nodes = paragraphs(tree)
+    branches = F.array_join(F.transform(F.split(nodes, ","), _short), ",")
+    return F.concat_ws("|", F.sha2(F.concat_ws("|", text_hash, branches), 256), branches, nodes, tree)
 
 
 def _leaf_set(fp: Column) -> Column:
@@ -61,12 +68,59 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.substring_index(a, "|", 1) == F.substring_index(b, "|", 1), F.lit(1.0)).otherwise(dice)
 
 
-def differing_paragraphs(a: Column, b: Column) -> Column:
-    """Numbers (from 0) of the paragraphs whose branch differs between two fingerprints."""
-    p, q = (F.split(F.substring_index(x, "|", -1), ",") for x in (a, b))
-    pairs = F.arrays_zip(p.alias("p"), q.alias("q"))
-    marked = F.transform(pairs, lambda z, i: F.when(z["p"].eqNullSafe(z["q"]), F.lit(-1)).otherwise(i))
-    return F.filter(marked, lambda i: i >= 0)
+def _level(fp: Column, level: int) -> Column:
+    return F.element_at(F.split(fp, "[|]"), level)
+
+
+def _nodes(pairs: DataFrame, key: str, fp: str, side: str) -> DataFrame:
+    """One row per paragraph: its place, hash, leaves, section (place and hash) and the hashes beside it (empty at the ends)."""
+    tree = F.col(fp)
+    sections = F.split(_level(tree, 2), ",")
+    each = F.split(_level(tree, 3), ",")
+    base = pairs.select(F.col(key).alias("key"), F.posexplode(F.arrays_zip(sections.alias("section"), each.alias("nodes"))).alias("s", "z"),
+                        F.split(_level(tree, 4), ",").alias("leaves"), F.split(_level(tree, 3), "[ ,]").alias("every"))
+    # a section starts behind the paragraphs of all earlier ones; places follow from one count over the tree's sections
+    inside = F.size(F.split("z.nodes", " "))
+    before = F.coalesce(F.sum(inside).over(W.partitionBy("key").orderBy("s").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).cast("int")
+    rows = base.withColumn("first", before).select("key", "s", "z.section", "first", "leaves", "every", F.posexplode(F.split("z.nodes", " ")).alias("i", "node"))
+    at = F.col("first") + F.col("i")
+    beside = lambda d: F.coalesce(F.get("every", at + d), F.lit(""))
+    return rows.select("key", F.lit(side).alias("side"), "s", "section", at.alias("place"), "node", F.get("leaves", at).alias("leaves"),
+                       F.concat_ws(">", beside(F.lit(-1)), "node").alias("back"), F.concat_ws(">", "node", beside(F.lit(1))).alias("ahead"))
+
+
+def located_edits(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
+    """``key, side, level, place, leaf``: branches of two fingerprints per row that the other tree does not have.
+
+    The descent takes rows whose roots differ, then sections (``level`` section) whose hash the other tree lacks, and inside these
+
+    * paragraphs whose hash the other tree lacks (changed, inserted, deleted), or whose neighbours on both sides
+      are others there (moved, or one more copy of a paragraph that is there already);
+    * leaves, of paragraphs of the first kind, whose hash the other tree lacks.
+
+    ``side`` is ``a`` or ``b``; ``place`` counts from 0 within the tree (``leaf``: within the paragraph). A block of several paragraphs that
+    moves whole shows in its sections only. Sides and levels meet by joins on (key, hash), so a long text is no single task's
+    work but for the counting of its sections. ``key`` names the row and must differ between
+    rows; null keys and null fingerprints give nothing.
+    """
+    open_ = pairs.where(F.col(key).isNotNull() & (_level(F.col(a), 1) != _level(F.col(b), 1))).select(F.col(key).alias("_key"), F.col(a).alias("_a"), F.col(b).alias("_b"))
+    trees = _nodes(open_, "_key", "_a", "a").unionByName(_nodes(open_, "_key", "_b", "b"))
+    other = F.when(F.col("side") == "a", F.lit("b")).otherwise(F.lit("a")).alias("side")
+
+    def lacking(rows: DataFrame, column: str) -> DataFrame:
+        """Rows whose hash in ``column`` no row of the other side's tree has."""
+        return rows.join(trees.select("key", other, column).distinct(), ["key", "side", column], "left_anti")
+
+    inside = lacking(trees, "section")
+    new = lacking(inside, "node")
+    elsewhere = lacking(lacking(inside, "back"), "ahead")
+    words = F.posexplode(F.split("leaves", " ")).alias("leaf", "hash")
+    theirs = trees.select("key", other, F.explode(F.split("leaves", " ")).alias("hash")).distinct()
+    leaf = new.select("key", "side", "place", words).where("hash != ''").join(theirs, ["key", "side", "hash"], "left_anti")
+    none = F.lit(None).cast("int").alias("leaf")
+    level = lambda rows, name, place: rows.select("key", "side", F.lit(name).alias("level"), F.col(place).alias("place"), none).distinct()
+    return (level(inside, "section", "s").unionByName(level(new.unionByName(elsewhere.select(new.columns)), "paragraph", "place"))
+            .unionByName(leaf.select("key", "side", F.lit("leaf").alias("level"), "place", "leaf")))
 
 
 def next_of(ids: DataFrame) -> DataFrame:

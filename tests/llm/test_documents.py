@@ -317,13 +317,66 @@ def test_fingerprints(spark):
     assert fingerprints.edited_fingerprints(empty(spark)).count() == 0
 
 
+def plain_tree(text):
+    """Sections of paragraphs of leaves, each with its hash, from the rules alone."""
+    short = lambda x: f"{zlib.crc32(x.encode()):08x}"
+    tree, section = [], []
+    for line in text.split("\n"):
+        words = [(m.start(), m.end()) for m in re.finditer(r"[^ \t\r]+", line)]
+        cuts = [0] + [words[i][0] for i in range(8, len(words), 8)] + [len(line)]
+        if line and line[0] in " \t\r":     # white space at the front counts as the end of an empty word
+            cuts = [0] + [words[i][0] for i in range(7, len(words), 8)] + [len(line)]
+        leaves = [short(line[i:j]) for i, j in zip(cuts, cuts[1:]) if j > i]
+        section.append((short(" ".join(leaves)), leaves))
+        if int(section[-1][0], 16) % 8 == 0:
+            tree.append(section)
+            section = []
+    if section:
+        tree.append(section)
+    return [(short(" ".join(p for p, _ in s)), s) for s in tree]
+
+
+def trees(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, a string")
+    out = df.select("n", fingerprints.fingerprint(F.sha2("a", 256), fingerprints.leaves(F.col("a"))).alias("fp")).collect()
+    return [r["fp"] for r in sorted(out)]
+
+
+def test_fingerprint_levels(spark):
+    texts = ["", "one", "\n\n", "a b c d e f g h i\n" * 40, "x" * 100_000] + ["\n".join(prose(50 * k + i, 3 + i % 30).replace("\n", " ") for i in range(60)) for k in range(3)]
+    for text, fp in zip(texts, trees(spark, texts)):
+        want = plain_tree(text)
+        _, sections, nodes, leaves = fp.split("|")
+        assert leaves == ",".join(" ".join(x) for _, s in want for _, x in s)
+        assert nodes == ",".join(" ".join(p for p, _ in s) for _, s in want)
+        assert sections == ",".join(h for h, _ in want)
+
+
+EDITS = {"same": lambda x: x, "change": lambda x: x[:13] + ["an edited line"] + x[14:], "insert": lambda x: x[:20] + ["a new line"] + x[20:], "delete": lambda x: x[:20] + x[21:],
+         "move": lambda x: x[:5] + [x[30]] + x[5:30] + x[31:], "again": lambda x: x[:5] + [x[30]] + x[5:], "front": lambda x: ["a new line"] + x, "end": lambda x: x + ["a new line"],
+         "word": lambda x: x[:7] + [x[7].replace(x[7].split()[10], "other", 1)] + x[8:], "empty": lambda x: []}
+PLACES = {"same": ([], []), "change": ([13], [13]), "insert": ([], [20]), "delete": ([20], []), "move": ([30], [5]), "again": ([], [5]), "front": ([], [0]), "end": ([], [40]),
+          "word": ([7], [7]), "empty": (list(range(40)), [0])}
+
+
 def test_fingerprints_locate_edits(spark):
-    lines = [prose(i, 25).replace("\n", " ") for i in range(20)]
-    other = lines[:13] + ["an edited line"] + lines[14:]
-    df = spark.createDataFrame([("\n".join(lines), "\n".join(other))], "a string, b string")
-    fp = lambda c: fingerprints.fingerprint(F.sha2(c, 256), fingerprints.leaves(F.col(c)))
-    r = df.select(fingerprints.differing_paragraphs(fp("a"), fp("b")).alias("d"), fingerprints.likeness(fp("a"), fp("b")).alias("l")).first()
-    assert r["d"] == [13] and 0.9 < r["l"] < 1
+    lines = [prose(i, 25).replace("\n", " ") for i in range(40)]
+    names = list(EDITS)
+    before, *after = trees(spark, ["\n".join(lines)] + ["\n".join(EDITS[n](lines)) for n in names])
+    pairs = spark.createDataFrame([(n, before, x, "clash") for n, x in zip(names, after)] + [(None, before, before, "clash"), ("null", None, before, "clash")],
+                                  "k string, a string, b string, place string")
+    found = defaultdict(list)
+    for r in fingerprints.located_edits(pairs, "k", "a", "b").collect():
+        found[r["key"], r["side"], r["level"]].append(r["place"] if r["level"] != "leaf" else (r["place"], r["leaf"]))
+    for n in names:
+        assert (sorted(found[n, "a", "paragraph"]), sorted(found[n, "b", "paragraph"])) == PLACES[n], n
+        if n not in ("same", "empty"):
+            assert len(plain_tree("\n".join(lines))) > 4 and max(len(found[n, s, "section"]) for s in "ab") <= 3, n
+    assert found["word", "b", "leaf"] == [(7, 1)] and found["insert", "b", "leaf"] == [(20, 0)]
+    assert "null" not in {k for k, *_ in found} and None not in {k for k, *_ in found}
+    assert fingerprints.located_edits(pairs.limit(0), "k", "a", "b").count() == 0
+    alike = pairs.where("k = 'change'").select(fingerprints.likeness(F.col("a"), F.col("b")).alias("l")).first()["l"]
+    assert 0.9 < alike < 1
 
 
 # 8 mixing
