@@ -3,10 +3,12 @@
 A text passes three transducers in turn. Each rewrites parts of it and remembers, for every rewritten
 part, where it came from:
 
-1. glyphs: full-width and styled letters and digits, digits of other scripts, Cyrillic and Greek
-   look-alikes, invisible characters;
-2. ``at`` / ``dot`` disguises, in brackets or as words in an address or number;
-3. spelled digits (three or more in a run; also ``double``, ``triple``, ``plus``).
+1. glyphs: full-width and styled letters and digits, digits of other scripts, letters that Unicode names as
+   forms of a Latin one, look-alikes of other scripts, invisible characters;
+2. ``at`` / ``dot`` disguises, in brackets or as words in an address or number, with any white space around them and any
+   number of labels; a bare ``at`` needs evidence that an address follows (``evidence``);
+3. spelled digits (three or more in a run; also ``double``, ``triple``, ``plus``);
+4. letters that stand for digits (O, o, l, I) in runs of at least as many digits.
 
 The detectors of the plain text then run on the normalised one, and what they find is mapped back
 to code points of the source. Spans of the plain text stay; a mapped span is added where it covers
@@ -24,6 +26,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import islice
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +47,10 @@ LOOKALIKES = {
     "Т": "T", "Х": "X", "У": "Y",
     "α": "a", "ο": "o", "ρ": "p", "ν": "v", "ι": "i", "κ": "k", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I",
     "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
+    "ԍ": "G", "Ԍ": "G", "Ӏ": "I", "ь": "b", "п": "n", "ѡ": "w", "ү": "y", "Ү": "Y", "Ԛ": "Q", "Ԝ": "W", "Ѵ": "V",
+    "γ": "y", "τ": "t", "υ": "u", "χ": "x", "ω": "w", "ϲ": "c", "ϳ": "j", "Ϲ": "C",
+    "օ": "o", "ո": "n", "ս": "u", "հ": "h", "յ": "j", "զ": "q", "ց": "g",
+    "Ꭺ": "A", "Ꭼ": "E", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꮪ": "S", "Ꭲ": "T", "Ꮃ": "W", "Ꮓ": "Z",
     "ı": "i", "ɡ": "g", "。": ".", "․": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-",
 }
 # fixed values: spelled digits
@@ -125,8 +132,17 @@ class Rewritten:
         return self._back(start, True), self._back(end, False)
 
 
+#: Characters whose Unicode name calls them a form of one Latin letter (accented letters are letters of their own).
+LATIN_FORM = re.compile(r"(?!COMBINING|TAG)(?:.* )?LATIN (?:(?P<case>SMALL|CAPITAL) LETTER (?:SCRIPT |DOTLESS )?|LETTER SMALL CAPITAL )(?P<letter>[A-Z]|ALPHA|IOTA|UPSILON)")
+
+
+def latin(ch: str) -> str | None:
+    m = LATIN_FORM.fullmatch(unicodedata.name(ch, ""))
+    return m and (m["letter"][0] if m["case"] == "CAPITAL" else m["letter"][0].lower())
+
+
 class _Glyphs(dict):
-    """Code point -> plain character: digits of any script, compatibility forms, look-alikes; filled as met."""
+    """Code point -> plain character: digits of any script, compatibility forms, forms of Latin letters, look-alikes; filled as met."""
 
     def __missing__(self, cp: int) -> int | str:
         ch = chr(cp)
@@ -134,13 +150,13 @@ class _Glyphs(dict):
         if plain is None and cp > 127:
             digit = unicodedata.decimal(ch, None)
             wide = unicodedata.normalize("NFKC", ch)
-            plain = str(digit) if digit is not None else wide if len(wide) == 1 and wide.isascii() else None
+            plain = str(digit) if digit is not None else wide if len(wide) == 1 and wide.isascii() else latin(ch)
         self[cp] = value = cp if plain is None else plain
         return value
 
 
 GLYPHS = _Glyphs()
-INVISIBLE = re.compile("[­​-‏⁠-⁤﻿]")
+INVISIBLE = re.compile("[\u00ad\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u2069\ufe00-\ufe0f\ufeff\U000e0000-\U000e007f]")
 
 
 def odd(text: str) -> bool:
@@ -152,20 +168,90 @@ def glyphs(text: str) -> Rewritten:
     return Rewritten(text.translate(GLYPHS), [(m.start(), m.end(), "") for m in INVISIBLE.finditer(text)])
 
 
-# fixed values: last labels that an address without brackets must end in
-LAST_LABELS = ("com", "org", "net", "edu", "gov", "info", "biz", "io", "co", "dev", "app", "me", "eu", "uk", "de", "fr", "es", "it", "nl", "ch", "at",
-               "pl", "se", "no", "dk", "fi", "pt", "us", "ca", "au", "nz", "in", "jp", "cn", "kr", "br", "mx", "ru")
+# fixed values: last labels that speak for an address
+LAST_LABELS = frozenset(
+    "com org net edu gov info biz io co dev app me eu uk de fr es it nl ch at pl se no dk fi pt us ca au nz in jp cn kr br mx ru".split())
+# fixed values: words that speak for an address before it, and against one behind a bare "at"
+CUES = frozenset("email e-mail mail mailto contact write reach address adresse courriel schreib correo".split())
+AGAINST = frozenset("the a an this that these those each every all any some my our your his her its their least last first most".split())
+ENOUGH = 2
+
+MARK = re.compile(r"[\[({<]\s*(?P<inside>at|@|dot|\.)\s*[\])}>]|\b(?P<bare>at|dot)\b", re.I)
+LABEL = re.compile(r"[A-Za-z0-9-]+")
+LETTERS = re.compile(r"[A-Za-z]{2,}")
+DISGUISED = re.compile(r"\bdot\b|[\[({<]\s*(?:at|@|\.)\s*[\])}>]", re.I)
+
 
-_DOT = r"(?:\s{0,3}[\[({<]\s{0,3}dot\s{0,3}[\])}>]\s{0,3}|\s{1,3}dot\s{1,3})"
-DISGUISE = re.compile(
-    r"(?P<at>\s{0,3}[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]\s{0,3}|(?<=[A-Za-z0-9])\s{1,3}at\s{1,3}(?=(?:[A-Za-z0-9-]{1,63}" + _DOT + r"){1,5}(?:"
-    + "|".join(LAST_LABELS) + r")\b))"
-    r"|(?P<dot>(?<=[A-Za-z0-9])" + _DOT + r"(?=[A-Za-z0-9]))", re.I)
-DISGUISED = re.compile(r"\bdot\b|[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]", re.I)
+class Mark(NamedTuple):
+    """A written-out ``@`` or ``.`` with the white space around it."""
+    start: int
+    end: int
+    sign: str
+    bare: bool
+
+
+def _identifier(ch: str) -> bool:
+    return ch.isascii() and ch.isalnum()
+
+
+def marks(text: str) -> list[Mark]:
+    """All that can stand for ``@`` or ``.``: dots between two letters or digits, bracketed ``at`` anywhere, bare ``at`` behind a letter or digit."""
+    out: list[Mark] = []
+    for m in MARK.finditer(text):
+        a, b, bare = m.start(), m.end(), m["bare"] is not None
+        least = out[-1].end if out else 0
+        while a > least and text[a - 1].isspace():
+            a -= 1
+        while b < len(text) and text[b].isspace():
+            b += 1
+        if bare and (a == m.start() or b == m.end()):
+            continue
+        sign = "@" if (m["bare"] or m["inside"]).lower() in ("at", "@") else "."
+        before = a > 0 and _identifier(text[a - 1])
+        if (before and b < len(text) and _identifier(text[b])) if sign == "." else (before or not bare):
+            out.append(Mark(a, b, sign, bare))
+    return out
+
+
+def evidence(text: str, at: Mark, dots: list[Mark], end: int) -> int:
+    """What speaks for an address at a bare ``at`` whose labels are joined by ``dots`` and end at ``end``; ``ENOUGH`` is enough.
+
+    Two for a common last label, a bracketed dot or a cue before the name; one for any last label of letters, for a name
+    with a digit or joint, and for the end of a clause behind; two against for a word that starts a plain phrase.
+    """
+    last, first = text[dots[-1].end:end], LABEL.match(text, at.end)[0].lower()
+    if not LETTERS.fullmatch(last):
+        return 0
+    a = at.start
+    while a > 0 and text[a - 1] in LOCAL:
+        a -= 1
+    name = text[a:at.start]
+    word = b = a
+    while b > 0 and (text[b - 1].isspace() or text[b - 1] in ":<("):
+        b -= 1
+    word = b
+    while word > 0 and (text[word - 1].isalpha() or text[word - 1] == "-"):
+        word -= 1
+    cued = ":" in text[b:a] or "<" in text[b:a] or text[word:b].lower() in CUES
+    closes = end == len(text) or text[end] in ".,;:!?)>]}\"'\n"
+    return (2 * (last.lower() in LAST_LABELS) + 2 * any(not d.bare for d in dots) + 2 * cued + 1
+            + any(not c.isalpha() for c in name) + closes - 2 * (first in AGAINST))
 
 
 def addresses(text: str) -> Rewritten:
-    return Rewritten(text, [(m.start(), m.end(), "@" if m["at"] else ".") for m in DISGUISE.finditer(text)])
+    """Marks become signs; a bare ``at`` only before labels that marks join, with evidence for an address."""
+    found = marks(text)
+    edits = []
+    for i, mark in enumerate(found):
+        if mark.sign == "@" and mark.bare:
+            j, label = i + 1, LABEL.match(text, mark.end)
+            while label and j < len(found) and found[j].sign == "." and found[j].start == label.end():
+                label = LABEL.match(text, found[j].end)
+                j += 1
+            if j == i + 1 or evidence(text, mark, found[i + 1:j], label.end()) < ENOUGH:
+                continue
+        edits.append((mark.start, mark.end, mark.sign))
+    return Rewritten(text, edits)
 
 
 _DIGIT = "(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
@@ -191,9 +277,23 @@ def numerals(text: str) -> Rewritten:
     return Rewritten(text, edits)
 
 
+RUN_OF_DIGITS = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OolI][0-9OolI\x20().-]*[0-9OolI](?![A-Za-z])")
+LETTER_FOR_DIGIT = {"O": "0", "o": "0", "l": "1", "I": "1"}
+MIXED = re.compile(r"[0-9][\x20().-]*[OolI]|[OolI][\x20().-]*[0-9]")
+
+
+def misread(text: str) -> Rewritten:
+    edits = []
+    for run in RUN_OF_DIGITS.finditer(text):
+        letters = [(i, i + 1, LETTER_FOR_DIGIT[c]) for i, c in enumerate(run[0], run.start()) if c in LETTER_FOR_DIGIT]
+        if letters and len(letters) <= sum("0" <= c <= "9" for c in run[0]):
+            edits += letters
+    return Rewritten(text, edits)
+
+
 #: (signal, transducer): a transducer runs where its signal holds; the signal holds wherever the transducer changes anything.
 TRANSDUCERS: tuple[tuple[Callable[[str], object], Callable[[str], Rewritten]], ...] = (
-    (odd, glyphs), (DISGUISED.search, addresses), (spelled, numerals))
+    (odd, glyphs), (DISGUISED.search, addresses), (spelled, numerals), (MIXED.search, misread))
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
@@ -216,7 +316,7 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
 
 
 SCHEMA = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, "
-          "n_disguised long, found array<struct<kind:string,start:long,end:long,disguised:boolean>>")
+          "n_disguised long, n_spans long, found array<struct<kind:string,start:long,end:long,disguised:boolean>>")
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,12 +328,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = detect(t)
             more = disguised(t, base)
             n = Counter(k for k, *_ in base)
-            rows.append([n[k] for k in KINDS] + [digest(base, ORDER), joined(base + more, ORDER), len(more),
+            rows.append([n[k] for k in KINDS] + [digest(base, ORDER), joined(base + more, ORDER), len(more), len(base) + len(more),
                         [{"kind": k, "start": a, "end": b, "disguised": i >= len(base)} for i, (k, a, b) in enumerate(base + more)]])
-        columns = list(zip(*rows)) if rows else [[]] * 8
-        types = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.int64(), found_type]
+        columns = list(zip(*rows)) if rows else [[]] * 9
+        types = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.int64(), pa.int64(), found_type]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(list(c), t) for c, t in zip(columns, types)]],
-                                         names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_disguised", "found"])
+                                         names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_disguised", "n_spans", "found"])
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
