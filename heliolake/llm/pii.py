@@ -217,7 +217,7 @@ def evidence(text: str, at: Mark, dots: list[Mark], end: int) -> int:
     """What speaks for an address at a bare ``at`` whose labels are joined by ``dots`` and end at ``end``; ``ENOUGH`` is enough.
 
     Two for a common last label, a bracketed dot or a cue before the name; one for any last label of letters, for a name
-    with a digit or joint, and for the end of a clause behind; two against for a word that starts a plain phrase.
+    with a digit or joint, and for the end of a clause behind; three against for a word that starts a plain phrase.
     """
     last, first = text[dots[-1].end:end], LABEL.match(text, at.end)[0].lower()
     if not LETTERS.fullmatch(last):
@@ -235,7 +235,7 @@ def evidence(text: str, at: Mark, dots: list[Mark], end: int) -> int:
     cued = ":" in text[b:a] or "<" in text[b:a] or text[word:b].lower() in CUES
     closes = end == len(text) or text[end] in ".,;:!?)>]}\"'\n"
     return (2 * (last.lower() in LAST_LABELS) + 2 * any(not d.bare for d in dots) + 2 * cued + 1
-            + any(not c.isalpha() for c in name) + closes - 2 * (first in AGAINST))
+            + any(not c.isalpha() for c in name) + closes - 3 * (first in AGAINST))
 
 
 def addresses(text: str) -> Rewritten:
@@ -277,7 +277,7 @@ def numerals(text: str) -> Rewritten:
     return Rewritten(text, edits)
 
 
-RUN_OF_DIGITS = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OolI][0-9OolI\x20().-]*[0-9OolI](?![A-Za-z])")
+RUN_OF_DIGITS = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OolI][0-9OolI\x20().-]*[0-9OolI](?![A-Za-z0-9])")
 LETTER_FOR_DIGIT = {"O": "0", "o": "0", "l": "1", "I": "1"}
 MIXED = re.compile(r"[0-9][\x20().-]*[OolI]|[OolI][\x20().-]*[0-9]")
 

@@ -262,7 +262,7 @@ def test_every_signal_covers_its_transducer():
 FOUND = [("write to john at example dot xyz", "email", "john at example dot xyz"), ("so john" + " " * 9 + "[at]\n\n  example" + " " * 40 + "dot com ok", "email", "john" + " " * 9 + "[at]\n\n  example" + " " * 40 + "dot com"),
          ("j7 at corp dot example now", "email", "j7 at corp dot example"), ("mail: bob at host dot zone or", "email", "bob at host dot zone"), ("Email bob at host dot zone or", "email", "bob at host dot zone"),
          ("x at " + "b dot " * 30 + "com is", "email", "x at " + "b dot " * 30 + "com"), ("see 10[.]0[.]0[.]7 there", "ip", "10[.]0[.]0[.]7"), ("john@exɑmple.com", "email", "john@exɑmple.com"),
-         ("ᴊᴏʜɴ@example.com", "email", "ᴊᴏʜɴ@example.com"), ("🅹🅾@example.com", "email", "🅹🅾@example.com"), ("b\U000e0061ob@ex.com", "email", "b\U000e0061ob@ex.com"),
+         ("ᴊᴏʜɴ@example.com", "email", "ᴊᴏʜɴ@example.com"), ("🅹🅾@example.com", "email", "🅹🅾@example.com"), ("bob\U000e0061@ex.com", "email", "bob\U000e0061@ex.com"),
          ("call +66 8l 234 56O8 now", "phone", "+66 8l 234 56O8"), ("call +66 O2O 234 5678 now", "phone", "+66 O2O 234 5678"), ("pay 4lll 1111 1111 1111", "card", "4lll 1111 1111 1111")]
 #: plain prose, and marks without enough evidence
 PROSE = ["look at the dot matrix printer", "we stop at point dot then go on", "bob at dot com", "at dot at dot at dot com", "I saw l or O 555 times", "hello +lol 0123456789x", "at example.com", "a polka dot dress at dawn",
