@@ -57,6 +57,11 @@ class Field:
         return self.key or self.name
 
 
+def _whole(raw: Column, kind: str) -> Column:
+    """``try_cast`` to an integer type; a text with a point or exponent is none, and a cast that fails costs an exception a row."""
+    return F.when(~raw.rlike("[.eE]"), raw.try_cast(kind))
+
+
 def _typed(raw: Column, dtype: str) -> Column:
     if dtype == "string":
         return raw
@@ -64,11 +69,11 @@ def _typed(raw: Column, dtype: str) -> Column:
         return raw.try_cast("double")
     if dtype == "long":
         as_double = raw.try_cast("double")
-        return F.coalesce(raw.try_cast("bigint"), F.when(as_double == F.floor(as_double), as_double.try_cast("bigint")))
+        return F.coalesce(_whole(raw, "bigint"), F.when(as_double == F.floor(as_double), as_double.try_cast("bigint")))
     if dtype == "int":
-        return F.coalesce(raw.try_cast("int"), raw.try_cast("double").try_cast("int"))
+        return F.coalesce(_whole(raw, "int"), raw.try_cast("double").try_cast("int"))
     if dtype == "int_round":
-        return F.coalesce(raw.try_cast("int"), F.round(raw.try_cast("double")).try_cast("int"))
+        return F.coalesce(_whole(raw, "int"), F.round(raw.try_cast("double")).try_cast("int"))
     if dtype == "boolean":
         return raw.try_cast("boolean")
     raise ValueError(f"unsupported dtype {dtype!r}")
@@ -128,16 +133,15 @@ def decode(df: DataFrame, fields: Sequence[Field], value_col: str = "value",
     still pass — a documented limit.
     """
     vtype = df.schema[value_col].dataType
-    # The parse is the expensive step. A filter on the decoded columns (e.g. ``_reject IS NULL``)
-    # would otherwise be pushed below this projection with the parse inlined once per reference;
-    # the (cheap, non-deterministic) partition id column stops that push-down here, so each
-    # message is parsed exactly once.
+    # A filter on the decoded columns (e.g. ``_reject IS NULL``) would otherwise be pushed below these projections, with the
+    # parse, the key list and the object test inlined once per reference. A (cheap, non-deterministic) partition id stops the
+    # push-down, here and in the reason, so each message is parsed, tested and typed exactly once.
     keys = list(dict.fromkeys(f.json_key for f in fields))
-    staged = df.withColumn(PAYLOAD, _parsed(F.col(value_col), vtype, keys)).withColumn(_BARRIER, F.spark_partition_id())
-    staged = staged.withColumn(_IS_OBJECT, F.coalesce(_is_object(F.col(PAYLOAD), F.col(value_col), vtype), F.lit(False)))
+    staged = df.withColumn(PAYLOAD, _parsed(F.col(value_col), vtype, keys))
+    tests = {_IS_OBJECT: F.coalesce(_is_object(F.col(PAYLOAD), F.col(value_col), vtype), F.lit(False)), _BARRIER: F.spark_partition_id()}
     if any(f.lookup == "default" for f in fields):
-        names = F.map_keys(F.col(value_col)) if isinstance(vtype, MapType) else F.json_object_keys(_as_text(F.col(value_col), vtype))
-        staged = staged.withColumn(_KEYS, names)
+        tests[_KEYS] = F.map_keys(F.col(value_col)) if isinstance(vtype, MapType) else F.json_object_keys(_as_text(F.col(value_col), vtype))
+    staged = staged.withColumns(tests)
     is_object = F.col(_IS_OBJECT)
     out_cols = [F.col(c) for c in keep]
     problems = [F.when(F.col(value_col).isNull(), F.lit("null_value")),
@@ -164,7 +168,7 @@ def decode(df: DataFrame, fields: Sequence[Field], value_col: str = "value",
         problems.append(F.when(is_object & bad, F.lit(f"bad_{f.name}")))
         if f.required:
             problems.append(F.when(is_object & ~bad & val.isNull(), F.lit(f"missing_{f.name}")))
-    problems.append(F.when(F.col(_BARRIER) < 0, F.lit("unreachable")))   # keeps the barrier column alive
+    problems.append(F.when((F.col(_BARRIER) < 0) | (F.spark_partition_id() < 0), F.lit("unreachable")))   # keeps both barriers alive
     reason = F.coalesce(*problems)
     return staged.select(*out_cols, reason.alias(REJECT))
 

@@ -75,3 +75,13 @@ def test_merge_field_right_wins(spark):
     df = spark.createDataFrame([('{"a":1,"source_file":"old","b":[1,2]}',), ('[1]',)], "v string")
     r = df.select(merge_field("v", "source_file", F.lit("new.json"))).collect()
     assert r[0][0] == '{"a":1,"b":[1,2],"source_file":"new.json"}' and r[1][0] is None
+
+
+def test_a_filter_on_the_reason_repeats_no_parse(spark):
+    from heliolake.operators.codec import Field, decode, good_rows
+    df = spark.createDataFrame([('{"a": 29.5, "b": "x"}',), ('{"a": "1e1"}',), ('{"a": "+7 "}',), ('{"a": "."}',), ("bad",)], "value string")
+    fields = [Field("a", "int_round", lookup="default", default=0, required=True), Field("b", lookup="default", default="", required=True)]
+    good = good_rows(decode(df, fields))
+    assert sorted(map(tuple, good.collect())) == [(7, ""), (10, ""), (30, "x")]
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("jsonObjectKeys") + plan.count("json_object_keys") == 1 and plan.count("RLIKE(value") == 2
