@@ -1,9 +1,11 @@
 """W2 as keyed streaming state: the first reading of every key, found as rows stream by in any order.
 
-State is one value per key, held by Spark's state store; a query that runs for ever frees it when the key has been idle for ``idle_ms``. A key's rows are spread
-over ``salts`` states, so that a key with a large share of all rows is not one task's work. Whenever a state's first second
-falls, it is emitted, and a keyed table keeps the least of each key: that is the answer of one batch over all rows, whatever the
-order of arrival, the restarts in between and the states freed. Rows without a time count for nothing; a NULL key is a key.
+State is one value per key, held by Spark's state store. A run that ends by itself keeps its states, as a streaming aggregation: a batch's
+rows are combined per key in their tasks, before they meet their state. A query that runs for ever frees a state when its key has been idle
+for ``idle_ms``; there a key's rows are spread over ``salts`` states, so that a key with a large share of all rows is not one task's work.
+A state's first second is emitted whenever it falls (an aggregation emits it with each batch of the key), and a keyed table keeps the
+least of each key: that is the answer of one batch over all rows, whatever the order of arrival, the restarts in between and the states freed. Rows
+without a time count for nothing; a NULL key is a key.
 """
 
 from __future__ import annotations
@@ -45,14 +47,17 @@ class FirstSecond(StatefulProcessor):
 
 
 def first_seconds(stream: DataFrame, key: str, time_col: str, *, idle_ms: int | None = None, salts: int = 16) -> DataFrame:
-    """``(key, second)``: a key's first second, each time it falls (of each of its ``salts`` states).
+    """``(key, second)``: a key's first second, each time it falls (with ``idle_ms``: of each of its ``salts`` states).
 
     ``idle_ms`` is the time to live of a state that gets no rows; None keeps it. With it Spark plans batches without
     rows for as long as the query runs, so a run that ends by itself cannot have it.
     """
     kind = stream.schema[key].dataType
     rows = stream.select(F.col(key).alias("key"), F.unix_seconds(F.col(time_col).cast("timestamp")).alias("second"))
-    rows = rows.filter(F.col("second").isNotNull()).withColumn("salt", F.pmod(F.xxhash64("second"), F.lit(salts)).cast("int"))
+    rows = rows.filter(F.col("second").isNotNull())
+    if idle_ms is None:
+        return rows.groupBy("key").agg(F.min("second").alias("second"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("second"), F.lit(salts)).cast("int"))
     out = StructType([StructField("key", kind), StructField("second", LongType())])
     return rows.groupBy("key", "salt").transformWithStateInPandas(FirstSecond(idle_ms), out, "Update", "ProcessingTime" if idle_ms else "None")
 
