@@ -4,12 +4,16 @@ A micro-batch is as large as its trigger allows; of files, a single one may hold
 in files of at most ``rows`` rows (the writing tasks cut them), and hands these to the sink one batch after the other, each under a
 number of its own. A batch is marked when the sink returns, so after a failure the replayed micro-batch goes on with the first batch that
 is not marked; the staged files are not written again. Rows keep the order of their task from batch to batch.
+
+A batch is a small job, so one after the other leaves most of a cluster idle. A sink whose batches may go out in any order (each to a
+place of its own) can take several at once; every batch still has its own call and its own mark.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -56,25 +60,36 @@ class RowBatches:
     """A foreachBatch function: ``sink(rows, number)`` with at most ``rows`` rows a call; numbers count from 0 without gaps.
 
     ``folder`` belongs to one consumer, as its checkpoint does. A micro-batch without rows calls no sink. The driver holds the names
-    of a micro-batch's staged files.
+    of a micro-batch's staged files. ``at_once`` batches are with the sink at a time; after a failure no more are handed out, and those under way are
+    waited for.
     """
 
-    def __init__(self, sink: BatchFn, folder: str, rows: int = 1000):
-        if rows < 1:
-            raise ValueError("rows must be at least 1")
-        self.sink, self.folder, self.rows = sink, folder.rstrip("/"), int(rows)
+    def __init__(self, sink: BatchFn, folder: str, rows: int = 1000, at_once: int = 1):
+        if rows < 1 or at_once < 1:
+            raise ValueError("rows and at_once must be at least 1")
+        self.sink, self.folder, self.rows, self.at_once = sink, folder.rstrip("/"), int(rows), int(at_once)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         folder = _Folder(spark, self.folder)
         plan = self._plan(folder, batch, batch_id)
         done = {n for n in folder.names(f"{batch_id}", "done")}
-        for i, files in enumerate(plan["batches"]):
-            if str(i) in done:
-                continue
-            rows = spark.read.schema(batch.schema).parquet(*[f"{self.folder}/{batch_id}/rows/{f}" for f in files])
-            self.sink(rows, plan["first"] + i)
-            folder.put(f"{batch_id}/done/{i}", "")
+        failed: list[Exception] = []
+
+        def send(i: int) -> None:
+            if failed:
+                return
+            try:
+                rows = spark.read.schema(batch.schema).parquet(*[f"{self.folder}/{batch_id}/rows/{f}" for f in plan["batches"][i]])
+                self.sink(rows, plan["first"] + i)
+                folder.put(f"{batch_id}/done/{i}", "")
+            except Exception as e:  # noqa: BLE001 - raised again when no batch is under way any more
+                failed.append(e)
+
+        with ThreadPoolExecutor(self.at_once) as pool:
+            list(pool.map(send, [i for i in range(len(plan["batches"])) if str(i) not in done]))
+        if failed:
+            raise failed[0]
 
     def _plan(self, folder: _Folder, batch: DataFrame, batch_id: int) -> dict:
         told = folder.text(f"{batch_id}/plan.json")

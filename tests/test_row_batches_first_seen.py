@@ -71,3 +71,34 @@ def test_idle_states_are_freed(spark, scratch):
     finally:
         q.stop()
     assert set(batches) == {50, 90} and [r.second for r in ages.firsts().collect()] == [50]
+
+
+def test_several_batches_are_out_at_once_and_none_is_lost(spark, scratch):
+    import threading
+    src, both, lost, seen = scratch + "/in", threading.Barrier(2, timeout=60), [], []
+
+    def sink(rows, number):
+        if number < 2 and not lost:
+            both.wait()                            # passes only if batches 0 and 1 are with the sink together
+        if number == 1 and not lost:
+            lost.append(number)
+            raise RuntimeError("sink lost")
+        seen.append((number, rows.count()))
+
+    def run():
+        run_to_end(spark.readStream.schema("id long").parquet(src), RowBatches(sink, scratch + "/own", 100, at_once=2), scratch + "/ckpt")
+
+    spark.range(0, 1050, 1, 1).write.parquet(src)
+    with pytest.raises(Exception, match="sink lost"):
+        run()
+    assert 1 not in [n for n, _ in seen]
+    run()
+    assert sorted(n for n, _ in seen) == list(range(11)) and sum(k for _, k in seen) == 1050 and max(k for _, k in seen) == 100
+
+
+def test_states_that_are_kept_need_no_python(spark, scratch):
+    from heliolake.streaming.first_seen import first_seconds
+    spark.range(1).select(F.lit("a").alias("k"), F.timestamp_seconds("id").alias("t")).write.parquet(scratch + "/in")
+    stream = spark.readStream.schema("k string, t timestamp").parquet(scratch + "/in")
+    plan = first_seconds(stream, "k", "t")._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "Aggregate" in plan
