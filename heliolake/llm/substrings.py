@@ -94,7 +94,7 @@ def _anchor_hashes(window: int, gram: int):
     return hashes
 
 
-RUN_SCHEMA = "anchor long, run long, doc long, tie int, start int, windows binary"
+RUN_SCHEMA = "anchor long, run long, doc long, tie int, start int, windows array<long>"
 
 
 def _estimated_runs(bitmap, window: int, gram: int):
@@ -105,7 +105,7 @@ def _estimated_runs(bitmap, window: int, gram: int):
             docs, ties = batch.column("doc").to_pylist(), batch.column("tie").to_pylist()
             for first, bounds, words in documents(batch.column("text").to_pylist()):
                 cols: list[list[np.ndarray]] = [[], [], [], [], []]
-                payload: list[bytes] = []
+                payload: list[np.ndarray] = []
                 for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
                     if b - a < window:
                         continue
@@ -118,27 +118,17 @@ def _estimated_runs(bitmap, window: int, gram: int):
                     for c, v in zip(cols, (seg.anchor[hit], run_keys(win, start, size), np.full(len(hit), docs[first + i], np.int64),
                                            np.full(len(hit), ties[first + i], np.int32), start)):
                         c.append(v)
-                    payload += [win[s:s + m].astype("<u8").tobytes() for s, m in zip(start.tolist(), size.tolist())]
+                    payload += [win[s:s + m] for s, m in zip(start.tolist(), size.tolist())]
                 if payload:
                     x = [np.concatenate(c) for c in cols]
+                    ends = np.concatenate(([0], np.cumsum([len(w) for w in payload]))).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x[0].view(np.int64)), pa.array(x[1].view(np.int64)), pa.array(x[2]), pa.array(x[3]),
-                         pa.array(x[4].astype(np.int32)), pa.array(payload, pa.binary())],
+                         pa.array(x[4].astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(payload).view(np.int64)))],
                         names=["anchor", "run", "doc", "tie", "start", "windows"])
     return run
 
 
-def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each window of a run as a row of its own."""
-    for batch in batches:
-        sizes = np.array([len(x) // 8 for x in batch.column("windows").to_pylist()], np.int64)
-        keys = np.frombuffer(b"".join(batch.column("windows").to_pylist()), "<i8")
-        inside = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        cols = {c: np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes) for c in ("anchor", "doc", "tie", "start")}
-        yield pa.RecordBatch.from_arrays([pa.array(cols["anchor"]), pa.array(keys), pa.array(cols["doc"]), pa.array(cols["tie"]),
-                                          pa.array((cols["start"] + inside).astype(np.int32))], names=["anchor", "win", "doc", "tie", "start"])
-
-
 RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -192,11 +182,13 @@ def repeated_windows_removed(docs: DataFrame, window: int = WINDOW, gram: int =
     # one row for each different run: its first place, with the windows it holds
     firsts = stored(found.groupBy("anchor", "run").agg(F.min(F.struct("doc", "tie", "start", "windows")).alias("f"))
                     .select("anchor", "f.*"), "substring-runs")
-    several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    alone = firsts.join(several, "anchor", "left_anti").select("doc", "tie", "start", F.expr("cast(octet_length(windows) div 8 as int)").alias("m"))
-    windows = firsts.join(several, "anchor", "left_semi").mapInArrow(_single_windows, "anchor long, win long, doc long, tie int, start int")
-    first_windows = windows.groupBy("anchor", "win").agg(F.min(F.struct("doc", "tie", "start")).alias("f")).select("f.*", F.lit(1).alias("m"))
-    kept = alone.unionByName(first_windows).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "m")).alias("firsts"))
+    # an anchor's single run goes on whole (its key has no window); several runs as single windows, grouped where the join by anchor has put them
+    counted = firsts.join(firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "anchor")
+    whole = F.col("n") == 1
+    windows = (counted.withColumn("m", F.when(whole, F.size("windows")).otherwise(1))
+               .select("anchor", "doc", "tie", "start", "m", F.posexplode(F.when(whole, F.array(F.lit(None).cast("long"))).otherwise(F.col("windows"))).alias("at", "win")))
+    kept = (windows.groupBy("anchor", "win").agg(F.min(F.struct("doc", "tie", (F.col("start") + F.col("at")).alias("start"), "m")).alias("f")).select("f.*")
+            .groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "m")).alias("firsts")))
     final = rows.join(kept, ["doc", "tie"], "left").select("doc_id", "text", F.transform("firsts", lambda f: F.array(f["start"], f["m"])).alias("firsts"))
     return final.mapInArrow(_kept(bitmap, window, gram, with_text), RESULT_SCHEMA + (", kept string" if with_text else ""))
 
