@@ -44,8 +44,8 @@ NGRAM = 5
 PERCENT = 80
 #: Sets that hold a token from which on it counts as more frequent, besides twice the sketch's own load.
 FREQUENT = (4, 16, 64, 256, 1024, 4096, 16384)
-#: log2 of the sketch's cells, at most; its levels are 16 MB then.
-MOST_CELLS = 24
+#: log2 of the sketch's cells, at most; its levels are 32 MB then.
+MOST_CELLS = 26
 #: Sets of an index entry up to which all its pairs are candidates at once.
 SHORT = 64
 _ORDER2, _ORDER3 = U(0x2545F4914F6CDD1D), U(0x6A09E667F3BCC909)

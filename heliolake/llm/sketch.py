@@ -99,12 +99,16 @@ def sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
 
 
 def _merge(least: list[int]):
-    """Cells of merged blocks: as bits for one threshold, else one byte that tells how many thresholds the count reaches."""
+    """Cells of merged blocks: as bits for one threshold, else four bits that tell how many thresholds (at most 15) the count reaches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, counts = None, np.zeros(BLOCK, np.uint32)
 
         def done():
-            cells = np.packbits(counts >= least[0]) if len(least) == 1 else np.searchsorted(least, counts, "right").astype(np.uint8)
+            if len(least) == 1:
+                cells = np.packbits(counts >= least[0])
+            else:
+                level = np.searchsorted(least, counts, "right").astype(np.uint8)
+                cells = level[::2] | level[1::2] << 4
             return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([cells.tobytes()], pa.binary())], names=["block", "cells"])
 
         for batch in batches:
@@ -142,13 +146,14 @@ class Bitmap:
 
 
 class Levels:
-    """How many of the sketch's thresholds a hash's estimated count reaches (one byte a cell, one row)."""
+    """How many of the sketch's thresholds a hash's estimated count reaches (four bits a cell, one row)."""
 
     def __init__(self, log2: int, cells: np.ndarray):
         self.log2, self.cells = log2, cells
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
-        return self.cells[cells_of(hashes, 0, self.log2)]
+        at = cells_of(hashes, 0, self.log2)
+        return (self.cells[at >> 1] >> ((at & 1) << 2).astype(np.uint8)) & np.uint8(15)
 
 
 def _blocks(rows: DataFrame, least: list[int]) -> DataFrame:
@@ -165,8 +170,10 @@ def merged(spark: SparkSession, rows: DataFrame, log2: int, depth: int, least: i
 
 
 def levels(spark: SparkSession, rows: DataFrame, log2: int, thresholds: list[int]):
-    """The broadcast levels of a merged sketch of depth 1 (``2^log2`` bytes)."""
-    cells = np.zeros(max(1 << log2, BLOCK), np.uint8)
+    """The broadcast levels of a merged sketch of depth 1 (``2^log2 / 2`` bytes)."""
+    if not 1 < len(thresholds) < 16:
+        raise ValueError("2 to 15 thresholds")
+    cells = np.zeros(max(1 << log2, BLOCK) >> 1, np.uint8)
     for r in _blocks(rows, thresholds).collect():
-        cells[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(r["cells"], np.uint8)
+        cells[r["block"] * BLOCK >> 1:(r["block"] + 1) * BLOCK >> 1] = np.frombuffer(r["cells"], np.uint8)
     return spark.sparkContext.broadcast(Levels(log2, cells))
